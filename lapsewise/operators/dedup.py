@@ -16,26 +16,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _pick(df, keys, order, drop, agg) -> DataFrame:
+    keys = list(keys)
+    payload = [c for c in df.columns if c not in keys]
+    ordering = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
+    packed = F.struct(*ordering, F.struct(*payload).alias("_row"))
+    picked = df.groupBy(*keys).agg(agg(packed).alias("_pick"))
+    out = picked.select(*keys, *[F.col(f"_pick._row.{c}").alias(c) for c in payload])
+    return out.drop(*drop) if drop else out
+
+
 def first_wins(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     drop: Sequence[str] = (),
 ) -> DataFrame:
-    """Keep per ``keys`` the row that sorts first by ``order`` (ascending).
+    """Keep per ``keys`` the row that sorts first by ``order`` (ascending, nulls first).
 
     ``order`` columns may be hidden bookkeeping columns (file ordinal, line
     position); list them in ``drop`` to remove them from the output.
     """
-    keys = list(keys)
-    payload = [c for c in df.columns if c not in keys]
-    ordering = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)]
-    packed = F.struct(*ordering, F.struct(*payload).alias("_row"))
-    first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
-    out = first.select(
-        *keys, *[F.col(f"_first._row.{c}").alias(c) for c in payload]
-    )
-    return out.drop(*drop) if drop else out
+    return _pick(df, keys, order, drop, F.min)
+
+
+def last_wins(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    drop: Sequence[str] = (),
+) -> DataFrame:
+    """Keep per ``keys`` the row that sorts last by ``order`` (newest wins)."""
+    return _pick(df, keys, order, drop, F.max)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -90,8 +90,6 @@ def _row_predicate(check: Check) -> F.Column | None:
     c = F.col(check.column) if check.column else None
     if check.kind == "not_null":
         return c.isNull()
-    if check.kind == "accepted_values" and not isinstance(check.params["values"], str):
-        return c.isNotNull() & ~c.isin(list(check.params["values"]))
     if check.kind == "max_length":
         return F.char_length(c.cast("string")) > F.lit(check.params["n"])
     if check.kind == "value_range":
@@ -119,11 +117,14 @@ def failing_rows(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
             .where(F.col("n_records") > 1)
         )
     if check.kind == "accepted_values":
-        allowed = models[check.params["values"]]
-        allowed = allowed.select(F.col(allowed.columns[0]).alias("_ok")).distinct()
         values = df.where(F.col(c).isNotNull()).groupBy(c).agg(
             F.count(F.lit(1)).alias("n_records")
         )
+        spec = check.params["values"]
+        if not isinstance(spec, str):
+            return values.where(~F.col(c).isin(list(spec)))
+        allowed = models[spec]
+        allowed = allowed.select(F.col(allowed.columns[0]).alias("_ok")).distinct()
         return values.join(allowed, F.col(c) == F.col("_ok"), "left_anti")
     if check.kind == "relationships":
         parent = models[check.params["to"]].select(

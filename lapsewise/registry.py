@@ -280,9 +280,9 @@ def q_unified_dataset(spark, sf_dir):
     )
 
 
-SQL_SUMMARY = (
-    with_(SQL_CLIENTS, SQL_PRODUCTS, SQL_LAPSES)
-    + """, ps AS (
+SQL_SUMMARY_CTES = (
+    """
+ps AS (
   SELECT p.client_id,
          count(DISTINCT f.policy_id) AS total_policies,
          count(*) AS total_claims,
@@ -297,7 +297,8 @@ SQL_SUMMARY = (
          count(DISTINCT p.product_id) AS distinct_products
   FROM lapses f JOIN policy p ON f.policy_id = p.policy_id
   GROUP BY p.client_id
-)
+),
+summary AS (
 SELECT ps.client_id, dp.income, dp.province, ps.total_policies, ps.total_claims,
        CAST(ps.total_premiums AS DOUBLE) AS total_premiums,
        """
@@ -309,9 +310,12 @@ SELECT ps.client_id, dp.income, dp.province, ps.total_policies, ps.total_claims,
        """
     + half_up_sql("ps.lapsed_count * 100", "ps.total_claims")
     + """ AS lapse_rate_pct
-FROM ps JOIN dim_patients dp ON ps.client_id = dp.client_id"""
+FROM ps JOIN dim_patients dp ON ps.client_id = dp.client_id
+)"""
 )
 
+SQL_SUMMARY = with_(SQL_CLIENTS, SQL_PRODUCTS, SQL_LAPSES, SQL_SUMMARY_CTES) + "SELECT * FROM summary"
+
 
 @register("patient_claims_summary", SQL_SUMMARY)
 def q_patient_claims_summary(spark, sf_dir):
@@ -357,3 +361,339 @@ def q_dedup_documents_exact(spark, sf_dir):
         "doc_id", F.md5("text").alias("text_md5"), "lang", "source", "n_chars"
     )
     return first_wins(docs, ["text_md5"], ["doc_id"])
+
+
+# ------------------------------------------------------------ data quality
+
+def check_sql(chk) -> str:
+    """Oracle SQL for one check: a single summary row with its failure count."""
+    m, c, p = chk.model, chk.column, chk.params
+    if chk.kind == "not_null":
+        body = f"SELECT count(*) FROM {m} WHERE {c} IS NULL"
+    elif chk.kind == "unique":
+        body = (f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
+                f"GROUP BY {c} HAVING count(*) > 1) t")
+    elif chk.kind == "accepted_values":
+        allowed = p["values"]
+        if isinstance(allowed, str):
+            inner = f"SELECT * FROM {allowed}"
+        else:
+            inner = " UNION ALL ".join("SELECT '" + v.replace("'", "''") + "'" for v in allowed)
+        body = (f"SELECT count(*) FROM (SELECT {c} FROM {m} WHERE {c} IS NOT NULL "
+                f"AND {c} NOT IN ({inner}) GROUP BY {c}) t")
+    elif chk.kind == "relationships":
+        body = (f"SELECT count(*) FROM {m} x WHERE x.{c} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {p['to']} y WHERE y.{p['field']} = x.{c})")
+    elif chk.kind == "max_length":
+        body = f"SELECT count(*) FROM {m} WHERE length(CAST({c} AS VARCHAR)) > {p['n']}"
+    elif chk.kind == "value_range":
+        conds = []
+        if p.get("lo") is not None:
+            conds.append(f"{c} < {p['lo']}")
+        if p.get("hi") is not None:
+            conds.append(f"{c} > {p['hi']}")
+        body = f"SELECT count(*) FROM {m} WHERE {c} IS NOT NULL AND ({' OR '.join(conds)})"
+    elif chk.kind == "row_count_equal":
+        body = (f"SELECT CASE WHEN (SELECT count(*) FROM {m}) <> "
+                f"(SELECT count(*) FROM {p['other']}) THEN 1 ELSE 0 END")
+    else:
+        raise ValueError(chk.kind)
+    col = "CAST(NULL AS VARCHAR)" if c is None else f"'{c}'"
+    return (f"SELECT '{chk.test_name}' AS test_name, '{chk.kind}' AS kind, '{m}' AS model, "
+            f"{col} AS column_name, CAST(({body}) AS BIGINT) AS failures")
+
+
+def suite_sql(ctes: str, checks) -> str:
+    return ctes + "\nUNION ALL\n".join(check_sql(c) for c in checks)
+
+
+def _model_suite_frames(spark, sf_dir):
+    from lapsewise.session import materialize
+
+    stg = materialize(models.stg_clients(S.raw_clients(spark, sf_dir), S.CLIENT_ORDER))
+    patients = models.dim_patients(stg)
+    policy = S.policy(spark, sf_dir)
+    fact = warehouse.fact_with_keys(warehouse.lapse_rows(S.raw_lapses(spark, sf_dir)), S.LAPSE_ORDER)
+    nation = S.table(spark, sf_dir, "nation")
+    return {
+        "stg_clients": stg,
+        "stg_products": models.stg_products(S.products(spark, sf_dir)),
+        "stg_health_lapses": models.stg_health_lapses(fact, policy),
+        "dim_patients": patients,
+        "fct_patient_claims_summary": materialize(
+            models.patient_claims_summary(fact, policy, patients)
+        ),
+        "accepted_provinces": nation.where(F.col("n_regionkey") == 0).select("n_name"),
+    }
+
+
+MODEL_TESTS = warehouse.model_tests("accepted_provinces")
+
+SQL_MODEL_CTES = with_(
+    SQL_CLIENTS,
+    SQL_PRODUCTS,
+    SQL_LAPSES,
+    SQL_SUMMARY_CTES,
+    """
+stg_products AS (SELECT product_id, product_name, tier, status AS product_status FROM products),
+stg_health_lapses AS (
+  SELECT f.lapse_id, f.policy_id, p.client_id, p.product_id, f.lapse_date, f.date_key,
+         f.premium_amount, f.status AS lapse_status
+  FROM fact f JOIN policy p ON f.policy_id = p.policy_id),
+fct_patient_claims_summary AS (SELECT * FROM summary),
+accepted_provinces AS (SELECT n_name FROM nation WHERE n_regionkey = 0)
+""",
+)
+
+
+@register("dq_model_tests", suite_sql(SQL_MODEL_CTES, MODEL_TESTS))
+def q_dq_model_tests(spark, sf_dir):
+    """The twenty model tests (unique / not_null / accepted_values)."""
+    from lapsewise.operators import quality as Q
+
+    return Q.run_checks(MODEL_TESTS, _model_suite_frames(spark, sf_dir))
+
+
+def _warehouse_checks():
+    from lapsewise import schemas
+    from lapsewise.operators import quality as Q
+
+    checks = []
+    for table, schema in schemas.TABLES.items():
+        for key in schemas.PRIMARY_KEYS[table]:
+            checks += Q.primary_key(table, key)
+        for cols in schemas.UNIQUE_KEYS.get(table, []):
+            checks += [Q.unique(table, c) for c in cols]
+        checks += [c for c in Q.schema_checks(table, schema)
+                   if not (c.kind == "not_null" and c.column in schemas.PRIMARY_KEYS[table])]
+    for child, col, parent, pcol in schemas.FOREIGN_KEYS:
+        checks.append(Q.relationships(child, col, parent, pcol))
+    return checks
+
+
+WAREHOUSE_CHECKS = _warehouse_checks()
+
+SQL_WAREHOUSE_CTES = with_(
+    SQL_CLIENTS,
+    SQL_PRODUCTS,
+    SQL_LAPSES,
+    SQL_CALENDAR,
+    """
+dim_clients AS (SELECT * FROM dedup),
+dim_products AS (SELECT * FROM products),
+dim_policy AS (SELECT * FROM policy),
+fct_health_lapses AS (SELECT * FROM fact)
+""",
+)
+
+
+@register("dq_warehouse_constraints", suite_sql(SQL_WAREHOUSE_CTES, WAREHOUSE_CHECKS))
+def q_dq_warehouse_constraints(spark, sf_dir):
+    """Keys, NOT NULL, lengths, numeric ranges and foreign keys of the star schema."""
+    from lapsewise.operators import quality as Q
+
+    raw_lapses = S.raw_lapses(spark, sf_dir)
+    tables = {
+        "dim_clients": models.deduplicated_clients(S.raw_clients(spark, sf_dir), S.CLIENT_ORDER),
+        "dim_products": S.products(spark, sf_dir),
+        "dim_date": dim_date_covering(raw_lapses, "lapse_date"),
+        "dim_policy": S.policy(spark, sf_dir),
+        "fct_health_lapses": warehouse.fact_with_keys(
+            warehouse.lapse_rows(raw_lapses), S.LAPSE_ORDER
+        ),
+    }
+    return Q.run_checks(WAREHOUSE_CHECKS, tables)
+
+
+def _transform_checks():
+    from lapsewise.operators import quality as Q
+
+    return [
+        Q.Check("unique", "v_deduplicated_clients", "client_id", name="no_duplicate_clients"),
+        Q.Check("not_null", "v_imputed_clients", "income", name="no_missing_income"),
+        Q.Check("row_count_equal", "v_unified_dataset", None, {"other": "fct_health_lapses"},
+                name="unified_rows_match_fact"),
+    ]
+
+
+TRANSFORM_CHECKS = _transform_checks()
+
+
+@register(
+    "dq_transform_checks",
+    suite_sql(
+        with_(
+            SQL_CLIENTS, SQL_PRODUCTS, SQL_LAPSES, SQL_CALENDAR,
+            """
+v_deduplicated_clients AS (SELECT * FROM dedup),
+v_imputed_clients AS (SELECT * FROM stg_clients),
+fct_health_lapses AS (SELECT * FROM fact),
+v_unified_dataset AS (
+  SELECT f.lapse_id FROM fact f
+  JOIN policy p ON f.policy_id = p.policy_id
+  JOIN stg_clients c ON p.client_id = c.client_id
+  JOIN products pr ON p.product_id = pr.product_id
+  JOIN dim_date d ON f.date_key = d.date_key)
+""",
+        ),
+        TRANSFORM_CHECKS,
+    ),
+)
+def q_dq_transform_checks(spark, sf_dir):
+    """Post-transformation checks: dedup, imputation, unified row count."""
+    from lapsewise.operators import quality as Q
+
+    raw = S.raw_clients(spark, sf_dir)
+    dedup = models.deduplicated_clients(raw, S.CLIENT_ORDER)
+    imputed = models.imputed_clients(dedup)
+    raw_lapses = S.raw_lapses(spark, sf_dir)
+    fact = warehouse.fact_with_keys(warehouse.lapse_rows(raw_lapses), S.LAPSE_ORDER)
+    unified = models.unified_dataset(
+        fact, S.policy(spark, sf_dir), imputed, S.products(spark, sf_dir),
+        dim_date_covering(raw_lapses, "lapse_date"),
+    )
+    frames = {
+        "v_deduplicated_clients": dedup,
+        "v_imputed_clients": imputed,
+        "v_unified_dataset": unified,
+        "fct_health_lapses": fact,
+    }
+    return Q.run_checks(TRANSFORM_CHECKS, frames)
+
+
+@register(
+    "duplicate_client_ids",
+    with_(SQL_CLIENTS)
+    + "SELECT client_id, count(*) AS n_rows FROM raw_clients GROUP BY client_id HAVING count(*) > 1",
+)
+def q_duplicate_client_ids(spark, sf_dir):
+    """Client ids delivered more than once in the raw feed."""
+    from lapsewise.operators.dedup import duplicate_keys
+
+    return duplicate_keys(S.raw_clients(spark, sf_dir), ["client_id"])
+
+
+# ------------------------------------------------------------ load semantics
+
+CUTOFF = "1998-01-01"
+
+
+@register(
+    "insert_if_absent",
+    with_(SQL_CLIENTS)
+    + f"""SELECT client_id, name, CAST(income AS DOUBLE) AS income, province,
+       CASE WHEN client_id IN (SELECT o_custkey FROM orders WHERE o_orderdate < DATE '{CUTOFF}')
+            THEN 1 ELSE 2 END AS load_run
+FROM clients""",
+)
+def q_insert_if_absent(spark, sf_dir):
+    """Two loads into one table: clients active before the cutoff, then the
+    whole (duplicated) feed; the second load adds only absent clients."""
+    from lapsewise.operators.loading import insert_if_absent
+    from lapsewise.session import scratch_path
+
+    path = scratch_path(spark, "dim_clients")
+    early_orders = S.table(spark, sf_dir, "orders").where(
+        F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp_ntz")
+    )
+    run1 = (
+        S.client_records(spark, sf_dir)
+        .join(early_orders, F.col("client_id") == F.col("o_custkey"), "left_semi")
+        .withColumn("load_run", F.lit(1))
+    )
+    insert_if_absent(spark, path, run1, ["client_id"])
+    run2 = S.raw_clients(spark, sf_dir).withColumn("load_run", F.lit(2))
+    insert_if_absent(spark, path, run2, ["client_id"], order=S.CLIENT_ORDER, drop=S.CLIENT_ORDER)
+    return spark.read.parquet(path)
+
+
+@register(
+    "truncate_reload",
+    with_(SQL_LAPSES)
+    + "SELECT lapse_id, policy_id, lapse_date, date_key, CAST(premium_amount AS DOUBLE) AS premium_amount, status FROM fact",
+)
+def q_truncate_reload(spark, sf_dir):
+    """Fact loaded with early events, then truncated and fully reloaded
+    (keys restart at 1; the reload is validated before it is swapped in)."""
+    from lapsewise.operators.loading import replace_table
+    from lapsewise.session import scratch_path
+
+    path = scratch_path(spark, "fct_health_lapses")
+    raw = S.raw_lapses(spark, sf_dir)
+    rows = warehouse.lapse_rows(raw)
+    early = rows.where(F.col("lapse_date") < F.lit(CUTOFF).cast("date"))
+    replace_table(spark, path, warehouse.fact_with_keys(early, S.LAPSE_ORDER))
+    gate = warehouse.fact_gate(S.policy(spark, sf_dir), dim_date_covering(raw, "lapse_date"))
+    return replace_table(
+        spark, path, warehouse.fact_with_keys(rows, S.LAPSE_ORDER), validate=gate
+    )
+
+
+@register(
+    "upsert_latest",
+    with_(SQL_LAPSES)
+    + """SELECT policy_id, lapse_date, CAST(premium_amount AS DOUBLE) AS premium_amount, status,
+       _k2 AS line_no
+FROM (SELECT *, row_number() OVER (PARTITION BY policy_id
+                                   ORDER BY lapse_date DESC, _k2 DESC, _k3 DESC, _k4 DESC) AS rn
+      FROM lapses) t
+WHERE rn = 1""",
+)
+def q_upsert_latest(spark, sf_dir):
+    """Latest lapse per policy kept by two upserts (before / after cutoff)."""
+    from lapsewise.plans.incremental import upsert
+    from lapsewise.session import scratch_path
+
+    path = scratch_path(spark, "latest_lapse")
+    rows = warehouse.lapse_rows(S.raw_lapses(spark, sf_dir)).select(
+        "policy_id", "lapse_date", "premium_amount", "status",
+        F.col("_k2").alias("line_no"), F.col("_k3").alias("_part"), F.col("_k4").alias("_supp"),
+    )
+    newest = ["lapse_date", "line_no", "_part", "_supp"]
+    cutoff = F.lit(CUTOFF).cast("date")
+    upsert(spark, path, rows.where(F.col("lapse_date") < cutoff), ["policy_id"], newest)
+    out = upsert(spark, path, rows.where(F.col("lapse_date") >= cutoff), ["policy_id"], newest)
+    return out.drop("_part", "_supp")
+
+
+@register("incremental_summary", SQL_SUMMARY)
+def q_incremental_summary(spark, sf_dir):
+    """Claims summary built from early events, then refreshed for the
+    clients touched by later events only."""
+    from lapsewise.plans.incremental import refresh_summary
+    from lapsewise.session import materialize
+
+    clients = models.stg_clients(S.raw_clients(spark, sf_dir), S.CLIENT_ORDER)
+    patients = materialize(models.dim_patients(clients))
+    policy = S.policy(spark, sf_dir)
+    fact = warehouse.lapse_rows(S.raw_lapses(spark, sf_dir))
+    cutoff = F.lit(CUTOFF).cast("date")
+    early = fact.where(F.col("lapse_date") < cutoff)
+    late = fact.where(F.col("lapse_date") >= cutoff)
+    old = materialize(models.patient_claims_summary(early, policy, patients))
+    return refresh_summary(old, fact, policy, patients, late)
+
+
+@register(
+    "monthly_partitioned_fact",
+    with_(SQL_LAPSES)
+    + """SELECT CAST(year(lapse_date) AS INTEGER) AS lapse_year, CAST(month(lapse_date) AS INTEGER) AS lapse_month,
+       count(*) AS lapses, CAST(sum(premium_amount) AS DOUBLE) AS premiums,
+       min(lapse_id) AS first_lapse_id, max(lapse_id) AS last_lapse_id
+FROM fact GROUP BY 1, 2""",
+)
+def q_monthly_partitioned_fact(spark, sf_dir):
+    """Fact written partitioned by lapse month and read back per month."""
+    from lapsewise.plans.incremental import write_partitioned_fact
+    from lapsewise.session import scratch_path
+
+    path = scratch_path(spark, "fct_by_month")
+    fact = warehouse.fact_with_keys(warehouse.lapse_rows(S.raw_lapses(spark, sf_dir)), S.LAPSE_ORDER)
+    write_partitioned_fact(fact, path)
+    back = spark.read.parquet(path)
+    return back.groupBy("lapse_year", "lapse_month").agg(
+        F.count(F.lit(1)).alias("lapses"),
+        F.sum("premium_amount").alias("premiums"),
+        F.min("lapse_id").alias("first_lapse_id"),
+        F.max("lapse_id").alias("last_lapse_id"),
+    )
