@@ -697,3 +697,101 @@ def q_monthly_partitioned_fact(spark, sf_dir):
         F.min("lapse_id").alias("first_lapse_id"),
         F.max("lapse_id").alias("last_lapse_id"),
     )
+
+
+# ------------------------------------------------------------ text cleaning
+
+def _text_job(spark, sf_dir):
+    from lapsewise.operators import textclean as TC
+    from lapsewise.session import scratch_path
+
+    root = scratch_path(spark, "exports")
+    S.write_text_exports(spark, sf_dir, root)
+    lines = TC.read_lines(spark, root)
+    profiles = TC.file_profiles(lines)
+    rows = TC.split_rows(lines, profiles)
+    return root, lines, profiles, rows
+
+
+SQL_EXPORT_IDS = """
+params AS (
+  SELECT CAST(greatest(3, length(CAST(count(*) AS VARCHAR))) AS INTEGER) AS w FROM part
+),
+exported AS (
+  SELECT 'prod_' || lpad(CAST(p_partkey + 1 AS VARCHAR), (SELECT w FROM params), '0') AS pid, *
+  FROM part
+)"""
+
+
+@register(
+    "clean_delimited_text",
+    with_(SQL_EXPORT_IDS)
+    + """SELECT lower(pid) AS product_id, p_name AS product_name, p_type AS tier, p_brand AS status
+FROM exported WHERE p_size <= 45""",
+)
+def q_clean_delimited_text(spark, sf_dir):
+    """Product export cleaned to CSV (preamble, '|', padding, mixed case) and read back."""
+    from lapsewise.operators import textclean as TC
+    from lapsewise.session import scratch_path
+
+    root = scratch_path(spark, "exports")
+    out = scratch_path(spark, "cleaned")
+    S.write_text_exports(spark, sf_dir, root)
+    TC.clean_files(spark, root, out)
+    schema = "product_id string, product_name string, tier string, status string"
+    back = (
+        spark.read.schema(schema).option("header", True).option("escape", '"')
+        .csv(f"{out}/layout_4")
+    )
+    return back.select("product_id", "product_name", "tier", "status")
+
+
+@register(
+    "file_profile",
+    """
+SELECT 'products' AS dataset, CAST(2 AS BIGINT) AS skip_lines, '|' AS delimiter,
+       CAST(4 AS INTEGER) AS n_columns, 'product_id,product_name,tier,status' AS columns,
+       count(*) FILTER (WHERE p_size <= 45) AS data_rows,
+       count(*) FILTER (WHERE p_size > 45) AS rejected_rows
+FROM part
+UNION ALL
+SELECT 'suppliers', CAST(0 AS BIGINT), ',', CAST(3 AS INTEGER), 'product_id,product_name,status',
+       count(*), CAST(0 AS BIGINT)
+FROM supplier
+UNION ALL
+SELECT 'customers', CAST(3 AS BIGINT), chr(9), CAST(6 AS INTEGER),
+       'column_1,column_2,column_3,column_4,column_5,column_6', count(*), CAST(0 AS BIGINT)
+FROM customer""",
+)
+def q_file_profile(spark, sf_dir):
+    """Inferred preamble length, delimiter and columns of each export."""
+    _, _, profiles, rows = _text_job(spark, sf_dir)
+    counts = rows.groupBy("_file").agg(
+        F.count_if(F.size("_fields") == F.col("n_columns")).alias("data_rows"),
+        F.count_if(F.size("_fields") != F.col("n_columns")).alias("rejected_rows"),
+    )
+    per_file = profiles.join(counts, "_file").select(
+        F.regexp_extract("_file", "/([^/]+)/[^/]+$", 1).alias("dataset"),
+        "skip_lines", "delimiter", "n_columns",
+        F.array_join("columns", ",").alias("columns"),
+        "data_rows", "rejected_rows",
+    )
+    return per_file.groupBy("dataset", "skip_lines", "delimiter", "n_columns", "columns").agg(
+        F.sum("data_rows").alias("data_rows"), F.sum("rejected_rows").alias("rejected_rows")
+    )
+
+
+@register(
+    "rejects_by_arity",
+    with_(SQL_EXPORT_IDS)
+    + """SELECT CAST(4 AS INTEGER) AS expected_fields, CAST(5 AS INTEGER) AS got_fields,
+       CASE WHEN p_size > 25 THEN upper(pid) ELSE pid END || ' | ' || p_name || chr(9) || '| '
+         || p_type || '|' || p_brand || ' |discontinued' AS data
+FROM exported WHERE p_size > 45""",
+)
+def q_rejects_by_arity(spark, sf_dir):
+    """Export rows with a field count other than their file's column count."""
+    from lapsewise.operators import textclean as TC
+
+    _, _, _, rows = _text_job(spark, sf_dir)
+    return TC.rejected_rows(rows).select("expected_fields", "got_fields", "data")

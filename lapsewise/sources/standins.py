@@ -106,3 +106,94 @@ def raw_lapses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("_k3"),
         F.col("l_suppkey").alias("_k4"),
     )
+
+
+# ----------------------------------------------------------- text exports
+# Header-less delimited exports derived from the tables, one text file per
+# scan partition, each starting with its dataset's preamble.
+
+# Preamble lines and extra field of the derived exports.
+PRODUCT_PREAMBLE = ["--- PRODUCT CATALOGUE EXPORT ---", ""]
+CUSTOMER_PREAMBLE = ["# customer extract", "# fields are positional", ""]
+RAGGED_SUFFIX = "|discontinued"
+
+
+def _prepend(preamble: list[str]):
+    def run(batches):
+        import pandas as pd
+
+        started = False
+        for batch in batches:
+            if len(batch) == 0:
+                continue
+            if not started and preamble:
+                yield pd.DataFrame({"value": preamble})
+            started = True
+            yield batch[["value"]]
+
+    return run
+
+
+def _write_lines(lines: DataFrame, order: list[str], preamble: list[str], path: str) -> None:
+    (
+        lines.sortWithinPartitions(*order)
+        .select("value")
+        .mapInPandas(_prepend(preamble), "value string")
+        .write.mode("overwrite")
+        .text(path)
+    )
+
+
+def write_text_exports(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
+    """Write the three exports under ``root``; returns their folders."""
+    n = product_count(spark, sf_dir)
+    part = table(spark, sf_dir, "part")
+    pid = F.concat(F.lit("prod_"), lpad_text(F.col("p_partkey") + 1, product_key_width(n)))
+    shown_id = F.when(F.col("p_size") > 25, F.upper(pid)).otherwise(pid)
+    body = F.concat_ws(
+        "|",
+        F.concat(shown_id, F.lit(" ")),
+        F.concat(F.lit(" "), F.col("p_name"), F.lit("\t")),
+        F.concat(F.lit(" "), F.col("p_type")),
+        F.concat(F.col("p_brand"), F.lit(" ")),
+    )
+    ragged = F.col("p_size") > 45
+    products_lines = part.select(
+        F.when(ragged, F.concat(body, F.lit(RAGGED_SUFFIX))).otherwise(body).alias("value"),
+        ragged.alias("_ragged"),
+        "p_partkey",
+    )
+    supplier = table(spark, sf_dir, "supplier")
+    supplier_lines = supplier.select(
+        F.concat_ws(
+            ",",
+            F.concat(F.lit("SUP-"), F.col("s_suppkey").cast("string")),
+            F.col("s_name"),
+            F.col("s_nationkey").cast("string"),
+        ).alias("value"),
+        "s_suppkey",
+    )
+    cust = table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
+    customer_lines = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left").select(
+        F.concat_ws(
+            "\t",
+            F.col("c_custkey").cast("string"),
+            F.col("c_name"),
+            F.col("c_nationkey").cast("string"),
+            F.col("c_acctbal").cast("decimal(12,2)").cast("string"),
+            F.col("c_mktsegment"),
+            F.col("n_name"),
+        ).alias("value"),
+        "c_custkey",
+    )
+    root = root.rstrip("/")
+    out = {
+        "products": f"{root}/products",
+        "suppliers": f"{root}/suppliers",
+        "customers": f"{root}/customers",
+    }
+    _write_lines(products_lines, ["_ragged", "p_partkey"], PRODUCT_PREAMBLE, out["products"])
+    _write_lines(supplier_lines, ["s_suppkey"], [], out["suppliers"])
+    _write_lines(customer_lines, ["c_custkey"], CUSTOMER_PREAMBLE, out["customers"])
+    return out
