@@ -105,7 +105,7 @@ def load_warehouse(
     insert_if_absent(spark, paths["dim_clients"], clients, ["client_id"],
                      order=FILE_ORDER, drop=FILE_ORDER)
 
-    products = files.with_file_order(files.read_products_csv(spark, products_path))
+    products = files.read_products_csv(spark, products_path)
     insert_if_absent(spark, paths["dim_products"], products, ["product_id"],
                      order=FILE_ORDER, drop=FILE_ORDER)
 

@@ -75,12 +75,15 @@ def read_clients_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_products_csv(spark: SparkSession, path: str) -> DataFrame:
-    return (
+    """Cleaned product CSV (header) with physical order columns."""
+    raw = with_file_order(
         spark.read.schema(schemas.PRODUCTS_CSV)
         .option("header", True)
+        .option("escape", '"')
         .option("mode", "FAILFAST")
         .csv(path)
     )
+    return raw.select(*schemas.PRODUCTS_CSV.fieldNames(), "_file", "_split", "_pos")
 
 
 def read_lapses_parquet(spark: SparkSession, path: str) -> DataFrame:
