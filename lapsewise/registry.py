@@ -103,11 +103,12 @@ lapses AS (
          CAST(l_extendedprice AS DECIMAL(10,2)) AS premium_amount,
          CASE l_returnflag WHEN 'R' THEN 'Lapsed' WHEN 'A' THEN 'Active'
                            WHEN 'N' THEN 'Pending' END AS status,
-         l_orderkey AS _k1, l_linenumber AS _k2, l_partkey AS _k3, l_suppkey AS _k4
+         l_orderkey AS _k1, l_linenumber AS _k2, l_partkey AS _k3, l_suppkey AS _k4,
+         l_shipdate AS _k5, l_extendedprice AS _k6, l_returnflag AS _k7
   FROM lineitem
 ),
 fact AS (
-  SELECT row_number() OVER (ORDER BY _k1, _k2, _k3, _k4) AS lapse_id,
+  SELECT row_number() OVER (ORDER BY _k1, _k2, _k3, _k4, _k5, _k6, _k7) AS lapse_id,
          policy_id, lapse_date, date_key, premium_amount, status
   FROM lapses
 )"""
@@ -333,17 +334,21 @@ def q_patient_claims_summary(spark, sf_dir):
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
        CAST(l_shipdate AS DATE) AS ship_date
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                                   ORDER BY l_partkey, l_suppkey) AS rn
+                                   ORDER BY l_partkey, l_suppkey, CAST(l_shipdate AS DATE),
+                                            l_quantity, l_extendedprice) AS rn
       FROM lineitem) t
 WHERE rn = 1""",
 )
 def q_dedup_lineitem_first(spark, sf_dir):
-    """Keep the first line per (order, line number) by (part, supplier)."""
+    """Keep the first line per (order, line number) by part, supplier, date, amounts."""
     li = S.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", F.to_date("l_shipdate").alias("ship_date"),
     )
-    return first_wins(li, ["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"])
+    return first_wins(
+        li, ["l_orderkey", "l_linenumber"],
+        ["l_partkey", "l_suppkey", "ship_date", "l_quantity", "l_extendedprice"],
+    )
 
 
 @register(
@@ -635,7 +640,8 @@ def q_truncate_reload(spark, sf_dir):
     + """SELECT policy_id, lapse_date, CAST(premium_amount AS DOUBLE) AS premium_amount, status,
        _k2 AS line_no
 FROM (SELECT *, row_number() OVER (PARTITION BY policy_id
-                                   ORDER BY lapse_date DESC, _k2 DESC, _k3 DESC, _k4 DESC) AS rn
+                                   ORDER BY lapse_date DESC, _k2 DESC, _k3 DESC, _k4 DESC,
+                                            premium_amount DESC, status DESC) AS rn
       FROM lapses) t
 WHERE rn = 1""",
 )
@@ -649,7 +655,7 @@ def q_upsert_latest(spark, sf_dir):
         "policy_id", "lapse_date", "premium_amount", "status",
         F.col("_k2").alias("line_no"), F.col("_k3").alias("_part"), F.col("_k4").alias("_supp"),
     )
-    newest = ["lapse_date", "line_no", "_part", "_supp"]
+    newest = ["lapse_date", "line_no", "_part", "_supp", "premium_amount", "status"]
     cutoff = F.lit(CUTOFF).cast("date")
     upsert(spark, path, rows.where(F.col("lapse_date") < cutoff), ["policy_id"], newest)
     out = upsert(spark, path, rows.where(F.col("lapse_date") >= cutoff), ["policy_id"], newest)

@@ -12,8 +12,9 @@ Mapping (every row of the source tables is used):
   o_custkey, product by the modulo rule over the number of parts.
 * lapse events     <- ``lineitem``: policy_id = l_orderkey, lapse_date =
   l_shipdate, premium_amount = l_extendedprice, status from l_returnflag;
-  the total order (l_orderkey, l_linenumber, l_partkey, l_suppkey) stands in
-  for insertion order.
+  the order (l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
+  l_extendedprice, l_returnflag) stands in for insertion order (rows tied on
+  all of these produce identical fact rows).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from lapsewise.functions.text import lpad_text
 STATUS_BY_FLAG = {"R": "Lapsed", "A": "Active", "N": "Pending"}
 
 CLIENT_ORDER = ["_file", "_line"]
-LAPSE_ORDER = ["_k1", "_k2", "_k3", "_k4"]
+LAPSE_ORDER = ["_k1", "_k2", "_k3", "_k4", "_k5", "_k6", "_k7"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +106,9 @@ def raw_lapses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("_k2"),
         F.col("l_partkey").alias("_k3"),
         F.col("l_suppkey").alias("_k4"),
+        F.col("l_shipdate").alias("_k5"),
+        F.col("l_extendedprice").alias("_k6"),
+        F.col("l_returnflag").alias("_k7"),
     )
 
 
