@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _col(c) -> Column:
@@ -39,15 +40,16 @@ def is_month_end(d) -> Column:
     return d == F.last_day(d)
 
 
-def parse_date(c) -> Column:
+def parse_date(c, dtype: T.DataType | None = None) -> Column:
     """Date from a string (ISO date or timestamp text), date or timestamp.
 
     Unparseable text gives NULL (the NOT NULL check then reports it); the
-    time of day is dropped.
+    time of day is dropped.  Pass the input ``dtype`` when known: dates and
+    timestamps then convert directly.  Text goes through Spark's own date
+    cast (``yyyy-MM-dd`` optionally followed by a time), which signals
+    failure without raising, unlike pattern-based parsing.
     """
     c = _col(c)
-    text = c.cast("string")
-    return F.coalesce(
-        F.try_to_date(text, "yyyy-MM-dd"),
-        F.to_date(F.try_to_timestamp(text)),
-    )
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.to_date(c)
+    return F.try_cast(c.cast("string"), "date")

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.functions.text import field_count, is_preamble_line, py_strip, split_literal
+from lapsewise.session import materialize
 from lapsewise.sources.files import with_file_order
 
 # Candidate delimiters in priority order, and the fallback.
@@ -176,7 +177,8 @@ def clean_files(spark: SparkSession, src: str, out: str) -> dict[str, DataFrame]
     quotes, CRLF line ends).  Returns profiles, rejects and empty files.
     """
     lines = read_lines(spark, src)
-    profiles = file_profiles(lines)
+    # one small row per file, reused by every write below: computed once
+    profiles = materialize(file_profiles(lines), "file_profiles")
     rows = split_rows(lines, profiles)
     clean = clean_fields(rows)
     # few distinct layouts (one per column count): a tiny collect

@@ -54,7 +54,7 @@ def policy_range(spark: SparkSession, first: int, last: int) -> DataFrame:
 
 def lapse_rows(raw: DataFrame) -> DataFrame:
     """Typed lapse events (no surrogate key yet)."""
-    d = parse_date(F.col("lapse_date"))
+    d = parse_date(F.col("lapse_date"), raw.schema["lapse_date"].dataType)
     return raw.select(
         F.col("policy_id").cast("long").alias("policy_id"),
         d.alias("lapse_date"),

@@ -76,10 +76,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/lapsewise-work/{uuid.uuid4().hex}/{name}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Cut lineage by writing ``df`` as a Parquet table in the shared folder.
+
+    The table lives under ``spark.checkpoint.dir`` (a shared store on a
+    cluster), so a lost executor never forces recomputation of the upstream
+    plan, and values computed non-deterministically before the write (such
+    as ``monotonically_increasing_id``) are frozen.  One columnar write is
+    cheaper than ``Dataset.checkpoint``, which runs the plan twice and
+    stores Java-serialised rows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def local_path(path: str) -> str:
