@@ -52,4 +52,4 @@ def parse_date(c, dtype: T.DataType | None = None) -> Column:
     c = _col(c)
     if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.to_date(c)
-    return F.try_cast(c.cast("string"), "date")
+    return c.cast("string").try_cast("date")

@@ -15,6 +15,7 @@ from lapsewise.functions.hashing import md5_hash, salted_sha256
 from lapsewise.functions.numeric import ratio_half_up
 from lapsewise.operators.dedup import first_wins
 from lapsewise.operators.median import impute_group_median
+from lapsewise.session import materialize
 
 CLIENT_COLUMNS = ["client_id", "name", "income", "province"]
 
@@ -49,8 +50,20 @@ def imputed_clients(clients: DataFrame, **median_kwargs) -> DataFrame:
     )
 
 
-def stg_clients(clients: DataFrame, order: Sequence[str], **median_kwargs) -> DataFrame:
-    return imputed_clients(deduplicated_clients(clients, order), **median_kwargs)
+def stg_clients(
+    clients: DataFrame, order: Sequence[str], materialize_dedup: bool = True, **median_kwargs
+) -> DataFrame:
+    """Deduplicated, income-imputed clients.
+
+    The imputation reads the deduplicated clients several times (group
+    counts, histogram, middle values, final join).  By default the
+    deduplicated table is written once to the shared folder so that the
+    deduplication shuffle runs once instead of once per reader.
+    """
+    dedup = deduplicated_clients(clients, order)
+    if materialize_dedup:
+        dedup = materialize(dedup, "deduplicated_clients")
+    return imputed_clients(dedup, **median_kwargs)
 
 
 def stg_products(products: DataFrame) -> DataFrame:
