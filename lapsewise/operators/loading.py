@@ -12,7 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from lapsewise.operators.dedup import first_wins
 
@@ -55,13 +56,21 @@ def insert_if_absent(
     order: Sequence[str] | None = None,
     drop: Sequence[str] = (),
     fmt: str = "parquet",
-) -> None:
-    """Append the absent rows of ``batch`` to the table at ``path``."""
+) -> dict[str, int]:
+    """Append the absent rows of ``batch`` to the table at ``path``.
+
+    Returns ``{"rows_read": n, "rows_inserted": m}``, observed during the
+    write itself (no second scan).
+    """
     existing = spark.read.format(fmt).load(path) if path_exists(spark, path) else None
+    read_obs, inserted_obs = Observation("rows_read"), Observation("rows_inserted")
+    batch = batch.observe(read_obs, F.count(F.lit(1)).alias("n"))
     new_rows = rows_absent(batch, existing, keys, order, drop)
     if existing is not None:
         new_rows = new_rows.select(*existing.columns)
+    new_rows = new_rows.observe(inserted_obs, F.count(F.lit(1)).alias("n"))
     new_rows.write.mode("append").format(fmt).save(path)
+    return {"rows_read": read_obs.get["n"], "rows_inserted": inserted_obs.get["n"]}
 
 
 def replace_table(

@@ -64,7 +64,9 @@ def file_profiles(lines: DataFrame) -> DataFrame:
     """One row per file that has data lines.
 
     Columns: ``_file``, ``skip_lines``, ``delimiter``, ``n_columns``,
-    ``columns``, ``_first`` (position of the first data line).
+    ``columns``, ``data_rows`` / ``clean_rows`` / ``rejected_rows`` (the
+    read-versus-kept reconciliation, counted in the same aggregation) and
+    ``_first`` (position of the first data line).
     """
     first = (
         lines.where(~is_preamble_line(F.col("_stripped")))
@@ -72,6 +74,7 @@ def file_profiles(lines: DataFrame) -> DataFrame:
         .agg(F.min(F.struct(_key().alias("k"), F.col("_stripped").alias("s"))).alias("_f"))
         .select("_file", F.col("_f.k").alias("_first"), F.col("_f.s").alias("_line1"))
     )
+    is_data = (_key() >= F.col("_first")) & (F.col("_stripped") != F.lit(""))
     after = (
         lines.join(first, "_file")
         .groupBy("_file", "_first", "_line1")
@@ -83,6 +86,18 @@ def file_profiles(lines: DataFrame) -> DataFrame:
                     F.struct(_key().alias("k"), F.col("_stripped").alias("s")),
                 )
             ).alias("_next"),
+            # row counts for every candidate delimiter, in the same pass
+            F.count_if(is_data).alias("data_rows"),
+            *[
+                F.count_if(
+                    is_data & (field_count("_stripped", d) == field_count("_line1", d))
+                ).alias(f"_fit{i}")
+                for i, d in enumerate(CANDIDATE_DELIMITERS)
+            ],
+            F.count_if(
+                is_data
+                & (field_count("_stripped", FALLBACK_DELIMITER) == field_count("_line1", FALLBACK_DELIMITER))
+            ).alias("_fit_fallback"),
         )
     )
     line1 = F.col("_line1")
@@ -101,7 +116,13 @@ def file_profiles(lines: DataFrame) -> DataFrame:
     )
     best = F.array_max(votes)
     delim = F.when(best["score"] > 0, best["delimiter"]).otherwise(F.lit(FALLBACK_DELIMITER))
-    prof = after.select("_file", "_first", "_line1", "skip_lines", delim.alias("delimiter"))
+    fits = F.when(best["score"] <= 0, F.col("_fit_fallback"))
+    for i, d in enumerate(CANDIDATE_DELIMITERS):
+        fits = fits.when(best["delimiter"] == F.lit(d), F.col(f"_fit{i}"))
+    prof = after.select(
+        "_file", "_first", "_line1", "skip_lines", delim.alias("delimiter"),
+        "data_rows", fits.alias("clean_rows"),
+    )
     n = field_count(F.col("_line1"), F.col("delimiter"))
     named = None
     for count, names in COLUMN_NAMES.items():
@@ -118,6 +139,9 @@ def file_profiles(lines: DataFrame) -> DataFrame:
         "delimiter",
         "n_columns",
         named.otherwise(generic).alias("columns"),
+        "data_rows",
+        "clean_rows",
+        (F.col("data_rows") - F.col("clean_rows")).alias("rejected_rows"),
         "_first",
     )
 

@@ -75,3 +75,38 @@ def write_partitioned_fact(fact: DataFrame, path: str) -> None:
         .partitionBy("lapse_year", "lapse_month")
         .parquet(path)
     )
+
+
+def write_date_partitioned(
+    df: DataFrame, date_col: str, path: str, levels: Sequence[str] = ("year", "month", "day")
+) -> None:
+    """Folder layout ``year=/month=/day=`` derived from ``date_col``.
+
+    Filters on the derived columns prune whole folders at read time.
+    """
+    parts = {"year": F.year, "month": F.month, "day": F.dayofmonth}
+    laid = df
+    for level in levels:
+        laid = laid.withColumn(level, parts[level](F.col(date_col)))
+    (
+        laid.repartitionByRange(*levels, date_col)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*levels)
+        .parquet(path)
+    )
+
+
+def mask_columns(df: DataFrame, columns: Sequence[str], salt: str) -> DataFrame:
+    """Copy for non-production use: named columns replaced by salted digests."""
+    from lapsewise.functions.hashing import salted_sha256
+
+    return df.select(
+        *[salted_sha256(c, salt).alias(c) if c in set(columns) else F.col(c) for c in df.columns]
+    )
+
+
+def within_retention(df: DataFrame, date_col: str, days: int, today: str | None = None) -> DataFrame:
+    """Rows whose ``date_col`` lies within the last ``days`` days (inclusive)."""
+    ref = F.lit(today).cast("date") if today else F.current_date()
+    return df.where(F.col(date_col) >= F.date_sub(ref, days))

@@ -771,16 +771,12 @@ FROM customer""",
 )
 def q_file_profile(spark, sf_dir):
     """Inferred preamble length, delimiter and columns of each export."""
-    _, _, profiles, rows = _text_job(spark, sf_dir)
-    counts = rows.groupBy("_file").agg(
-        F.count_if(F.size("_fields") == F.col("n_columns")).alias("data_rows"),
-        F.count_if(F.size("_fields") != F.col("n_columns")).alias("rejected_rows"),
-    )
-    per_file = profiles.join(counts, "_file").select(
+    _, _, profiles, _ = _text_job(spark, sf_dir)
+    per_file = profiles.select(
         F.regexp_extract("_file", "/([^/]+)/[^/]+$", 1).alias("dataset"),
         "skip_lines", "delimiter", "n_columns",
         F.array_join("columns", ",").alias("columns"),
-        "data_rows", "rejected_rows",
+        F.col("clean_rows").alias("data_rows"), "rejected_rows",
     )
     return per_file.groupBy("dataset", "skip_lines", "delimiter", "n_columns", "columns").agg(
         F.sum("data_rows").alias("data_rows"), F.sum("rejected_rows").alias("rejected_rows")
