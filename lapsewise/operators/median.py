@@ -8,8 +8,8 @@ task's memory.  This operator stays exact without that:
    giving bucket boundaries - both partial aggregates;
 2. exact row counts per (group, bucket) - partial aggregate, at most
    ``buckets`` rows per group;
-3. running counts over those small histograms locate the bucket holding
-   each of the two middle ranks;
+3. running counts over each group's histogram (a bounded array of at most
+   ``buckets`` entries) locate the bucket holding each middle rank;
 4. only rows of those buckets (about n/buckets per group) are counted per
    distinct value and ranked, giving the exact middle values.
 
@@ -57,10 +57,26 @@ def group_median(
         F.size(F.filter("_bounds", lambda b: b < F.col("_v"))).alias("_b"),
     )
     hist = bucketed.groupBy(*keys, "_n", "_b").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*keys).orderBy("_b").rowsBetween(
-        Window.unboundedPreceding, -1
+    # each group's histogram has at most ``buckets`` entries: gather it into
+    # one bounded array and find the middle buckets with array functions
+    # (no window, no extra shuffle)
+    per_group = hist.groupBy(*keys, "_n").agg(
+        F.array_sort(F.collect_list(F.struct("_b", "_c"))).alias("_h")
+    )
+    with_before = per_group.select(
+        *keys,
+        "_n",
+        F.transform(
+            "_h",
+            lambda e, i: F.struct(
+                e["_b"].alias("_b"),
+                e["_c"].alias("_c"),
+                F.aggregate(
+                    F.slice("_h", 1, i), F.lit(0).cast("long"), lambda acc, x: acc + x["_c"]
+                ).alias("_before"),
+            ),
+        ).alias("_h"),
     )
-    hist = hist.withColumn("_before", F.coalesce(F.sum("_c").over(w), F.lit(0)))
     # 0-based ranks of the two middle values
     k_lo = F.floor((F.col("_n") - 1) / 2)
     k_hi = F.floor(F.col("_n") / 2)
@@ -68,7 +84,8 @@ def group_median(
     def in_bucket(k):
         return (F.col("_before") <= k) & (k < F.col("_before") + F.col("_c"))
 
-    targets = hist.where(in_bucket(k_lo) | in_bucket(k_hi)).select(
+    exploded = with_before.select(*keys, "_n", F.inline("_h"))
+    targets = exploded.where(in_bucket(k_lo) | in_bucket(k_hi)).select(
         *keys,
         "_b",
         (k_lo - F.col("_before")).alias("_klo"),
