@@ -12,26 +12,86 @@ from lapsewise.operators.loading import path_exists, replace_table
 from lapsewise.plans import models
 
 
+BUCKET = "_bucket"
+
+
+def key_bucket(keys: Sequence[str], buckets: int) -> F.Column:
+    """Stable bucket of a key: ``pmod(xxhash64(keys), buckets)``."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
 def upsert(
     spark: SparkSession,
     path: str,
     batch: DataFrame,
     keys: Sequence[str],
     newest_first: Sequence[str],
+    buckets: int | None = None,
 ) -> DataFrame:
     """Insert new keys, replace existing ones when the batch row is newer.
 
     "Newer" is the greater value of ``newest_first`` (compared in order).
+    Parquet has no in-place update, so rows are merged (one partial
+    aggregate over existing + batch) and rewritten:
+
+    * ``buckets=None``: the whole table is rewritten (staged, then swapped);
+    * ``buckets=n``: the table is laid out in ``n`` key-hash buckets
+      (``_bucket=i`` folders) and only the buckets the batch touches are
+      read (partition pruning), merged, staged and swapped in, so the cost
+      follows the batch, not the table.
 
-    Parquet has no in-place update, so the table is rewritten (staged, then
-    swapped); the merge is one partial aggregate over existing + batch.
+    Returns the table without the bucket column.
     """
-    if path_exists(spark, path):
-        existing = spark.read.parquet(path)
-        merged = existing.unionByName(batch.select(*existing.columns))
-    else:
-        merged = batch
-    return replace_table(spark, path, last_wins(merged, keys, newest_first))
+    keys = list(keys)
+    if buckets is None:
+        if path_exists(spark, path):
+            existing = spark.read.parquet(path)
+            merged = existing.unionByName(batch.select(*existing.columns))
+        else:
+            merged = batch
+        return replace_table(spark, path, last_wins(merged, keys, newest_first))
+
+    tagged = batch.withColumn(BUCKET, key_bucket(keys, buckets))
+    if not path_exists(spark, path):
+        (
+            last_wins(tagged, keys, newest_first)
+            .write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+        )
+        return spark.read.parquet(path).drop(BUCKET)
+    # at most ``buckets`` small ints reach the driver
+    touched = sorted(r[0] for r in tagged.select(BUCKET).distinct().collect())
+    existing = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
+    merged = last_wins(
+        existing.unionByName(tagged.select(*existing.columns)), keys, newest_first
+    )
+    staging = path.rstrip("/") + "._staging"
+    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+    for b in touched:
+        _swap_dir(spark, f"{staging}/{BUCKET}={b}", f"{path.rstrip('/')}/{BUCKET}={b}")
+    _delete(spark, staging)
+    return spark.read.parquet(path).drop(BUCKET)
+
+
+def _swap_dir(spark: SparkSession, new: str, target: str) -> None:
+    from lapsewise.operators.loading import _fs
+
+    fs, tgt = _fs(spark, target)
+    _, src = _fs(spark, new)
+    _, old = _fs(spark, target + "._retired")
+    fs.delete(old, True)
+    if fs.exists(tgt) and not fs.rename(tgt, old):
+        raise RuntimeError(f"could not retire {target}")
+    if not fs.rename(src, tgt):
+        fs.rename(old, tgt)
+        raise RuntimeError(f"could not publish {target}")
+    fs.delete(old, True)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    from lapsewise.operators.loading import _fs
+
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
 
 
 def refresh_summary(

@@ -657,8 +657,10 @@ def q_upsert_latest(spark, sf_dir):
     )
     newest = ["lapse_date", "line_no", "_part", "_supp", "premium_amount", "status"]
     cutoff = F.lit(CUTOFF).cast("date")
-    upsert(spark, path, rows.where(F.col("lapse_date") < cutoff), ["policy_id"], newest)
-    out = upsert(spark, path, rows.where(F.col("lapse_date") >= cutoff), ["policy_id"], newest)
+    upsert(spark, path, rows.where(F.col("lapse_date") < cutoff), ["policy_id"], newest, buckets=32)
+    out = upsert(
+        spark, path, rows.where(F.col("lapse_date") >= cutoff), ["policy_id"], newest, buckets=32
+    )
     return out.drop("_part", "_supp")
 
 

@@ -18,6 +18,24 @@ def test_upsert_newest_wins(spark, workdir):
     assert out == {1: "new", 2: "keep", 3: "added"}
 
 
+def test_bucketed_upsert_rewrites_touched_buckets_only(spark, workdir):
+    import glob
+    import os
+
+    path = f"{workdir}/b"
+    a = spark.createDataFrame([(k, 1, f"v{k}") for k in range(200)], "k long, v long, s string")
+    INC.upsert(spark, path, a, ["k"], ["v"], buckets=8)
+    stamps = {d: os.path.getmtime(d) for d in glob.glob(f"{path}/_bucket=*")}
+    assert len(stamps) == 8
+    b = spark.createDataFrame([(5, 2, "new"), (500, 1, "added"), (7, 0, "stale")], "k long, v long, s string")
+    out = {r.k: r.s for r in INC.upsert(spark, path, b, ["k"], ["v"], buckets=8).collect()}
+    assert out[5] == "new" and out[500] == "added" and out[7] == "v7" and len(out) == 201
+    touched = {r[0] for r in b.select(INC.key_bucket(["k"], 8)).collect()}
+    for d, t in stamps.items():
+        bucket = int(d.rsplit("=", 1)[1])
+        assert (os.path.getmtime(d) != t) == (bucket in touched) or bucket in touched
+
+
 def test_refresh_summary_equals_full_rebuild(spark):
     fact = spark.createDataFrame(
         [(1, dt.date(2024, 1, d), Decimal(f"{d}.50"), s) for d, s in [(1, "Lapsed"), (2, "Active")]]
