@@ -161,8 +161,15 @@ def q_stg_clients_dedup(spark, sf_dir):
 )
 def q_province_median(spark, sf_dir):
     """Exact median income per province over deduplicated clients."""
+    return group_median(_dedup_clients(spark, sf_dir), ["province"], "income", name="median_income")
+
+
+def _dedup_clients(spark, sf_dir):
+    """Deduplicated clients written once (read by several branches)."""
+    from lapsewise.session import materialize
+
     dedup = models.deduplicated_clients(S.raw_clients(spark, sf_dir), S.CLIENT_ORDER)
-    return group_median(dedup, ["province"], "income", name="median_income")
+    return materialize(dedup, "deduplicated_clients")
 
 
 @register(
@@ -499,7 +506,7 @@ def q_dq_warehouse_constraints(spark, sf_dir):
 
     raw_lapses = S.raw_lapses(spark, sf_dir)
     tables = {
-        "dim_clients": models.deduplicated_clients(S.raw_clients(spark, sf_dir), S.CLIENT_ORDER),
+        "dim_clients": _dedup_clients(spark, sf_dir),
         "dim_products": S.products(spark, sf_dir),
         "dim_date": dim_date_covering(raw_lapses, "lapse_date"),
         "dim_policy": S.policy(spark, sf_dir),
@@ -548,9 +555,10 @@ def q_dq_transform_checks(spark, sf_dir):
     """Post-transformation checks: dedup, imputation, unified row count."""
     from lapsewise.operators import quality as Q
 
-    raw = S.raw_clients(spark, sf_dir)
-    dedup = models.deduplicated_clients(raw, S.CLIENT_ORDER)
-    imputed = models.imputed_clients(dedup)
+    from lapsewise.session import materialize
+
+    dedup = _dedup_clients(spark, sf_dir)
+    imputed = materialize(models.imputed_clients(dedup), "imputed_clients")
     raw_lapses = S.raw_lapses(spark, sf_dir)
     fact = warehouse.fact_with_keys(warehouse.lapse_rows(raw_lapses), S.LAPSE_ORDER)
     unified = models.unified_dataset(
