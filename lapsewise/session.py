@@ -103,3 +103,20 @@ def local_path(path: str) -> str:
 
 def ensure_parent(path: str) -> None:
     os.makedirs(os.path.dirname(local_path(path)), exist_ok=True)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete this session's work tables (under its own checkpoint folder).
+
+    Call when the results that read them are no longer needed (end of a
+    job); later reads of DataFrames built on them would fail.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if not current:
+        return
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{current.rstrip('/')}/lapsewise-work")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)
