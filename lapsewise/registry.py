@@ -867,3 +867,74 @@ def q_ingest_audit(spark, sf_dir):
     job = _run_ingest(spark, sf_dir)
     audit = read_audit(spark, job.audit_dir)
     return audit.groupBy("event").agg(F.sum("rows_converted").alias("rows_converted"))
+
+
+# ------------------------------------------------------- whole pipeline run
+
+def _write_pipeline_inputs(spark, sf_dir, root):
+    """Source files derived from the tables, shaped like the documented inputs:
+    a client CSV delivered twice, a pipe-delimited product export with a
+    preamble, and lapse events as Parquet."""
+    clients = S.client_records(spark, sf_dir)
+    for delivery in (0, 1):
+        (
+            clients.write.mode("overwrite").option("header", True)
+            .csv(f"{root}/clients/delivery={delivery}")
+        )
+    S.write_text_exports(spark, sf_dir, f"{root}/exports", datasets=("products",))
+    warehouse.lapse_rows(S.raw_lapses(spark, sf_dir)).select(
+        "policy_id", "lapse_date", "premium_amount", "status"
+    ).write.mode("overwrite").parquet(f"{root}/lapses")
+    return {
+        "clients": f"{root}/clients",
+        "products_raw": f"{root}/exports/products",
+        "lapses": f"{root}/lapses",
+    }
+
+
+@register(
+    "warehouse_pipeline",
+    with_(
+        SQL_CLIENTS,
+        """
+params AS (
+  SELECT (SELECT count(*) FROM customer) AS nc, (SELECT count(*) FROM part) AS np,
+         (SELECT max(o_orderkey) FROM orders) AS last_policy
+),
+policy AS (
+  SELECT p AS policy_id, (p % (SELECT nc FROM params)) + 1 AS client_id,
+         'prod_' || lpad(CAST((p % (SELECT np FROM params)) + 1 AS VARCHAR), 3, '0') AS product_id
+  FROM (SELECT unnest(generate_series(0, (SELECT last_policy FROM params))) AS p) s
+)""",
+        SQL_LAPSES,
+        SQL_SUMMARY_CTES,
+    )
+    + "SELECT * FROM summary",
+)
+def q_warehouse_pipeline(spark, sf_dir):
+    """Whole pipeline on derived source files: clean the product export,
+    load the star schema (dims insert-if-absent, bridge by modulo rule, fact
+    with keys behind the FK gate), build the marts, return the summary."""
+    from lapsewise.operators import textclean as TC
+    from lapsewise.session import scratch_path
+
+    root = scratch_path(spark, "pipeline")
+    src = _write_pipeline_inputs(spark, sf_dir, root)
+    TC.clean_files(spark, src["products_raw"], f"{root}/cleaned")
+    bounds = S.raw_lapses(spark, sf_dir).agg(
+        F.min("lapse_date").cast("date").alias("lo"), F.max("lapse_date").cast("date").alias("hi")
+    ).first()
+    last_policy = S.table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    paths = warehouse.load_warehouse(
+        spark,
+        f"{root}/warehouse",
+        src["clients"],
+        f"{root}/cleaned/layout_4",
+        src["lapses"],
+        calendar=(str(bounds.lo), str(bounds.hi)),
+        policies=(0, int(last_policy)),
+        num_clients=S.table(spark, sf_dir, "customer").count(),
+        num_products=S.product_count(spark, sf_dir),
+    )
+    marts = warehouse.build_marts(spark, warehouse.read_warehouse(spark, paths), f"{root}/marts")
+    return spark.read.parquet(marts["fct_patient_claims_summary"])

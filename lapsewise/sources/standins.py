@@ -148,8 +148,13 @@ def _write_lines(lines: DataFrame, order: list[str], preamble: list[str], path:
     )
 
 
-def write_text_exports(spark: SparkSession, sf_dir: str, root: str) -> dict[str, str]:
-    """Write the three exports under ``root``; returns their folders."""
+def write_text_exports(
+    spark: SparkSession,
+    sf_dir: str,
+    root: str,
+    datasets: tuple[str, ...] = ("products", "suppliers", "customers"),
+) -> dict[str, str]:
+    """Write the exports named in ``datasets`` under ``root``; returns their folders."""
     n = product_count(spark, sf_dir)
     part = table(spark, sf_dir, "part")
     pid = F.concat(F.lit("prod_"), lpad_text(F.col("p_partkey") + 1, product_key_width(n)))
@@ -197,7 +202,10 @@ def write_text_exports(spark: SparkSession, sf_dir: str, root: str) -> dict[str,
         "suppliers": f"{root}/suppliers",
         "customers": f"{root}/customers",
     }
-    _write_lines(products_lines, ["_ragged", "p_partkey"], PRODUCT_PREAMBLE, out["products"])
-    _write_lines(supplier_lines, ["s_suppkey"], [], out["suppliers"])
-    _write_lines(customer_lines, ["c_custkey"], CUSTOMER_PREAMBLE, out["customers"])
-    return out
+    if "products" in datasets:
+        _write_lines(products_lines, ["_ragged", "p_partkey"], PRODUCT_PREAMBLE, out["products"])
+    if "suppliers" in datasets:
+        _write_lines(supplier_lines, ["s_suppkey"], [], out["suppliers"])
+    if "customers" in datasets:
+        _write_lines(customer_lines, ["c_custkey"], CUSTOMER_PREAMBLE, out["customers"])
+    return {k: v for k, v in out.items() if k in datasets}
