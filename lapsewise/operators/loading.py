@@ -36,7 +36,8 @@ def rows_absent(
     return batch.join(existing.select(*keys), keys, "left_anti")
 
 
-def _fs(spark: SparkSession, path: str):
+def hadoop_fs(spark: SparkSession, path: str):
+    """(Hadoop FileSystem, Path) for ``path`` - works for HDFS, object stores and local."""
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -44,7 +45,7 @@ def _fs(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_fs(spark, path)
     return bool(fs.exists(p))
 
 
@@ -95,11 +96,11 @@ def replace_table(
     staged = spark.read.format(fmt).load(staging)
     if validate is not None:
         validate(staged)
-    fs, target = _fs(spark, path)
-    _, staged_path = _fs(spark, staging)
+    fs, target = hadoop_fs(spark, path)
+    _, staged_path = hadoop_fs(spark, staging)
     retired = None
     if fs.exists(target):
-        _, retired = _fs(spark, path.rstrip("/") + "._retired")
+        _, retired = hadoop_fs(spark, path.rstrip("/") + "._retired")
         fs.delete(retired, True)
         if not fs.rename(target, retired):
             raise RuntimeError(f"could not retire {path}")

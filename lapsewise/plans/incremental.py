@@ -73,11 +73,11 @@ def upsert(
 
 
 def _swap_dir(spark: SparkSession, new: str, target: str) -> None:
-    from lapsewise.operators.loading import _fs
+    from lapsewise.operators.loading import hadoop_fs
 
-    fs, tgt = _fs(spark, target)
-    _, src = _fs(spark, new)
-    _, old = _fs(spark, target + "._retired")
+    fs, tgt = hadoop_fs(spark, target)
+    _, src = hadoop_fs(spark, new)
+    _, old = hadoop_fs(spark, target + "._retired")
     fs.delete(old, True)
     if fs.exists(tgt) and not fs.rename(tgt, old):
         raise RuntimeError(f"could not retire {target}")
@@ -88,9 +88,9 @@ def _swap_dir(spark: SparkSession, new: str, target: str) -> None:
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    from lapsewise.operators.loading import _fs
+    from lapsewise.operators.loading import hadoop_fs
 
-    fs, p = _fs(spark, path)
+    fs, p = hadoop_fs(spark, path)
     fs.delete(p, True)
 
 

@@ -812,7 +812,7 @@ def q_rejects_by_arity(spark, sf_dir):
 # ------------------------------------------------------------------ ingest
 
 def _run_ingest(spark, sf_dir):
-    from lapsewise.operators.loading import _fs
+    from lapsewise.operators.loading import hadoop_fs
     from lapsewise.session import scratch_path
     from lapsewise.streaming.ingest import ParquetToCsvIngest
 
@@ -823,11 +823,11 @@ def _run_ingest(spark, sf_dir):
     )
     typed.write.parquet(f"{landing}/lapses")
     # a damaged upload and a stray non-Parquet file arrive with the data
-    fs, p = _fs(spark, f"{landing}/uploads/damaged.parquet")
+    fs, p = hadoop_fs(spark, f"{landing}/uploads/damaged.parquet")
     out = fs.create(p, True)
     out.write(bytearray(b"PAR1 truncated upload"))
     out.close()
-    fs, p = _fs(spark, f"{landing}/uploads/readme.txt")
+    fs, p = hadoop_fs(spark, f"{landing}/uploads/readme.txt")
     out = fs.create(p, True)
     out.write(bytearray(b"lapse exports"))
     out.close()
