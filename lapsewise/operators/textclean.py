@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.functions.text import field_count, is_preamble_line, py_strip, split_literal
-from lapsewise.session import materialize
+from lapsewise.session import materialize, run_concurrently
 from lapsewise.sources.files import with_file_order
 
 # Candidate delimiters in priority order, and the fallback.
@@ -207,7 +207,8 @@ def clean_files(spark: SparkSession, src: str, out: str) -> dict[str, DataFrame]
     clean = clean_fields(rows)
     # few distinct layouts (one per column count): a tiny collect
     layouts = [r.columns for r in profiles.select("columns").distinct().collect()]
-    for i, columns in enumerate(sorted(layouts, key=len)):
+
+    def write_layout(columns):
         table = to_table(clean, columns).withColumnRenamed("_file", "_source")
         (
             table.orderBy("_source", "_split", "_pos")
@@ -220,6 +221,9 @@ def clean_files(spark: SparkSession, src: str, out: str) -> dict[str, DataFrame]
             .partitionBy("_source")
             .csv(f"{out.rstrip('/')}/layout_{len(columns)}")
         )
+
+    # independent outputs (one per column layout): written concurrently
+    run_concurrently(*[lambda c=c: write_layout(c) for c in sorted(layouts, key=len)])
     return {
         "profiles": profiles,
         "rejects": rejected_rows(rows),

@@ -1,6 +1,7 @@
 """Loading the star schema: dimensions, bridge and fact, then the marts.
 
-Load order: dimensions, then the policy bridge, then the fact.  Dimensions
+Load order: dimensions and the policy bridge (independent of each other,
+loaded concurrently), then the fact.  Dimensions
 use insert-if-absent (re-running a load never duplicates or updates a row);
 the fact is rebuilt (truncate + reload with surrogate keys restarting at 1)
 and is checked against its foreign keys *before* it replaces the old copy.
@@ -21,6 +22,7 @@ from lapsewise.operators.calendar import dim_date
 from lapsewise.operators.keys import dense_index
 from lapsewise.operators.loading import insert_if_absent, replace_table
 from lapsewise.plans import models
+from lapsewise.session import run_concurrently
 from lapsewise.sources import files
 
 FILE_ORDER = ["_file", "_split", "_pos"]
@@ -102,17 +104,17 @@ def load_warehouse(
     paths = {name: f"{root.rstrip('/')}/{name}" for name in schemas.TABLES}
 
     clients = files.read_clients_csv(spark, clients_path)
-    insert_if_absent(spark, paths["dim_clients"], clients, ["client_id"],
-                     order=FILE_ORDER, drop=FILE_ORDER)
-
     products = files.read_products_csv(spark, products_path)
-    insert_if_absent(spark, paths["dim_products"], products, ["product_id"],
-                     order=FILE_ORDER, drop=FILE_ORDER)
-
-    insert_if_absent(spark, paths["dim_date"], dim_date(spark, *calendar), ["date_key"])
-
     bridge = policy_bridge(policy_range(spark, *policies), num_clients, num_products)
-    insert_if_absent(spark, paths["dim_policy"], bridge, ["policy_id"])
+    # the four dimension loads are independent: run them concurrently
+    run_concurrently(
+        lambda: insert_if_absent(spark, paths["dim_clients"], clients, ["client_id"],
+                                 order=FILE_ORDER, drop=FILE_ORDER),
+        lambda: insert_if_absent(spark, paths["dim_products"], products, ["product_id"],
+                                 order=FILE_ORDER, drop=FILE_ORDER),
+        lambda: insert_if_absent(spark, paths["dim_date"], dim_date(spark, *calendar), ["date_key"]),
+        lambda: insert_if_absent(spark, paths["dim_policy"], bridge, ["policy_id"]),
+    )
 
     policy = spark.read.parquet(paths["dim_policy"])
     dates = spark.read.parquet(paths["dim_date"])

@@ -875,16 +875,21 @@ def _write_pipeline_inputs(spark, sf_dir, root):
     """Source files derived from the tables, shaped like the documented inputs:
     a client CSV delivered twice, a pipe-delimited product export with a
     preamble, and lapse events as Parquet."""
+    from lapsewise.session import run_concurrently
+
     clients = S.client_records(spark, sf_dir)
-    for delivery in (0, 1):
-        (
-            clients.write.mode("overwrite").option("header", True)
-            .csv(f"{root}/clients/delivery={delivery}")
-        )
-    S.write_text_exports(spark, sf_dir, f"{root}/exports", datasets=("products",))
-    warehouse.lapse_rows(S.raw_lapses(spark, sf_dir)).select(
-        "policy_id", "lapse_date", "premium_amount", "status"
-    ).write.mode("overwrite").parquet(f"{root}/lapses")
+
+    def deliver(n):
+        clients.write.mode("overwrite").option("header", True).csv(f"{root}/clients/delivery={n}")
+
+    run_concurrently(
+        lambda: deliver(0),
+        lambda: deliver(1),
+        lambda: S.write_text_exports(spark, sf_dir, f"{root}/exports", datasets=("products",)),
+        lambda: warehouse.lapse_rows(S.raw_lapses(spark, sf_dir)).select(
+            "policy_id", "lapse_date", "premium_amount", "status"
+        ).write.mode("overwrite").parquet(f"{root}/lapses"),
+    )
     return {
         "clients": f"{root}/clients",
         "products_raw": f"{root}/exports/products",

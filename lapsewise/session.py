@@ -120,3 +120,23 @@ def release_scratch(spark: SparkSession) -> None:
     fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
     if fs.exists(path):
         fs.delete(path, True)
+
+
+def run_concurrently(*steps):
+    """Run independent Spark actions from parallel threads; return their results.
+
+    Each step submits its own jobs; the scheduler interleaves their tasks, so
+    small jobs overlap their fixed latency instead of queueing.  The first
+    exception is re-raised after all steps finished.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    if len(steps) <= 1:
+        return [step() for step in steps]
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        futures = [pool.submit(step) for step in steps]
+        errors = [f.exception() for f in futures]
+    for err in errors:
+        if err is not None:
+            raise err
+    return [f.result() for f in futures]

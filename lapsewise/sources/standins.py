@@ -202,10 +202,16 @@ def write_text_exports(
         "suppliers": f"{root}/suppliers",
         "customers": f"{root}/customers",
     }
-    if "products" in datasets:
-        _write_lines(products_lines, ["_ragged", "p_partkey"], PRODUCT_PREAMBLE, out["products"])
-    if "suppliers" in datasets:
-        _write_lines(supplier_lines, ["s_suppkey"], [], out["suppliers"])
-    if "customers" in datasets:
-        _write_lines(customer_lines, ["c_custkey"], CUSTOMER_PREAMBLE, out["customers"])
+    from lapsewise.session import run_concurrently
+
+    jobs = {
+        "products": lambda: _write_lines(
+            products_lines, ["_ragged", "p_partkey"], PRODUCT_PREAMBLE, out["products"]
+        ),
+        "suppliers": lambda: _write_lines(supplier_lines, ["s_suppkey"], [], out["suppliers"]),
+        "customers": lambda: _write_lines(
+            customer_lines, ["c_custkey"], CUSTOMER_PREAMBLE, out["customers"]
+        ),
+    }
+    run_concurrently(*[jobs[d] for d in datasets])
     return {k: v for k, v in out.items() if k in datasets}
