@@ -52,9 +52,15 @@ def upsert(
         return replace_table(spark, path, last_wins(merged, keys, newest_first))
 
     tagged = batch.withColumn(BUCKET, key_bucket(keys, buckets))
+
+    def by_bucket(merged: DataFrame, n: int) -> DataFrame:
+        # after the merge every key is one row, so hashing buckets to tasks
+        # is balanced; one task per bucket writes one file per bucket
+        return merged.repartition(max(1, n), BUCKET)
+
     if not path_exists(spark, path):
         (
-            last_wins(tagged, keys, newest_first)
+            by_bucket(last_wins(tagged, keys, newest_first), buckets)
             .write.mode("overwrite").partitionBy(BUCKET).parquet(path)
         )
         return spark.read.parquet(path).drop(BUCKET)
@@ -65,7 +71,7 @@ def upsert(
         existing.unionByName(tagged.select(*existing.columns)), keys, newest_first
     )
     staging = path.rstrip("/") + "._staging"
-    merged.write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
+    by_bucket(merged, len(touched)).write.mode("overwrite").partitionBy(BUCKET).parquet(staging)
     for b in touched:
         _swap_dir(spark, f"{staging}/{BUCKET}={b}", f"{path.rstrip('/')}/{BUCKET}={b}")
     _delete(spark, staging)
