@@ -166,3 +166,14 @@ def test_claims_summary_edge_cases(spark):
     assert len(rows) == 1  # client 2 has no lapses -> not in the summary
     r = rows[0]
     assert r.lapsed_count == 0 and r.lapse_rate_pct == Decimal("0.00") and r.avg_premium == Decimal("10.01")
+
+
+def test_client_csv_na_spellings_and_types(spark, tmp_path):
+    from lapsewise.sources.files import read_clients_csv
+
+    p = fixtures.write(
+        f"{tmp_path}/c.csv",
+        "client_id,name,income,province\n1,A,NA,X\n2,B,null,X\n3,C, ,X\n4,D,12.5,X\n5,E,n/a,X\n",
+    )
+    rows = {r.client_id: r.income for r in read_clients_csv(spark, p).collect()}
+    assert rows == {1: None, 2: None, 3: None, 4: Decimal("12.50"), 5: None}
