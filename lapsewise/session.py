@@ -140,3 +140,29 @@ def run_concurrently(*steps):
         if err is not None:
             raise err
     return [f.result() for f in futures]
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lapsewise`` importable by the executors' Python workers.
+
+    Functions handed to ``mapInPandas`` are pickled by reference to this
+    package, so workers must be able to import it.  Done once per
+    SparkContext with ``addPyFile`` (what ``--py-files`` does on submit); a
+    no-op when the package is already importable everywhere because it was
+    shipped before.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_lapsewise_shipped", False):
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    staging = tempfile.mkdtemp(prefix="lapsewise-pyfiles-")
+    archive = shutil.make_archive(
+        os.path.join(staging, f"lapsewise-{uuid.uuid4().hex[:8]}"),
+        "zip",
+        root_dir=os.path.dirname(pkg_dir),
+        base_dir=os.path.basename(pkg_dir),
+    )
+    sc.addPyFile(archive)
+    sc._lapsewise_shipped = True

@@ -139,6 +139,9 @@ def _prepend(preamble: list[str]):
 
 
 def _write_lines(lines: DataFrame, order: list[str], preamble: list[str], path: str) -> None:
+    from lapsewise.session import ship_package
+
+    ship_package(lines.sparkSession)
     (
         lines.sortWithinPartitions(*order)
         .select("value")
