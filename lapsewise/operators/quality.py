@@ -18,7 +18,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -86,23 +85,45 @@ def decimal_bounds(dtype: T.DecimalType) -> Decimal:
 
 # ---------------------------------------------------------------- failing rows
 
-def _row_predicate(check: Check) -> F.Column | None:
-    c = F.col(check.column) if check.column else None
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(value, Decimal):
+        return f"{value}BD"
+    return repr(value)
+
+
+def _row_predicate_sql(check: Check) -> str | None:
+    """SQL text of the per-row failure predicate of a row-local check."""
+    if check.column is None:
+        return None
+    c = _ident(check.column)
     if check.kind == "not_null":
-        return c.isNull()
+        return f"{c} IS NULL"
     if check.kind == "max_length":
-        return F.char_length(c.cast("string")) > F.lit(check.params["n"])
+        return f"char_length(CAST({c} AS STRING)) > {int(check.params['n'])}"
     if check.kind == "value_range":
         lo, hi = check.params.get("lo"), check.params.get("hi")
-        pred = F.lit(False)
+        conds = []
         if lo is not None:
-            pred = pred | (c < F.lit(lo))
+            conds.append(f"{c} < {_literal(lo)}")
         if hi is not None:
-            pred = pred | (c > F.lit(hi))
-        return c.isNotNull() & pred
+            conds.append(f"{c} > {_literal(hi)}")
+        return f"{c} IS NOT NULL AND ({' OR '.join(conds) or 'false'})"
     return None
 
 
+def _row_predicate(check: Check) -> F.Column | None:
+    sql = _row_predicate_sql(check)
+    return None if sql is None else F.expr(sql)
+
+
 def failing_rows(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
     df = models[check.model]
     pred = _row_predicate(check)
@@ -154,48 +175,65 @@ def failing_rows(check: Check, models: Mapping[str, DataFrame]) -> DataFrame:
 _SUMMARY_SCHEMA = "test_name string, kind string, model string, column_name string, failures long"
 
 
-def _summary_row(check: Check, failures: F.Column) -> F.Column:
-    return F.struct(
-        F.lit(check.test_name).alias("test_name"),
-        F.lit(check.kind).alias("kind"),
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).cast("string").alias("column_name"),
-        failures.cast("long").alias("failures"),
+def _summary_sql(check: Check, failures_sql: str) -> str:
+    """SQL struct of one summary row (built as text: one parse, not many calls)."""
+    return (
+        "named_struct("
+        f"'test_name', {_literal(check.test_name)}, "
+        f"'kind', {_literal(check.kind)}, "
+        f"'model', {_literal(check.model)}, "
+        f"'column_name', CAST({_literal(check.column)} AS STRING), "
+        f"'failures', CAST({failures_sql} AS BIGINT))"
     )
 
 
 def run_checks(checks: Sequence[Check], models: Mapping[str, DataFrame]) -> DataFrame:
     """One summary row per check: (test_name, kind, model, column_name, failures)."""
     parts: list[DataFrame] = []
-    row_local: dict[str, list[Check]] = {}
+    row_local: dict[str, list[tuple[Check, str]]] = {}
+    others: list[Check] = []
     for chk in checks:
-        if _row_predicate(chk) is not None:
-            row_local.setdefault(chk.model, []).append(chk)
+        pred = _row_predicate_sql(chk)
+        if pred is not None:
+            row_local.setdefault(chk.model, []).append((chk, pred))
+        else:
+            others.append(chk)
     for model, group in row_local.items():
-        counts = models[model].agg(
-            *[F.count_if(_row_predicate(c)).alias(f"_f{i}") for i, c in enumerate(group)]
+        counts = models[model].selectExpr(
+            *[f"count_if({pred}) AS _f{i}" for i, (_, pred) in enumerate(group)]
         )
-        rows = F.array(*[_summary_row(c, F.col(f"_f{i}")) for i, c in enumerate(group)])
-        parts.append(counts.select(F.inline(rows)))
-    for chk in checks:
-        if _row_predicate(chk) is not None:
-            continue
+        rows = ", ".join(_summary_sql(c, f"_f{i}") for i, (c, _) in enumerate(group))
+        parts.append(counts.selectExpr(f"inline(array({rows}))"))
+    for chk in others:
         if chk.kind == "forbidden_columns":
             n = len([x for x in chk.params["columns"] if x in models[chk.model].columns])
             spark = models[chk.model].sparkSession
-            parts.append(
-                spark.range(1).select(F.inline(F.array(_summary_row(chk, F.lit(n)))))
-            )
+            parts.append(spark.range(1).selectExpr(f"inline(array({_summary_sql(chk, str(n))}))"))
             continue
         bad = failing_rows(chk, models)
         parts.append(
-            bad.agg(F.count(F.lit(1)).alias("_n")).select(
-                F.inline(F.array(_summary_row(chk, F.col("_n"))))
+            bad.selectExpr("count(1) AS _n").selectExpr(
+                f"inline(array({_summary_sql(chk, '_n')}))"
             )
         )
     if not parts:
         raise ValueError("no checks given")
-    return reduce(DataFrame.unionByName, parts)
+    return union_all(parts)
+
+
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union of same-schema DataFrames as a balanced tree.
+
+    A left-deep chain re-analyses the growing plan at every step (quadratic
+    in the number of parts); a balanced tree keeps plan building cheap.
+    """
+    parts = list(parts)
+    while len(parts) > 1:
+        paired = [a.union(b) for a, b in zip(parts[0::2], parts[1::2])]
+        if len(parts) % 2:
+            paired.append(parts[-1])
+        parts = paired
+    return parts[0]
 
 
 def assert_passing(summary: DataFrame) -> None:
