@@ -58,9 +58,18 @@ def raw_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second).withColumn("_line", F.col("client_id"))
 
 
+_PRODUCT_COUNTS: dict[str, int] = {}
+
+
 def product_count(spark: SparkSession, sf_dir: str) -> int:
-    """Number of products (Parquet footer metadata; no data scan)."""
-    return table(spark, sf_dir, "part").count()
+    """Number of products (Parquet footer metadata; no data scan).
+
+    The input tables are read-only, so the count is remembered per folder.
+    """
+    key = sf_dir.rstrip("/")
+    if key not in _PRODUCT_COUNTS:
+        _PRODUCT_COUNTS[key] = table(spark, sf_dir, "part").count()
+    return _PRODUCT_COUNTS[key]
 
 
 def product_key_width(n_products: int) -> int:
