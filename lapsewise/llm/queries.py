@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import substring_dedup
+from lapsewise.llm import ngram_jaccard, substring_dedup
 from lapsewise.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the words that windows of 35 repeated words cover."""
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=35)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@register("op7_ngram_jaccard")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 3-word shingles overlap by 90 %."""
+    out = ngram_jaccard.similarity_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+    return out.select("doc_id", "n_shingles", "component_id")
