@@ -6,17 +6,21 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapsewise.session import materialize, ship_package
 
 #: Bytes of text handled at once inside a task; bounds a task's temporaries.
 SLICE_BYTES = 1 << 20
-#: Largest table (bytes of its plain columns) that is sent to every executor.
+#: Largest table (bytes of its rows) that is sent to every executor.
 #: The size is counted before each such broadcast; beyond it the operators
 #: take the shuffle join that follows each use.
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 16 << 20
+#: The same for a plain column of longs that the executors' Python workers hold.
+LONGS_BYTES = 96 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,7 +41,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
     """Cut a batch by rows so that each slice holds about ``limit`` bytes of text."""
     if not batch.num_rows:
         return
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     group = np.cumsum(sizes) // limit
     cuts = np.flatnonzero(np.diff(group)) + 1
     for a, b in zip(np.r_[0, cuts], np.r_[cuts, batch.num_rows]):
@@ -49,8 +53,6 @@ def map_text(df: DataFrame, kernel: Callable, schema: str, column: str = "text")
     ship_package(df.sparkSession)
 
     def run(batches):
-        import pyarrow.compute  # noqa: F401
-
         for batch in batches:
             for part in slices(batch, column):
                 out = kernel(part)
@@ -60,9 +62,22 @@ def map_text(df: DataFrame, kernel: Callable, schema: str, column: str = "text")
     return df.mapInArrow(run, schema)
 
 
-def small(df: DataFrame, row_bytes: int, limit: int | None = None) -> bool:
-    """Whether a written table of ``row_bytes`` a row is within the broadcast limit."""
-    return df.count() * row_bytes <= (BROADCAST_BYTES if limit is None else limit)
+def table_bytes(df: DataFrame) -> int:
+    """Bytes of a written table's rows in memory, counted over all of them."""
+    wide = F.lit(8 * (len(df.columns) + 2))
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.ArrayType):
+            wide = wide + 8 + 8 * F.greatest(F.lit(0), F.coalesce(F.size(f.name), F.lit(0)))
+        elif isinstance(f.dataType, T.StructType):
+            wide = wide + 8 * (1 + len(f.dataType.fields))
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            wide = wide + F.coalesce(F.octet_length(f.name), F.lit(0))
+    return int(df.agg(F.sum(wide.cast("long"))).first()[0] or 0)
+
+
+def small(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether a written table may be broadcast: its counted bytes are within the limit."""
+    return table_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def longs(df: DataFrame, column: str) -> np.ndarray:
@@ -80,7 +95,7 @@ def member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == values
 
 
-def attach(left: DataFrame, right: DataFrame, keys: list[str], row_bytes: int, how: str = "left", limit: int | None = None) -> DataFrame:
+def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", limit: int | None = None) -> DataFrame:
     """Null-safe equi-join of ``left`` to a written table: broadcast if its
     counted size is within the limit, else a shuffle join."""
     right = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
@@ -88,7 +103,7 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str], row_bytes: int, h
     for k in keys:
         one = left[k].eqNullSafe(F.col(f"_r_{k}"))
         cond = one if cond is None else cond & one
-    if small(right, row_bytes, limit):
+    if small(right, limit):
         right = F.broadcast(right)
     return left.join(right, cond, how).drop(*[f"_r_{k}" for k in keys])
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import attach, keyed, longs, map_text, materialize, member, small
+from lapsewise.llm.common import LONGS_BYTES, attach, keyed, longs, map_text, materialize, member, small
 from lapsewise.llm.words import U64, RangeHash, WordBatch, chosen_by_window, sequence_hashes
 
 WINDOW_WORDS = 35
@@ -137,11 +137,8 @@ def _extended(rows: DataFrame, window: int, seed: int, whole, mixed) -> DataFram
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SEED_WORDS,
                    id_col: str = "doc_id", text_col: str = "text", limit: int | None = None) -> DataFrame:
-    """Per row of ``docs`` with repeats: (doc_id, h, spans), spans being
-    (lo, hi) of consecutive window starts, in words of the text.
-
-    The spans of a document are sorted; they may touch or repeat.
-    """
+    """Per row of ``docs`` with repeats: (doc_id, h, spans), its maximal repeats
+    as start, end, start, end, ... in words, ascending and apart."""
     if not 0 < seed <= window:
         raise ValueError("the seed must not be longer than the window")
     rows = keyed(docs, id_col, text_col)
@@ -149,7 +146,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SEED
         anchors(rows, window, seed).groupBy("seed")
         .agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("a"), F.max("ctx").alias("b"))
         .where("n > 1").select("seed", (F.col("a") == F.col("b")).alias("whole")), "shared_anchors")
-    if small(shared, 8, limit):
+    if small(shared.select("seed"), LONGS_BYTES if limit is None else limit):
         sc = docs.sparkSession.sparkContext
         held = [sc.broadcast(longs(shared.where(F.col("whole") == w), "seed")) for w in (True, False)]
         found = _extended(rows, window, seed, *held)
@@ -166,8 +163,23 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SEED
     twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
     spans = found.where("NOT is_window").select("doc_id", "h", "lo", "hi").unionByName(
         windows.join(twice, ["w1", "w2"], "left_semi").select("doc_id", "h", "lo", F.col("lo").alias("hi")))
-    return spans.groupBy("doc_id", "h").agg(
-        F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
+    spans = spans.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
+
+    def merged(batches):
+        for batch in batches:
+            out = []
+            for own in batch.column("spans").to_pylist():
+                flat: list[int] = []
+                for s in own:
+                    if flat and s["lo"] <= flat[-1]:
+                        flat[-1] = max(flat[-1], s["hi"] + window)
+                    else:
+                        flat += [s["lo"], s["hi"] + window]
+                out.append(flat)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("h"), pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "h", "spans"])
+
+    return spans.mapInArrow(merged, "doc_id long, h long, spans array<int>")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SEED_WORDS,
@@ -183,21 +195,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SEED
     ``docs`` are not read.
     """
     spans = materialize(repeated_spans(docs, window, seed, id_col, text_col, limit), "repeats")
-    rows = attach(keyed(docs, id_col, text_col), spans, ["doc_id", "h"], 64, limit=limit)
+    rows = attach(keyed(docs, id_col, text_col), spans, ["doc_id", "h"], limit=limit)
 
     def kernel(batch):
         texts, found = batch.column("text"), batch.column("spans")
         n_words, n_removed, kept, repeats = [], [], [], []
         for text, own in zip(texts, found):
             words = text.as_buffer().to_pybytes().split() if text.is_valid else []
-            gone: list[tuple[int, int]] = []
-            if own.is_valid:
-                for s in own.as_py():
-                    a, b = s["lo"], s["hi"] + window
-                    if gone and a <= gone[-1][1]:
-                        gone[-1] = (gone[-1][0], max(b, gone[-1][1]))
-                    else:
-                        gone.append((a, b))
+            flat = own.as_py() or []
+            gone = list(zip(flat[::2], flat[1::2]))
             n_words.append(len(words))
             n_removed.append(sum(b - a for a, b in gone))
             for a, b in reversed(gone):
