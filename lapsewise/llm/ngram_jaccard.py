@@ -3,20 +3,24 @@
 A document is the set of its word shingles.  Documents with equal sets form
 one node, so copies cost nothing further.  Two sets of Jaccard similarity t or
 more share a shingle among the first n - ceil(t n) + 1 of either set, in any
-common order of shingles (prefix filter).  The order used puts shingles that
+common order of shingles (prefix filter), and their sizes are close.  The order used puts shingles that
 are frequent in a bounded sample last; it decides how fast the join is, never
-what it finds.  Nodes that share a prefix shingle form a block; blocks of equal
-membership are one block, and large blocks are dealt out as pairs of chunks.
+what it finds.  Nodes that share a prefix shingle and a band of sizes form a block; blocks of
+equal membership are one block, and large blocks are dealt out as pairs of chunks.
 
 Each block (or pair of chunks) gets a signature tree: every tree node holds
 the OR- and the AND-combined token bitmaps and the size range of its members.
 The traversal of pairs of tree nodes drops a pair when the largest possible
 overlap of any two members is too small for t, or when the members are
-already in one component.  What is left is verified on the exact sets.
+already settled.  A first traversal, on signatures alone, finds the members that
+may have a partner; only their sets travel to a second one, which verifies
+pairs on the exact sets and keeps links that join components.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -97,7 +101,7 @@ def _signed(x) -> pa.Array:
 
 
 def document_sets(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(doc_id, h, n, fp1, fp2, tokens): set size, digest of the set, prefix."""
+    """(doc_id, h, n, fp1, fp2, bits, tokens): set size, digest of the set, bitmap, prefix."""
     sc = rows.sparkSession.sparkContext
     held = sc.broadcast(_sample_order(rows, k))
 
@@ -110,30 +114,36 @@ def document_sets(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
             "doc_id": batch.column("doc_id"), "h": batch.column("h"),
             "n": pa.array([len(s) for s in sets], pa.int64()),
             "fp1": _signed([p[0] for p in prints]), "fp2": _signed([p[1] for p in prints]),
+            "bits": pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
             "tokens": pa.ListArray.from_arrays(pa.array(offsets), _signed(np.concatenate(tokens)) if tokens else _signed([])),
         })
 
-    return map_text(rows, kernel, "doc_id long, h long, n long, fp1 long, fp2 long, tokens array<long>")
+    return map_text(rows, kernel, "doc_id long, h long, n long, fp1 long, fp2 long, bits binary, tokens array<long>")
+
+
+def bitmap(own: np.ndarray) -> np.ndarray:
+    """Token bitmap of a set: the least power of two bits that is its size or more."""
+    bits = max(64, 1 << max(0, len(own) - 1).bit_length())
+    out = np.zeros(bits, dtype=np.uint8)
+    out[(mix(own, 41) & U64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(out, bitorder="little").view(U64)
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    return np.bitwise_or.reduce(bits.reshape(-1, words), axis=0)
 
 
 class SignatureTree:
-    """Binary tree over members sorted by size; node 1 is the root."""
-
-    def __init__(self, sets: list[np.ndarray]):
-        sizes = np.array([len(s) for s in sets])
-        lead = np.array([s[0] for s in sets], dtype=U64)
-        self.order = np.lexsort((lead, sizes))
-        self.sets = [sets[i] for i in self.order]
-        self.size = sizes[self.order]
-        bits = 64
-        while bits < 2 * self.size[-1] and bits < 1 << 16:
-            bits *= 2
-        self.bitmaps = np.zeros((len(sets), bits // 64), dtype=U64)
-        for i, s in enumerate(self.sets):
-            at = mix(s, 41) % U64(bits)
-            np.bitwise_or.at(self.bitmaps[i], (at >> U64(6)).astype(np.int64), U64(1) << (at & U64(63)))
+    """Binary tree over members sorted by size; the last node is the root."""
+
+    def __init__(self, sizes: list[int], bitmaps: list[np.ndarray]):
+        words = min(map(len, bitmaps))
+        bitmaps = [_folded(b, words) for b in bitmaps]
+        self.order = sorted(range(len(sizes)), key=lambda i: (sizes[i], bitmaps[i].tobytes()))
+        self.size = np.array([sizes[i] for i in self.order], dtype=np.int64)
+        self.bitmaps = np.array([bitmaps[i] for i in self.order])
         self.nodes: list[tuple] = []
-        self.root = self._build(0, len(sets))
+        self.root = self._build(0, len(sizes))
 
     def _build(self, a: int, b: int) -> int:
         children = ()
@@ -150,25 +160,10 @@ def _popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x).sum(axis=-1, dtype=np.int64)
 
 
-def tree_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
-    """Links that connect every two members of similarity num/den or more,
-    directly or through other such links (at most one less than members)."""
-    if len(sets) < 2:
-        return []
-    tree = SignatureTree(sets)
-    parent = list(range(len(sets)))
-
-    def find(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    def one_component(a, b, c, d):
-        first = find(a)
-        return all(find(i) == first for i in range(a, b)) and all(find(i) == first for i in range(c, d))
-
-    links = []
+def possible_pairs(tree: SignatureTree, num: int, den: int, settled):
+    """Pairs of members whose largest possible overlap reaches num/den: (i, j) in
+    tree order.  ``settled(a, b, c, d)`` tells that no pair between members a..b and
+    c..d is wanted any more; it is asked again as the pairs are used."""
     todo = [(tree.root, tree.root)]
     while todo:
         x, y = todo.pop()
@@ -180,11 +175,11 @@ def tree_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
             most = min(high_x - int(_popcount(and_x & ~or_y)), high_y - int(_popcount(and_y & ~or_x)))
             if most < overlap_needed(low_x, low_y, num, den):
                 continue
-            if one_component(a, b, c, d):
+            if settled(a, b, c, d):
                 continue
         if below_x or below_y:
             if x == y:
-                # popped last in, first out: the parts themselves before their cross pairs
+                # last in, first out: the parts themselves before their cross pairs
                 todo += [(below_x[0], below_x[1]), (below_x[0], below_x[0]), (below_x[1], below_x[1])]
             elif below_x and (not below_y or b - a >= d - c):
                 todo += [(below_x[0], y), (below_x[1], y)]
@@ -197,35 +192,129 @@ def tree_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
         most = np.minimum(size_x[:, None] - missing_x, size_y[None, :] - missing_y)
         need = -(-num * (size_x[:, None] + size_y[None, :]) // (num + den))
         for i, j in zip(*np.nonzero(most >= need)):
-            i, j = a + int(i), c + int(j)
-            if (x == y and i >= j) or find(i) == find(j):
-                continue
-            p, q = tree.sets[i], tree.sets[j]
-            if len(p) > len(q):
-                p, q = q, p
-            at = np.searchsorted(q, p)
-            at[at == len(q)] = 0
-            inter = int((q[at] == p).sum())
-            if den * inter >= num * (len(p) + len(q) - inter):
-                parent[find(i)] = find(j)
-                links.append((int(tree.order[i]), int(tree.order[j])))
+            if x != y or i < j:
+                yield a + int(i), c + int(j)
+
+
+def hopeful(sizes: list[int], bitmaps: list[np.ndarray], num: int, den: int) -> list[int]:
+    """Members that may be similar to another member, by signatures alone."""
+    if len(sizes) < 2:
+        return []
+    tree = SignatureTree(sizes, bitmaps)
+    hit = np.zeros(len(sizes), dtype=bool)
+    for i, j in possible_pairs(tree, num, den, lambda a, b, c, d: hit[a:b].all() and hit[c:d].all()):
+        hit[i] = hit[j] = True
+    return [tree.order[i] for i in np.flatnonzero(hit)]
+
+
+def tree_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Links that connect every two members of similarity num/den or more,
+    directly or through other such links (at most one less than members)."""
+    if len(sets) < 2:
+        return []
+    tree = SignatureTree([len(s) for s in sets], [bitmap(s) for s in sets])
+    sets = [sets[i] for i in tree.order]
+    parent = list(range(len(sets)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    def one_component(a, b, c, d):
+        first = find(a)
+        return all(find(i) == first for i in range(a, b)) and all(find(i) == first for i in range(c, d))
+
+    links = []
+    for i, j in possible_pairs(tree, num, den, one_component):
+        if find(i) == find(j):
+            continue
+        p, q = sets[i], sets[j]
+        if len(p) > len(q):
+            p, q = q, p
+        at = np.searchsorted(q, p)
+        at[at == len(q)] = 0
+        inter = int((q[at] == p).sum())
+        if den * inter >= num * (len(p) + len(q) - inter):
+            parent[find(i)] = find(j)
+            links.append((tree.order[i], tree.order[j]))
     return links
 
 
+def _blocks(members: DataFrame, limit: int | None) -> DataFrame:
+    """(key, fp1, fp2, members): blocks of two or more members, one of each
+    set of blocks with equal members."""
+    kept = materialize(
+        members.groupBy("key").agg(
+            F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("fp1", "fp2")).alias("x1"),
+            F.bit_xor(F.xxhash64("fp2", "fp1")).alias("x2")).where("members > 1")
+        .groupBy("members", "x1", "x2").agg(F.min("key").alias("key")).select("key", "members"), "kept_blocks")
+    return materialize(members.join(F.broadcast(kept) if small(kept, limit) else kept, "key"), "blocks")
+
+
+def _cells(members: DataFrame, data: DataFrame) -> DataFrame:
+    """Rows (key, c1, c2, fp1, fp2, n, items) of ``members`` with their data, the rows of
+    a cell after each other.  A cell is a block, or a pair of chunks of a large
+    block: a member goes to every pair that has its own chunk."""
+    parts = F.ceil(F.col("members") / F.lit(BLOCK_MEMBERS)).cast("int")
+    own = F.pmod(F.xxhash64("fp2"), F.col("parts")).cast("int")
+    cells = (members.withColumn("parts", parts).withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("fp1", "fp2", "key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2")))
+    dealt = cells.join(data, ["fp1", "fp2"]).select("key", "c1", "c2", "fp1", "fp2", "n", "items")
+    # the data go to the tasks by cell; AQE sizes their number
+    return dealt.repartition("key", "c1", "c2").sortWithinPartitions("key", "c1", "c2", "fp1", "fp2")
+
+
+def _each_cell(dealt: DataFrame, compare, schema: str) -> DataFrame:
+    """compare(key, ids, sizes, items) -> record batch for every cell of ``dealt``."""
+    ship_package(dealt.sparkSession)
+
+    def run(batches):
+        cell, ids, sizes, items = None, [], [], []
+        for batch in batches:
+            cols = [batch.column(i).to_pylist() for i in range(6)]
+            data = batch.column(6)
+            for i, (key, c1, c2, f1, f2, n) in enumerate(zip(*cols)):
+                if (key, c1, c2) != cell:
+                    if len(ids) > 1 and (out := compare(cell[0], ids, sizes, items)) is not None:
+                        yield out
+                    cell, ids, sizes, items = (key, c1, c2), [], [], []
+                if not ids or ids[-1] != (f1, f2):  # a repeated row brings its set twice
+                    ids.append((f1, f2))
+                    sizes.append(n)
+                    items.append(np.frombuffer(data[i].as_py(), dtype=U64))
+        if len(ids) > 1 and (out := compare(cell[0], ids, sizes, items)) is not None:
+            yield out
+
+    return dealt.mapInArrow(run, schema)
+
+
 def similar_links(rows: DataFrame, nodes: DataFrame, k: int, num: int, den: int, limit: int | None = None) -> DataFrame:
     """(a1, a2, b1, b2): links between the digests of different similar sets."""
-    spread = nodes.select("fp1", "fp2", F.explode("tokens").alias("token"))
-    shared = materialize(spread.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"), "shared_shingles")
-    shared = F.broadcast(shared) if small(shared, 24, limit) else shared
-    spread = materialize(spread.join(shared, "token", "left_semi"), "blocks")
-    # blocks with the same members are one block
-    kept = (spread.groupBy("token").agg(
-        F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("fp1", "fp2")).alias("x1"),
-        F.bit_xor(F.xxhash64("fp2", "fp1")).alias("x2"))
-        .groupBy("members", "x1", "x2").agg(F.min("token").alias("token")).select("token", "members"))
-    members = materialize(spread.join(kept, "token"), "members")
+    spread = nodes.select("fp1", "fp2", "n", F.explode("tokens").alias("token"))
+    shared = materialize(spread.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared_shingles")
+    shared = F.broadcast(shared) if small(shared, limit) else shared
+    # similar sets are of the same band of sizes or of neighbouring ones
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(den / num) * 1.000001)).cast("int")
+    banded = spread.join(shared, "token", "left_semi").select(
+        "fp1", "fp2", F.explode(F.array(F.xxhash64("token", band), F.xxhash64("token", band + 1))).alias("key"))
+    blocks = _blocks(materialize(banded, "banded"), limit)
+
+    def meet(key, ids, sizes, bitmaps):
+        stay = hopeful(sizes, bitmaps, num, den)
+        if not stay:
+            return None
+        return pa.RecordBatch.from_pydict({
+            "key": pa.array([key] * len(stay), pa.int64()),
+            "fp1": pa.array([ids[i][0] for i in stay], pa.int64()), "fp2": pa.array([ids[i][1] for i in stay], pa.int64())})
+
+    signatures = nodes.select("fp1", "fp2", "n", F.col("bits").alias("items"))
+    stay = _each_cell(_cells(blocks, signatures), meet, "key long, fp1 long, fp2 long")
+    blocks = _blocks(materialize(stay.distinct(), "hopeful"), limit)
     reps = materialize(
-        nodes.join(members.select("fp1", "fp2").distinct(), ["fp1", "fp2"], "left_semi")
+        nodes.join(blocks.select("fp1", "fp2").distinct(), ["fp1", "fp2"], "left_semi")
         .select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.h").alias("h")), "candidates")
 
     def kernel(batch):
@@ -233,44 +322,21 @@ def similar_links(rows: DataFrame, nodes: DataFrame, k: int, num: int, den: int,
         prints = [_fingerprint(s) for s in sets]
         return pa.RecordBatch.from_pydict({
             "fp1": _signed([p[0] for p in prints]), "fp2": _signed([p[1] for p in prints]),
+            "n": pa.array([len(s) for s in sets], pa.int64()),
             "items": pa.array([s.tobytes() for s in sets], pa.binary())})
 
-    sets = map_text(attach(rows, reps, ["doc_id", "h"], 32, "inner", limit), kernel, "fp1 long, fp2 long, items binary")
-    # chunks of a block: a member goes to every pair of chunks that has its own
-    parts = F.ceil(F.col("members") / F.lit(BLOCK_MEMBERS)).cast("int")
-    own = F.pmod(F.xxhash64("fp2"), F.col("parts")).cast("int")
-    cells = (members.withColumn("parts", parts).withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("fp1", "fp2", "token", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2")))
-    dealt = cells.join(sets, ["fp1", "fp2"]).select("token", "c1", "c2", "fp1", "fp2", "items")
-    n = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(n, "token", "c1", "c2").sortWithinPartitions("token", "c1", "c2", "fp1", "fp2")
-    ship_package(dealt.sparkSession)
-
-    def compare(batches):
-        key, ids, own = None, [], []
-
-        def done():
-            links = tree_links(own, num, den)
-            if links:
-                a, b = zip(*links)
-                yield pa.RecordBatch.from_pydict({
-                    name: pa.array([ids[i][f] for i in side], pa.int64())
-                    for name, side, f in (("a1", a, 0), ("a2", a, 1), ("b1", b, 0), ("b2", b, 1))})
+    sets = map_text(attach(rows, reps, ["doc_id", "h"], "inner", limit), kernel, "fp1 long, fp2 long, n long, items binary")
 
-        for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(5)]
-            items = batch.column(5)
-            for i, (t, c1, c2, f1, f2) in enumerate(zip(*cols)):
-                if (t, c1, c2) != key:
-                    yield from done()
-                    key, ids, own = (t, c1, c2), [], []
-                if not ids or ids[-1] != (f1, f2):  # a repeated row brings its set twice
-                    ids.append((f1, f2))
-                    own.append(np.frombuffer(items[i].as_py(), dtype=U64))
-        yield from done()
+    def verify(key, ids, sizes, sets):
+        links = tree_links(sets, num, den)
+        if not links:
+            return None
+        a, b = zip(*links)
+        return pa.RecordBatch.from_pydict({
+            name: pa.array([ids[i][f] for i in side], pa.int64())
+            for name, side, f in (("a1", a, 0), ("a2", a, 1), ("b1", b, 0), ("b2", b, 1))})
 
-    return dealt.mapInArrow(compare, "a1 long, a2 long, b1 long, b2 long")
+    return _each_cell(_cells(blocks, sets), verify, "a1 long, a2 long, b1 long, b2 long")
 
 
 def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
@@ -290,7 +356,8 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
     filled = docs_sets.where("n > 0")
     nodes = materialize(filled.groupBy("fp1", "fp2").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("rep"),
-        F.count(F.lit(1)).alias("copies"), F.first("tokens").alias("tokens")), "nodes")
+        F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+        F.first("tokens").alias("tokens")), "nodes")
     links = materialize(similar_links(rows, nodes, k, num, den, limit), "similar_links")
     roots = connected_components(links.select(F.struct(F.col("a1").alias("fp1"), F.col("a2").alias("fp2")).alias("a"),
                                               F.struct(F.col("b1").alias("fp1"), F.col("b2").alias("fp2")).alias("b")))
@@ -303,7 +370,7 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
     classes = materialize(linked.join(least, "root").select("fp1", "fp2", "least"), "classes")
     base = docs_sets.select("doc_id", "h", F.col("n").alias("n_shingles"),
                             F.when(F.col("n") > 0, F.col("fp1")).alias("fp1"), F.when(F.col("n") > 0, F.col("fp2")).alias("fp2"))
-    classes = F.broadcast(classes) if small(classes, 48, limit) else classes
+    classes = F.broadcast(classes) if small(classes, limit) else classes
     out = base.join(classes, ["fp1", "fp2"], "left")
     is_rep = F.col("least").isNull() | (
         F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("h") == F.col("least.h")))
@@ -320,7 +387,7 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col:
     stay = found.where("is_rep").groupBy("doc_id", "h", "n_shingles").agg(F.count(F.lit(1)).alias("n"))
     stay = materialize(stay, "stay")
     key = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("h"))
-    rows = attach(key, stay, ["doc_id", "h"], 48, "inner", limit)
+    rows = attach(key, stay, ["doc_id", "h"], "inner", limit)
     once = rows.where("n = 1 OR n_shingles = 0").select("row.*")
     if stay.where("n > 1 AND n_shingles > 0").isEmpty():
         return once
