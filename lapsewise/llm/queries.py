@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import ngram_jaccard, substring_dedup
+from lapsewise.llm import ngram_jaccard, orc_output, packing, substring_dedup
 from lapsewise.llm.common import table
+from lapsewise.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +37,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 3-word shingles overlap by 90 %."""
     out = ngram_jaccard.similarity_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
     return out.select("doc_id", "n_shingles", "component_id")
+
+
+@register("op4_best_fit_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents packed into sequences of 1024 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"), capacity=1024, end_id=2).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@register("op5_token_ids_orc")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents written to ORC and read back."""
+    path = scratch_path(spark, "token_ids.orc")
+    orc_output.write_ids(table(spark, sf_dir, "documents"), path, end_id=0)
+    return orc_output.digests(orc_output.read_ids(spark, path))
