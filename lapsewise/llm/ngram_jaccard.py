@@ -297,7 +297,7 @@ def similar_links(rows: DataFrame, nodes: DataFrame, k: int, num: int, den: int,
     shared = materialize(spread.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared_shingles")
     shared = F.broadcast(shared) if small(shared, limit) else shared
     # similar sets are of the same band of sizes or of neighbouring ones
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(den / num) * 1.000001)).cast("int")
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(max(math.log(den / num), 1e-3) * 1.000001)).cast("int")
     banded = spread.join(shared, "token", "left_semi").select(
         "fp1", "fp2", F.explode(F.array(F.xxhash64("token", band), F.xxhash64("token", band + 1))).alias("key"))
     blocks = _blocks(materialize(banded, "banded"), limit)

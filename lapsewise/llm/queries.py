@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import ngram_jaccard, orc_output, packing, substring_dedup
+from lapsewise.llm import language_id, ngram_jaccard, orc_output, packing, substring_dedup
 from lapsewise.llm.common import table
 from lapsewise.session import scratch_path
 
@@ -52,3 +52,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token_ids.orc")
     orc_output.write_ids(table(spark, sf_dir, "documents"), path, end_id=0)
     return orc_output.digests(orc_output.read_ids(spark, path))
+
+
+@register("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those not held out."""
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    return language_id.predict(docs, model).select(
+        "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
