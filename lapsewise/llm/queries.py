@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import language_id, ngram_jaccard, orc_output, packing, substring_dedup
+from lapsewise.llm import html_extract, language_id, ngram_jaccard, orc_output, packing, substring_dedup
 from lapsewise.llm.common import table
 from lapsewise.session import scratch_path
 
@@ -61,3 +61,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.fit(docs.where(~language_id.held_out()))
     return language_id.predict(docs, model).select(
         "doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@register("op1_html_extraction")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page by its host's consensus path."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
