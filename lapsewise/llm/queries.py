@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import html_extract, language_id, ngram_jaccard, orc_output, packing, substring_dedup
+from lapsewise.llm import html_extract, language_id, ngram_jaccard, orc_output, packing, substring_dedup, vp_search
 from lapsewise.llm.common import table
 from lapsewise.session import scratch_path
 
@@ -67,3 +67,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page by its host's consensus path."""
     return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op6_vp_tree_search")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every 50th vector, by exact vantage-point search."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return vp_search.search(vectors, vectors.where("vec_id % 50 = 0"), k=5, factor=1.0)
