@@ -160,7 +160,8 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SEED
         found = _extended(joined, window, seed, None, None)
     found = materialize(found, "extended_anchors")
     windows = found.where("is_window").select("w1", "w2", "doc_id", "h", "lo")
-    twice = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
+    # written first: a join of two shuffled tables, whose skewed partitions Spark splits
+    twice = materialize(windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2"), "twice")
     spans = found.where("NOT is_window").select("doc_id", "h", "lo", "hi").unionByName(
         windows.join(twice, ["w1", "w2"], "left_semi").select("doc_id", "h", "lo", F.col("lo").alias("hi")))
     spans = spans.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set(F.struct("lo", "hi"))).alias("spans"))
