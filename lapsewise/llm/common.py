@@ -105,7 +105,8 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left"
         cond = one if cond is None else cond & one
     if small(right, limit):
         right = F.broadcast(right)
-    return left.join(right, cond, how).drop(*[f"_r_{k}" for k in keys])
+    joined = left.join(right, cond, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])
 
 
 __all__ = [

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import html_extract, language_id, ngram_jaccard, orc_output, packing, substring_dedup, vp_search
+from lapsewise.llm import decontamination, html_extract, language_id, ngram_jaccard, orc_output, packing, substring_dedup, vp_search
 from lapsewise.llm.common import table
 from lapsewise.session import scratch_path
 
@@ -74,3 +74,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest rows of every 50th vector, by exact vantage-point search."""
     vectors = table(spark, sf_dir, "embeddings")
     return vp_search.search(vectors, vectors.where("vec_id % 50 = 0"), k=5, factor=1.0)
+
+
+@register("op3_benchmark_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, verbatim or re-parameterised."""
+    return decontamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "n_matched", "n_windows", "verbatim", "start")

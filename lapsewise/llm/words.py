@@ -78,10 +78,11 @@ class WordBatch:
 
     ``starts``/``ends`` are byte offsets into ``data``; the words of row i
     are ``first[i]:first[i+1]``; ``hashes`` holds one 64-bit hash a word.
-    Null rows have no words.
+    Null rows have no words.  ``inside(bytes)`` may mark other word bytes and
+    ``fold(bytes)`` spell them alike before they are hashed.
     """
 
-    def __init__(self, column, lower: bool = False, hashed: bool = True):
+    def __init__(self, column, lower: bool = False, hashed: bool = True, fold=None, inside=None):
         column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
         if not pa.types.is_large_string(column.type):
             column = column.cast(pa.large_string())
@@ -97,7 +98,9 @@ class WordBatch:
             data = _LOWER[data]
         offsets = offsets - lo
         self.data, self.offsets = data, offsets
-        inside = ~_SPACE[data]
+        inside = ~_SPACE[data] if inside is None else inside(data)
+        if fold is not None:
+            data = fold(data)
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         finish = inside.copy()
