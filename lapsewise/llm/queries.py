@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import decontamination, html_extract, language_id, ngram_jaccard, orc_output, packing, substring_dedup, vp_search
+from lapsewise.llm import decontamination, html_extract, language_id, ngram_jaccard, orc_output, packing, substring_dedup, suffix_dedup, vp_search
 from lapsewise.llm.common import table
 from lapsewise.session import scratch_path
 
@@ -82,3 +82,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         "doc_id", "item_id", "n_matched", "n_windows", "verbatim", "start")
+
+
+@register("op2_suffix_array_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of 50 words or more that repeat, and where."""
+    found = suffix_dedup.repeats(table(spark, sf_dir, "documents"), passage=50)
+    pairs = lambda c: F.transform(F.sequence(F.lit(0), (F.size(c) / 2).cast("int") - 1), lambda i: F.struct(
+        F.get(c, (2 * i).cast("int")).alias("start"), F.get(c, (2 * i + 1).cast("int")).alias("end")))
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+    return found.select(
+        "doc_id", pairs(F.col("repeated")).alias("repeats"),
+        F.when(F.size("removed") > 0, pairs(F.col("removed"))).otherwise(empty).alias("removed"))
