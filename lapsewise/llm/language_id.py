@@ -97,9 +97,9 @@ def _document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
     return int(n[bucket < 0].sum()), df
 
 
-def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
-    w = -(z - np.sign(z) * L1) / ((BETA + np.sqrt(n)) / ALPHA + L2)
-    return np.where(np.abs(z) <= L1, 0.0, w)
+def _weights(z: np.ndarray, n: np.ndarray, alpha: float = ALPHA, l1: float = L1, l2: float = L2) -> np.ndarray:
+    w = -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / alpha + l2)
+    return np.where(np.abs(z) <= l1, 0.0, w)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -107,15 +107,15 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def ftrl_pass(z: np.ndarray, n: np.ndarray, examples) -> None:
+def ftrl_pass(z: np.ndarray, n: np.ndarray, examples, alpha: float = ALPHA, l1: float = L1, l2: float = L2) -> None:
     """One pass of FTRL-proximal over (buckets, values, class); z and n change in place."""
     for index, value, label in examples:
         zi, ni = z[index], n[index]
-        w = _weights(zi, ni)
+        w = _weights(zi, ni, alpha, l1, l2)
         p = _softmax(value @ w)
         p[label] -= 1.0
         g = value[:, None] * p[None, :]
-        sigma = (np.sqrt(ni + g * g) - np.sqrt(ni)) / ALPHA
+        sigma = (np.sqrt(ni + g * g) - np.sqrt(ni)) / alpha
         z[index] = zi + g - sigma * w
         n[index] = ni + g * g
 

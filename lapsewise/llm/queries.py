@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapsewise.llm import decontamination, html_extract, language_id, ngram_jaccard, orc_output, packing, substring_dedup, suffix_dedup, vp_search
+from lapsewise.llm import (
+    decontamination, html_extract, language_id, ngram_jaccard, orc_output, packing, quality_bayes, substring_dedup,
+    suffix_dedup, vp_search,
+)
 from lapsewise.llm.common import table
 from lapsewise.session import scratch_path
 
@@ -94,3 +97,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", pairs(F.col("repeated")).alias("repeats"),
         F.when(F.size("removed") > 0, pairs(F.col("removed"))).otherwise(empty).alias("removed"))
+
+
+@register("op9_quality_bayes")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality and toxicity of every document, by text, source and language section."""
+    return quality_bayes.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), host=F.col("source"),
+        path=F.concat_ws("/", "source", "lang"))
