@@ -11,10 +11,12 @@ equal membership are one block, and large blocks are dealt out as pairs of chunk
 Each block (or pair of chunks) gets a signature tree: every tree node holds
 the OR- and the AND-combined token bitmaps and the size range of its members.
 The traversal of pairs of tree nodes drops a pair when the largest possible
-overlap of any two members is too small for t, or when the members are
-already settled.  A first traversal, on signatures alone, finds the members that
-may have a partner; only their sets travel to a second one, which verifies
-pairs on the exact sets and keeps links that join components.
+overlap of any two members is too small for the threshold, or when the
+members are of one component already.  Pairs that are left are verified on
+the exact sets.  To send sets to few blocks, a first round verifies the blocks of each
+prefix's first shingle; later rounds look, by signatures, for pairs that could still
+join components, verify some and come back to blocks where more are left.  The
+last round leaves none.
 """
 
 from __future__ import annotations
@@ -36,6 +38,9 @@ ORDER_SAMPLE = 4000
 #: Members of a block that one task compares; larger blocks are dealt in chunks.
 BLOCK_MEMBERS = 2000
 LEAF = 8
+#: Pairs that two components are tried on in a block, round by round; the last
+#: round takes all that are left.
+CAPS = (2, 16, 128, None)
 
 
 def shingle_sets(words: WordBatch, k: int) -> list[np.ndarray]:
@@ -196,15 +201,52 @@ def possible_pairs(tree: SignatureTree, num: int, den: int, settled):
                 yield a + int(i), c + int(j)
 
 
-def hopeful(sizes: list[int], bitmaps: list[np.ndarray], num: int, den: int) -> list[int]:
-    """Members that may be similar to another member, by signatures alone."""
-    if len(sizes) < 2:
-        return []
+def open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots: list, num: int, den: int,
+               cap: int | None) -> tuple[list[tuple[int, int]], bool]:
+    """Pairs of members of different components that may be similar by their
+    signatures, and whether others were left for a later round.
+
+    With a ``cap``, only pairs that join components not yet joined by this
+    block's pairs are taken, up to ``cap`` for two components, least ids first.
+    """
     tree = SignatureTree(sizes, bitmaps)
-    hit = np.zeros(len(sizes), dtype=bool)
-    for i, j in possible_pairs(tree, num, den, lambda a, b, c, d: hit[a:b].all() and hit[c:d].all()):
-        hit[i] = hit[j] = True
-    return [tree.order[i] for i in np.flatnonzero(hit)]
+    order = tree.order
+    number: dict = {}
+    component = np.array([number.setdefault(roots[i], len(number)) for i in order])
+    if len(number) < 2:
+        return [], False
+
+    def one_component(a, b, c, d):
+        first = component[a]
+        return bool((component[a:b] == first).all() and (component[c:d] == first).all())
+
+    found: dict[tuple[int, int], list] = {}
+    for i, j in possible_pairs(tree, num, den, one_component):
+        p, q = int(component[i]), int(component[j])
+        if p != q:
+            i, j = order[i], order[j]
+            pair = (i, j) if ids[i] < ids[j] else (j, i)
+            found.setdefault((min(p, q), max(p, q)), []).append(pair)
+    if cap is None:
+        return [x for own in found.values() for x in own], False
+    parent = list(range(len(number)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    taken, left = [], False
+    for (p, q), own in sorted(found.items(), key=lambda x: min((ids[i], ids[j]) for i, j in x[1])):
+        if find(p) == find(q):
+            left = True
+            continue
+        parent[find(p)] = find(q)
+        own.sort(key=lambda x: (ids[x[0]], ids[x[1]]))
+        taken += own[:cap]
+        left = left or len(own) > cap
+    return taken, left
 
 
 def tree_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
@@ -254,65 +296,46 @@ def _blocks(members: DataFrame, limit: int | None) -> DataFrame:
 
 
 def _cells(members: DataFrame, data: DataFrame) -> DataFrame:
-    """Rows (key, c1, c2, fp1, fp2, n, items) of ``members`` with their data, the rows of
-    a cell after each other.  A cell is a block, or a pair of chunks of a large
+    """Rows (key, c1, c2, fp1, fp2, n, r1, r2, items) of ``members`` with their data, the
+    rows of a cell after each other.  A cell is a block, or a pair of chunks of a large
     block: a member goes to every pair that has its own chunk."""
     parts = F.ceil(F.col("members") / F.lit(BLOCK_MEMBERS)).cast("int")
     own = F.pmod(F.xxhash64("fp2"), F.col("parts")).cast("int")
     cells = (members.withColumn("parts", parts).withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("fp1", "fp2", "key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2")))
-    dealt = cells.join(data, ["fp1", "fp2"]).select("key", "c1", "c2", "fp1", "fp2", "n", "items")
+    dealt = cells.join(data, ["fp1", "fp2"]).select("key", "c1", "c2", "fp1", "fp2", "n", "r1", "r2", "items")
     # the data go to the tasks by cell; AQE sizes their number
     return dealt.repartition("key", "c1", "c2").sortWithinPartitions("key", "c1", "c2", "fp1", "fp2")
 
 
 def _each_cell(dealt: DataFrame, compare, schema: str) -> DataFrame:
-    """compare(key, ids, sizes, items) -> record batch for every cell of ``dealt``."""
+    """compare(key, ids, sizes, roots, items) -> record batch for every cell of ``dealt``."""
     ship_package(dealt.sparkSession)
 
     def run(batches):
-        cell, ids, sizes, items = None, [], [], []
+        cell, ids, sizes, roots, items = None, [], [], [], []
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(6)]
-            data = batch.column(6)
-            for i, (key, c1, c2, f1, f2, n) in enumerate(zip(*cols)):
+            cols = [batch.column(i).to_pylist() for i in range(8)]
+            data = batch.column(8)
+            for i, (key, c1, c2, f1, f2, n, r1, r2) in enumerate(zip(*cols)):
                 if (key, c1, c2) != cell:
-                    if len(ids) > 1 and (out := compare(cell[0], ids, sizes, items)) is not None:
+                    if len(ids) > 1 and (out := compare(cell[0], ids, sizes, roots, items)) is not None:
                         yield out
-                    cell, ids, sizes, items = (key, c1, c2), [], [], []
+                    cell, ids, sizes, roots, items = (key, c1, c2), [], [], [], []
                 if not ids or ids[-1] != (f1, f2):  # a repeated row brings its set twice
                     ids.append((f1, f2))
                     sizes.append(n)
+                    roots.append((r1, r2))
                     items.append(np.frombuffer(data[i].as_py(), dtype=U64))
-        if len(ids) > 1 and (out := compare(cell[0], ids, sizes, items)) is not None:
+        if len(ids) > 1 and (out := compare(cell[0], ids, sizes, roots, items)) is not None:
             yield out
 
     return dealt.mapInArrow(run, schema)
 
 
-def similar_links(rows: DataFrame, nodes: DataFrame, k: int, num: int, den: int, limit: int | None = None) -> DataFrame:
-    """(a1, a2, b1, b2): links between the digests of different similar sets."""
-    spread = nodes.select("fp1", "fp2", "n", F.explode("tokens").alias("token"))
-    shared = materialize(spread.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared_shingles")
-    shared = F.broadcast(shared) if small(shared, limit) else shared
-    # similar sets are of the same band of sizes or of neighbouring ones
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(max(math.log(den / num), 1e-3) * 1.000001)).cast("int")
-    banded = spread.join(shared, "token", "left_semi").select(
-        "fp1", "fp2", F.explode(F.array(F.xxhash64("token", band), F.xxhash64("token", band + 1))).alias("key"))
-    blocks = _blocks(materialize(banded, "banded"), limit)
-
-    def meet(key, ids, sizes, bitmaps):
-        stay = hopeful(sizes, bitmaps, num, den)
-        if not stay:
-            return None
-        return pa.RecordBatch.from_pydict({
-            "key": pa.array([key] * len(stay), pa.int64()),
-            "fp1": pa.array([ids[i][0] for i in stay], pa.int64()), "fp2": pa.array([ids[i][1] for i in stay], pa.int64())})
-
-    signatures = nodes.select("fp1", "fp2", "n", F.col("bits").alias("items"))
-    stay = _each_cell(_cells(blocks, signatures), meet, "key long, fp1 long, fp2 long")
-    blocks = _blocks(materialize(stay.distinct(), "hopeful"), limit)
+def _verified(rows: DataFrame, nodes: DataFrame, blocks: DataFrame, k: int, num: int, den: int, limit: int | None) -> DataFrame:
+    """(a1, a2, b1, b2): links inside ``blocks``, on the exact sets of their members."""
     reps = materialize(
         nodes.join(blocks.select("fp1", "fp2").distinct(), ["fp1", "fp2"], "left_semi")
         .select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.h").alias("h")), "candidates")
@@ -320,14 +343,16 @@ def similar_links(rows: DataFrame, nodes: DataFrame, k: int, num: int, den: int,
     def kernel(batch):
         sets = shingle_sets(WordBatch(batch.column("text"), lower=True), k)
         prints = [_fingerprint(s) for s in sets]
+        none = pa.array(np.zeros(len(sets), dtype=np.int64))
         return pa.RecordBatch.from_pydict({
             "fp1": _signed([p[0] for p in prints]), "fp2": _signed([p[1] for p in prints]),
-            "n": pa.array([len(s) for s in sets], pa.int64()),
+            "n": pa.array([len(s) for s in sets], pa.int64()), "r1": none, "r2": none,
             "items": pa.array([s.tobytes() for s in sets], pa.binary())})
 
-    sets = map_text(attach(rows, reps, ["doc_id", "h"], "inner", limit), kernel, "fp1 long, fp2 long, n long, items binary")
+    sets = map_text(attach(rows, reps, ["doc_id", "h"], "inner", limit), kernel,
+                    "fp1 long, fp2 long, n long, r1 long, r2 long, items binary")
 
-    def verify(key, ids, sizes, sets):
+    def verify(key, ids, sizes, roots, sets):
         links = tree_links(sets, num, den)
         if not links:
             return None
@@ -336,7 +361,57 @@ def similar_links(rows: DataFrame, nodes: DataFrame, k: int, num: int, den: int,
             name: pa.array([ids[i][f] for i in side], pa.int64())
             for name, side, f in (("a1", a, 0), ("a2", a, 1), ("b1", b, 0), ("b2", b, 1))})
 
-    return _each_cell(_cells(blocks, sets), verify, "a1 long, a2 long, b1 long, b2 long")
+    return materialize(_each_cell(_cells(blocks, sets), verify, "a1 long, a2 long, b1 long, b2 long"), "verified_links")
+
+
+def _roots(links: DataFrame) -> DataFrame:
+    """(fp1, fp2, r1, r2): the component of every linked node."""
+    found = connected_components(links.select(F.struct(F.col("a1").alias("fp1"), F.col("a2").alias("fp2")).alias("a"),
+                                              F.struct(F.col("b1").alias("fp1"), F.col("b2").alias("fp2")).alias("b")))
+    return found.select("node.fp1", "node.fp2", F.col("root.fp1").alias("r1"), F.col("root.fp2").alias("r2"))
+
+
+def similar_components(rows: DataFrame, nodes: DataFrame, k: int, num: int, den: int, limit: int | None = None) -> DataFrame:
+    """(fp1, fp2, r1, r2): nodes with links and the root of their component."""
+    # similar sets are of the same band of sizes or of neighbouring ones
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(max(math.log(den / num), 1e-3) * 1.000001)).cast("int")
+    keys = F.explode(F.array(F.xxhash64("token", band), F.xxhash64("token", band + 1))).alias("key")
+    # first round: blocks of the first token of every prefix; most similar sets meet here
+    first = nodes.select("fp1", "fp2", "n", F.get("tokens", F.lit(0)).alias("token")).select("fp1", "fp2", keys)
+    links = _verified(rows, nodes, _blocks(first, limit), k, num, den, limit)
+    roots = materialize(_roots(links), "roots")
+    # then all blocks, for members whose signatures allow a link to another component
+    spread = nodes.select("fp1", "fp2", "n", F.explode("tokens").alias("token"))
+    shared = materialize(spread.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared_shingles")
+    shared = F.broadcast(shared) if small(shared, limit) else shared
+    banded = materialize(spread.join(shared, "token", "left_semi").select("fp1", "fp2", keys), "banded")
+    blocks = _blocks(banded, limit)
+    for cap in CAPS:
+
+        def meet(key, ids, sizes, roots, bitmaps, cap=cap):
+            pairs, left = open_pairs(ids, sizes, bitmaps, roots, num, den, cap)
+            if not pairs:
+                return None
+            pairs = pairs + [(None, None)] * left
+            return pa.RecordBatch.from_pydict({
+                "key": pa.array([key] * len(pairs), pa.int64()),
+                **{f"{name}{f + 1}": pa.array([None if p[side] is None else ids[p[side]][f] for p in pairs], pa.int64())
+                   for side, name in ((0, "a"), (1, "b")) for f in (0, 1)}})
+
+        signatures = nodes.select("fp1", "fp2", "n", F.col("bits").alias("items")).join(roots, ["fp1", "fp2"], "left").select(
+            "fp1", "fp2", "n", F.coalesce("r1", "fp1").alias("r1"), F.coalesce("r2", "fp2").alias("r2"), "items")
+        met = materialize(_each_cell(_cells(blocks, signatures), meet, "key long, a1 long, a2 long, b1 long, b2 long"), "open_pairs")
+        pairs = met.where("a1 IS NOT NULL").select("a1", "a2", "b1", "b2").distinct()
+        pairs = pairs.select(F.xxhash64("a1", "a2").alias("key"), "a1", "a2", "b1", "b2")
+        members = pairs.select("key", F.col("a1").alias("fp1"), F.col("a2").alias("fp2")).unionByName(
+            pairs.select("key", F.col("b1").alias("fp1"), F.col("b2").alias("fp2"))).distinct()
+        links = links.unionByName(_verified(rows, nodes, _blocks(materialize(members, "open"), limit), k, num, den, limit))
+        roots = materialize(_roots(links), "roots")
+        rest = met.where("a1 IS NULL").select("key").distinct()
+        if rest.isEmpty():
+            break
+        blocks = materialize(blocks.join(rest, "key", "left_semi"), "open_blocks")
+    return roots
 
 
 def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
@@ -358,11 +433,10 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("rep"),
         F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bits").alias("bits"),
         F.first("tokens").alias("tokens")), "nodes")
-    links = materialize(similar_links(rows, nodes, k, num, den, limit), "similar_links")
-    roots = connected_components(links.select(F.struct(F.col("a1").alias("fp1"), F.col("a2").alias("fp2")).alias("a"),
-                                              F.struct(F.col("b1").alias("fp1"), F.col("b2").alias("fp2")).alias("b")))
+    roots = similar_components(rows, nodes, k, num, den, limit).select("fp1", "fp2", F.struct(
+        F.col("r1").alias("fp1"), F.col("r2").alias("fp2")).alias("root"))
     # only sets with copies or links differ from "a component of its own"
-    linked = (nodes.join(roots.select("node.fp1", "node.fp2", "root"), ["fp1", "fp2"], "left")
+    linked = (nodes.join(roots, ["fp1", "fp2"], "left")
               .where("root IS NOT NULL OR copies > 1")
               .select("fp1", "fp2", "rep", F.coalesce("root", F.struct("fp1", "fp2")).alias("root")))
     linked = materialize(linked, "linked")
