@@ -14,8 +14,8 @@ from lapsewise.llm.common import materialize, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known with a probability of one half or more."""
-    return language_id.keep_identified(docs, language_id.fit(docs), least=0.5)
+    """Documents with letters, but those whose language stays open (probability below 0.3)."""
+    return language_id.keep_identified(docs, language_id.fit(docs), least=0.3)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
