@@ -22,6 +22,7 @@ last round leaves none.
 from __future__ import annotations
 
 import math
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +38,10 @@ from lapsewise.session import ship_package
 ORDER_SAMPLE = 4000
 #: Members of a block that one task compares; larger blocks are dealt in chunks.
 BLOCK_MEMBERS = 2000
-LEAF = 8
+LEAF = 32
 #: Pairs that two components are tried on in a block, round by round; the last
 #: round takes all that are left.
-CAPS = (2, 16, 128, None)
+CAPS = (1, 8, 64, None)
 
 
 def shingle_sets(words: WordBatch, k: int) -> list[np.ndarray]:
@@ -201,34 +202,43 @@ def possible_pairs(tree: SignatureTree, num: int, den: int, settled):
                 yield a + int(i), c + int(j)
 
 
-def open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots: list, num: int, den: int,
-               cap: int | None) -> tuple[list[tuple[int, int]], bool]:
+def partners(tree: SignatureTree, i: int, num: int, den: int) -> np.ndarray:
+    """Members (in tree order) that may be similar to member i by their signatures."""
+    size, bits = int(tree.size[i]), tree.bitmaps[i]
+    out = []
+    todo = [tree.root]
+    while todo:
+        a, b, below, or_y, and_y, low, high = tree.nodes[todo.pop()]
+        if num * low > den * size or num * size > den * high:
+            continue
+        most = min(size - int(_popcount(bits & ~or_y)), high - int(_popcount(and_y & ~bits)))
+        if most < overlap_needed(size, low, num, den):
+            continue
+        if below:
+            todo += below
+            continue
+        own, sizes = tree.bitmaps[a:b], tree.size[a:b]
+        most = np.minimum(size - _popcount(bits & ~own), sizes - _popcount(own & ~bits))
+        out.append(a + np.flatnonzero(most >= -(-num * (size + sizes) // (num + den))))
+    found = np.concatenate(out) if out else np.empty(0, dtype=np.int64)
+    return found[found != i]
+
+
+def open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots: list, num: int, den: int, cap: int):
     """Pairs of members of different components that may be similar by their
-    signatures, and whether others were left for a later round.
+    signatures, and whether others are left for a later round.
 
-    With a ``cap``, only pairs that join components not yet joined by this
-    block's pairs are taken, up to ``cap`` for two components, least ids first.
+    Members lead in the order of their ids, so that blocks with much the same
+    members name the same pairs.  Two components are tried on up to ``cap`` pairs;
+    then they count as joined here, until the pairs have been verified.
     """
     tree = SignatureTree(sizes, bitmaps)
     order = tree.order
     number: dict = {}
     component = np.array([number.setdefault(roots[i], len(number)) for i in order])
-    if len(number) < 2:
+    apart = len(number) - 1
+    if not apart:
         return [], False
-
-    def one_component(a, b, c, d):
-        first = component[a]
-        return bool((component[a:b] == first).all() and (component[c:d] == first).all())
-
-    found: dict[tuple[int, int], list] = {}
-    for i, j in possible_pairs(tree, num, den, one_component):
-        p, q = int(component[i]), int(component[j])
-        if p != q:
-            i, j = order[i], order[j]
-            pair = (i, j) if ids[i] < ids[j] else (j, i)
-            found.setdefault((min(p, q), max(p, q)), []).append(pair)
-    if cap is None:
-        return [x for own in found.values() for x in own], False
     parent = list(range(len(number)))
 
     def find(i):
@@ -237,18 +247,41 @@ def open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots: li
             i = parent[i]
         return i
 
-    taken, left = [], False
-    for (p, q), own in sorted(found.items(), key=lambda x: min((ids[i], ids[j]) for i, j in x[1])):
-        if find(p) == find(q):
-            left = True
-            continue
-        parent[find(p)] = find(q)
-        own.sort(key=lambda x: (ids[x[0]], ids[x[1]]))
-        taken += own[:cap]
-        left = left or len(own) > cap
+    taken: list[tuple[int, int]] = []
+    tried: dict[tuple[int, int], int] = {}
+    left = False
+    for i in sorted(range(len(order)), key=lambda i: ids[order[i]]):
+        if not apart and len(order) > LEAF:
+            return taken, True
+        own = partners(tree, i, num, den)
+        own = own[component[own] != component[i]]
+        for j in sorted((j for j in own.tolist() if ids[order[j]] > ids[order[i]]), key=lambda j: ids[order[j]]):
+            p, q = find(int(component[i])), find(int(component[j]))
+            if p == q:
+                left = True
+                continue
+            taken.append((order[i], order[j]))
+            key = (min(p, q), max(p, q))
+            tried[key] = tried.get(key, 0) + 1
+            if tried[key] >= cap:
+                parent[p] = q
+                apart -= 1
     return taken, left
 
 
+def all_open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots: list, num: int, den: int):
+    """Every pair of members of different components that may be similar."""
+    tree = SignatureTree(sizes, bitmaps)
+    of = [roots[i] for i in tree.order]
+
+    def one_component(a, b, c, d):
+        return len(set(of[a:b]) | set(of[c:d])) == 1
+
+    for i, j in possible_pairs(tree, num, den, one_component):
+        if of[i] != of[j]:
+            yield tree.order[i], tree.order[j]
+
+
 def tree_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
     """Links that connect every two members of similarity num/den or more,
     directly or through other such links (at most one less than members)."""
@@ -310,7 +343,7 @@ def _cells(members: DataFrame, data: DataFrame) -> DataFrame:
 
 
 def _each_cell(dealt: DataFrame, compare, schema: str) -> DataFrame:
-    """compare(key, ids, sizes, roots, items) -> record batch for every cell of ``dealt``."""
+    """compare(key, ids, sizes, roots, items) -> record batches for every cell of ``dealt``."""
     ship_package(dealt.sparkSession)
 
     def run(batches):
@@ -320,16 +353,16 @@ def _each_cell(dealt: DataFrame, compare, schema: str) -> DataFrame:
             data = batch.column(8)
             for i, (key, c1, c2, f1, f2, n, r1, r2) in enumerate(zip(*cols)):
                 if (key, c1, c2) != cell:
-                    if len(ids) > 1 and (out := compare(cell[0], ids, sizes, roots, items)) is not None:
-                        yield out
+                    if len(ids) > 1:
+                        yield from compare(cell[0], ids, sizes, roots, items)
                     cell, ids, sizes, roots, items = (key, c1, c2), [], [], [], []
                 if not ids or ids[-1] != (f1, f2):  # a repeated row brings its set twice
                     ids.append((f1, f2))
                     sizes.append(n)
                     roots.append((r1, r2))
                     items.append(np.frombuffer(data[i].as_py(), dtype=U64))
-        if len(ids) > 1 and (out := compare(cell[0], ids, sizes, roots, items)) is not None:
-            yield out
+        if len(ids) > 1:
+            yield from compare(cell[0], ids, sizes, roots, items)
 
     return dealt.mapInArrow(run, schema)
 
@@ -355,9 +388,9 @@ def _verified(rows: DataFrame, nodes: DataFrame, blocks: DataFrame, k: int, num:
     def verify(key, ids, sizes, roots, sets):
         links = tree_links(sets, num, den)
         if not links:
-            return None
+            return
         a, b = zip(*links)
-        return pa.RecordBatch.from_pydict({
+        yield pa.RecordBatch.from_pydict({
             name: pa.array([ids[i][f] for i in side], pa.int64())
             for name, side, f in (("a1", a, 0), ("a2", a, 1), ("b1", b, 0), ("b2", b, 1))})
 
@@ -389,14 +422,17 @@ def similar_components(rows: DataFrame, nodes: DataFrame, k: int, num: int, den:
     for cap in CAPS:
 
         def meet(key, ids, sizes, roots, bitmaps, cap=cap):
-            pairs, left = open_pairs(ids, sizes, bitmaps, roots, num, den, cap)
-            if not pairs:
-                return None
-            pairs = pairs + [(None, None)] * left
-            return pa.RecordBatch.from_pydict({
-                "key": pa.array([key] * len(pairs), pa.int64()),
-                **{f"{name}{f + 1}": pa.array([None if p[side] is None else ids[p[side]][f] for p in pairs], pa.int64())
-                   for side, name in ((0, "a"), (1, "b")) for f in (0, 1)}})
+            if cap is None:
+                pairs, left = all_open_pairs(ids, sizes, bitmaps, roots, num, den), False
+            else:
+                pairs, left = open_pairs(ids, sizes, bitmaps, roots, num, den, cap)
+                pairs = iter(pairs + [(None, None)] * left)
+            while own := list(islice(pairs, 20_000)):
+                own = [p if p[0] is None or ids[p[0]] < ids[p[1]] else p[::-1] for p in own]
+                yield pa.RecordBatch.from_pydict({
+                    "key": pa.array([key] * len(own), pa.int64()),
+                    **{f"{name}{f + 1}": pa.array([None if p[side] is None else ids[p[side]][f] for p in own], pa.int64())
+                       for side, name in ((0, "a"), (1, "b")) for f in (0, 1)}})
 
         signatures = nodes.select("fp1", "fp2", "n", F.col("bits").alias("items")).join(roots, ["fp1", "fp2"], "left").select(
             "fp1", "fp2", "n", F.coalesce("r1", "fp1").alias("r1"), F.coalesce("r2", "fp2").alias("r2"), "items")
