@@ -17,10 +17,16 @@ import json
 import sys
 
 
+#: Files whose profile is also printed; all are written.
+PRINTED_FILES = 50
+
+
 def _session(args):
-    from lapsewise.session import build_session
+    from lapsewise.session import build_session, use_private_checkpoints
 
-    return build_session(args.master, app_name=f"lapsewise-{args.cmd}")
+    spark = build_session(args.master, app_name=f"lapsewise-{args.cmd}")
+    use_private_checkpoints(spark)
+    return spark
 
 
 def main(argv=None) -> int:
@@ -54,7 +60,18 @@ def main(argv=None) -> int:
     i.add_argument("--max-files", type=int, default=1000)
     args = ap.parse_args(argv)
     spark = _session(args)
+    from lapsewise.session import release_scratch
+
+    try:
+        return _run(spark, args)
+    finally:
+        release_scratch(spark)
+        spark.stop()
+
 
+def _run(spark, args) -> int:
+    """One command; the exit status."""
+    status = 0
     from lapsewise import schemas
     from lapsewise.plans import models, warehouse
 
@@ -62,11 +79,17 @@ def main(argv=None) -> int:
         from lapsewise.operators import textclean
 
         res = textclean.clean_files(spark, args.src, args.out)
-        for r in res["profiles"].drop("_first").collect():
+        report = f"{args.out.rstrip('/')}/profiles"
+        res["profiles"].drop("_first").write.mode("overwrite").option("partitionOverwriteMode", "static").json(report)
+        profiles, empty = spark.read.json(report), res["empty_files"].count()
+        files = profiles.count()
+        summary = {"files": files, "files_without_data": empty, "rejected_rows": res["rejects"].count(), "profiles": report}
+        print(json.dumps(summary))
+        for r in profiles.limit(PRINTED_FILES).collect() if files else []:
             print(json.dumps(r.asDict()))
-        empty = [r._file for r in res["empty_files"].collect()]
-        if empty:
-            print(json.dumps({"files_without_data": empty}))
+        if not files:
+            print("no file holds data", file=sys.stderr)
+            status = 1
     elif args.cmd == "load":
         cal = tuple(args.calendar.split(","))
         pol = tuple(int(x) for x in args.policies.split(","))
@@ -98,7 +121,6 @@ def main(argv=None) -> int:
         rows = Q.run_checks(warehouse.model_tests(provinces), frames).collect()
         for r in rows:
             print(f"{'PASS' if r.failures == 0 else 'FAIL'} {r.test_name} ({r.failures})")
-        spark.stop()
         return 0 if all(r.failures == 0 for r in rows) else 1
     elif args.cmd == "ingest":
         from lapsewise.streaming.ingest import ParquetToCsvIngest
@@ -107,8 +129,7 @@ def main(argv=None) -> int:
             spark, args.src, args.out, args.error, args.audit, args.checkpoint,
             max_files_per_trigger=args.max_files,
         ).run_once()
-    spark.stop()
-    return 0
+    return status
 
 
 if __name__ == "__main__":

@@ -14,6 +14,7 @@ from lapsewise.functions.text import (  # noqa: F401
     field_count,
     is_preamble_line,
     lpad_text,
+    pad_key,
     py_strip,
     split_literal,
 )

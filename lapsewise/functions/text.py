@@ -58,3 +58,9 @@ def is_preamble_line(stripped) -> Column:
 def lpad_text(c, width: int, pad: str = "0") -> Column:
     """SQL ``LPAD``: pads on the left and truncates longer strings."""
     return F.lpad(_col(c).cast("string"), width, pad)
+
+
+def pad_key(c, width: int, pad: str = "0") -> Column:
+    """Pad to at least ``width`` characters; longer keys stay whole."""
+    s = _col(c).cast("string")
+    return F.when(F.length(s) >= width, s).otherwise(F.lpad(s, width, pad))

@@ -30,8 +30,9 @@ def dense_index(
 ) -> DataFrame:
     """Add ``name`` = start, start+1, ... following ``order`` (total order)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # without a number, adaptive execution sizes the ranges from the shuffled bytes
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    ordered = ranged.sortWithinPartitions(*order)
     tagged = materialize(ordered.withColumn("_mid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("_mid"), 33)
     per_part = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_cnt"))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.operators.dedup import first_wins
+from lapsewise.session import materialize
 
 
 def rows_absent(
@@ -30,7 +31,9 @@ def rows_absent(
     if order:
         batch = first_wins(batch, keys, order, drop=drop)
     else:
-        batch = batch.dropDuplicates(keys)
+        # no order given: the least of all columns survives, not an arbitrary row
+        rest = [c for c in batch.columns if c not in keys]
+        batch = first_wins(batch, keys, rest) if rest else batch.dropDuplicates(keys)
     if existing is None:
         return batch
     return batch.join(existing.select(*keys), keys, "left_anti")
@@ -60,18 +63,49 @@ def insert_if_absent(
 ) -> dict[str, int]:
     """Append the absent rows of ``batch`` to the table at ``path``.
 
-    Returns ``{"rows_read": n, "rows_inserted": m}``, observed during the
-    write itself (no second scan).
+    Returns ``{"rows_read": n, "rows_inserted": m}``, observed while the rows
+    are staged and appended (no second scan of the batch).
     """
-    existing = spark.read.format(fmt).load(path) if path_exists(spark, path) else None
-    read_obs, inserted_obs = Observation("rows_read"), Observation("rows_inserted")
+    read_obs = Observation("rows_read")
     batch = batch.observe(read_obs, F.count(F.lit(1)).alias("n"))
+    staged = stage_absent(spark, path, batch, keys, order, drop, fmt)
+    inserted_obs = Observation("rows_inserted")
+    staged.observe(inserted_obs, F.count(F.lit(1)).alias("n")).write.mode("append").format(fmt).save(path)
+    return {"rows_read": read_obs.get["n"], "rows_inserted": inserted_obs.get["n"]}
+
+
+def stage_absent(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str] | None = None,
+    drop: Sequence[str] = (),
+    fmt: str = "parquet",
+) -> DataFrame:
+    """The absent rows of ``batch``, written to the shared work folder.
+
+    A row with a NULL in its key would be absent again on every load; it is
+    refused before anything is appended.
+    """
+    existing = spark.read.format(fmt).load(path) if path_exists(spark, path) else None
     new_rows = rows_absent(batch, existing, keys, order, drop)
     if existing is not None:
         new_rows = new_rows.select(*existing.columns)
-    new_rows = new_rows.observe(inserted_obs, F.count(F.lit(1)).alias("n"))
-    new_rows.write.mode("append").format(fmt).save(path)
-    return {"rows_read": read_obs.get["n"], "rows_inserted": inserted_obs.get["n"]}
+    staged = materialize(new_rows, "staged_rows")
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    if not staged.where(no_key).isEmpty():
+        raise ValueError(f"NULL in the key ({', '.join(keys)}) of rows for {path}")
+    return staged
+
+
+def with_existing(spark: SparkSession, path: str, staged: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """The table at ``path`` as it will be once ``staged`` is appended."""
+    if not path_exists(spark, path):
+        return staged
+    return spark.read.format(fmt).load(path).unionByName(staged)
 
 
 def replace_table(

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapsewise.session import materialize
+
 DEFAULT_BUCKETS = 128
 DEFAULT_ACCURACY = 10000
 
@@ -49,6 +51,9 @@ def group_median(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", probs, accuracy).alias("_bounds"),
     )
+    # written (one row a group): Spark knows the size and joins without shuffling the
+    # values by group as long as the groups are few
+    stats = materialize(stats, "group_stats")
     # null-safe: a NULL group gets a median too (it never matches later)
     bucketed = _join_on_keys(vals, stats, keys, ["_n", "_bounds"]).select(
         *keys,
@@ -93,6 +98,7 @@ def group_median(
         in_bucket(k_lo).alias("_has_lo"),
         in_bucket(k_hi).alias("_has_hi"),
     )
+    targets = materialize(targets, "group_targets")
     candidates = (
         _join_on_keys(
             bucketed.select(*keys, "_b", "_v"),
@@ -150,7 +156,7 @@ def impute_group_median(
     known value and the result stays NULL.  NULL groups never match.
     """
     groups = list(groups)
-    medians = group_median(df, groups, value, name="_median", **median_kwargs)
+    medians = materialize(group_median(df, groups, value, name="_median", **median_kwargs), "group_medians")
     joined = df.join(medians, groups, "left")
     cols = []
     for c in df.columns:

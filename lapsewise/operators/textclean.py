@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lapsewise.functions.text import field_count, is_preamble_line, py_strip, split_literal
 from lapsewise.session import materialize, run_concurrently
-from lapsewise.sources.files import with_file_order
+from lapsewise.sources.files import require_inputs, with_file_order
 
 # Candidate delimiters in priority order, and the fallback.
 CANDIDATE_DELIMITERS = ["|", ",", "\t", ";"]
@@ -74,6 +74,9 @@ def file_profiles(lines: DataFrame) -> DataFrame:
         .agg(F.min(F.struct(_key().alias("k"), F.col("_stripped").alias("s"))).alias("_f"))
         .select("_file", F.col("_f.k").alias("_first"), F.col("_f.s").alias("_line1"))
     )
+    # written (one row a file): its size is known, so the lines are joined to it
+    # where they are, without a shuffle of the text by file
+    first = materialize(first, "first_lines")
     is_data = (_key() >= F.col("_first")) & (F.col("_stripped") != F.lit(""))
     after = (
         lines.join(first, "_file")
@@ -193,20 +196,38 @@ def to_table(clean: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+#: Layouts that are written at a time; each write is one job over its own rows.
+CONCURRENT_LAYOUTS = 4
+
+
+def silent_files(spark: SparkSession, src: str, profiles: DataFrame) -> DataFrame:
+    """Files under ``src`` without a data line, those without any byte included."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(src).select(
+        F.col("path").alias("_file"))
+    return listed.join(profiles.select("_file"), "_file", "left_anti")
+
+
 def clean_files(spark: SparkSession, src: str, out: str) -> dict[str, DataFrame]:
     """Clean every file under ``src``; write CSV with header per source file.
 
-    Output: ``out/<layout>/_source=<file>/part-*.csv`` (one folder per input
+    Output: ``out/layout_<n>/_source=<file>/part-*.csv`` (one folder per input
     file, rows in input order, CSV quoting of Python's csv module: doubled
-    quotes, CRLF line ends).  Returns profiles, rejects and empty files.
+    quotes, CRLF line ends), ``out/rejects`` (rows of the wrong width) and
+    ``out/empty_files``.  A run replaces all of the earlier output, so a file
+    whose layout changed or that is gone leaves nothing behind.  Returns profiles and
+    the written rejects and empty files.  A folder without any file is an error.
     """
+    from lapsewise.operators.loading import hadoop_fs
+
+    require_inputs(spark, [src])
     lines = read_lines(spark, src)
     # one small row per file, reused by every write below: computed once
     profiles = materialize(file_profiles(lines), "file_profiles")
     rows = split_rows(lines, profiles)
     clean = clean_fields(rows)
     # few distinct layouts (one per column count): a tiny collect
-    layouts = [r.columns for r in profiles.select("columns").distinct().collect()]
+    layouts = sorted((r.columns for r in profiles.select("columns").distinct().collect()), key=len)
+    base = out.rstrip("/")
 
     def write_layout(columns):
         table = to_table(clean, columns).withColumnRenamed("_file", "_source")
@@ -214,18 +235,34 @@ def clean_files(spark: SparkSession, src: str, out: str) -> dict[str, DataFrame]
             table.orderBy("_source", "_split", "_pos")
             .drop("_split", "_pos")
             .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
             .option("header", True)
             .option("escape", '"')
             .option("emptyValue", "")
             .option("lineSep", "\r\n")
             .partitionBy("_source")
-            .csv(f"{out.rstrip('/')}/layout_{len(columns)}")
+            .csv(f"{base}/layout_{len(columns)}")
         )
 
-    # independent outputs (one per column layout): written concurrently
-    run_concurrently(*[lambda c=c: write_layout(c) for c in sorted(layouts, key=len)])
+    def write_report(name, df):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{base}/{name}")
+
+    # layouts of earlier runs that no file has now
+    fs, folder = hadoop_fs(spark, base)
+    current = {f"layout_{len(c)}" for c in layouts}
+    if fs.exists(folder):
+        for status in fs.listStatus(folder):
+            name = status.getPath().getName()
+            if name.startswith("layout_") and name not in current:
+                fs.delete(status.getPath(), True)
+    jobs = [lambda c=c: write_layout(c) for c in layouts] + [
+        lambda: write_report("rejects", rejected_rows(rows)),
+        lambda: write_report("empty_files", silent_files(spark, src, profiles)),
+    ]
+    for i in range(0, len(jobs), CONCURRENT_LAYOUTS):
+        run_concurrently(*jobs[i: i + CONCURRENT_LAYOUTS])
     return {
         "profiles": profiles,
-        "rejects": rejected_rows(rows),
-        "empty_files": empty_files(lines, profiles),
+        "rejects": spark.read.parquet(f"{base}/rejects"),
+        "empty_files": spark.read.parquet(f"{base}/empty_files"),
     }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lapsewise.operators.dedup import last_wins
 from lapsewise.operators.loading import path_exists, replace_table
 from lapsewise.plans import models
+from lapsewise.session import materialize
 
 
 BUCKET = "_bucket"
@@ -40,7 +41,9 @@ def upsert(
       read (partition pruning), merged, staged and swapped in, so the cost
       follows the batch, not the table.
 
-    Returns the table without the bucket column.
+    The bucket count is stored beside the table; a later call with another one
+    is refused, as its keys would fall into other buckets.  Returns the table
+    without the bucket column.
     """
     keys = list(keys)
     if buckets is None:
@@ -56,8 +59,10 @@ def upsert(
     def by_bucket(merged: DataFrame, n: int) -> DataFrame:
         # after the merge every key is one row, so hashing buckets to tasks
         # is balanced; one task per bucket writes one file per bucket
-        return merged.repartition(max(1, n), BUCKET)
+        # (ranges of the bucket number: hashing it again would make buckets collide)
+        return merged.repartitionByRange(max(1, n), BUCKET)
 
+    _same_bucket_count(spark, path, buckets)
     if not path_exists(spark, path):
         (
             by_bucket(last_wins(tagged, keys, newest_first), buckets)
@@ -78,12 +83,32 @@ def upsert(
     return spark.read.parquet(path).drop(BUCKET)
 
 
+def _same_bucket_count(spark: SparkSession, path: str, buckets: int) -> None:
+    """Store the bucket count of a new table; refuse another for an existing one."""
+    from lapsewise.operators.loading import hadoop_fs
+
+    note = path.rstrip("/") + "._buckets"
+    fs, p = hadoop_fs(spark, note)
+    if path_exists(spark, path) and fs.exists(p):
+        stored = int(spark.read.text(note).first()[0])
+        if stored != buckets:
+            raise ValueError(f"{path} has {stored} buckets, not {buckets}")
+        return
+    if path_exists(spark, path):
+        raise ValueError(f"{path} has no stored bucket count")
+    spark.createDataFrame([(str(buckets),)], "value string").coalesce(1).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").text(note)
+
+
 def _swap_dir(spark: SparkSession, new: str, target: str) -> None:
     from lapsewise.operators.loading import hadoop_fs
 
     fs, tgt = hadoop_fs(spark, target)
     _, src = hadoop_fs(spark, new)
-    _, old = hadoop_fs(spark, target + "._retired")
+    # outside the table: what a crash leaves there is never read as data
+    table, bucket = target.rsplit("/", 1)
+    _, old = hadoop_fs(spark, f"{table}._retired/{bucket}")
+    fs.mkdirs(old.getParent())
     fs.delete(old, True)
     if fs.exists(tgt) and not fs.rename(tgt, old):
         raise RuntimeError(f"could not retire {target}")
@@ -113,10 +138,11 @@ def refresh_summary(
     their facts are re-read (semi-join on the touched policies' clients);
     untouched clients keep their old rows.
     """
-    touched = (
+    touched = materialize(
         new_rows.select("policy_id").distinct()
         .join(policy.select("policy_id", "client_id"), "policy_id")
-        .select("client_id").distinct()
+        .select("client_id").distinct(),
+        "touched_clients",
     )
     their_policies = policy.join(touched, "client_id", "left_semi")
     their_facts = fact.join(their_policies.select("policy_id"), "policy_id", "left_semi")
@@ -155,7 +181,8 @@ def write_date_partitioned(
     for level in levels:
         laid = laid.withColumn(level, parts[level](F.col(date_col)))
     (
-        laid.repartitionByRange(*levels, date_col)
+        # the row's digest ends the order: one busy day spreads over several tasks
+        laid.repartitionByRange(*levels, date_col, F.xxhash64(*df.columns))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*levels)

@@ -209,7 +209,7 @@ def unified_dataset(
             "premium_amount",
             F.col("status").alias("lapse_status"),
         )
-        .join(F.broadcast(cal), "date_key")
+        .join(cal, "date_key")
         .join(policy_dims, "policy_id")
         .select(
             "client_id",

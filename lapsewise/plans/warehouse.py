@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 
 from lapsewise import schemas
 from lapsewise.functions.dates import date_key, parse_date
-from lapsewise.functions.text import lpad_text
+from lapsewise.functions.text import pad_key
 from lapsewise.operators import quality as Q
 from lapsewise.operators.calendar import dim_date
 from lapsewise.operators.keys import dense_index
-from lapsewise.operators.loading import insert_if_absent, replace_table
+from lapsewise.operators.loading import replace_table, stage_absent, with_existing
 from lapsewise.plans import models
 from lapsewise.session import run_concurrently
 from lapsewise.sources import files
@@ -35,15 +35,17 @@ def policy_bridge(
     prefix: str = "prod_",
     width: int = 3,
     id_col: str = "policy_id",
+    first_client: int = 1,
 ) -> DataFrame:
     """Deterministic policy -> (client, product) assignment by modulo.
 
-    client = (policy mod num_clients) + 1; product = prefix + LPAD((policy mod
-    num_products) + 1, width, '0') (LPAD truncates longer numbers).
+    client = (policy mod num_clients) + first_client; product = prefix +
+    ((policy mod num_products) + 1) padded with zeros to at least ``width``
+    characters (longer numbers stay whole, so ids never merge).
     """
     pid = F.col(id_col).cast("long")
-    client = (F.pmod(pid, F.lit(num_clients)) + 1).cast("long")
-    product = F.concat(F.lit(prefix), lpad_text(F.pmod(pid, F.lit(num_products)) + 1, width))
+    client = (F.pmod(pid, F.lit(num_clients)) + first_client).cast("long")
+    product = F.concat(F.lit(prefix), pad_key(F.pmod(pid, F.lit(num_products)) + 1, width))
     return policy_ids.select(
         pid.alias("policy_id"), client.alias("client_id"), product.alias("product_id")
     )
@@ -88,6 +90,17 @@ def fact_gate(policy: DataFrame, dates: DataFrame):
     return check
 
 
+def dimension_checks(table: str) -> list[Q.Check]:
+    """Key, NOT NULL, length and range checks declared for ``table``."""
+    keys = schemas.PRIMARY_KEYS[table]
+    checks = [c for k in keys for c in Q.primary_key(table, k)]
+    checks += [Q.unique(table, c) for cols in schemas.UNIQUE_KEYS.get(table, []) for c in cols]
+    return checks + [
+        c for c in Q.schema_checks(table, schemas.TABLES[table])
+        if not (c.kind == "not_null" and c.column in keys)
+    ]
+
+
 def load_warehouse(
     spark: SparkSession,
     root: str,
@@ -98,23 +111,42 @@ def load_warehouse(
     policies: tuple[int, int] = (1001, 1100),
     num_clients: int = 8,
     num_products: int = 5,
+    first_client: int = 1,
 ) -> dict[str, str]:
-    """Load the five warehouse tables under ``root``; returns their paths."""
+    """Load the five warehouse tables under ``root``; returns their paths.
+
+    The new rows of all four dimension tables are staged and validated (keys,
+    NOT NULL, lengths, ranges and the policy's foreign keys) before any table
+    is written; a failing row aborts the load.
+    """
     files.require_inputs(spark, [clients_path, products_path, lapses_path])
     paths = {name: f"{root.rstrip('/')}/{name}" for name in schemas.TABLES}
 
     clients = files.read_clients_csv(spark, clients_path)
     products = files.read_products_csv(spark, products_path)
-    bridge = policy_bridge(policy_range(spark, *policies), num_clients, num_products)
-    # the four dimension loads are independent: run them concurrently
-    run_concurrently(
-        lambda: insert_if_absent(spark, paths["dim_clients"], clients, ["client_id"],
-                                 order=FILE_ORDER, drop=FILE_ORDER),
-        lambda: insert_if_absent(spark, paths["dim_products"], products, ["product_id"],
-                                 order=FILE_ORDER, drop=FILE_ORDER),
-        lambda: insert_if_absent(spark, paths["dim_date"], dim_date(spark, *calendar), ["date_key"]),
-        lambda: insert_if_absent(spark, paths["dim_policy"], bridge, ["policy_id"]),
-    )
+    bridge = policy_bridge(policy_range(spark, *policies), num_clients, num_products, first_client=first_client)
+    batches = {
+        "dim_clients": (clients, FILE_ORDER),
+        "dim_products": (products, FILE_ORDER),
+        "dim_date": (dim_date(spark, *calendar), []),
+        "dim_policy": (bridge, []),
+    }
+
+    def stage(name):
+        batch, order = batches[name]
+        return stage_absent(spark, paths[name], batch, schemas.PRIMARY_KEYS[name], order=order, drop=order)
+
+    # the four dimensions are independent until their foreign keys are checked
+    staged = dict(zip(batches, run_concurrently(*[lambda n=n: stage(n) for n in batches])))
+    after = {n: with_existing(spark, paths[n], staged[n]) for n in ("dim_clients", "dim_products")}
+    checks = [c for n in batches for c in dimension_checks(n)] + [
+        Q.relationships("dim_policy", col, f"all_{parent}", pcol)
+        for child, col, parent, pcol in schemas.FOREIGN_KEYS if child == "dim_policy"
+    ]
+    Q.assert_passing(Q.run_checks(checks, {**staged, **{f"all_{n}": df for n, df in after.items()}}))
+    run_concurrently(*[
+        lambda n=n: staged[n].write.mode("append").parquet(paths[n]) for n in batches
+    ])
 
     policy = spark.read.parquet(paths["dim_policy"])
     dates = spark.read.parquet(paths["dim_date"])

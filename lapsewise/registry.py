@@ -80,19 +80,23 @@ dim_patients AS (
   SELECT client_id, income, income_was_imputed, province FROM stg_clients
 )"""
 
-SQL_PRODUCTS = """
+def padded_sql(number: str, width: int = 3) -> str:
+    """Oracle padding: zeros up to ``width`` digits, longer numbers whole."""
+    return f"(repeat('0', greatest(0, {width} - length(CAST(({number}) AS VARCHAR)))) || CAST(({number}) AS VARCHAR))"
+
+
+SQL_PRODUCTS = f"""
 params AS (
-  SELECT count(*) AS np, CAST(greatest(3, length(CAST(count(*) AS VARCHAR))) AS INTEGER) AS w FROM part
+  SELECT count(*) AS np FROM part
 ),
 products AS (
-  SELECT 'prod_' || lpad(CAST(p_partkey + 1 AS VARCHAR), (SELECT w FROM params), '0') AS product_id,
+  SELECT 'prod_' || {padded_sql("p_partkey + 1")} AS product_id,
          p_name AS product_name, p_type AS tier, p_brand AS status
   FROM part
 ),
 policy AS (
   SELECT o_orderkey AS policy_id, o_custkey AS client_id,
-         'prod_' || lpad(CAST((o_orderkey % (SELECT np FROM params)) + 1 AS VARCHAR),
-                         (SELECT w FROM params), '0') AS product_id
+         'prod_' || {padded_sql("(o_orderkey % (SELECT np FROM params)) + 1")} AS product_id
   FROM orders
 )"""
 
@@ -212,18 +216,18 @@ def q_stg_products(spark, sf_dir):
 
 @register(
     "policy_bridge_modulo",
-    """
+    f"""
 WITH params AS (
   SELECT (SELECT count(*) FROM customer) AS nc, (SELECT count(*) FROM part) AS np
 )
 SELECT o_orderkey AS policy_id,
        (o_orderkey % (SELECT nc FROM params)) + 1 AS client_id,
-       'prod_' || lpad(CAST((o_orderkey % (SELECT np FROM params)) + 1 AS VARCHAR), 3, '0') AS product_id
+       'prod_' || {padded_sql("(o_orderkey % (SELECT np FROM params)) + 1")} AS product_id
 FROM orders
 """,
 )
 def q_policy_bridge_modulo(spark, sf_dir):
-    """Modulo policy -> client/product assignment (3-wide, truncating pad)."""
+    """Modulo policy -> client/product assignment (ids of at least 3 digits)."""
     nc = S.table(spark, sf_dir, "customer").count()
     np_ = S.product_count(spark, sf_dir)
     orders = S.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("policy_id"))
@@ -729,12 +733,9 @@ def _text_job(spark, sf_dir):
     return root, lines, profiles, rows
 
 
-SQL_EXPORT_IDS = """
-params AS (
-  SELECT CAST(greatest(3, length(CAST(count(*) AS VARCHAR))) AS INTEGER) AS w FROM part
-),
+SQL_EXPORT_IDS = f"""
 exported AS (
-  SELECT 'prod_' || lpad(CAST(p_partkey + 1 AS VARCHAR), (SELECT w FROM params), '0') AS pid, *
+  SELECT 'prod_' || {padded_sql("p_partkey + 1")} AS pid, *
   FROM part
 )"""
 
@@ -885,7 +886,7 @@ def _write_pipeline_inputs(spark, sf_dir, root):
     run_concurrently(
         lambda: deliver(0),
         lambda: deliver(1),
-        lambda: S.write_text_exports(spark, sf_dir, f"{root}/exports", datasets=("products",)),
+        lambda: S.write_text_exports(spark, sf_dir, f"{root}/exports", datasets=("products",), ragged_lines=False),
         lambda: warehouse.lapse_rows(S.raw_lapses(spark, sf_dir)).select(
             "policy_id", "lapse_date", "premium_amount", "status"
         ).write.mode("overwrite").parquet(f"{root}/lapses"),
@@ -901,14 +902,15 @@ def _write_pipeline_inputs(spark, sf_dir, root):
     "warehouse_pipeline",
     with_(
         SQL_CLIENTS,
-        """
+        f"""
 params AS (
   SELECT (SELECT count(*) FROM customer) AS nc, (SELECT count(*) FROM part) AS np,
-         (SELECT max(o_orderkey) FROM orders) AS last_policy
+         (SELECT max(o_orderkey) FROM orders) AS last_policy,
+         (SELECT min(c_custkey) FROM customer) AS first_client
 ),
 policy AS (
-  SELECT p AS policy_id, (p % (SELECT nc FROM params)) + 1 AS client_id,
-         'prod_' || lpad(CAST((p % (SELECT np FROM params)) + 1 AS VARCHAR), 3, '0') AS product_id
+  SELECT p AS policy_id, (p % (SELECT nc FROM params)) + (SELECT first_client FROM params) AS client_id,
+         'prod_' || {padded_sql("(p % (SELECT np FROM params)) + 1")} AS product_id
   FROM (SELECT unnest(generate_series(0, (SELECT last_policy FROM params))) AS p) s
 )""",
         SQL_LAPSES,
@@ -920,26 +922,243 @@ def q_warehouse_pipeline(spark, sf_dir):
     """Whole pipeline on derived source files: clean the product export,
     load the star schema (dims insert-if-absent, bridge by modulo rule, fact
     with keys behind the FK gate), build the marts, return the summary."""
+    root, paths = _loaded_warehouse(spark, sf_dir)
+    marts = warehouse.build_marts(spark, warehouse.read_warehouse(spark, paths), f"{root}/marts")
+    return spark.read.parquet(marts["fct_patient_claims_summary"])
+
+
+def _loaded_warehouse(spark, sf_dir):
+    """The star schema loaded from derived source files: (root, paths)."""
     from lapsewise.operators import textclean as TC
     from lapsewise.session import scratch_path
 
     root = scratch_path(spark, "pipeline")
     src = _write_pipeline_inputs(spark, sf_dir, root)
     TC.clean_files(spark, src["products_raw"], f"{root}/cleaned")
-    bounds = S.raw_lapses(spark, sf_dir).agg(
-        F.min("lapse_date").cast("date").alias("lo"), F.max("lapse_date").cast("date").alias("hi")
-    ).first()
+    # bounds of the written feeds: the lapses' dates and policies, the clients' ids
+    lapses = spark.read.parquet(src["lapses"]).agg(
+        F.min("lapse_date").cast("date").alias("lo"), F.max("lapse_date").cast("date").alias("hi")).first()
     last_policy = S.table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    clients = S.table(spark, sf_dir, "customer").agg(F.count(F.lit(1)).alias("n"), F.min("c_custkey").alias("first")).first()
     paths = warehouse.load_warehouse(
         spark,
         f"{root}/warehouse",
         src["clients"],
         f"{root}/cleaned/layout_4",
         src["lapses"],
-        calendar=(str(bounds.lo), str(bounds.hi)),
+        calendar=(str(lapses.lo), str(lapses.hi)),
         policies=(0, int(last_policy)),
-        num_clients=S.table(spark, sf_dir, "customer").count(),
+        num_clients=clients.n,
         num_products=S.product_count(spark, sf_dir),
+        first_client=clients["first"],
     )
-    marts = warehouse.build_marts(spark, warehouse.read_warehouse(spark, paths), f"{root}/marts")
-    return spark.read.parquet(marts["fct_patient_claims_summary"])
+    return root, paths
+
+
+# ------------------------------------------- inputs of odd shape, end to end
+
+def _deliver(spark, df, folder, name, files=8):
+    """Write ``df`` as ``files`` Parquet files ``folder/<name>`` ({} is a number);
+    files of these names are replaced."""
+    from lapsewise.operators.loading import hadoop_fs
+    from lapsewise.session import scratch_path
+
+    staging = scratch_path(spark, "delivery")
+    df.repartition(files).write.parquet(staging)
+    fs, src = hadoop_fs(spark, staging)
+    _, target = hadoop_fs(spark, folder)
+    fs.mkdirs(target)
+    parts = sorted(s.getPath().toString() for s in fs.listStatus(src) if s.getPath().getName().startswith("part-"))
+    for i, part in enumerate(parts):
+        _, a = hadoop_fs(spark, part)
+        _, b = hadoop_fs(spark, f"{folder}/{name.format(i)}")
+        fs.delete(b, False)
+        fs.rename(a, b)
+        yield b
+
+
+@register(
+    "ingest_recovery",
+    with_(SQL_LAPSES)
+    + """SELECT policy_id, lapse_date, CAST(premium_amount AS DOUBLE) AS premium_amount, status,
+       CASE WHEN policy_id % 4 = 1 THEN '["' || status || '"]' END AS tags
+FROM lapses""",
+)
+def q_ingest_recovery(spark, sf_dir):
+    """Ingest of files that are old-dated, nested, oddly named, empty, sent again
+    or unreadable: every row of every readable file comes out, in its last version."""
+    from lapsewise.operators.loading import hadoop_fs
+    from lapsewise.session import scratch_path
+    from lapsewise.streaming.ingest import ParquetToCsvIngest
+
+    base = scratch_path(spark, "ingest_recovery")
+    landing = f"{base}/landing"
+    lapses = warehouse.lapse_rows(S.raw_lapses(spark, sf_dir))
+    plain = lapses.select("policy_id", "lapse_date", "premium_amount", "status")
+    group = F.pmod("policy_id", F.lit(4))
+    first = lapses.where((group == 3) & (F.col("_k2") == 1)).select(*plain.columns)
+    list(_deliver(spark, first, f"{landing}/again", "sent-{}.parquet"))
+    fs, p = hadoop_fs(spark, f"{landing}/damaged.parquet")
+    out = fs.create(p, True)
+    out.write(bytearray(b"PAR1 truncated upload"))
+    out.close()
+    list(_deliver(spark, plain.where("false"), landing, "empty.parquet", files=1))
+    list(_deliver(spark, plain.where(group == 1).withColumn("tags", F.array("status")), f"{landing}/nested", "n-{}.parquet"))
+    job = ParquetToCsvIngest(
+        spark, landing, f"{base}/processed", f"{base}/error", f"{base}/audit", f"{base}/_checkpoint")
+    job.run_once()
+    # later arrivals: files that kept an old time, names with glob characters, a re-delivery
+    for path in _deliver(spark, plain.where(group == 0), f"{landing}/old", "o-{}.parquet"):
+        fs.setTimes(path, 86_400_000, 86_400_000)
+    list(_deliver(spark, plain.where(group == 2), f"{landing}/b", "b[{}].parquet"))
+    list(_deliver(spark, plain.where(group == 3), f"{landing}/again", "sent-{}.parquet"))
+    job.run_once()
+    schema = "policy_id long, lapse_date date, premium_amount decimal(10,2), status string, tags string"
+    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(job.output_dir).select(
+        "policy_id", "lapse_date", "premium_amount", "status", "tags")
+
+
+@register(
+    "clients_from_csv",
+    """
+SELECT c_custkey AS client_id, 'The "' || c_name || '", Ltd' AS name,
+       CASE WHEN c_acctbal >= 0 THEN CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE) END AS income,
+       CASE WHEN c_custkey % 7 <> 0 THEN n_name END AS province
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""",
+)
+def q_clients_from_csv(spark, sf_dir):
+    """Client files with reordered columns, doubled quotes and missing-value spellings."""
+    from lapsewise.session import scratch_path
+    from lapsewise.sources import files
+
+    path = scratch_path(spark, "client_csv")
+    records = S.client_records(spark, sf_dir).select(
+        F.coalesce(F.when(F.pmod("client_id", F.lit(7)) != 0, F.col("province")), F.lit("N/A")).alias("province"),
+        F.concat(F.lit('The "'), F.col("name"), F.lit('", Ltd')).alias("name"),
+        F.coalesce(F.col("income").cast("string"), F.lit("#N/A")).alias("income"),
+        "client_id",
+    )
+    records.write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    return files.read_clients_csv(spark, path).select("client_id", "name", "income", "province")
+
+
+SQL_LOADED_CTES = with_(
+    SQL_CLIENTS,
+    f"""
+params AS (
+  SELECT (SELECT count(*) FROM customer) AS nc, (SELECT count(*) FROM part) AS np,
+         (SELECT max(o_orderkey) FROM orders) AS last_policy,
+         (SELECT min(c_custkey) FROM customer) AS first_client
+),
+dim_clients AS (SELECT * FROM dedup),
+dim_products AS (
+  SELECT 'prod_' || {padded_sql("p_partkey + 1")} AS product_id, p_name AS product_name,
+         p_type AS tier, p_brand AS status
+  FROM part
+),
+dim_policy AS (
+  SELECT p AS policy_id, (p % (SELECT nc FROM params)) + (SELECT first_client FROM params) AS client_id,
+         'prod_' || {padded_sql("(p % (SELECT np FROM params)) + 1")} AS product_id
+  FROM (SELECT unnest(generate_series(0, (SELECT last_policy FROM params))) AS p) s
+)""",
+    SQL_LAPSES,
+    SQL_CALENDAR,
+    "fct_health_lapses AS (SELECT * FROM fact)",
+)
+
+
+@register("dq_loaded_warehouse", suite_sql(SQL_LOADED_CTES, WAREHOUSE_CHECKS))
+def q_dq_loaded_warehouse(spark, sf_dir):
+    """Every constraint of the star schema on the tables that the load has written."""
+    from lapsewise.operators import quality as Q
+
+    return Q.run_checks(WAREHOUSE_CHECKS, warehouse.read_warehouse(spark, _loaded_warehouse(spark, sf_dir)[1]))
+
+
+@register(
+    "load_counts",
+    """
+SELECT 1 AS load, (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0) AS rows_read,
+       (SELECT count(DISTINCT o_orderkey) FROM orders WHERE o_orderkey % 2 = 0) AS rows_inserted
+UNION ALL
+SELECT 2, (SELECT count(*) FROM orders),
+       (SELECT count(DISTINCT o_orderkey) FROM orders WHERE o_orderkey % 2 <> 0)""",
+)
+def q_load_counts(spark, sf_dir):
+    """Rows read and inserted by two overlapping loads of the policies."""
+    from lapsewise.operators.loading import insert_if_absent
+    from lapsewise.session import scratch_path
+
+    path = scratch_path(spark, "policies")
+    policy = S.policy(spark, sf_dir)
+    loads = [insert_if_absent(spark, path, batch, ["policy_id"]) for batch in (policy.where("policy_id % 2 = 0"), policy)]
+    return spark.createDataFrame(
+        [(i + 1, c["rows_read"], c["rows_inserted"]) for i, c in enumerate(loads)],
+        "load int, rows_read long, rows_inserted long")
+
+
+@register(
+    "dq_pii_columns",
+    with_(SQL_CLIENTS)
+    + """SELECT 'stg_clients' AS model, 'name' AS column_name, count(name) AS n_values FROM stg_clients
+UNION ALL SELECT 'stg_clients', 'income', count(income) FROM stg_clients
+UNION ALL SELECT 'dim_patients', 'income', count(income) FROM dim_patients""",
+)
+def q_dq_pii_columns(spark, sf_dir):
+    """Columns with a privacy tag in the client models, and how many values they hold."""
+    from lapsewise import schemas
+    from lapsewise.operators import quality as Q
+    from lapsewise.session import materialize
+
+    stg = materialize(models.stg_clients(S.raw_clients(spark, sf_dir), S.CLIENT_ORDER), "stg_clients")
+    found = [
+        df.agg(F.count(c).alias("n_values")).select(F.lit(name).alias("model"), F.lit(c).alias("column_name"), "n_values")
+        for name, df in (("stg_clients", stg), ("dim_patients", models.dim_patients(stg)))
+        for c in Q.pii_leaks(df, schemas.DIM_CLIENTS)
+    ]
+    return Q.union_all(found)
+
+
+@register(
+    "masked_clients",
+    with_(SQL_CLIENTS) + "SELECT client_id, sha256('s1' || name) AS name, CAST(income AS DOUBLE) AS income, province FROM dedup",
+)
+def q_masked_clients(spark, sf_dir):
+    """Clients for non-production use: names as salted digests."""
+    from lapsewise.plans.incremental import mask_columns
+
+    return mask_columns(models.deduplicated_clients(S.raw_clients(spark, sf_dir), S.CLIENT_ORDER), ["name"], "s1")
+
+
+@register(
+    "retained_lapses",
+    with_(SQL_LAPSES)
+    + """SELECT policy_id, lapse_date, CAST(premium_amount AS DOUBLE) AS premium_amount, status FROM lapses
+WHERE lapse_date >= CAST('1998-06-01' AS DATE) - 1000""",
+)
+def q_retained_lapses(spark, sf_dir):
+    """Lapses within 1000 days before a given day."""
+    from lapsewise.plans.incremental import within_retention
+
+    rows = warehouse.lapse_rows(S.raw_lapses(spark, sf_dir)).select("policy_id", "lapse_date", "premium_amount", "status")
+    return within_retention(rows, "lapse_date", 1000, today="1998-06-01")
+
+
+@register(
+    "lapses_by_day",
+    with_(SQL_LAPSES)
+    + """SELECT CAST(year(lapse_date) AS INTEGER) AS year, CAST(month(lapse_date) AS INTEGER) AS month,
+       CAST(day(lapse_date) AS INTEGER) AS day, count(*) AS lapses,
+       CAST(sum(premium_amount) AS DOUBLE) AS premiums
+FROM lapses GROUP BY ALL""",
+)
+def q_lapses_by_day(spark, sf_dir):
+    """Daily totals from the year/month/day folder layout."""
+    from lapsewise.plans.incremental import write_date_partitioned
+    from lapsewise.session import scratch_path
+
+    path = scratch_path(spark, "by_day")
+    rows = warehouse.lapse_rows(S.raw_lapses(spark, sf_dir)).select("policy_id", "lapse_date", "premium_amount", "status")
+    write_date_partitioned(rows, "lapse_date", path, levels=("year", "month"))
+    return spark.read.parquet(path).groupBy("year", "month", F.dayofmonth("lapse_date").alias("day")).agg(
+        F.count(F.lit(1)).alias("lapses"), F.sum("premium_amount").alias("premiums"))

@@ -45,9 +45,8 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, configuring it if needed.
 
-    On a cluster the folder comes from ``spark.checkpoint.dir`` (a shared
-    store such as HDFS or an object store).  Only a local-mode session with
-    no setting at all (unit tests) gets a private temporary folder.
+    The folder comes from ``spark.checkpoint.dir`` (a shared store such as HDFS
+    or an object store); without that setting nothing can be written safely.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,15 +56,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir must name a shared folder on a cluster"
-            )
-        configured = tempfile.mkdtemp(prefix="lapsewise-ckpt-")
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def use_private_checkpoints(spark: SparkSession) -> None:
+    """Give a *local* session without ``spark.checkpoint.dir`` a folder of its own.
+
+    For entry scripts and tests: driver and executors are one process there.
+    """
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or not sc.master.startswith("local["):
+        return
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="lapsewise-ckpt-"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location.
 
@@ -101,10 +107,6 @@ def local_path(path: str) -> str:
     return path
 
 
-def ensure_parent(path: str) -> None:
-    os.makedirs(os.path.dirname(local_path(path)), exist_ok=True)
-
-
 def release_scratch(spark: SparkSession) -> None:
     """Delete this session's work tables (under its own checkpoint folder).
 

@@ -52,21 +52,40 @@ def _na_to_null(c: str) -> F.Column:
     return F.when(v.isin(*NA_SPELLINGS), F.lit(None)).otherwise(F.col(c))
 
 
-def read_clients_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_named_csv(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = False) -> DataFrame:
+    """CSV files with a header -> ``columns`` by *name*, whatever their order.
+
+    Doubled quotes inside a quoted field are one quote; the NA spellings are
+    NULL in every column.  All files under ``path`` must share one header: a file
+    with another one raises instead of being read by position.  ``multi_line``
+    admits line breaks inside quoted fields; such files cannot be split, so one file
+    is one task.
+    """
+    reader = (
+        spark.read.option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
+    )
+    df = reader.csv(path)
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)} in the header")
+    df = with_file_order(df)
+    return df.select(*[_na_to_null(c).alias(c) for c in columns], "_file", "_split", "_pos")
+
+
+def read_clients_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Client file with header -> typed rows plus physical order columns.
 
     Unparseable ids or incomes raise (ANSI casts), as a typed insert would.
     """
-    raw = with_file_order(
-        spark.read.schema(schemas.RAW_CLIENTS_CSV)
-        .option("header", True)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
+    raw = read_named_csv(spark, path, schemas.RAW_CLIENTS_CSV.fieldNames(), multi_line)
     return raw.select(
-        _na_to_null("client_id").cast("long").alias("client_id"),
+        F.col("client_id").cast("long").alias("client_id"),
         F.col("name"),
-        _na_to_null("income").cast(schemas.MONEY_12_2).alias("income"),
+        F.col("income").cast(schemas.MONEY_12_2).alias("income"),
         F.col("province"),
         "_file",
         "_split",
@@ -74,16 +93,9 @@ def read_clients_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_products_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_products_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Cleaned product CSV (header) with physical order columns."""
-    raw = with_file_order(
-        spark.read.schema(schemas.PRODUCTS_CSV)
-        .option("header", True)
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
-    return raw.select(*schemas.PRODUCTS_CSV.fieldNames(), "_file", "_split", "_pos")
+    return read_named_csv(spark, path, schemas.PRODUCTS_CSV.fieldNames(), multi_line)
 
 
 def read_lapses_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise import schemas
-from lapsewise.functions.text import lpad_text
+from lapsewise.functions.text import pad_key
 
 # Lapse status for each return flag of the stand-in fact.
 STATUS_BY_FLAG = {"R": "Lapsed", "A": "Active", "N": "Pending"}
@@ -72,17 +72,14 @@ def product_count(spark: SparkSession, sf_dir: str) -> int:
     return _PRODUCT_COUNTS[key]
 
 
-def product_key_width(n_products: int) -> int:
-    return max(3, len(str(n_products)))
+# Product ids are padded to at least this many digits, whatever their number.
+PRODUCT_KEY_WIDTH = 3
 
 
-def products(spark: SparkSession, sf_dir: str, n_products: int | None = None) -> DataFrame:
-    n = n_products or product_count(spark, sf_dir)
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(
-        F.concat(F.lit("prod_"), lpad_text(F.col("p_partkey") + 1, product_key_width(n))).alias(
-            "product_id"
-        ),
+        F.concat(F.lit("prod_"), pad_key(F.col("p_partkey") + 1, PRODUCT_KEY_WIDTH)).alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("tier"),
         F.col("p_brand").alias("status"),
@@ -93,7 +90,7 @@ def policy(spark: SparkSession, sf_dir: str, n_products: int | None = None) -> D
     n = n_products or product_count(spark, sf_dir)
     o = table(spark, sf_dir, "orders")
     product = F.concat(
-        F.lit("prod_"), lpad_text(F.pmod(F.col("o_orderkey"), F.lit(n)) + 1, product_key_width(n))
+        F.lit("prod_"), pad_key(F.pmod(F.col("o_orderkey"), F.lit(n)) + 1, PRODUCT_KEY_WIDTH)
     )
     return o.select(
         F.col("o_orderkey").alias("policy_id"),
@@ -165,11 +162,14 @@ def write_text_exports(
     sf_dir: str,
     root: str,
     datasets: tuple[str, ...] = ("products", "suppliers", "customers"),
+    ragged_lines: bool = True,
 ) -> dict[str, str]:
-    """Write the exports named in ``datasets`` under ``root``; returns their folders."""
-    n = product_count(spark, sf_dir)
+    """Write the exports named in ``datasets`` under ``root``; returns their folders.
+
+    With ``ragged_lines`` some product lines have a field too many.
+    """
     part = table(spark, sf_dir, "part")
-    pid = F.concat(F.lit("prod_"), lpad_text(F.col("p_partkey") + 1, product_key_width(n)))
+    pid = F.concat(F.lit("prod_"), pad_key(F.col("p_partkey") + 1, PRODUCT_KEY_WIDTH))
     shown_id = F.when(F.col("p_size") > 25, F.upper(pid)).otherwise(pid)
     body = F.concat_ws(
         "|",
@@ -178,7 +178,7 @@ def write_text_exports(
         F.concat(F.lit(" "), F.col("p_type")),
         F.concat(F.col("p_brand"), F.lit(" ")),
     )
-    ragged = F.col("p_size") > 45
+    ragged = (F.col("p_size") > 45) & F.lit(ragged_lines)
     products_lines = part.select(
         F.when(ragged, F.concat(body, F.lit(RAGGED_SUFFIX))).otherwise(body).alias("value"),
         ragged.alias("_ragged"),

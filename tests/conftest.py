@@ -9,10 +9,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from lapsewise.session import build_session, checkpoint_dir
+    from lapsewise.session import build_session, use_private_checkpoints
 
     s = build_session("local[4]", app_name="lapsewise-tests", shuffle_partitions=4)
-    checkpoint_dir(s)
+    use_private_checkpoints(s)
     yield s
     s.stop()
 
