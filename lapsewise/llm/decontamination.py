@@ -149,8 +149,8 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
     """Pairs of documents and benchmark items they contain.
 
     Returns doc_id, h (digest of the text), item_id, n_matched and n_windows
-    (distinct windows of the item), verbatim (all slots equal), start (token at which
-    the best alignment begins).  A pair is returned if at least ``coverage`` of
+    (distinct windows of the item), verbatim (all slots equal), start (token of the
+    document at which the item's first one stands in the best alignment).  A pair is returned if at least ``coverage`` of
     the item's windows occur in the document and the slots are consistent.  Null or
     empty texts have no windows; items without a window (only slots, or no text) are never
     found; null ids are kept; rows that repeat id and text give one pair; either
@@ -184,7 +184,8 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
         (F.broadcast(held) if small(held, limit) else held).alias("c"), F.expr(cond)).select(
         "p.*", (F.col("p.pos") - F.col("p.item_pos")).alias("shift"))
     by = item + ["shift"]
-    along = close.groupBy(*by).agg(F.countDistinct("item_pos").alias("n"), F.min("pos").alias("start"))
+    along = close.groupBy(*by).agg(F.countDistinct("item_pos").alias("n")).withColumn(
+        "start", F.greatest(F.lit(0), F.col("shift")))
     best = along.withColumn("r", F.row_number().over(Window.partitionBy(*item).orderBy(F.desc("n"), "shift"))).where(
         "r = 1").drop("r", "n")
     slots = close.where("size(slots) > 0").select(*by, F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select(
