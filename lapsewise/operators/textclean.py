@@ -207,8 +207,14 @@ def silent_files(spark: SparkSession, src: str, profiles: DataFrame) -> DataFram
     makes for it anyway.
     """
     names = spark.read.option("recursiveFileLookup", "true").text(src).inputFiles()
-    listed = spark.createDataFrame([(n,) for n in names], "_file string")
-    return listed.join(profiles.select("_file"), "_file", "left_anti")
+    listed = spark.createDataFrame([(n,) for n in names], "_file string").withColumn("_k", _path_key("_file"))
+    told = profiles.select(_path_key("_file").alias("_k"))
+    return listed.join(told, "_k", "left_anti").drop("_k")
+
+
+def _path_key(c: str):
+    """A file name whatever the number of slashes after its scheme."""
+    return F.regexp_replace(F.col(c), "^([A-Za-z0-9+.-]+):/+", "$1:/")
 
 
 def clean_files(spark: SparkSession, src: str, out: str) -> dict[str, DataFrame]:

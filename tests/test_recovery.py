@@ -174,7 +174,7 @@ def test_cleaning_again_leaves_nothing_behind(spark, workdir):
     assert sorted(os.path.basename(r._file) for r in res["empty_files"].collect()) == ["none.txt", "preamble.txt"]
     assert os.path.isdir(f"{out}/layout_3")
     with open(f"{src}/a.txt", "w") as f:
-        f.write("1|x|y|z\n")
+        f.write("1|x|y|z\n2|x|y|z\n")
     os.remove(f"{src}/b.txt")
     textclean.clean_files(spark, src, out)
     assert not os.path.exists(f"{out}/layout_3") and os.path.isdir(f"{out}/layout_4")
