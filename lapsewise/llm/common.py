@@ -7,11 +7,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapsewise.session import materialize, ship_package
+from lapsewise.session import materialize as write_table
+from lapsewise.session import ship_package
 
 #: Bytes of text handled at once inside a task; bounds a task's temporaries.
 SLICE_BYTES = 1 << 20
@@ -62,22 +63,35 @@ def map_text(df: DataFrame, kernel: Callable, schema: str, column: str = "text")
     return df.mapInArrow(run, schema)
 
 
-def table_bytes(df: DataFrame) -> int:
-    """Bytes of a written table's rows in memory, counted over all of them."""
+def _row_bytes(df: DataFrame):
+    """Bytes of a row in memory, about."""
     wide = F.lit(8 * (len(df.columns) + 2))
     for f in df.schema.fields:
+        name = f"`{f.name}`"
         if isinstance(f.dataType, T.ArrayType):
-            wide = wide + 8 + 8 * F.greatest(F.lit(0), F.coalesce(F.size(f.name), F.lit(0)))
+            wide = wide + 8 + 8 * F.greatest(F.lit(0), F.coalesce(F.size(name), F.lit(0)))
         elif isinstance(f.dataType, T.StructType):
             wide = wide + 8 * (1 + len(f.dataType.fields))
         elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            wide = wide + F.coalesce(F.octet_length(f.name), F.lit(0))
-    return int(df.agg(F.sum(wide.cast("long"))).first()[0] or 0)
+            wide = wide + F.coalesce(F.octet_length(name), F.lit(0))
+    return wide.cast("long")
 
 
-def small(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether a written table may be broadcast: its counted bytes are within the limit."""
-    return table_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """``df`` written to the shared folder and read back; its rows and bytes are
+    counted in the same pass (see ``small``)."""
+    seen = Observation()
+    table = write_table(df.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")), name)
+    got = seen.get
+    table.counted_rows, table.counted_bytes = int(got["rows"]), int(got["bytes"] or 0)
+    return table
+
+
+def small(table: DataFrame, limit: int | None = None, row_bytes: int | None = None) -> bool:
+    """Whether a materialized table may be broadcast: its counted bytes (or its rows
+    times ``row_bytes``) are within the limit."""
+    size = table.counted_bytes if row_bytes is None else table.counted_rows * row_bytes
+    return size <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def longs(df: DataFrame, column: str) -> np.ndarray:
@@ -98,12 +112,13 @@ def member(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left", limit: int | None = None) -> DataFrame:
     """Null-safe equi-join of ``left`` to a written table: broadcast if its
     counted size is within the limit, else a shuffle join."""
+    fits = small(right, limit)
     right = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
     cond = None
     for k in keys:
         one = left[k].eqNullSafe(F.col(f"_r_{k}"))
         cond = one if cond is None else cond & one
-    if small(right, limit):
+    if fits:
         right = F.broadcast(right)
     joined = left.join(right, cond, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_r_{k}" for k in keys])

@@ -160,10 +160,10 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
     wanted = materialize(_windows(item_rows, width, literals).select(
         F.col("doc_id").alias("item_id"), F.col("h").alias("item_h"), F.col("pos").alias("item_pos"), "w",
         F.col("slots").alias("item_slots")).distinct(), "item_windows")
-    sizes = wanted.groupBy("item_id", "item_h").agg(F.countDistinct("w").alias("n_windows"))
+    sizes = materialize(wanted.groupBy("item_id", "item_h").agg(F.countDistinct("w").alias("n_windows")), "item_sizes")
     hashes = materialize(wanted.select("w").distinct(), "item_hashes")
     rows = keyed(docs, id_col, text_col)
-    if small(hashes, LONGS_BYTES if limit is None else limit):
+    if small(hashes, LONGS_BYTES if limit is None else limit, row_bytes=8):
         known = docs.sparkSession.sparkContext.broadcast(longs(hashes, "w"))
         found = _windows(rows, width, literals, known)
     else:

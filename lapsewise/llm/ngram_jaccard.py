@@ -13,10 +13,10 @@ the OR- and the AND-combined token bitmaps and the size range of its members.
 The traversal of pairs of tree nodes drops a pair when the largest possible
 overlap of any two members is too small for the threshold, or when the
 members are of one component already.  Pairs that are left are verified on
-the exact sets.  To send sets to few blocks, a first round verifies the blocks of each
-prefix's first shingle; later rounds look, by signatures, for pairs that could still
-join components, verify some and come back to blocks where more are left.  The
-last round leaves none.
+the exact sets.  To send few sets, this goes in rounds: a round names, by signatures,
+pairs that could join components (at first one for two components of a block, with
+the same leading member in blocks of much the same members), verifies them, and
+comes back to the blocks where more pairs are left.  The last round leaves none.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ BLOCK_MEMBERS = 2000
 LEAF = 32
 #: Pairs that two components are tried on in a block, round by round; the last
 #: round takes all that are left.
-CAPS = (1, 8, 64, None)
+CAPS = (1, 16, None)
 
 
 def shingle_sets(words: WordBatch, k: int) -> list[np.ndarray]:
@@ -317,14 +317,15 @@ def tree_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
     return links
 
 
-def _blocks(members: DataFrame, limit: int | None) -> DataFrame:
-    """(key, fp1, fp2, members): blocks of two or more members, one of each
-    set of blocks with equal members."""
-    kept = materialize(
-        members.groupBy("key").agg(
-            F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("fp1", "fp2")).alias("x1"),
-            F.bit_xor(F.xxhash64("fp2", "fp1")).alias("x2")).where("members > 1")
-        .groupBy("members", "x1", "x2").agg(F.min("key").alias("key")).select("key", "members"), "kept_blocks")
+def _blocks(members: DataFrame, limit: int | None, alike: bool = True) -> DataFrame:
+    """(key, fp1, fp2, members): blocks of two or more members; if ``alike``, one of
+    each set of blocks with equal members."""
+    kept = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("fp1", "fp2")).alias("x1"),
+        F.bit_xor(F.xxhash64("fp2", "fp1")).alias("x2")).where("members > 1")
+    if alike:
+        kept = kept.groupBy("members", "x1", "x2").agg(F.min("key").alias("key"))
+    kept = materialize(kept.select("key", "members"), "kept_blocks")
     return materialize(members.join(F.broadcast(kept) if small(kept, limit) else kept, "key"), "blocks")
 
 
@@ -370,7 +371,7 @@ def _each_cell(dealt: DataFrame, compare, schema: str) -> DataFrame:
 def _verified(rows: DataFrame, nodes: DataFrame, blocks: DataFrame, k: int, num: int, den: int, limit: int | None) -> DataFrame:
     """(a1, a2, b1, b2): links inside ``blocks``, on the exact sets of their members."""
     reps = materialize(
-        nodes.join(blocks.select("fp1", "fp2").distinct(), ["fp1", "fp2"], "left_semi")
+        nodes.select("fp1", "fp2", "rep").join(blocks.select("fp1", "fp2"), ["fp1", "fp2"], "left_semi")
         .select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.h").alias("h")), "candidates")
 
     def kernel(batch):
@@ -409,16 +410,12 @@ def similar_components(rows: DataFrame, nodes: DataFrame, k: int, num: int, den:
     # similar sets are of the same band of sizes or of neighbouring ones
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(max(math.log(den / num), 1e-3) * 1.000001)).cast("int")
     keys = F.explode(F.array(F.xxhash64("token", band), F.xxhash64("token", band + 1))).alias("key")
-    # first round: blocks of the first token of every prefix; most similar sets meet here
-    first = nodes.select("fp1", "fp2", "n", F.get("tokens", F.lit(0)).alias("token")).select("fp1", "fp2", keys)
-    links = _verified(rows, nodes, _blocks(first, limit), k, num, den, limit)
-    roots = materialize(_roots(links), "roots")
-    # then all blocks, for members whose signatures allow a link to another component
     spread = nodes.select("fp1", "fp2", "n", F.explode("tokens").alias("token"))
     shared = materialize(spread.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared_shingles")
     shared = F.broadcast(shared) if small(shared, limit) else shared
     banded = materialize(spread.join(shared, "token", "left_semi").select("fp1", "fp2", keys), "banded")
     blocks = _blocks(banded, limit)
+    links, roots = None, None
     for cap in CAPS:
 
         def meet(key, ids, sizes, roots, bitmaps, cap=cap):
@@ -434,19 +431,25 @@ def similar_components(rows: DataFrame, nodes: DataFrame, k: int, num: int, den:
                     **{f"{name}{f + 1}": pa.array([None if p[side] is None else ids[p[side]][f] for p in own], pa.int64())
                        for side, name in ((0, "a"), (1, "b")) for f in (0, 1)}})
 
-        signatures = nodes.select("fp1", "fp2", "n", F.col("bits").alias("items")).join(roots, ["fp1", "fp2"], "left").select(
-            "fp1", "fp2", "n", F.coalesce("r1", "fp1").alias("r1"), F.coalesce("r2", "fp2").alias("r2"), "items")
+        signatures = nodes.select("fp1", "fp2", "n", F.col("bits").alias("items"))
+        if roots is None:
+            signatures = signatures.select("*", F.col("fp1").alias("r1"), F.col("fp2").alias("r2"))
+        else:
+            known = F.broadcast(roots) if small(roots, limit) else roots
+            signatures = signatures.join(known, ["fp1", "fp2"], "left").select(
+                "fp1", "fp2", "n", F.coalesce("r1", "fp1").alias("r1"), F.coalesce("r2", "fp2").alias("r2"), "items")
         met = materialize(_each_cell(_cells(blocks, signatures), meet, "key long, a1 long, a2 long, b1 long, b2 long"), "open_pairs")
         pairs = met.where("a1 IS NOT NULL").select("a1", "a2", "b1", "b2").distinct()
         pairs = pairs.select(F.xxhash64("a1", "a2").alias("key"), "a1", "a2", "b1", "b2")
         members = pairs.select("key", F.col("a1").alias("fp1"), F.col("a2").alias("fp2")).unionByName(
             pairs.select("key", F.col("b1").alias("fp1"), F.col("b2").alias("fp2"))).distinct()
-        links = links.unionByName(_verified(rows, nodes, _blocks(materialize(members, "open"), limit), k, num, den, limit))
+        found = _verified(rows, nodes, _blocks(materialize(members, "open"), limit, alike=False), k, num, den, limit)
+        links = found if links is None else links.unionByName(found)
         roots = materialize(_roots(links), "roots")
-        rest = met.where("a1 IS NULL").select("key").distinct()
-        if rest.isEmpty():
+        rest = materialize(met.where("a1 IS NULL").select("key").distinct(), "open_keys")
+        if not rest.counted_rows:
             break
-        blocks = materialize(blocks.join(rest, "key", "left_semi"), "open_blocks")
+        blocks = materialize(blocks.join(F.broadcast(rest) if small(rest, limit) else rest, "key", "left_semi"), "open_blocks")
     return roots
 
 
@@ -469,10 +472,11 @@ def similarity_components(docs: DataFrame, k: int = 5, num: int = 80, den: int =
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("rep"),
         F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("bits").alias("bits"),
         F.first("tokens").alias("tokens")), "nodes")
-    roots = similar_components(rows, nodes, k, num, den, limit).select("fp1", "fp2", F.struct(
-        F.col("r1").alias("fp1"), F.col("r2").alias("fp2")).alias("root"))
+    found = similar_components(rows, nodes, k, num, den, limit)
+    roots = found.select("fp1", "fp2", F.struct(F.col("r1").alias("fp1"), F.col("r2").alias("fp2")).alias("root"))
+    roots = F.broadcast(roots) if small(found, limit) else roots
     # only sets with copies or links differ from "a component of its own"
-    linked = (nodes.join(roots, ["fp1", "fp2"], "left")
+    linked = (nodes.select("fp1", "fp2", "rep", "copies").join(roots, ["fp1", "fp2"], "left")
               .where("root IS NOT NULL OR copies > 1")
               .select("fp1", "fp2", "rep", F.coalesce("root", F.struct("fp1", "fp2")).alias("root")))
     linked = materialize(linked, "linked")

@@ -182,6 +182,7 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
     sums = [F.sum(_probability(F.col(t))).alias(f"{t}_s") for t in TARGETS]
     paths = materialize(scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), *sums), "path_sums")
     hosts = materialize(paths.groupBy("host").agg(F.sum("n").alias("n"), *[F.sum(f"{t}_s").alias(f"{t}_s") for t in TARGETS]), "host_sums")
+    few = small(hosts)
     whole = hosts.agg(F.sum("n").alias("n"), *[F.sum(f"{t}_s").alias(f"{t}_s") for t in TARGETS]).first()
     total = whole["n"] or 0
     for t in TARGETS:
@@ -196,7 +197,7 @@ def site_posteriors(scored: DataFrame) -> DataFrame:
         k = weight(hosts, F.lit(rate))
         hosts = hosts.withColumn(f"{t}_rate", (F.col(f"{t}_s") + F.lit(k * rate)) / (F.col("n") + F.lit(k)))
         parents = hosts.select(F.col("host").alias("_host"), F.col(f"{t}_rate").alias("_rate"))
-        parents = F.broadcast(parents) if small(hosts) else parents
+        parents = F.broadcast(parents) if few else parents
         paths = paths.join(parents, F.col("host").eqNullSafe(F.col("_host")))
         k = weight(paths, F.col("_rate"))
         rate_of_path = (F.col(f"{t}_s") + F.lit(k) * F.col("_rate")) / (F.col("n") + F.lit(k))

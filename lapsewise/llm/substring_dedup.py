@@ -146,7 +146,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW_WORDS, seed: int = SEED
         anchors(rows, window, seed).groupBy("seed")
         .agg(F.count(F.lit(1)).alias("n"), F.min("ctx").alias("a"), F.max("ctx").alias("b"))
         .where("n > 1").select("seed", (F.col("a") == F.col("b")).alias("whole")), "shared_anchors")
-    if small(shared.select("seed"), LONGS_BYTES if limit is None else limit):
+    if small(shared, LONGS_BYTES if limit is None else limit, row_bytes=8):
         sc = docs.sparkSession.sparkContext
         held = [sc.broadcast(longs(shared.where(F.col("whole") == w), "seed")) for w in (True, False)]
         found = _extended(rows, window, seed, *held)
