@@ -10,16 +10,16 @@ to the library whole.
 from __future__ import annotations
 
 import os
-import re
+import string
 
 import numpy as np
 
 #: Pieces that a worker remembers before it starts over; bounds its memory.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 500_000
 CACHE_IDS = 1 << 23
+#: Pieces that the library gets as one text.
+LINES = 64
 
-_ODD_SPACE = re.compile(
-    "[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]|[ \n][ \n]|^[ \n]|[ \n]\\Z")
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -38,6 +38,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # the same ids without character offsets, where the library has it
+        self._batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.clear()
 
     def clear(self) -> None:
@@ -48,52 +51,104 @@ class Encoder:
         self.used = 0
 
     def _learn(self, pieces: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        # many pieces in one text, a line each: a line break is a token of its own
+        # wherever it stands between two pieces, and no piece holds one
+        spelled = [p[1:] if p[0] == "\r" else " " + p for p in pieces]
+        joined = ["\n".join(spelled[i: i + LINES]) for i in range(0, len(spelled), LINES)]
+        ids = [np.array([*e.ids, self.line_break], dtype=np.uint32)
+               for e in self._batch(joined, add_special_tokens=False)]
+        flat = np.concatenate(ids)
+        ends = np.flatnonzero(flat == self.line_break)
+        sizes = np.diff(np.r_[-1, ends]) - 1
+        flat = np.delete(flat, ends)
+        self._store(pieces, sizes, flat)
+
+    def _store(self, pieces: list[str], sizes: np.ndarray, flat: np.ndarray) -> None:
         n, total = len(self.index), int(sizes.sum())
-        while n + len(ids) > len(self.begin):
+        while n + len(sizes) > len(self.begin):
             self.begin, self.size = np.r_[self.begin, self.begin * 0], np.r_[self.size, self.size * 0]
         while self.used + total > len(self.flat):
             self.flat = np.r_[self.flat, self.flat * 0]
-        self.size[n: n + len(ids)] = sizes
-        self.begin[n: n + len(ids)] = self.used + np.cumsum(sizes) - sizes
-        self.flat[self.used: self.used + total] = np.fromiter((i for one in ids for i in one), dtype=np.uint32, count=total)
+        self.size[n: n + len(sizes)] = sizes
+        self.begin[n: n + len(sizes)] = self.used + np.cumsum(sizes) - sizes
+        self.flat[self.used: self.used + total] = flat
         self.used += total
-        self.index.update(zip(pieces, range(n, n + len(ids))))
+        self.index.update(zip(pieces, range(n, n + len(sizes))))
+
+    def _learn_words(self, words: set[str]) -> None:
+        """New pieces; a word and the marks after it are tokens apart, so that a word
+        is encoded once whatever follows it, and a line break is one before it."""
+        heads = [(w, "\n", "\r" + w[1:]) for w in words if w[0] == "\n"]
+        words = {w for w in words if w[0] != "\n"} | {h for _, _, h in heads}.difference(self.index)
+        parts, joint = set(), []
+        for word in words:
+            core = word.rstrip(string.punctuation)
+            if len(core) != len(word) and core.lstrip("\r").isalpha():
+                tail = "\r" + word[len(core):]
+                parts.update((core, tail))
+                joint.append((word, core, tail))
+            else:
+                parts.add(word)
+        if new := list(parts.difference(self.index)):
+            self._learn(new)
+        for pairs in (joint, heads):
+            if pairs:
+                both = np.fromiter((self.index[x] for _, a, b in pairs for x in (a, b)), dtype=np.int64, count=2 * len(pairs))
+                size = self.size[both]
+                ends = np.cumsum(size)
+                flat = self.flat[np.repeat(self.begin[both] - ends + size, size) + np.arange(int(ends[-1]))]
+                self._store([w for w, _, _ in pairs], size[::2] + size[1::2], flat)
+
+    def _learn_whole(self, text: str) -> None:
+        """A text with other white space (marked by a leading "\\v"), as one piece."""
+        ids = self.tokenizer.encode(text.removeprefix("\v"), add_special_tokens=False).ids
+        n = len(self.index)
+        if n == len(self.begin):
+            self.begin, self.size = np.r_[self.begin, self.begin * 0], np.r_[self.size, self.size * 0]
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.r_[self.flat, self.flat * 0]
+        self.begin[n], self.size[n] = self.used, len(ids)
+        self.flat[self.used: self.used + len(ids)] = ids
+        self.used += len(ids)
+        self.index[text] = n
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` after each other, and the border of each text."""
         pieces: list[str] = []
         counts = []
+        whole = set()
         for text in texts:
             before = len(pieces)
             if text:
-                if _ODD_SPACE.search(text):
-                    pieces.append(text)
+                if " ".join(text.split()) != text.replace("\n", " "):
+                    pieces.append("\v" + text)
+                    whole.add("\v" + text)
                 else:
-                    first = True
+                    # "word" stands for the word after a space, "\\rword" for one at the
+                    # text's start, "\\nword" for one after a line break
+                    mark = "\r"
                     for line in text.split("\n"):
-                        if not first:
-                            pieces.append("\n")
-                        first = False
-                        head, *rest = line.split(" ")
-                        pieces.append(head)
-                        pieces += [" " + w for w in rest]
+                        words = line.split(" ")
+                        words[0] = mark + words[0]
+                        pieces += words
+                        mark = "\n"
             counts.append(len(pieces) - before)
-        fresh = list(set(pieces).difference(self.index))
-        if fresh:
-            if len(self.index) + len(fresh) > CACHE_PIECES:
-                self.clear()
-                fresh = list(set(pieces))
-            self._learn(fresh)
+        distinct = set(pieces)
+        fresh = distinct.difference(self.index)
+        if len(self.index) + len(fresh) > CACHE_PIECES or len(self.flat) > CACHE_IDS:
+            self.clear()  # what is remembered stays bounded
+            fresh = distinct
+        if "\n" not in self.index:
+            self._learn_whole("\n")
+        self._learn_words(fresh.difference(whole))
+        for text in fresh.intersection(whole):
+            self._learn_whole(text)
         at = np.fromiter(map(self.index.__getitem__, pieces), dtype=np.int64, count=len(pieces))
         size = self.size[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
         ids = self.flat[np.repeat(self.begin[at] - ends + size, size) + np.arange(total)]
         borders = np.r_[0, ends][np.r_[0, np.cumsum(counts, dtype=np.int64)]] if counts else np.zeros(1, np.int64)
-        if len(self.flat) > CACHE_IDS:  # long pieces are not worth remembering
-            self.clear()
         return ids, borders
 
 
