@@ -84,6 +84,15 @@ def test_ngram_jaccard_of_large_blocks(make_docs, monkeypatch):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows, 3, 70, 100)
 
 
+@pytest.mark.parametrize("caps", [(None,), (1, None)])
+def test_ngram_jaccard_rounds(make_docs, corpus, monkeypatch, caps):
+    """Whatever the rounds, the last one leaves no pair."""
+    monkeypatch.setattr(ngram_jaccard, "CAPS", caps)
+    rows = [r for r in corpus if r[0] is not None and (r[0] < 20 or 200 <= r[0] < 230)]
+    got = ngram_jaccard.similarity_components(make_docs(rows), k=2, num=60, den=100).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows, 2, 60, 100)
+
+
 def test_keep_one_of_each_group(make_docs, corpus):
     docs = make_docs(corpus)
     kept = ngram_jaccard.keep_one(docs, k=5, num=80, den=100)
