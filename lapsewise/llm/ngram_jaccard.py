@@ -39,6 +39,8 @@ ORDER_SAMPLE = 4000
 #: Members of a block that one task compares; larger blocks are dealt in chunks.
 BLOCK_MEMBERS = 2000
 LEAF = 32
+#: Shared shingles and blocks are broadcast up to this only; they soon outgrow it.
+TOKEN_BROADCAST = 1 << 20
 #: Pairs that two components are tried on in a block, round by round; the last
 #: round takes all that are left.
 CAPS = (1, 16, None)
@@ -224,7 +226,7 @@ def partners(tree: SignatureTree, i: int, num: int, den: int) -> np.ndarray:
     return found[found != i]
 
 
-def open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots: list, num: int, den: int, cap: int):
+def open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots: list, num: int, den: int, cap: int, owned):
     """Pairs of members of different components that may be similar by their
     signatures, and whether others are left for a later round.
 
@@ -256,6 +258,8 @@ def open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots: li
         own = partners(tree, i, num, den)
         own = own[component[own] != component[i]]
         for j in sorted((j for j in own.tolist() if ids[order[j]] > ids[order[i]]), key=lambda j: ids[order[j]]):
+            if not owned(order[i], order[j]):
+                continue
             p, q = find(int(component[i])), find(int(component[j]))
             if p == q:
                 left = True
@@ -269,8 +273,8 @@ def open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots: li
     return taken, left
 
 
-def all_open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots: list, num: int, den: int):
-    """Every pair of members of different components that may be similar."""
+def all_open_pairs(sizes: list[int], bitmaps: list[np.ndarray], roots: list, num: int, den: int, owned):
+    """Every owned pair of members of different components that may be similar."""
     tree = SignatureTree(sizes, bitmaps)
     of = [roots[i] for i in tree.order]
 
@@ -278,7 +282,7 @@ def all_open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots
         return len(set(of[a:b]) | set(of[c:d])) == 1
 
     for i, j in possible_pairs(tree, num, den, one_component):
-        if of[i] != of[j]:
+        if of[i] != of[j] and owned(tree.order[i], tree.order[j]):
             yield tree.order[i], tree.order[j]
 
 
@@ -330,7 +334,7 @@ def _blocks(members: DataFrame, limit: int | None, alike: bool = True) -> DataFr
 
 
 def _cells(members: DataFrame, data: DataFrame) -> DataFrame:
-    """Rows (key, c1, c2, fp1, fp2, n, r1, r2, items) of ``members`` with their data, the
+    """Rows (key, c1, c2, fp1, fp2, n, r1, r2, items, keys) of ``members`` with their data, the
     rows of a cell after each other.  A cell is a block, or a pair of chunks of a large
     block: a member goes to every pair that has its own chunk."""
     parts = F.ceil(F.col("members") / F.lit(BLOCK_MEMBERS)).cast("int")
@@ -338,32 +342,35 @@ def _cells(members: DataFrame, data: DataFrame) -> DataFrame:
     cells = (members.withColumn("parts", parts).withColumn("own", own)
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("fp1", "fp2", "key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2")))
-    dealt = cells.join(data, ["fp1", "fp2"]).select("key", "c1", "c2", "fp1", "fp2", "n", "r1", "r2", "items")
+    if "keys" not in data.columns:
+        data = data.withColumn("keys", F.lit(None).cast("array<bigint>"))
+    dealt = cells.join(data, ["fp1", "fp2"]).select("key", "c1", "c2", "fp1", "fp2", "n", "r1", "r2", "items", "keys")
     # the data go to the tasks by cell; AQE sizes their number
     return dealt.repartition("key", "c1", "c2").sortWithinPartitions("key", "c1", "c2", "fp1", "fp2")
 
 
 def _each_cell(dealt: DataFrame, compare, schema: str) -> DataFrame:
-    """compare(key, ids, sizes, roots, items) -> record batches for every cell of ``dealt``."""
+    """compare(key, ids, sizes, roots, items, keys) -> record batches for every cell of ``dealt``."""
     ship_package(dealt.sparkSession)
 
     def run(batches):
-        cell, ids, sizes, roots, items = None, [], [], [], []
+        cell, ids, sizes, roots, items, held = None, [], [], [], [], []
         for batch in batches:
             cols = [batch.column(i).to_pylist() for i in range(8)]
-            data = batch.column(8)
+            data, keys = batch.column(8), batch.column(9).to_pylist()
             for i, (key, c1, c2, f1, f2, n, r1, r2) in enumerate(zip(*cols)):
                 if (key, c1, c2) != cell:
                     if len(ids) > 1:
-                        yield from compare(cell[0], ids, sizes, roots, items)
-                    cell, ids, sizes, roots, items = (key, c1, c2), [], [], [], []
+                        yield from compare(cell[0], ids, sizes, roots, items, held)
+                    cell, ids, sizes, roots, items, held = (key, c1, c2), [], [], [], [], []
                 if not ids or ids[-1] != (f1, f2):  # a repeated row brings its set twice
                     ids.append((f1, f2))
                     sizes.append(n)
                     roots.append((r1, r2))
                     items.append(np.frombuffer(data[i].as_py(), dtype=U64))
+                    held.append(keys[i])
         if len(ids) > 1:
-            yield from compare(cell[0], ids, sizes, roots, items)
+            yield from compare(cell[0], ids, sizes, roots, items, held)
 
     return dealt.mapInArrow(run, schema)
 
@@ -386,7 +393,7 @@ def _verified(rows: DataFrame, nodes: DataFrame, blocks: DataFrame, k: int, num:
     sets = map_text(attach(rows, reps, ["doc_id", "h"], "inner", limit), kernel,
                     "fp1 long, fp2 long, n long, r1 long, r2 long, items binary")
 
-    def verify(key, ids, sizes, roots, sets):
+    def verify(key, ids, sizes, roots, sets, keys):
         links = tree_links(sets, num, den)
         if not links:
             return
@@ -410,19 +417,26 @@ def similar_components(rows: DataFrame, nodes: DataFrame, k: int, num: int, den:
     # similar sets are of the same band of sizes or of neighbouring ones
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(max(math.log(den / num), 1e-3) * 1.000001)).cast("int")
     keys = F.explode(F.array(F.xxhash64("token", band), F.xxhash64("token", band + 1))).alias("key")
+    few = TOKEN_BROADCAST if limit is None else limit
     spread = nodes.select("fp1", "fp2", "n", F.explode("tokens").alias("token"))
     shared = materialize(spread.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared_shingles")
-    shared = F.broadcast(shared) if small(shared, limit) else shared
+    shared = F.broadcast(shared) if small(shared, few) else shared
     banded = materialize(spread.join(shared, "token", "left_semi").select("fp1", "fp2", keys), "banded")
-    blocks = _blocks(banded, limit)
+    blocks = _blocks(banded, few)
     links, roots = None, None
     for cap in CAPS:
 
-        def meet(key, ids, sizes, roots, bitmaps, cap=cap):
+        def meet(key, ids, sizes, roots, bitmaps, keys, cap=cap):
+            sets = [set(k) if k is not None else None for k in keys]
+
+            def owned(i, j):
+                """A pair belongs to the least of the open blocks that hold both."""
+                return sets[i] is None or sets[j] is None or min(sets[i] & sets[j]) == key
+
             if cap is None:
-                pairs, left = all_open_pairs(ids, sizes, bitmaps, roots, num, den), False
+                pairs, left = all_open_pairs(sizes, bitmaps, roots, num, den, owned), False
             else:
-                pairs, left = open_pairs(ids, sizes, bitmaps, roots, num, den, cap)
+                pairs, left = open_pairs(ids, sizes, bitmaps, roots, num, den, cap, owned)
                 pairs = iter(pairs + [(None, None)] * left)
             while own := list(islice(pairs, 20_000)):
                 own = [p if p[0] is None or ids[p[0]] < ids[p[1]] else p[::-1] for p in own]
@@ -438,6 +452,8 @@ def similar_components(rows: DataFrame, nodes: DataFrame, k: int, num: int, den:
             known = F.broadcast(roots) if small(roots, limit) else roots
             signatures = signatures.join(known, ["fp1", "fp2"], "left").select(
                 "fp1", "fp2", "n", F.coalesce("r1", "fp1").alias("r1"), F.coalesce("r2", "fp2").alias("r2"), "items")
+            # a member's open blocks (bounded by its prefix): a pair is named in one of them only
+            signatures = signatures.join(blocks.groupBy("fp1", "fp2").agg(F.collect_set("key").alias("keys")), ["fp1", "fp2"])
         met = materialize(_each_cell(_cells(blocks, signatures), meet, "key long, a1 long, a2 long, b1 long, b2 long"), "open_pairs")
         pairs = met.where("a1 IS NOT NULL").select("a1", "a2", "b1", "b2").distinct()
         pairs = pairs.select(F.xxhash64("a1", "a2").alias("key"), "a1", "a2", "b1", "b2")
