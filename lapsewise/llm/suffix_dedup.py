@@ -107,15 +107,13 @@ def _compare_neighbours(entries: DataFrame) -> DataFrame:
                         ("lo", pa.int32()), ("hi", pa.int32())])
     found = materialize(array.mapInArrow(
         run, "k1 long, k2 long, doc_id long, h long, lo int, hi int, part int, nth long, border boolean"), "equal_neighbours")
-    inner = found.where("NOT border").select("doc_id", "h", "lo", "hi", (F.col("nth") > 0).alias("later"))
-    # at most two runs a partition touch a border
-    edge = found.where("border")
+    # at most two runs a partition touch a border; all others are settled already
     summary = materialize(
-        edge.groupBy("k1", "k2", "part").agg((F.max("nth") + 1).alias("n"))
+        found.where("border").groupBy("k1", "k2", "part").agg((F.max("nth") + 1).alias("n"))
         .groupBy("k1", "k2").agg(F.sum("n").alias("n"), F.min("part").alias("first_part")).where("n > 1"), "border_runs")
-    edge = edge.join(F.broadcast(summary) if small(summary) else summary, ["k1", "k2"]).select(
-        "doc_id", "h", "lo", "hi", ((F.col("nth") > 0) | (F.col("part") > F.col("first_part"))).alias("later"))
-    return inner.unionByName(edge)
+    told = found.join(F.broadcast(summary) if small(summary) else summary, ["k1", "k2"], "left")
+    return told.where("NOT border OR n IS NOT NULL").select(
+        "doc_id", "h", "lo", "hi", ((F.col("nth") > 0) | F.coalesce(F.col("part") > F.col("first_part"), F.lit(False))).alias("later"))
 
 
 def _merged(batches, passage: int):
