@@ -7,6 +7,11 @@ A document is contaminated by an item if it holds most of the item's windows and
 its slots are consistent: along the alignment with most windows, every
 slot value of the item stands for one value of the document.  Equal values are a
 verbatim copy, others a re-parameterised question.
+
+A capitalised word inside a sentence is a name.  One that opens a text, line or
+sentence is a name unless the corpus spells it in lower case (see ``NAME_SHARE``);
+this is counted over all documents and items, for the words of the items.  A run of
+names is one placeholder, so that "Tom" may become "Mary Ann".
 """
 
 from __future__ import annotations
@@ -17,13 +22,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lapsewise.llm.common import LONGS_BYTES, attach, keyed, longs, map_text, materialize, member, small
+from lapsewise.llm.common import LONGS_BYTES, attach, keyed, longs, map_text, materialize, member, slices, small
 from lapsewise.llm.words import U64, RangeHash, WordBatch
+from lapsewise.session import ship_package
 
 WINDOW_TOKENS = 5
 #: Tokens of a window that are no placeholders; windows with fewer say nothing.
 LITERAL_TOKENS = 3
 COVERAGE = 0.8
+#: A word that opens a sentence is a name if inside sentences it has a capital this
+#: many times as often as not, or never stands there in lower case at all.
+NAME_SHARE = 0.25
 
 #: Number words and units that follow a number.
 NUMBER_WORDS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
@@ -69,42 +78,67 @@ def _inside_token(data: np.ndarray) -> np.ndarray:
     return inside
 
 
+def _capitals(words: WordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a token starts with a capital, and whether it opens a text, line or sentence."""
+    data, starts = words.data, words.starts
+    if not len(starts):
+        return np.empty(0, dtype=bool), np.empty(0, dtype=bool)
+    first, second = data[starts], data[np.minimum(starts + 1, len(data) - 1)]
+    capital = ((first >= 0x41) & (first <= 0x5A)) | (
+        (first == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97))
+    opens = np.ones(len(starts), dtype=bool)
+    row = words.rows_of_words()
+    stops = np.r_[0, np.cumsum(np.isin(data, np.frombuffer(b".!?:;\n\"'()*#|-", dtype=np.uint8)))]
+    opens[1:] = (stops[starts[1:]] > stops[words.ends[:-1]]) | (row[1:] != row[:-1])
+    return capital, opens
+
+
 class Templates:
-    """Template tokens of a text column: ``tokens`` with placeholders, ``values``
-    with the folded words, ``slot`` marks."""
+    """Template tokens of a text column: ``tokens`` with placeholders, ``slot`` marks,
+    the words ``at[i]:at[i + 1]`` of each with their folded ``values``; the tokens of
+    row r are ``first[r]:first[r + 1]``.  ``common``: the words (sorted hashes) that
+    are no names for opening a sentence."""
 
-    def __init__(self, column):
-        raw = WordBatch(column, hashed=False)
+    def __init__(self, column, common: np.ndarray):
         words = WordBatch(column, fold=_folded, inside=_inside_token)
-        data, starts = raw.data, words.starts
+        data, starts = words.data, words.starts
         self.words, self.values = words, words.hashes
-        first = data[starts] if len(starts) else np.empty(0, np.uint8)
-        number = _DIGIT[first] | np.isin(self.values, _lexicon(NUMBER_WORDS))
+        initial = data[starts] if len(starts) else np.empty(0, np.uint8)
+        number = _DIGIT[initial] | np.isin(self.values, _lexicon(NUMBER_WORDS))
         after_number = np.zeros(len(starts), dtype=bool)
         row = words.rows_of_words()
         after_number[1:] = number[:-1] & (row[1:] == row[:-1])
         unit = after_number & ~number & np.isin(self.values, _lexicon(UNIT_WORDS))
-        second = data[np.minimum(starts + 1, max(len(data) - 1, 0))] if len(starts) else first
-        capital = ((first >= 0x41) & (first <= 0x5A)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
-        # a capital after the start of a text, line or sentence says nothing
-        gap_ends_sentence = np.ones(len(starts), dtype=bool)
+        capital, opens = _capitals(words)
+        name = capital & ~number & ~unit
+        name[name & opens] = ~member(self.values[name & opens], common)
+        # names with only blanks, or one hyphen or apostrophe, between them are one
+        more = np.zeros(len(starts), dtype=bool)
         if len(starts) > 1:
-            stop = np.isin(data, np.frombuffer(b".!?:;\n\"'()*#|-", dtype=np.uint8))
-            stops = np.r_[0, np.cumsum(stop)]
-            gap_ends_sentence[1:] = (stops[starts[1:]] > stops[words.ends[:-1]]) | (row[1:] != row[:-1])
-        name = capital & ~gap_ends_sentence & ~number
-        self.slot = number | unit | name
-        self.tokens = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, self.values)))
+            blank = np.r_[0, np.cumsum(data == 0x20)]
+            gap = starts[1:] - words.ends[:-1]
+            joint = (blank[starts[1:]] - blank[words.ends[:-1]] == gap) | (
+                (gap == 1) & np.isin(data[words.ends[:-1]], np.frombuffer(b"-'", dtype=np.uint8)))
+            more[1:] = name[1:] & name[:-1] & joint & (row[1:] == row[:-1])
+        heads = np.flatnonzero(~more)
+        self.at = np.r_[heads, len(starts)]
+        self.first = np.searchsorted(heads, words.first)
+        self.slot = (number | unit | name)[heads]
+        self.tokens = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, self.values)))[heads]
+
+    def slots(self, start: int, length: int) -> list[list[int]]:
+        """The words of each slot of a window."""
+        return [self.values[self.at[i]: self.at[i + 1]].view(np.int64).tolist()
+                for i in range(start, start + length) if self.slot[i]]
 
     def windows(self, width: int, literals: int):
         """(row, first token, length, hash) of the windows that say something; a
         text with fewer tokens than ``width`` is one window."""
-        words = self.words
-        counts = words.counts()
-        row = words.rows_of_words()
+        counts = np.diff(self.first)
+        row = np.repeat(np.arange(len(counts)), counts)
         start = np.arange(len(row))
         length = np.minimum(counts, width)[row]
-        usable = start + length <= words.first[row + 1]
+        usable = start + length <= self.first[row + 1]
         start, length, row = start[usable], length[usable], row[usable]
         slots = np.r_[0, np.cumsum(self.slot)]
         usable = length - (slots[start + length] - slots[start]) >= np.minimum(literals, length)
@@ -122,25 +156,67 @@ def _lexicon(words: list[str]) -> np.ndarray:
     return _LEXICONS[key]
 
 
-def _windows(rows: DataFrame, width: int, literals: int, known=None) -> DataFrame:
-    """(doc_id, h, pos, w, slots): windows (the ``known`` ones) with their slots'
-    offset and value."""
+def common_words(rows: DataFrame, item_rows: DataFrame) -> np.ndarray:
+    """The words of the items that are no names for opening a sentence (sorted hashes),
+    by how all rows and items spell them elsewhere.  As large as the items' vocabulary;
+    a word that no item holds can match none as a literal."""
+
+    def vocabulary(batch):
+        return pa.RecordBatch.from_pydict({"w": pa.array(
+            np.unique(WordBatch(batch.column("text"), fold=_folded, inside=_inside_token).hashes).view(np.int64))})
+
+    known = longs(map_text(item_rows, vocabulary, "w long").distinct(), "w")
+    held = rows.sparkSession.sparkContext.broadcast(known)
+
+    def count(batches):
+        known = held.value
+        lower, upper = np.zeros(len(known), dtype=np.int64), np.zeros(len(known), dtype=np.int64)
+        for batch in batches:
+            for part in slices(batch):
+                words = WordBatch(part.column("text"), fold=_folded, inside=_inside_token)
+                capital, opens = _capitals(words)
+                for total, chosen in ((lower, ~capital), (upper, capital & ~opens)):
+                    values = words.hashes[chosen]
+                    values = values[member(values, known)]
+                    total += np.bincount(np.searchsorted(known, values), minlength=len(known))
+        some = np.flatnonzero(lower | upper)
+        yield pa.RecordBatch.from_pydict({"w": pa.array(known[some].view(np.int64)), "lower": pa.array(lower[some]),
+                                          "upper": pa.array(upper[some])})
+
+    ship_package(rows.sparkSession)
+    counts = rows.select("text").unionAll(item_rows.select("text")).mapInArrow(count, "w long, lower long, upper long")
+    return longs(counts.groupBy("w").agg(F.sum("lower").alias("lower"), F.sum("upper").alias("upper")).where(
+        F.col("upper") < NAME_SHARE * F.col("lower")), "w")
+
+
+def _windows(rows: DataFrame, width: int, literals: int, common, known=None) -> DataFrame:
+    """(doc_id, h, pos, at, w, slots): windows (the ``known`` ones) by template token and
+    word, with the words of their slots."""
 
     def kernel(batch):
-        t = Templates(batch.column("text"))
+        t = Templates(batch.column("text"), common.value)
         row, start, length, w = t.windows(width, literals)
         keep = np.ones(len(row), dtype=bool) if known is None else member(w, known.value)
         row, start, length, w = row[keep], start[keep], length[keep], w[keep]
         if not len(row):
             return None
-        slots = [[int(v) for v in t.values[s: s + n][t.slot[s: s + n]].view(np.int64)] for s, n in zip(start, length)]
-        at = pa.array(row)
+        slots = [t.slots(s, n) for s, n in zip(start.tolist(), length.tolist())]
+        rows_at = pa.array(row)
         return pa.RecordBatch.from_pydict({
-            "doc_id": batch.column("doc_id").take(at), "h": batch.column("h").take(at),
-            "pos": pa.array((start - t.words.first[row]).astype(np.int32)),
-            "w": pa.array(w.view(np.int64)), "slots": pa.array(slots, pa.list_(pa.int64()))})
+            "doc_id": batch.column("doc_id").take(rows_at), "h": batch.column("h").take(rows_at),
+            "pos": pa.array((start - t.first[row]).astype(np.int32)),
+            "at": pa.array((t.at[start] - t.words.first[row]).astype(np.int32)),
+            "w": pa.array(w.view(np.int64)), "slots": pa.array(slots, pa.list_(pa.list_(pa.int64())))})
+
+    return map_text(rows, kernel, "doc_id long, h long, pos int, at int, w long, slots array<array<long>>")
 
-    return map_text(rows, kernel, "doc_id long, h long, pos int, w long, slots array<long>")
+
+def _slot_pairs(theirs: str, ours: str):
+    """(a, b) of an item's slots and a document's: word by word, or as a whole where a
+    name has another number of words."""
+    return F.flatten(F.transform(F.arrays_zip(F.col(theirs).alias("a"), F.col(ours).alias("b")), lambda s: F.when(
+        F.size(s["a"]) == F.size(s["b"]), F.arrays_zip(s["a"].alias("a"), s["b"].alias("b"))).otherwise(
+        F.array(F.struct(F.xxhash64(s["a"]).alias("a"), F.xxhash64(s["b"]).alias("b"))))))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS, literals: int = LITERAL_TOKENS,
@@ -157,17 +233,18 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
     table may be empty.
     """
     item_rows = keyed(items, item_col, item_text_col)
-    wanted = materialize(_windows(item_rows, width, literals).select(
-        F.col("doc_id").alias("item_id"), F.col("h").alias("item_h"), F.col("pos").alias("item_pos"), "w",
-        F.col("slots").alias("item_slots")).distinct(), "item_windows")
+    rows = keyed(docs, id_col, text_col)
+    common = docs.sparkSession.sparkContext.broadcast(common_words(rows, item_rows))
+    wanted = materialize(_windows(item_rows, width, literals, common).select(
+        F.col("doc_id").alias("item_id"), F.col("h").alias("item_h"), F.col("pos").alias("item_pos"),
+        F.col("at").alias("item_at"), "w", F.col("slots").alias("item_slots")).distinct(), "item_windows")
     sizes = materialize(wanted.groupBy("item_id", "item_h").agg(F.countDistinct("w").alias("n_windows")), "item_sizes")
     hashes = materialize(wanted.select("w").distinct(), "item_hashes")
-    rows = keyed(docs, id_col, text_col)
     if small(hashes, LONGS_BYTES if limit is None else limit, row_bytes=8):
         known = docs.sparkSession.sparkContext.broadcast(longs(hashes, "w"))
-        found = _windows(rows, width, literals, known)
+        found = _windows(rows, width, literals, common, known)
     else:
-        found = _windows(rows, width, literals).join(hashes, "w", "left_semi")
+        found = _windows(rows, width, literals, common).join(hashes, "w", "left_semi")
     found = materialize(found, "found_windows")
     side = F.broadcast(wanted) if small(wanted, limit) else wanted
     pairs = found.join(side, "w")
@@ -184,12 +261,12 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
         (F.broadcast(held) if small(held, limit) else held).alias("c"), F.expr(cond)).select(
         "p.*", (F.col("p.pos") - F.col("p.item_pos")).alias("shift"))
     by = item + ["shift"]
-    along = close.groupBy(*by).agg(F.countDistinct("item_pos").alias("n")).withColumn(
-        "start", F.greatest(F.lit(0), F.col("shift")))
+    along = close.groupBy(*by).agg(F.countDistinct("item_pos").alias("n"), F.greatest(
+        F.lit(0), F.min_by(F.col("at") - F.col("item_at"), "item_pos")).alias("start"))
     best = along.withColumn("r", F.row_number().over(Window.partitionBy(*item).orderBy(F.desc("n"), "shift"))).where(
         "r = 1").drop("r", "n")
-    slots = close.where("size(slots) > 0").select(*by, F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select(
-        *by, F.col("s.item_slots").alias("a"), F.col("s.slots").alias("b"))
+    slots = close.where("size(slots) > 0").select(*by, F.explode(_slot_pairs("item_slots", "slots")).alias("s")).select(
+        *by, "s.a", "s.b")
     judged = slots.groupBy(*by, "a").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).groupBy(*by).agg(
         F.bool_and(F.col("lo") == F.col("hi")).alias("consistent"),
         F.bool_and((F.col("lo") == F.col("a")) & (F.col("hi") == F.col("a"))).alias("same"))

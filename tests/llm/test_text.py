@@ -79,6 +79,20 @@ def test_decontamination(spark, make_docs):
     assert decontamination.clean(docs, items.limit(0)).count() == len(rows)
 
 
+OPENING = "Tom buys 12 apples. Tom eats 3 apples. How many apples does Tom have left?"
+
+
+def test_names_that_open_a_sentence(spark, make_docs):
+    other = OPENING.replace("12", "15").replace("3", "4")
+    rows = [(1, other.replace("Tom", "Mia")), (2, "She asked how it was. " + other.replace("Tom", "Mary Ann")),
+            (3, other.replace("Tom eats", "Eve eats")), (4, "Tom buys 12 pears. Who knows how many?"),
+            (5, f"And how? {OPENING}"), (6, other.replace("Tom", "Anne-Marie O'Neil"))]
+    items = spark.createDataFrame([(1, OPENING)], "item_id long, text string")
+    for limit in (None, 0):
+        got = decontamination.contaminated(make_docs(rows), items, limit=limit).collect()
+        assert sorted((r.doc_id, r.verbatim) for r in got) == [(1, False), (2, False), (5, True), (6, False)]
+
+
 STEMS = {"en": ["th", "ing", "er", "on", "wh"], "fr": ["eau", "è", "oi", "qu", "ç"], "de": ["sch", "ung", "ß", "ö", "ei"]}
 
 
