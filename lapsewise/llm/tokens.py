@@ -3,8 +3,8 @@
 The pre-tokenizer never joins text across a single space or newline that
 stands between two other non-space characters, so a text may be cut there and its
 pieces encoded apart.  Each worker keeps the ids of the pieces seen, and the
-library encodes each new piece once.  Texts with any other white space go
-to the library whole.
+library encodes each new piece once.  Texts with any other white space, and texts
+that hold the content of an added token (as ``<|endoftext|>``), go to the library whole.
 """
 
 from __future__ import annotations
@@ -30,14 +30,14 @@ def default_path() -> str:
 
 
 class Encoder:
-    """Ids of texts; strings of special tokens in a text are ordinary text."""
+    """Ids of texts, as the file's tokenizer gives them with add_special_tokens=False."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self._added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # the same ids without character offsets, where the library has it
         self._batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
@@ -100,7 +100,7 @@ class Encoder:
                 self._store([w for w, _, _ in pairs], size[::2] + size[1::2], flat)
 
     def _learn_whole(self, text: str) -> None:
-        """A text with other white space (marked by a leading "\\v"), as one piece."""
+        """A text that is not cut (marked by a leading "\\v"), as one piece."""
         ids = self.tokenizer.encode(text.removeprefix("\v"), add_special_tokens=False).ids
         n = len(self.index)
         if n == len(self.begin):
@@ -120,7 +120,7 @@ class Encoder:
         for text in texts:
             before = len(pieces)
             if text:
-                if " ".join(text.split()) != text.replace("\n", " "):
+                if " ".join(text.split()) != text.replace("\n", " ") or any(a in text for a in self._added):
                     pieces.append("\v" + text)
                     whole.add("\v" + text)
                 else:

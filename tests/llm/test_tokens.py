@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from lapsewise.llm import orc_output, packing
 from lapsewise.llm.tokens import Encoder, default_path
@@ -29,6 +30,16 @@ def test_pieces_encode_like_whole_texts(encoder):
     assert [ids[a:b].tolist() for a, b in zip(borders[:-1], borders[1:])] == [ids_of(encoder, t) for t in ODD]
 
 
+def test_added_tokens_in_a_text(encoder):
+    """The ids of the file alone, by a tokenizer that no encoder has touched."""
+    plain = Tokenizer.from_file(default_path())
+    texts = [*ODD, "first document.<|endoftext|>second one", "<|endoftext|>", "a <|endoftext|>\nb <|endoftext|> c", "<|endoftext |> a"]
+    ids, borders = encoder.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(borders[:-1], borders[1:])] == [
+        plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert encoder.encode(["first document.<|endoftext|>second one"])[0].tolist() == [11085, 3188, 13, 50256, 12227, 530]
+
+
 def test_cache_starts_over(encoder, monkeypatch):
     import lapsewise.llm.tokens as tokens
 
