@@ -12,6 +12,11 @@ A capitalised word inside a sentence is a name.  One that opens a text, line or
 sentence is a name unless the corpus spells it in lower case (see ``NAME_SHARE``);
 this is counted over all documents and items, for the words of the items.  A run of
 names is one placeholder, so that "Tom" may become "Mary Ann".
+
+A window that is dense in placeholders grows until it holds enough literals.  Items
+that are not covered by windows from each of their tokens on (short ones, ones with
+few literals or a tail of numbers) are also sought verbatim: their folded
+words are cut into pieces that must all stand in the document at their places.
 """
 
 from __future__ import annotations
@@ -27,8 +32,13 @@ from lapsewise.llm.words import U64, RangeHash, WordBatch
 from lapsewise.session import ship_package
 
 WINDOW_TOKENS = 5
-#: Tokens of a window that are no placeholders; windows with fewer say nothing.
+#: Tokens of a window that are no placeholders; a window with fewer grows.
 LITERAL_TOKENS = 3
+#: Words of a piece of an item that is sought verbatim; a shorter item is one piece.
+PIECE_WORDS = 8
+#: Fewest words of an item that is sought verbatim inside a longer text
+#: (test_decontamination asserts that one of two words is not found there).
+EXACT_WORDS = 3
 COVERAGE = 0.8
 #: A word that opens a sentence is a name if inside sentences it has a capital this
 #: many times as often as not, or never stands there in lower case at all.
@@ -131,20 +141,38 @@ class Templates:
         return [self.values[self.at[i]: self.at[i + 1]].view(np.int64).tolist()
                 for i in range(start, start + length) if self.slot[i]]
 
-    def windows(self, width: int, literals: int):
-        """(row, first token, length, hash) of the windows that say something; a
-        text with fewer tokens than ``width`` is one window."""
+    def windows(self, width: int, literals: int, longest: int | None = None):
+        """(row, first token, length, hash) of the windows: from each token on ``width``
+        tokens, and more up to ``literals`` literals.  A text with fewer tokens than
+        ``width`` is one window; ``longest`` leaves out longer ones."""
         counts = np.diff(self.first)
         row = np.repeat(np.arange(len(counts)), counts)
         start = np.arange(len(row))
-        length = np.minimum(counts, width)[row]
-        usable = start + length <= self.first[row + 1]
-        start, length, row = start[usable], length[usable], row[usable]
-        slots = np.r_[0, np.cumsum(self.slot)]
-        usable = length - (slots[start + length] - slots[start]) >= np.minimum(literals, length)
-        start, length, row = start[usable], length[usable], row[usable]
+        end = self.first[row + 1]
+        literal = np.r_[np.flatnonzero(~self.slot), np.full(literals, len(row) + 1)]
+        before = np.r_[0, np.cumsum(~self.slot)][:-1]  # literals before each token
+        stop = np.maximum(start + width, literal[before + literals - 1] + 1)
+        short = (counts < width)[row]
+        plain = np.r_[0, np.cumsum(~self.slot)]
+        stop = np.where(short, end, stop)
+        usable = (stop <= end) & ~(short & (start > self.first[row]))
+        usable[short] &= (plain[end] - plain[start] >= np.minimum(literals, end - start))[short]
+        if longest is not None:
+            usable &= stop - start <= longest
+        start, length, row = start[usable], (stop - start)[usable], row[usable]
         return row, start, length, RangeHash(self.tokens, 0)(start, start + length, length.astype(U64))
 
+    def pieces(self, sizes):
+        """(row, first word, length, hash) of all pieces of ``sizes`` words."""
+        counts = self.words.counts()
+        row = np.repeat(np.arange(len(counts)), counts)
+        start = np.arange(len(row))
+        hasher = RangeHash(self.values, 1)
+        for size in sizes:
+            fits = start + size <= self.words.first[row + 1]
+            at = start[fits]
+            yield row[fits], at, size, hasher(at, at + size, np.full(len(at), size, dtype=U64))
+
 
 _LEXICONS: dict[tuple, np.ndarray] = {}
 
@@ -189,26 +217,70 @@ def common_words(rows: DataFrame, item_rows: DataFrame) -> np.ndarray:
         F.col("upper") < NAME_SHARE * F.col("lower")), "w")
 
 
-def _windows(rows: DataFrame, width: int, literals: int, common, known=None) -> DataFrame:
-    """(doc_id, h, pos, at, w, slots): windows (the ``known`` ones) by template token and
-    word, with the words of their slots."""
+_FOUND = "doc_id long, h long, pos int, at int, size int, exact boolean, w long, slots array<array<long>>"
+
+
+def _found(batch, t: Templates, row, start, length, w) -> pa.RecordBatch:
+    """Rows of windows."""
+    rows_at = pa.array(row)
+    return pa.RecordBatch.from_pydict({
+        "doc_id": batch.column("doc_id").take(rows_at), "h": batch.column("h").take(rows_at),
+        "pos": pa.array((start - t.first[row]).astype(np.int32)),
+        "at": pa.array((t.at[start] - t.words.first[row]).astype(np.int32)),
+        "size": pa.array(length.astype(np.int32)), "exact": pa.array(np.zeros(len(row), dtype=bool)),
+        "w": pa.array(w.view(np.int64)),
+        "slots": pa.array([t.slots(s, n) for s, n in zip(start.tolist(), length.tolist())], pa.list_(pa.list_(pa.int64())))})
+
+
+def _found_pieces(batch, t: Templates, row, start, size, w) -> pa.RecordBatch:
+    """Rows of pieces; ``pos`` and ``at`` both count words."""
+    rows_at = pa.array(row)
+    at = pa.array((start - t.words.first[row]).astype(np.int32))
+    return pa.RecordBatch.from_pydict({
+        "doc_id": batch.column("doc_id").take(rows_at), "h": batch.column("h").take(rows_at), "pos": at, "at": at,
+        "size": pa.array(np.full(len(row), size, dtype=np.int32)), "exact": pa.array(np.ones(len(row), dtype=bool)),
+        "w": pa.array(w.view(np.int64)), "slots": pa.nulls(len(row), pa.list_(pa.list_(pa.int64())))})
+
+
+def _item_windows(items: DataFrame, width: int, literals: int, common) -> DataFrame:
+    """Windows of the items, and the pieces of those that are sought verbatim too."""
 
     def kernel(batch):
         t = Templates(batch.column("text"), common.value)
         row, start, length, w = t.windows(width, literals)
+        out = [_found(batch, t, row, start, length, w)]
+        tokens = np.diff(t.first)
+        plain = np.r_[0, np.cumsum(~t.slot)]
+        words = t.words.counts()
+        # windows from each token on that leave room for one
+        whole = (tokens >= width) & (np.bincount(row, minlength=len(tokens)) == tokens - width + 1)
+        sought = ~whole & (words >= EXACT_WORDS) & (plain[t.first[1:]] > plain[t.first[:-1]])
+        hasher = RangeHash(t.values, 1)
+        for r in np.flatnonzero(sought).tolist():
+            n, first = int(words[r]), int(t.words.first[r])
+            size = min(n, PIECE_WORDS)
+            at = first + np.unique(np.r_[np.arange(0, n - size + 1, size), n - size])
+            out.append(_found_pieces(batch, t, np.full(len(at), r), at, size, hasher(at, at + size, np.full(len(at), size, dtype=U64))))
+        return pa.Table.from_batches(out).combine_chunks().to_batches()[0] if sum(b.num_rows for b in out) else None
+
+    return map_text(items, kernel, _FOUND)
+
+
+def _windows(rows: DataFrame, width: int, literals: int, common, longest: int, sizes: list[int], known=None) -> DataFrame:
+    """Windows up to ``longest`` tokens and pieces of ``sizes`` words (the ``known`` ones)
+    by template token and word, with the words of their slots."""
+
+    def kernel(batch):
+        t = Templates(batch.column("text"), common.value)
+        row, start, length, w = t.windows(width, literals, longest)
         keep = np.ones(len(row), dtype=bool) if known is None else member(w, known.value)
-        row, start, length, w = row[keep], start[keep], length[keep], w[keep]
-        if not len(row):
-            return None
-        slots = [t.slots(s, n) for s, n in zip(start.tolist(), length.tolist())]
-        rows_at = pa.array(row)
-        return pa.RecordBatch.from_pydict({
-            "doc_id": batch.column("doc_id").take(rows_at), "h": batch.column("h").take(rows_at),
-            "pos": pa.array((start - t.first[row]).astype(np.int32)),
-            "at": pa.array((t.at[start] - t.words.first[row]).astype(np.int32)),
-            "w": pa.array(w.view(np.int64)), "slots": pa.array(slots, pa.list_(pa.list_(pa.int64())))})
+        out = [_found(batch, t, row[keep], start[keep], length[keep], w[keep])]
+        for row, start, size, w in t.pieces(sizes):
+            keep = np.ones(len(row), dtype=bool) if known is None else member(w, known.value)
+            out.append(_found_pieces(batch, t, row[keep], start[keep], size, w[keep]))
+        return pa.Table.from_batches(out).combine_chunks().to_batches()[0] if sum(b.num_rows for b in out) else None
 
-    return map_text(rows, kernel, "doc_id long, h long, pos int, at int, w long, slots array<array<long>>")
+    return map_text(rows, kernel, _FOUND)
 
 
 def _slot_pairs(theirs: str, ours: str):
@@ -225,35 +297,42 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
     """Pairs of documents and benchmark items they contain.
 
     Returns doc_id, h (digest of the text), item_id, n_matched and n_windows
-    (distinct windows of the item), verbatim (all slots equal), start (token of the
-    document at which the item's first one stands in the best alignment).  A pair is returned if at least ``coverage`` of
-    the item's windows occur in the document and the slots are consistent.  Null or
-    empty texts have no windows; items without a window (only slots, or no text) are never
-    found; null ids are kept; rows that repeat id and text give one pair; either
-    table may be empty.
+    (distinct windows of the item; its pieces if it is found by these alone), verbatim (all
+    slots of its windows equal, or all words found), start (word of the document at which the item's first one stands in the
+    best alignment).  A pair is returned if at least ``coverage`` of
+    the item's windows occur in the document and the slots are consistent, or if
+    all words of an item without a full set of windows do.  Null or
+    empty texts have no windows.  Items of slots alone or without text are never
+    found, items of one or two words only as a whole text (EXACT_WORDS); null ids are
+    kept; rows that repeat id and text give one pair; either table may be empty.
     """
     item_rows = keyed(items, item_col, item_text_col)
     rows = keyed(docs, id_col, text_col)
     common = docs.sparkSession.sparkContext.broadcast(common_words(rows, item_rows))
-    wanted = materialize(_windows(item_rows, width, literals, common).select(
+    wanted = materialize(_item_windows(item_rows, width, literals, common).select(
         F.col("doc_id").alias("item_id"), F.col("h").alias("item_h"), F.col("pos").alias("item_pos"),
-        F.col("at").alias("item_at"), "w", F.col("slots").alias("item_slots")).distinct(), "item_windows")
-    sizes = materialize(wanted.groupBy("item_id", "item_h").agg(F.countDistinct("w").alias("n_windows")), "item_sizes")
+        F.col("at").alias("item_at"), "size", "exact", "w", F.col("slots").alias("item_slots")).distinct(), "item_windows")
+    sizes = materialize(wanted.groupBy("item_id", "item_h", "exact").agg(F.countDistinct("w").alias("n_windows"),
+                                                                         F.count(F.lit(1)).alias("n_places")), "item_sizes")
+    longest = wanted.where("NOT exact").agg(F.max("size")).first()[0] or 0
+    lengths = sorted(r[0] for r in wanted.where("exact").select("size").distinct().collect())  # PIECE_WORDS at most
     hashes = materialize(wanted.select("w").distinct(), "item_hashes")
     if small(hashes, LONGS_BYTES if limit is None else limit, row_bytes=8):
         known = docs.sparkSession.sparkContext.broadcast(longs(hashes, "w"))
-        found = _windows(rows, width, literals, common, known)
+        found = _windows(rows, width, literals, common, longest, lengths, known)
     else:
-        found = _windows(rows, width, literals, common).join(hashes, "w", "left_semi")
-    found = materialize(found, "found_windows")
-    side = F.broadcast(wanted) if small(wanted, limit) else wanted
-    pairs = found.join(side, "w")
+        found = _windows(rows, width, literals, common, longest, lengths).join(hashes, "w", "left_semi")
+    found = materialize(found.drop("size"), "found_windows")
+    wanted_side = wanted.drop("size")
+    side = F.broadcast(wanted_side) if small(wanted, limit) else wanted_side
+    both = found.join(side, ["w", "exact"])
+    sized = lambda pairs, exact: pairs.alias("p").join(
+        (F.broadcast(sizes) if small(sizes, limit) else sizes).where(F.col("exact") == F.lit(exact)).alias("s"),
+        F.expr("p.item_id <=> s.item_id AND p.item_h = s.item_h")).select("p.*", "s.n_windows", "s.n_places")
+    pairs = both.where("NOT exact").drop("exact")
     item = ["doc_id", "h", "item_id", "item_h"]
     held = pairs.groupBy(*item).agg(F.countDistinct("w").alias("n_matched"))
-    held = held.alias("p").join(
-        (F.broadcast(sizes) if small(sizes, limit) else sizes).alias("s"),
-        F.expr("p.item_id <=> s.item_id AND p.item_h = s.item_h")).select("p.*", "s.n_windows").where(
-        F.col("n_matched") >= F.lit(coverage) * F.col("n_windows"))
+    held = sized(held, False).drop("n_places").where(F.col("n_matched") >= F.lit(coverage) * F.col("n_windows"))
     held = materialize(held, "covered")
     # slots of the covered pairs, by alignment
     cond = " AND ".join(f"p.{c} <=> c.{c}" for c in item)
@@ -274,8 +353,18 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
     out = best.alias("b").join(judged.alias("j"), F.expr(same_key), "left").where(
         F.coalesce("j.consistent", F.lit(True))).select("b.*", F.coalesce("j.same", F.lit(True)).alias("verbatim"))
     cond = " AND ".join(f"o.{c} <=> c.{c}" for c in item)
-    return out.alias("o").join((F.broadcast(held) if small(held, limit) else held).alias("c"), F.expr(cond)).select(
-        "o.doc_id", "o.h", "o.item_id", "c.n_matched", "c.n_windows", "o.verbatim", "o.start")
+    out = out.alias("o").join((F.broadcast(held) if small(held, limit) else held).alias("c"), F.expr(cond)).select(
+        *[f"o.{c}" for c in item], "c.n_matched", "c.n_windows", "o.verbatim", "o.start")
+    # items whose pieces all stand at their places
+    whole = both.where("exact").groupBy(*item, (F.col("at") - F.col("item_at")).alias("start")).agg(
+        F.countDistinct("item_at").alias("n"))
+    whole = sized(whole, True).where("n = n_places").groupBy(*item).agg(F.min("start").alias("start"), F.max("n_windows").alias("n_windows"))
+    whole = whole.select(*item, F.col("n_windows").alias("n_matched"), "n_windows", F.lit(True).alias("verbatim"), "start")
+    one = F.max(F.struct("by_windows", "verbatim", (-F.col("start")).alias("back"), "n_matched", "n_windows")).alias("x")
+    # by both ways: the windows' counts, verbatim if either says so
+    return out.withColumn("by_windows", F.lit(True)).unionByName(whole.withColumn("by_windows", F.lit(False))).groupBy(*item).agg(
+        one, F.max("verbatim").alias("verbatim"), F.min(F.when(F.col("verbatim"), F.col("start"))).alias("place")).select(
+        "doc_id", "h", "item_id", "x.n_matched", "x.n_windows", "verbatim", F.coalesce("place", -F.col("x.back")).alias("start"))
 
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -90,7 +90,20 @@ def test_names_that_open_a_sentence(spark, make_docs):
     items = spark.createDataFrame([(1, OPENING)], "item_id long, text string")
     for limit in (None, 0):
         got = decontamination.contaminated(make_docs(rows), items, limit=limit).collect()
-        assert sorted((r.doc_id, r.verbatim) for r in got) == [(1, False), (2, False), (5, True), (6, False)]
+        assert sorted((r.doc_id, r.verbatim, r.start) for r in got) == [
+            (1, False, 0), (2, False, 5), (5, True, 2), (6, False, 0)]
+
+
+def test_short_and_dense_items(spark, make_docs):
+    sums, dense = "What is 48 + 27 - 13?", "Add 1 2 3 4 5 6 7 8 9 to get 45 or 46 47 48 49 50 51"
+    rows = [(1, f"A task for you. {sums} Please answer."), (2, "What is 48 + 27 - 14?"), (3, "now rare little word here"),
+            (4, f"so {dense} it was"), (5, f"so {dense.replace('51', '52')}"), (6, "add 1 2 3 4 5 6 7 8 9 to get"),
+            (7, dense.replace("9", "x")), (8, "rare little")]
+    items = spark.createDataFrame([(1, sums), (2, "rare little word"), (3, dense)], "item_id long, text string")
+    for limit in (None, 0):
+        got = decontamination.contaminated(make_docs(rows), items, limit=limit).collect()
+        assert sorted((r.doc_id, r.item_id, r.verbatim, r.start) for r in got) == [
+            (1, 1, True, 4), (3, 2, True, 1), (4, 3, True, 1), (5, 3, True, 1)]
 
 
 STEMS = {"en": ["th", "ing", "er", "on", "wh"], "fr": ["eau", "è", "oi", "qu", "ç"], "de": ["sch", "ung", "ß", "ö", "ei"]}
