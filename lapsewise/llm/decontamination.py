@@ -3,9 +3,10 @@
 A text is read as tokens; numbers, names and units become typed placeholders
 (slots), everything else is folded to lower case.  Windows of consecutive
 template tokens of documents and benchmark items are joined on their hashes.
-A document is contaminated by an item if it holds most of the item's windows and
-its slots are consistent: along the alignment with most windows, every
-slot value of the item stands for one value of the document.  Equal values are a
+A document is contaminated by an item if along one alignment it holds most of the
+item's windows and its slots are consistent: every slot value of the item stands for
+one value of the document.  An alignment is one shift between the two, or a band of
+shifts as wide as the item, which allows for words put in or left out.  Equal values are a
 verbatim copy, others a re-parameterised question.
 
 A capitalised word inside a sentence is a name.  One that opens a text, line or
@@ -40,6 +41,8 @@ PIECE_WORDS = 8
 #: (test_decontamination asserts that one of two words is not found there).
 EXACT_WORDS = 3
 COVERAGE = 0.8
+#: Least width of a band of shifts, in template tokens.
+BAND_TOKENS = 16
 #: A word that opens a sentence is a name if inside sentences it has a capital this
 #: many times as often as not, or never stands there in lower case at all.
 NAME_SHARE = 0.25
@@ -297,10 +300,10 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
     """Pairs of documents and benchmark items they contain.
 
     Returns doc_id, h (digest of the text), item_id, n_matched and n_windows
-    (distinct windows of the item; its pieces if it is found by these alone), verbatim (all
+    (distinct windows of the item, in its best alignment and in all; its pieces if it is found by these alone), verbatim (all
     slots of its windows equal, or all words found), start (word of the document at which the item's first one stands in the
     best alignment).  A pair is returned if at least ``coverage`` of
-    the item's windows occur in the document and the slots are consistent, or if
+    the item's windows occur in one alignment and its slots are consistent, or if
     all words of an item without a full set of windows do.  Null or
     empty texts have no windows.  Items of slots alone or without text are never
     found, items of one or two words only as a whole text (EXACT_WORDS); null ids are
@@ -334,16 +337,28 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
     held = pairs.groupBy(*item).agg(F.countDistinct("w").alias("n_matched"))
     held = sized(held, False).drop("n_places").where(F.col("n_matched") >= F.lit(coverage) * F.col("n_windows"))
     held = materialize(held, "covered")
-    # slots of the covered pairs, by alignment
+    # the covered pairs by alignment: each shift, and bands of shifts that overlap by half
     cond = " AND ".join(f"p.{c} <=> c.{c}" for c in item)
-    close = pairs.alias("p").join(
+    near = pairs.alias("p").join(
         (F.broadcast(held) if small(held, limit) else held).alias("c"), F.expr(cond)).select(
-        "p.*", (F.col("p.pos") - F.col("p.item_pos")).alias("shift"))
-    by = item + ["shift"]
-    along = close.groupBy(*by).agg(F.countDistinct("item_pos").alias("n"), F.greatest(
-        F.lit(0), F.min_by(F.col("at") - F.col("item_at"), "item_pos")).alias("start"))
-    best = along.withColumn("r", F.row_number().over(Window.partitionBy(*item).orderBy(F.desc("n"), "shift"))).where(
-        "r = 1").drop("r", "n")
+        "p.*", "c.n_windows", (F.col("p.pos") - F.col("p.item_pos")).alias("shift"))
+    near = near.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*item, "shift")))
+    extent = wanted.where("NOT exact").groupBy("item_id", "item_h").agg(
+        F.greatest(F.lit(BAND_TOKENS), F.max(F.col("item_pos") + F.col("size"))).alias("band"))
+    extent = materialize(extent, "item_extents")
+    near = near.alias("p").join((F.broadcast(extent) if small(extent, limit) else extent).alias("e"), F.expr(
+        "p.item_id <=> e.item_id AND p.item_h = e.item_h")).select("p.*", F.explode(F.expr(
+            "array(named_struct('kind', 0, 'n', shift), named_struct('kind', 1, 'n', CAST(floor(shift / band) AS INT)),"
+            " named_struct('kind', 2, 'n', CAST(floor((shift + band div 2) / band) AS INT)))")).alias("along"))
+    by = item + ["along"]
+    # a place of the item is held once in a band, on the shift with most windows
+    close = near.groupBy(*by, "item_pos").agg(F.max(F.struct(
+        "n", (-F.col("shift")).alias("back"), "w", "at", "item_at", "item_slots", "slots", "n_windows")).alias("x")).select(
+        *by, "item_pos", "x.*")
+    best = close.groupBy(*by).agg(
+        F.countDistinct("w").alias("n_matched"), F.max("n_windows").alias("n_windows"),
+        F.greatest(F.lit(0), F.min_by(F.col("at") - F.col("item_at"), "item_pos")).alias("start")).where(
+        F.col("n_matched") >= F.lit(coverage) * F.col("n_windows"))
     slots = close.where("size(slots) > 0").select(*by, F.explode(_slot_pairs("item_slots", "slots")).alias("s")).select(
         *by, "s.a", "s.b")
     judged = slots.groupBy(*by, "a").agg(F.min("b").alias("lo"), F.max("b").alias("hi")).groupBy(*by).agg(
@@ -351,20 +366,17 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
         F.bool_and((F.col("lo") == F.col("a")) & (F.col("hi") == F.col("a"))).alias("same"))
     same_key = " AND ".join(f"b.{c} <=> j.{c}" for c in by)
     out = best.alias("b").join(judged.alias("j"), F.expr(same_key), "left").where(
-        F.coalesce("j.consistent", F.lit(True))).select("b.*", F.coalesce("j.same", F.lit(True)).alias("verbatim"))
-    cond = " AND ".join(f"o.{c} <=> c.{c}" for c in item)
-    out = out.alias("o").join((F.broadcast(held) if small(held, limit) else held).alias("c"), F.expr(cond)).select(
-        *[f"o.{c}" for c in item], "c.n_matched", "c.n_windows", "o.verbatim", "o.start")
+        F.coalesce("j.consistent", F.lit(True))).select(
+        *[f"b.{c}" for c in item], "b.n_matched", "b.n_windows", F.coalesce("j.same", F.lit(True)).alias("verbatim"), "b.start")
     # items whose pieces all stand at their places
     whole = both.where("exact").groupBy(*item, (F.col("at") - F.col("item_at")).alias("start")).agg(
         F.countDistinct("item_at").alias("n"))
     whole = sized(whole, True).where("n = n_places").groupBy(*item).agg(F.min("start").alias("start"), F.max("n_windows").alias("n_windows"))
     whole = whole.select(*item, F.col("n_windows").alias("n_matched"), "n_windows", F.lit(True).alias("verbatim"), "start")
-    one = F.max(F.struct("by_windows", "verbatim", (-F.col("start")).alias("back"), "n_matched", "n_windows")).alias("x")
-    # by both ways: the windows' counts, verbatim if either says so
+    # the best alignment: verbatim, then with most windows, then the first one
     return out.withColumn("by_windows", F.lit(True)).unionByName(whole.withColumn("by_windows", F.lit(False))).groupBy(*item).agg(
-        one, F.max("verbatim").alias("verbatim"), F.min(F.when(F.col("verbatim"), F.col("start"))).alias("place")).select(
-        "doc_id", "h", "item_id", "x.n_matched", "x.n_windows", "verbatim", F.coalesce("place", -F.col("x.back")).alias("start"))
+        F.max(F.struct("verbatim", "by_windows", "n_matched", "n_windows", (-F.col("start")).alias("back"))).alias("x")).select(
+        "doc_id", "h", "item_id", "x.n_matched", "x.n_windows", "x.verbatim", (-F.col("x.back")).alias("start"))
 
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

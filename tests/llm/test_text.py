@@ -106,6 +106,19 @@ def test_short_and_dense_items(spark, make_docs):
             (1, 1, True, 4), (3, 2, True, 1), (4, 3, True, 1), (5, 3, True, 1)]
 
 
+def test_each_alignment_is_judged(spark, make_docs):
+    spoilt = ITEM.replace("gives Anna", "gives Eve")
+    words = ITEM.split()
+    scattered = " ".join(" ".join([*words[i: i + 5], *["pad"] * 60]) for i in range(len(words) - 4))
+    rows = [(1, f"{spoilt} . {ITEM}"), (2, f"{spoilt} . {'pre ' * 500}. {spoilt} . {ITEM.replace('12', '7')}"), (3, scattered),
+            (4, ITEM.replace("them to", "them really to").replace("left after", "left over after")), (5, f"{spoilt} . {spoilt}")]
+    items = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    for limit in (None, 0):
+        got = decontamination.contaminated(make_docs(rows), items, limit=limit, coverage=0.5).collect()
+        assert sorted((r.doc_id, r.verbatim) for r in got) == [(1, True), (2, False), (4, True)]
+        assert {r.doc_id: r.start for r in got}[1] == len(words)
+
+
 STEMS = {"en": ["th", "ing", "er", "on", "wh"], "fr": ["eau", "è", "oi", "qu", "ç"], "de": ["sch", "ung", "ß", "ö", "ei"]}
 
 
