@@ -3,25 +3,28 @@
 Every page is cut into its containers; a container's score is the text of its
 kept blocks, less what stands in links, weighted by what its tag and class
 names promise.  The page votes for the generalised tag-class path (digits in
-class names generalised) of its best container.  Votes are summed per host in
-Spark, and each page is extracted again with the best-voted path of its host
-that the page has; a page without any of them keeps its own best container.
+class names generalised) of its best container.  For every path of a host, Spark
+counts the pages that have it and those that vote for it.  A page keeps its own path
+if most other pages that have that path vote for it; else it takes the path that the
+largest majority of those that have it vote for, if this holds a fair share of the
+page's score; else its own.  Pages that lack a path say nothing about it, so a template
+is judged alike however many others its host has.
 """
 
 from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import attach, map_text, materialize
+from lapsewise.llm.common import attach, map_text, materialize, small
 
-#: A path is used on a host if it has this share of the host's votes (so at
-#: most 20 paths a host are kept).
-VOTE_SHARE = 0.05
+#: A path that is not the page's own must hold this share of its best container's score.
+FAIR_SHARE = 0.05
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -196,7 +199,10 @@ class Page:
         return out
 
     def best(self) -> str | None:
-        scores = self.scores()
+        return self.best_of(self.scores())
+
+    @staticmethod
+    def best_of(scores: dict[str, float]) -> str | None:
         return max(scores, key=lambda p: (scores[p], p.count(">"), p)) if scores else None
 
     def text(self, path: str | None) -> str:
@@ -211,28 +217,38 @@ def host_of(url_col: str):
     return F.regexp_replace(host, r"^www\.", "")
 
 
-def votes(pages: DataFrame) -> DataFrame:
-    """(host, path, votes): one vote a page for the path of its best container."""
+def census(pages: DataFrame) -> DataFrame:
+    """(host, path, votes, has): pages that vote for a path, one vote a page for that of
+    its best container, and pages that have it; paths that no other page can take are left out."""
 
     def kernel(batch):
-        hosts, paths = [], []
+        votes, has = Counter(), Counter()
         for host, source in zip(batch.column("host").to_pylist(), batch.column("text").to_pylist()):
-            best = Page(source).best() if source else None
-            if best is not None and host:
-                hosts.append(host)
-                paths.append(best)
-        return pa.RecordBatch.from_pydict({"host": pa.array(hosts, pa.string()), "path": pa.array(paths, pa.string())})
+            if source and host:
+                scores = Page(source).scores()
+                if scores:
+                    votes[host, Page.best_of(scores)] += 1
+                    has.update((host, path) for path in scores)
+        return pa.RecordBatch.from_pydict({
+            "host": pa.array([h for h, _ in has], pa.string()), "path": pa.array([p for _, p in has], pa.string()),
+            "votes": pa.array([votes[k] for k in has], pa.int64()), "has": pa.array(list(has.values()), pa.int64())})
 
-    return map_text(pages, kernel, "host string, path string").groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"))
+    return map_text(pages, kernel, "host string, path string, votes long, has long").groupBy("host", "path").agg(
+        F.sum("votes").alias("votes"), F.sum("has").alias("has")).where("has > 1 AND 2 * votes > has - 1")
 
 
-def winning_paths(pages: DataFrame) -> DataFrame:
-    """(host, paths): the paths with at least VOTE_SHARE of the host's votes, best first."""
-    cast = materialize(votes(pages), "votes")
-    total = cast.groupBy("host").agg(F.sum("votes").alias("all"))
-    strong = cast.join(total, "host").where(F.col("votes") >= VOTE_SHARE * F.col("all"))
-    return strong.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("rank"), "path"))).alias("ranked")
-                                      ).select("host", F.col("ranked.path").alias("paths"))
+def chosen_path(page: Page, known: dict[str, tuple[int, int]]) -> str | None:
+    """The path a page is extracted with; ``known``: votes and pages of its host's paths."""
+    scores = page.scores()
+    best = Page.best_of(scores)
+    if best is None:
+        return None
+    votes, has = known.get(best, (0, 0))
+    if has > 1 and 2 * (votes - 1) > has - 1:
+        return best
+    fair = [(known[p][0] / (known[p][1] - 1), known[p][0], p) for p in scores
+            if p != best and p in known and scores[p] >= FAIR_SHARE * scores[best]]
+    return max(fair)[2] if fair else best
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -246,26 +262,45 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("text"),
                         F.coalesce(host_of(url_col), F.lit("")).alias("host"))
-    paths = materialize(winning_paths(rows), "winning_paths")
+    paths = materialize(census(rows), "host_paths")
 
-    def kernel(batch):
+    def extracted(batch, known):
         texts, used = [], []
-        for source, known in zip(batch.column("text").to_pylist(), batch.column("paths").to_pylist()):
+        for source, mine in zip(batch.column("text").to_pylist(), known):
             text, path = "", None
             if source:
                 page = Page(source)
-                for path in known or []:
-                    if text := page.text(path):
-                        break
-                if not text:
-                    path = page.best()
-                    text = page.text(path)
-                    path = path if text else None
+                path = chosen_path(page, mine)
+                text = page.text(path)
             texts.append(text)
             used.append(path if text else None)
         return pa.RecordBatch.from_pydict({
             "page_id": batch.column("page_id"), "url": batch.column("url"), "text": pa.array(texts, pa.string()),
             "n_chars": pa.array([len(t) for t in texts], pa.int64()), "path": pa.array(used, pa.string())})
 
-    return map_text(attach(rows, paths, ["host"], "left", limit), kernel,
-                    "page_id long, url string, text string, n_chars long, path string")
+    schema = "page_id long, url string, text string, n_chars long, path string"
+    if small(paths, limit):
+        table: dict[str, dict[str, tuple[int, int]]] = {}
+        for r in paths.collect():
+            table.setdefault(r["host"], {})[r["path"]] = (r["votes"], r["has"])
+        held = pages.sparkSession.sparkContext.broadcast(table)
+        return map_text(rows, lambda batch: extracted(
+            batch, [held.value.get(h, {}) for h in batch.column("host").to_pylist()]), schema)
+
+    # each page's own paths meet the counts, so that no row holds all paths of a host
+    def own(batch):
+        keys, hosts, names = [], [], []
+        for key, host, source in zip(*(batch.column(c).to_pylist() for c in ("key", "host", "text"))):
+            if source and host:
+                mine = Page(source).scores()
+                keys += [key] * len(mine)
+                hosts += [host] * len(mine)
+                names += mine
+        return pa.RecordBatch.from_pydict({
+            "key": pa.array(keys, pa.int64()), "host": pa.array(hosts, pa.string()), "path": pa.array(names, pa.string())})
+
+    rows = rows.withColumn("key", F.xxhash64("host", "text"))
+    mine = map_text(rows, own, "key long, host string, path string").distinct().join(paths, ["host", "path"]).groupBy("key").agg(
+        F.collect_list(F.struct("path", "votes", "has")).alias("known"))
+    return map_text(attach(rows, materialize(mine, "page_paths"), ["key"], "left", limit), lambda batch: extracted(
+        batch, [{k["path"]: (k["votes"], k["has"]) for k in known or []} for known in batch.column("known").to_pylist()]), schema)

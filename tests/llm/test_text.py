@@ -57,6 +57,21 @@ def test_hosts_vote(spark):
     assert html_extract.extract(table.limit(0)).collect() == []
 
 
+def test_rare_templates_of_a_host(spark):
+    """A template is extracted by its own path, however large its host is."""
+    long = "a sentence of the main text of the page. " * 4
+    rare = page(f"<div class=box>tip</div><div class=blog><p>{long}</p></div><p>Other words below the story.</p>")
+    kinds = [page(f"<p>{long}</p>")] * 40 + [page(f"<div class=box><p>{long}</p></div>")] * 60
+    for common in (kinds[:50], kinds):
+        pages = [*common, rare, rare, rare]
+        table = spark.createDataFrame([(i, f"https://blogs.example/{i}", p) for i, p in enumerate(pages)],
+                                      "page_id long, url string, html string")
+        for limit in (None, 0):
+            got = {r.page_id: (r.path, r.text) for r in html_extract.extract(table, limit=limit).collect()}
+            assert {got[len(common) + i] for i in range(3)} == {(">body>div.blog", long.strip())}
+            assert got[0][0] == ">body" and got[49][0] == ">body>div.box"
+
+
 ITEM = "If Anna buys 12 apples and gives Anna 3 of them to Bob how many kg are left after 5 km of walk ok"
 
 
