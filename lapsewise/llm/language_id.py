@@ -141,6 +141,11 @@ class Model:
         return total / np.maximum(count, 1)[:, None] + self.bias, letters
 
 
+def shard_of(draw):
+    """The shard of a sampled document, whatever chose it by ``draw``."""
+    return F.pmod(F.xxhash64(F.lit("shard"), draw), F.lit(SHARDS))
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """Learn from all rows with an id, a text and a language; None if there are none."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(
@@ -175,7 +180,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     learn = examples.where("pmod(draw, 5000011) % 5 <> 0")
     k = len(languages)
     z, n = np.zeros((BUCKETS + 1, k)), np.zeros((BUCKETS + 1, k))  # the last row is the bias
-    shards = materialize(learn.repartition(SHARDS, F.pmod(F.col("draw"), F.lit(SHARDS))).sortWithinPartitions("draw"), "shards")
+    shards = materialize(learn.repartition(SHARDS, shard_of(F.col("draw"))).sortWithinPartitions("draw"), "shards")
     sc = docs.sparkSession.sparkContext
     for _ in range(EPOCHS):
         held = sc.broadcast((z, n))

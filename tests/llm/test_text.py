@@ -169,6 +169,15 @@ def test_language_id(spark, make_docs, monkeypatch):
     assert kept.columns == docs.columns and not {900, 901, 902} & {r.doc_id for r in kept.collect()}
 
 
+def test_shards_do_not_follow_the_sample(spark):
+    """A sample of every 4th or 6th row has a like part in each shard."""
+    rows = spark.range(24000).select(F.xxhash64(F.lit("sample"), "id").alias("draw"))
+    for every in (1, 2, 4, 6, 8):
+        sample = rows.where(F.pmod("draw", F.lit(every)) == 0)
+        parts = {r.s: r["count"] for r in sample.groupBy(language_id.shard_of(F.col("draw")).alias("s")).count().collect()}
+        assert len(parts) == language_id.SHARDS and min(parts.values()) > 0.8 * sum(parts.values()) / language_id.SHARDS
+
+
 def test_language_id_without_examples(make_docs):
     docs = make_docs([(1, "abc", None, "s"), (None, "abc", "en", "s")])
     assert language_id.fit(docs) is None and language_id.fit(make_docs([])) is None
