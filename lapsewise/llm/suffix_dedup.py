@@ -1,10 +1,17 @@
-"""Suffix-array deduplication with sparse suffixes.
+"""Deduplication by a sparse array of hashed entries, in place of a suffix array.
 
-Suffixes are retained at minimiser positions only: of every ``passage``
+This is no suffix array: no suffix is sorted by its words, and no common prefix of
+neighbours is measured or extended.  Entries of a fixed length are sorted by hashes of
+their content, so the order only brings equal ones together.  That is all the result
+needs, as a repeat of ``passage`` words or more is the union of its equal
+``passage``-word windows, and keys of a fixed size are compared without any text being
+shuffled.
+
+Places (the starts of suffixes) are retained at minimiser positions only: of every ``passage``
 consecutive words the ``seed``-word sequence with the smallest hash is selected by
 content, so equal passages select the same place.  A minimiser that occurs
-once cannot lie in a repeated passage and is dropped.  The retained suffixes are
-extended left and right: where all occurrences of a minimiser agree in the whole
+once cannot lie in a repeated passage and is dropped.  The retained places are
+extended left and right within their text: where all occurrences of a minimiser agree in the whole
 stretch it governs, that stretch is one entry of the array; elsewhere every
 ``passage``-word extension over the minimiser is an entry of its own.
 
