@@ -14,8 +14,8 @@ from lapsewise.llm.common import materialize, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with letters, but those whose language stays open (probability below 0.3)."""
-    return language_id.keep_identified(docs, language_id.fit(docs), least=0.3)
+    """Documents in a language that the corpus teaches; not those whose language stays open."""
+    return language_id.keep_identified(docs, language_id.fit(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ times inverse document frequency.  Document frequencies cover all documents that
 be learned from; the weights are fitted by follow-the-regularised-leader with
 an elastic-net penalty on a bounded sample a language, in shards whose states are
 averaged after each epoch.  A temperature fitted on sampled documents that the
-weights have not seen turns scores into probabilities.
+weights have not seen turns scores into probabilities.  The same documents tell what
+share of its n-grams a text of each language has that the language rarely has; a text
+with far more is in none of the languages learned, however many they are.
 """
 
 from __future__ import annotations
@@ -29,6 +31,17 @@ SHARDS = 4
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.02, 0.5
 SCALE = 10.0
 UNKNOWN = "und"
+#: An n-gram belongs to a language if this share of its learned documents has it.
+FAMILIAR = 0.01
+#: A text is of no learned language if its share of other n-grams is over STRANGE times
+#: that of all but one in a hundred unseen documents of the language, by more than one
+#: over the root of its n-grams.  A language with fewer than BOUND_DOCS unseen documents
+#: goes by those of all languages.
+STRANGE = 3.0
+BOUND_DOCS = 20
+#: Least lead of the best probability over an even guess, of what it could lead by;
+#: with four languages a probability of 0.3.
+LEAD = 1 / 15
 
 _FOLD: list[np.ndarray] = []
 
@@ -121,16 +134,19 @@ def ftrl_pass(z: np.ndarray, n: np.ndarray, examples, alpha: float = ALPHA, l1:
 
 
 class Model:
-    """Languages, weights a bucket and language (idf and scale included), bias, temperature."""
+    """Languages, weights a bucket and language (idf and scale included), bias, temperature,
+    the buckets of each language and the largest share of others a text of it has."""
 
-    def __init__(self, languages: list[str], weights: np.ndarray, bias: np.ndarray, temperature: float):
+    def __init__(self, languages: list[str], weights: np.ndarray, bias: np.ndarray, temperature: float,
+                 familiar: np.ndarray, strange: np.ndarray):
         self.languages, self.weights, self.bias, self.temperature = languages, weights, bias, temperature
+        self.familiar, self.strange = familiar, strange
 
-    def logits(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        grams, first, letters = gram_buckets(texts)
+    def _logits(self, grams: list[np.ndarray], first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of each text, and the number of its n-grams."""
         table = np.vstack([self.weights, np.zeros((1, len(self.languages)), dtype=np.float32)])
-        total = np.zeros((len(texts), len(self.languages)))
-        count = np.zeros(len(texts))
+        total = np.zeros((len(first) - 1, len(self.languages)))
+        count = np.zeros(len(first) - 1)
         for g in grams:
             edge = np.minimum(first, len(g))
             sums = np.zeros((len(g) + 1, len(self.languages)))
@@ -138,7 +154,28 @@ class Model:
             total += sums[edge[1:]] - sums[edge[:-1]]
             seen = np.r_[0, np.cumsum(g >= 0)]
             count += seen[edge[1:]] - seen[edge[:-1]]
-        return total / np.maximum(count, 1)[:, None] + self.bias, letters
+        return total / np.maximum(count, 1)[:, None] + self.bias, count
+
+    def logits(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        grams, first, letters = gram_buckets(texts)
+        return self._logits(grams, first)[0], letters
+
+    def identified(self, texts: list[str | None], lead: float = LEAD) -> np.ndarray:
+        """Whether each text has letters, is in a learned language, and that one leads."""
+        k = len(self.languages)
+        grams, first, letters = gram_buckets(texts)
+        logits, count = self._logits(grams, first)
+        p = _softmax(logits / self.temperature)
+        best = p.argmax(axis=1)
+        language = np.repeat(best, np.diff(first))
+        odd = np.zeros(len(texts))
+        for g in grams:
+            edge = np.minimum(first, len(g))
+            sums = np.r_[0, np.cumsum((g >= 0) & ~self.familiar[g, language[: len(g)]])]
+            odd += sums[edge[1:]] - sums[edge[:-1]]
+        count = np.maximum(count, 1)
+        leads = p.max(axis=1) * k - 1 >= lead * (k - 1) if k > 1 else True
+        return (letters > 0) & (odd / count <= self.strange[best] + 1 / np.sqrt(count)) & leads
 
 
 def shard_of(draw):
@@ -217,7 +254,24 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     logits = np.array([np.asarray(v) @ w[np.asarray(i)] + w[BUCKETS]
                        for i, v in zip(rest.column("index").to_pylist(), rest.column("value").to_pylist())]).reshape(-1, k)
     temperature = _temperature(logits, rest.column("label").to_numpy())
-    return Model(languages, (w[:BUCKETS] * idf[:, None]).astype(np.float32), w[BUCKETS], temperature)
+    weights = (w[:BUCKETS] * idf[:, None]).astype(np.float32)
+    familiar = np.zeros((BUCKETS, k), dtype=bool)
+    have = learn.select("label", F.explode("index").alias("bucket")).groupBy("label", "bucket").count().toArrow()
+    label, bucket, held = (have.column(c).to_numpy() for c in ("label", "bucket", "count"))
+    size = {r["label"]: r["count"] for r in learn.groupBy("label").count().collect()}
+    familiar[bucket, label] = held >= FAMILIAR * np.array([size.get(i, 0) for i in range(k)])[label]
+    labels = rest.column("label").to_numpy()
+    shares = np.array([(np.asarray(v) / idf[np.asarray(i)])[~familiar[np.asarray(i), x]].sum()
+                       for i, v, x in zip(rest.column("index").to_pylist(), rest.column("value").to_pylist(), labels)])
+    return Model(languages, weights, w[BUCKETS], temperature, familiar, _strange(shares, labels, k))
+
+
+def _strange(shares: np.ndarray, labels: np.ndarray, k: int) -> np.ndarray:
+    """For each language the share of other n-grams from which a text is of none."""
+    if not len(shares):
+        return np.ones(k)
+    groups = [shares[labels == i] for i in range(k)]
+    return np.array([STRANGE * np.quantile(g if len(g) >= BOUND_DOCS else shares, 0.99) for g in groups])
 
 
 def _temperature(logits: np.ndarray, labels: np.ndarray) -> float:
@@ -263,9 +317,9 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
-def keep_identified(docs: DataFrame, model: Model | None, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` (all their columns) whose language is known with a
-    probability of ``least`` or more; rows without letters go."""
+def keep_identified(docs: DataFrame, model: Model | None, lead: float = LEAD, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all their columns) in a learned language whose probability
+    leads by ``lead``; rows without letters or in no learned language go."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     ship_package(docs.sparkSession)
@@ -273,10 +327,7 @@ def keep_identified(docs: DataFrame, model: Model | None, least: float = 0.5, te
     def run(batches):
         for batch in batches:
             for part in slices(batch, text_col):
-                if held.value is None:
-                    continue
-                logits, letters = held.value.logits(part.column(text_col).to_pylist())
-                p = _softmax(logits / held.value.temperature).max(axis=1)
-                yield part.filter(pa.array((letters > 0) & (p >= least)))
+                if held.value is not None:
+                    yield part.filter(pa.array(held.value.identified(part.column(text_col).to_pylist(), lead)))
 
     return docs.select(*names).mapInArrow(run, docs.schema)

@@ -169,6 +169,16 @@ def test_language_id(spark, make_docs, monkeypatch):
     assert kept.columns == docs.columns and not {900, 901, 902} & {r.doc_id for r in kept.collect()}
 
 
+@pytest.mark.parametrize("languages", [{"en"}, {"en", "fr"}, {"en", "fr", "de"}])
+def test_unlearned_languages_go(make_docs, languages):
+    rows = [r for r in language_rows(400) if r[2] in languages]
+    strange = [(900, "привет как дела сегодня хорошая погода и мы идём гулять", None, "s"), (901, "xqzv kjwq zzkx vvqj wxyz " * 9, None, "s"),
+               (902, "12 !! 3", None, "s")]
+    docs = make_docs(rows + strange)
+    kept = {r.doc_id for r in language_id.keep_identified(docs, language_id.fit(docs)).collect()}
+    assert kept == {r[0] for r in rows}
+
+
 def test_shards_do_not_follow_the_sample(spark):
     """A sample of every 4th or 6th row has a like part in each shard."""
     rows = spark.range(24000).select(F.xxhash64(F.lit("sample"), "id").alias("draw"))
