@@ -35,8 +35,8 @@ UNKNOWN = "und"
 FAMILIAR = 0.01
 #: A text is of no learned language if its share of other n-grams is over STRANGE times
 #: that of all but one in a hundred unseen documents of the language, by more than one
-#: over the root of its n-grams.  A language with fewer than BOUND_DOCS unseen documents
-#: goes by those of all languages.
+#: over the root of its n-grams; the unseen documents of all languages are the least bound,
+#: and the only one of a language with fewer than BOUND_DOCS.
 STRANGE = 3.0
 BOUND_DOCS = 20
 #: Least lead of the best probability over an even guess, of what it could lead by;
@@ -271,7 +271,8 @@ def _strange(shares: np.ndarray, labels: np.ndarray, k: int) -> np.ndarray:
     if not len(shares):
         return np.ones(k)
     groups = [shares[labels == i] for i in range(k)]
-    return np.array([STRANGE * np.quantile(g if len(g) >= BOUND_DOCS else shares, 0.99) for g in groups])
+    every = np.quantile(shares, 0.99)
+    return STRANGE * np.array([max(every, np.quantile(g, 0.99) if len(g) >= BOUND_DOCS else 0.0) for g in groups])
 
 
 def _temperature(logits: np.ndarray, labels: np.ndarray) -> float:
