@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.llm import (
-    decontamination, html_extract, language_id, ngram_jaccard, orc_output, packing, quality_bayes, substring_dedup,
-    suffix_dedup, vp_search,
+    decontamination, html_extract, importance, language_id, lexical_search, mixing, ngram_jaccard, orc_output, packing,
+    quality_bayes, substring_dedup, suffix_dedup, vp_search,
 )
 from lapsewise.llm.common import table
 from lapsewise.session import scratch_path
@@ -105,3 +105,88 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bayes.classify(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), host=F.col("source"),
         path=F.concat_ws("/", "source", "lang"))
+
+
+# CRC-32 of a word's UTF-8 bytes: a table of 256 remainders by the reflected polynomial
+# 0xEDB88320, then one step a byte.
+_CRC_ROWS = """
+crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i::BIGINT] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))),
+crcs AS (
+  SELECT w, xor(list_reduce([4294967295::BIGINT] || list_transform(range(octet_length(encode(w))),
+      lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT),
+      lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM spelled, crc_table)
+"""
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def _terms(column: str) -> str:
+    return _TERMS.format(_LOWER.format(f"coalesce({column}, '')"))
+
+
+@register("op11_importance_resampling", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms('text')} AS ws FROM documents),
+words AS (SELECT r, unnest(ws) AS w FROM d),
+goal AS (SELECT unnest({_terms('text')}) AS w FROM benchmark),
+spelled AS (SELECT w FROM words UNION SELECT w FROM goal),
+{_CRC_ROWS},
+src AS (SELECT bucket, count(*) AS s FROM words JOIN crcs USING (w) GROUP BY bucket),
+tgt AS (SELECT bucket, count(*) AS t FROM goal JOIN crcs USING (w) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM words) AS all_s, (SELECT count(*) FROM goal) AS all_t),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000) / ((coalesce(s, 0) + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS g
+  FROM src FULL JOIN tgt USING (bucket), totals),
+sums AS (SELECT r, sum(g)::BIGINT AS g, count(*) AS n FROM words JOIN crcs USING (w) JOIN gain USING (bucket) GROUP BY r),
+scored AS (
+  SELECT d.r, doc_id, len(ws) AS n_features, coalesce(floor(g::DOUBLE / n), 0)::BIGINT AS weight,
+    ('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT AS h
+  FROM d LEFT JOIN sums ON d.r = sums.r),
+final AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM scored),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS rank
+  FROM final WHERE n_features >= 20)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score,
+  CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM ranked) THEN rank END AS rank
+FROM final LEFT JOIN ranked ON final.r = ranked.r
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn by their likeness to the benchmark's words."""
+    return importance.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), longest=1, buckets=10_000, percent=10, least=20, seed=2024)
+
+
+@register("op12_lexical_search", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms('text')} AS ws FROM documents),
+items AS (SELECT row_number() OVER () AS i, item_id, {_terms('text')} AS ws FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+totals AS (SELECT count(*) AS N, sum(len(ws))::BIGINT AS L FROM d WHERE len(ws) > 0),
+asked AS (SELECT i, w, count(*) AS times FROM (SELECT i, unnest(ws) AS w FROM items) GROUP BY ALL),
+postings AS (
+  SELECT r, w, count(*) AS tf FROM (SELECT r, unnest(ws) AS w FROM d) WHERE w IN (SELECT w FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT w, floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight
+  FROM (SELECT w, count(*) AS df FROM postings GROUP BY w), totals),
+scores AS (
+  SELECT i, r, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(ws)::BIGINT * N) // L))))::BIGINT AS score
+  FROM asked JOIN postings USING (w) JOIN weights USING (w) JOIN d USING (r), totals GROUP BY i, r),
+ranked AS (
+  SELECT i, r, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scores JOIN d USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM ranked JOIN items USING (i) JOIN d USING (r) WHERE rank <= 10
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10).select(
+        "item_id", "rank", "doc_id", "score")
+
+
+@register("op13_source_mixing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed by source to weights of 5, 2 and 1, at 150 % of their words."""
+    return mixing.mix(table(spark, sf_dir, "documents"), share=1.5, weights=(5, 2, 1), most=2).select(
+        "doc_id", "size", "source_size", "target", "taken")
