@@ -48,6 +48,8 @@ def main(argv=None) -> int:
     m = sub.add_parser("marts", help="build dim_patients and the claims summary")
     m.add_argument("root")
     m.add_argument("out")
+    for p in (ld, m):
+        p.add_argument("--plain", action="store_true", help="write plain Parquet folders, not tables in versions")
     t = sub.add_parser("test", help="run the model tests; non-zero exit on failure")
     t.add_argument("root")
     t.add_argument("--provinces", default=None)
@@ -69,6 +71,16 @@ def main(argv=None) -> int:
         spark.stop()
 
 
+def _in_versions(spark, plain: bool, root: str) -> bool:
+    """Tables in versions, unless plain ones are asked for or are there already."""
+    from lapsewise.operators.loading import hadoop_fs
+    from lapsewise.operators.versioned import is_versioned
+
+    fs, folder = hadoop_fs(spark, root)
+    held = [s.getPath().toString() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return not plain and all(is_versioned(spark, p) for p in held)
+
+
 def _run(spark, args) -> int:
     """One command; the exit status."""
     status = 0
@@ -96,11 +108,13 @@ def _run(spark, args) -> int:
         paths = warehouse.load_warehouse(
             spark, args.root, args.clients, args.products, args.lapses,
             calendar=cal, policies=pol, num_clients=args.num_clients, num_products=args.num_products,
+            versioned=_in_versions(spark, args.plain, args.root),
         )
         print(json.dumps(paths))
     elif args.cmd == "marts":
         paths = {n: f"{args.root.rstrip('/')}/{n}" for n in schemas.TABLES}
-        print(json.dumps(warehouse.build_marts(spark, warehouse.read_warehouse(spark, paths), args.out)))
+        print(json.dumps(warehouse.build_marts(spark, warehouse.read_warehouse(spark, paths), args.out,
+                                               versioned=_in_versions(spark, args.plain, args.out))))
     elif args.cmd == "test":
         from lapsewise.operators import quality as Q
 

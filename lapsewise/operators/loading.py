@@ -6,6 +6,11 @@
 * replace (``TRUNCATE ... RESTART IDENTITY`` + reload): the new version is
   written to a staging folder, validated, and only then swapped in, so a
   failed reload never leaves a half-written table behind.
+
+Both work on two kinds of tables.  A table in versions (``versioned=True`` when it
+is created, see ``versioned.py``) publishes every change atomically and loads by
+its key index; read it with ``read_table``.  A plain folder of Parquet files can be read
+by anything, but a reload swaps it by renaming and a load reads all its keys.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.operators.dedup import first_wins
+from lapsewise.operators.versioned import VersionedTable, is_versioned
 from lapsewise.session import materialize
 
 
@@ -52,6 +58,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table at ``path``: its newest version, or a plain folder."""
+    return VersionedTable(spark, path).read() if is_versioned(spark, path) else spark.read.parquet(path)
+
+
+def in_versions(spark: SparkSession, path: str, versioned: bool) -> bool:
+    """Whether ``path`` is, or is to become, a table in versions; a plain one is not turned into one."""
+    if is_versioned(spark, path):
+        return True
+    if versioned and path_exists(spark, path):
+        raise ValueError(f"{path} is a plain folder, not a table in versions")
+    return versioned
+
+
 def insert_if_absent(
     spark: SparkSession,
     path: str,
@@ -60,12 +80,16 @@ def insert_if_absent(
     order: Sequence[str] | None = None,
     drop: Sequence[str] = (),
     fmt: str = "parquet",
+    versioned: bool = False,
 ) -> dict[str, int]:
     """Append the absent rows of ``batch`` to the table at ``path``.
 
     Returns ``{"rows_read": n, "rows_inserted": m}``, observed while the rows
     are staged and appended (no second scan of the batch).
     """
+    if in_versions(spark, path, versioned):
+        counts = VersionedTable(spark, path).insert_if_absent(batch, keys, order, drop)
+        return {k: counts[k] for k in ("rows_read", "rows_inserted")}
     read_obs = Observation("rows_read")
     batch = batch.observe(read_obs, F.count(F.lit(1)).alias("n"))
     staged = stage_absent(spark, path, batch, keys, order, drop, fmt)
@@ -105,7 +129,8 @@ def with_existing(spark: SparkSession, path: str, staged: DataFrame, fmt: str =
     """The table at ``path`` as it will be once ``staged`` is appended."""
     if not path_exists(spark, path):
         return staged
-    return spark.read.format(fmt).load(path).unionByName(staged)
+    existing = read_table(spark, path) if is_versioned(spark, path) else spark.read.format(fmt).load(path)
+    return existing.unionByName(staged)
 
 
 def replace_table(
@@ -115,11 +140,14 @@ def replace_table(
     validate: Callable[[DataFrame], None] | None = None,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
+    versioned: bool = False,
 ) -> DataFrame:
     """Write ``df`` as the new content of ``path`` (truncate + reload).
 
     ``validate`` runs on the staged copy; if it raises, the old table stays.
     """
+    if in_versions(spark, path, versioned):
+        return VersionedTable(spark, path).replace(df, validate)
     staging = path.rstrip("/") + "._staging"
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapsewise.operators.dedup import last_wins
-from lapsewise.operators.loading import path_exists, replace_table
+from lapsewise.operators.loading import in_versions, path_exists, replace_table
+from lapsewise.operators.versioned import VersionedTable
 from lapsewise.plans import models
 from lapsewise.session import materialize
 
@@ -28,6 +29,7 @@ def upsert(
     keys: Sequence[str],
     newest_first: Sequence[str],
     buckets: int | None = None,
+    versioned: bool = False,
 ) -> DataFrame:
     """Insert new keys, replace existing ones when the batch row is newer.
 
@@ -44,8 +46,13 @@ def upsert(
     The bucket count is stored beside the table; a later call with another one
     is refused, as its keys would fall into other buckets.  Returns the table
     without the bucket column.
+
+    A table in versions (``versioned=True``) is always bucketed; all touched
+    buckets are published at once, so no reader sees some new and some old.
     """
     keys = list(keys)
+    if in_versions(spark, path, versioned):
+        return VersionedTable(spark, path).upsert(batch, keys, newest_first, buckets)
     if buckets is None:
         if path_exists(spark, path):
             existing = spark.read.parquet(path)
@@ -134,9 +141,9 @@ def refresh_summary(
 ) -> DataFrame:
     """Recompute the claims summary only for clients touched by ``new_rows``.
 
-    Distinct counts and averages need the touched clients' whole history, so
-    their facts are re-read (semi-join on the touched policies' clients);
-    untouched clients keep their old rows.
+    Without a stored state (see ``merge_claims``) the touched clients' whole
+    history is re-read: a semi-join on the touched policies' clients; untouched
+    clients keep their old rows.
     """
     touched = materialize(
         new_rows.select("policy_id").distinct()
@@ -151,6 +158,24 @@ def refresh_summary(
     return kept.unionByName(fresh)
 
 
+def merge_claims(spark: SparkSession, path: str, new_rows: DataFrame, batch: str, buckets: int | None = None) -> DataFrame:
+    """Add a batch of lapses to the claims state at ``path``; returns the state.
+
+    The state holds one row per policy: counts, sum, least and greatest premium,
+    status counts, first and latest date.  All of them merge, so only the buckets
+    of the batch's policies are read and written, never a lapse that is in already.
+    The name of each batch is kept with the version that added it: a batch that is sent
+    again changes nothing.
+    """
+    table = VersionedTable(spark, path)
+    return table.merge(models.policy_lapse_totals(new_rows), ["policy_id"], models.LAPSE_TOTALS, batch, buckets)
+
+
+def summary_from_state(state: DataFrame, policy: DataFrame, patients: DataFrame) -> DataFrame:
+    """The claims summary of a merged state: no lapse is read."""
+    return models.summary_of_totals(state, policy, patients)
+
+
 def write_partitioned_fact(fact: DataFrame, path: str) -> None:
     """Fact laid out by lapse month (``lapse_year=/lapse_month=`` folders).
 

@@ -104,6 +104,12 @@ def dim_patients_hashed(dim_clients: DataFrame, salt: str | None = None) -> Data
     )
 
 
+#: How the measures of two sets of lapses of one policy merge.
+LAPSE_TOTALS = {
+    "_claims": "sum", "_premiums": "sum", "_min_premium": "min", "_max_premium": "max", "_lapsed_count": "sum",
+    "_active_count": "sum", "_pending_count": "sum", "_first": "min", "_latest": "max",
+}
+
 _STATUS_COUNTS = (("lapsed_count", "Lapsed"), ("active_count", "Active"), ("pending_count", "Pending"))
 
 
@@ -128,7 +134,11 @@ def policy_lapse_totals(fact: DataFrame, status_col: str = "status") -> DataFram
 
 def client_claims(fact: DataFrame, policy: DataFrame, status_col: str = "status") -> DataFrame:
     """Per-client claim measures (the ``patient_summary`` step)."""
-    per_policy = policy_lapse_totals(fact, status_col)
+    return claims_of_totals(policy_lapse_totals(fact, status_col), policy)
+
+
+def claims_of_totals(per_policy: DataFrame, policy: DataFrame) -> DataFrame:
+    """Per-client claim measures from per-policy ones."""
     joined = per_policy.join(policy.select("policy_id", "client_id", "product_id"), "policy_id")
     return joined.groupBy("client_id").agg(
         F.count_distinct("policy_id").alias("total_policies"),
@@ -151,7 +161,12 @@ def patient_claims_summary(
     ``avg_premium`` and ``lapse_rate_pct`` are rounded half away from zero in
     one exact step (sum / count), never ``round(avg())``.
     """
-    claims = client_claims(fact, policy, status_col)
+    return summary_of_totals(policy_lapse_totals(fact, status_col), policy, patients)
+
+
+def summary_of_totals(per_policy: DataFrame, policy: DataFrame, patients: DataFrame) -> DataFrame:
+    """The claims summary from per-policy measures."""
+    claims = claims_of_totals(per_policy, policy)
     p = patients.select("client_id", "income", "province")
     return claims.join(p, "client_id").select(
         "client_id",

@@ -20,7 +20,8 @@ from lapsewise.functions.text import pad_key
 from lapsewise.operators import quality as Q
 from lapsewise.operators.calendar import dim_date
 from lapsewise.operators.keys import dense_index
-from lapsewise.operators.loading import replace_table, stage_absent, with_existing
+from lapsewise.operators.loading import in_versions, read_table, replace_table, stage_absent, with_existing
+from lapsewise.operators.versioned import BUCKET, VersionedTable
 from lapsewise.plans import models
 from lapsewise.session import run_concurrently
 from lapsewise.sources import files
@@ -112,9 +113,13 @@ def load_warehouse(
     num_clients: int = 8,
     num_products: int = 5,
     first_client: int = 1,
+    versioned: bool = False,
 ) -> dict[str, str]:
     """Load the five warehouse tables under ``root``; returns their paths.
 
+    ``versioned`` creates them as tables in versions: every table changes atomically
+    and a load finds the keys it lacks by the key index (read with ``read_table``).
+
     The new rows of all four dimension tables are staged and validated (keys,
     NOT NULL, lengths, ranges and the policy's foreign keys) before any table
     is written; a failing row aborts the load.
@@ -132,8 +137,14 @@ def load_warehouse(
         "dim_policy": (bridge, []),
     }
 
+    keyed = {n: VersionedTable(spark, paths[n]) for n in batches if in_versions(spark, paths[n], versioned)}
+    inserts = {}
+
     def stage(name):
         batch, order = batches[name]
+        if name in keyed:
+            inserts[name] = keyed[name].stage(batch, schemas.PRIMARY_KEYS[name], order, order)
+            return inserts[name].absent.drop(BUCKET)
         return stage_absent(spark, paths[name], batch, schemas.PRIMARY_KEYS[name], order=order, drop=order)
 
     # the four dimensions are independent until their foreign keys are checked
@@ -145,22 +156,23 @@ def load_warehouse(
     ]
     Q.assert_passing(Q.run_checks(checks, {**staged, **{f"all_{n}": df for n, df in after.items()}}))
     run_concurrently(*[
-        lambda n=n: staged[n].write.mode("append").parquet(paths[n]) for n in batches
+        (lambda n=n: keyed[n].insert(inserts[n])) if n in keyed
+        else (lambda n=n: staged[n].write.mode("append").parquet(paths[n])) for n in batches
     ])
 
-    policy = spark.read.parquet(paths["dim_policy"])
-    dates = spark.read.parquet(paths["dim_date"])
+    policy = read_table(spark, paths["dim_policy"])
+    dates = read_table(spark, paths["dim_date"])
     rows = lapse_rows(files.read_lapses_parquet(spark, lapses_path))
     fact = fact_with_keys(rows, FILE_ORDER)
-    replace_table(spark, paths["fct_health_lapses"], fact, validate=fact_gate(policy, dates))
+    replace_table(spark, paths["fct_health_lapses"], fact, validate=fact_gate(policy, dates), versioned=versioned)
     return paths
 
 
 def read_warehouse(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(p) for name, p in paths.items()}
+    return {name: read_table(spark, p) for name, p in paths.items()}
 
 
-def build_marts(spark: SparkSession, tables: dict[str, DataFrame], out_root: str) -> dict[str, str]:
+def build_marts(spark: SparkSession, tables: dict[str, DataFrame], out_root: str, versioned: bool = False) -> dict[str, str]:
     """Materialise ``dim_patients`` and ``fct_patient_claims_summary``.
 
     The summary reads the written ``dim_patients`` back instead of
@@ -171,11 +183,11 @@ def build_marts(spark: SparkSession, tables: dict[str, DataFrame], out_root: str
         "fct_patient_claims_summary": f"{out_root.rstrip('/')}/fct_patient_claims_summary",
     }
     stg = models.stg_clients(tables["dim_clients"], order=["client_id", "name", "income", "province"])
-    patients = replace_table(spark, out["dim_patients"], models.dim_patients(stg))
+    patients = replace_table(spark, out["dim_patients"], models.dim_patients(stg), versioned=versioned)
     summary = models.patient_claims_summary(
         tables["fct_health_lapses"], tables["dim_policy"], patients
     )
-    replace_table(spark, out["fct_patient_claims_summary"], summary)
+    replace_table(spark, out["fct_patient_claims_summary"], summary, versioned=versioned)
     return out
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lapsewise.boundary import decimals_to_double
 from lapsewise.operators.calendar import dim_date_covering
 from lapsewise.operators.dedup import first_wins
+from lapsewise.operators.loading import read_table
 from lapsewise.operators.median import group_median
 from lapsewise.plans import models, warehouse
 from lapsewise.sources import standins as S
@@ -631,7 +632,7 @@ def q_insert_if_absent(spark, sf_dir):
 )
 def q_truncate_reload(spark, sf_dir):
     """Fact loaded with early events, then truncated and fully reloaded
-    (keys restart at 1; the reload is validated before it is swapped in)."""
+    (keys restart at 1; the reload is validated before its version is published)."""
     from lapsewise.operators.loading import replace_table
     from lapsewise.session import scratch_path
 
@@ -639,7 +640,7 @@ def q_truncate_reload(spark, sf_dir):
     raw = S.raw_lapses(spark, sf_dir)
     rows = warehouse.lapse_rows(raw)
     early = rows.where(F.col("lapse_date") < F.lit(CUTOFF).cast("date"))
-    replace_table(spark, path, warehouse.fact_with_keys(early, S.LAPSE_ORDER))
+    replace_table(spark, path, warehouse.fact_with_keys(early, S.LAPSE_ORDER), versioned=True)
     gate = warehouse.fact_gate(S.policy(spark, sf_dir), dim_date_covering(raw, "lapse_date"))
     return replace_table(
         spark, path, warehouse.fact_with_keys(rows, S.LAPSE_ORDER), validate=gate
@@ -669,7 +670,7 @@ def q_upsert_latest(spark, sf_dir):
     )
     newest = ["lapse_date", "line_no", "_part", "_supp", "premium_amount", "status"]
     cutoff = F.lit(CUTOFF).cast("date")
-    upsert(spark, path, rows.where(F.col("lapse_date") < cutoff), ["policy_id"], newest, buckets=32)
+    upsert(spark, path, rows.where(F.col("lapse_date") < cutoff), ["policy_id"], newest, buckets=32, versioned=True)
     out = upsert(
         spark, path, rows.where(F.col("lapse_date") >= cutoff), ["policy_id"], newest, buckets=32
     )
@@ -678,6 +679,24 @@ def q_upsert_latest(spark, sf_dir):
 
 @register("incremental_summary", SQL_SUMMARY)
 def q_incremental_summary(spark, sf_dir):
+    """Claims summary from a state that early and later events are merged into,
+    one batch after the other; no event is read twice."""
+    from lapsewise.plans.incremental import merge_claims, summary_from_state
+    from lapsewise.session import materialize, scratch_path
+
+    clients = models.stg_clients(S.raw_clients(spark, sf_dir), S.CLIENT_ORDER)
+    patients = materialize(models.dim_patients(clients))
+    policy = S.policy(spark, sf_dir)
+    fact = warehouse.lapse_rows(S.raw_lapses(spark, sf_dir))
+    cutoff = F.lit(CUTOFF).cast("date")
+    path = scratch_path(spark, "claims_state")
+    merge_claims(spark, path, fact.where(F.col("lapse_date") < cutoff), "early")
+    state = merge_claims(spark, path, fact.where(F.col("lapse_date") >= cutoff), "late")
+    return summary_from_state(state, policy, patients)
+
+
+@register("refreshed_summary", SQL_SUMMARY)
+def q_refreshed_summary(spark, sf_dir):
     """Claims summary built from early events, then refreshed for the
     clients touched by later events only."""
     from lapsewise.plans.incremental import refresh_summary
@@ -923,8 +942,8 @@ def q_warehouse_pipeline(spark, sf_dir):
     load the star schema (dims insert-if-absent, bridge by modulo rule, fact
     with keys behind the FK gate), build the marts, return the summary."""
     root, paths = _loaded_warehouse(spark, sf_dir)
-    marts = warehouse.build_marts(spark, warehouse.read_warehouse(spark, paths), f"{root}/marts")
-    return spark.read.parquet(marts["fct_patient_claims_summary"])
+    marts = warehouse.build_marts(spark, warehouse.read_warehouse(spark, paths), f"{root}/marts", versioned=True)
+    return read_table(spark, marts["fct_patient_claims_summary"])
 
 
 def _loaded_warehouse(spark, sf_dir):
@@ -951,6 +970,7 @@ def _loaded_warehouse(spark, sf_dir):
         num_clients=clients.n,
         num_products=S.product_count(spark, sf_dir),
         first_client=clients["first"],
+        versioned=True,
     )
     return root, paths
 
@@ -1091,7 +1111,8 @@ def q_load_counts(spark, sf_dir):
 
     path = scratch_path(spark, "policies")
     policy = S.policy(spark, sf_dir)
-    loads = [insert_if_absent(spark, path, batch, ["policy_id"]) for batch in (policy.where("policy_id % 2 = 0"), policy)]
+    loads = [insert_if_absent(spark, path, batch, ["policy_id"], versioned=True)
+             for batch in (policy.where("policy_id % 2 = 0"), policy)]
     return spark.createDataFrame(
         [(i + 1, c["rows_read"], c["rows_inserted"]) for i, c in enumerate(loads)],
         "load int, rows_read long, rows_inserted long")
@@ -1144,6 +1165,33 @@ def q_retained_lapses(spark, sf_dir):
     return within_retention(rows, "lapse_date", 1000, today="1998-06-01")
 
 
+@register(
+    "expired_lapses",
+    with_(SQL_LAPSES)
+    + """SELECT 'kept' AS what, strftime(lapse_date, '%Y-%m') AS period, count(*) AS lapses,
+       CAST(sum(premium_amount) AS DOUBLE) AS premiums
+FROM lapses WHERE lapse_date >= DATE '1995-06-17' GROUP BY ALL
+UNION ALL SELECT 'removed', strftime(lapse_date, '%Y-%m'), count(*), CAST(NULL AS DOUBLE)
+FROM lapses WHERE lapse_date < DATE '1995-06-17' GROUP BY ALL""",
+)
+def q_expired_lapses(spark, sf_dir):
+    """A dated table after two expiries: what is left by month, and the log of what went."""
+    from lapsewise.operators.versioned import VersionedTable
+    from lapsewise.session import scratch_path
+
+    rows = warehouse.lapse_rows(S.raw_lapses(spark, sf_dir)).select("policy_id", "lapse_date", "premium_amount", "status")
+    table = VersionedTable(spark, scratch_path(spark, "dated_lapses"))
+    table.append_dated(rows.where("policy_id % 2 = 0"), "lapse_date")
+    table.append_dated(rows.where("policy_id % 2 <> 0"), "lapse_date")
+    table.expire("1994-02-01")
+    table.expire("1995-06-17")
+    kept = table.read().groupBy(F.date_format("lapse_date", "yyyy-MM").alias("period")).agg(
+        F.count(F.lit(1)).alias("lapses"), F.sum("premium_amount").alias("premiums"))
+    removed = table.expired().groupBy("period").agg(F.sum("rows_removed").alias("lapses"))
+    return kept.select(F.lit("kept").alias("what"), "period", "lapses", F.col("premiums").cast("double").alias("premiums")).unionByName(
+        removed.select(F.lit("removed").alias("what"), "period", "lapses", F.lit(None).cast("double").alias("premiums")))
+
+
 @register(
     "lapses_by_day",
     with_(SQL_LAPSES)
