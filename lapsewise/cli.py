@@ -60,6 +60,8 @@ def main(argv=None) -> int:
     i.add_argument("audit")
     i.add_argument("checkpoint")
     i.add_argument("--max-files", type=int, default=1000)
+    i.add_argument("--continuous", metavar="SECONDS", type=int, default=None,
+                   help="keep running: new and changed files every SECONDS")
     args = ap.parse_args(argv)
     spark = _session(args)
     from lapsewise.session import release_scratch
@@ -139,10 +141,15 @@ def _run(spark, args) -> int:
     elif args.cmd == "ingest":
         from lapsewise.streaming.ingest import ParquetToCsvIngest
 
-        ParquetToCsvIngest(
+        job = ParquetToCsvIngest(
             spark, args.src, args.out, args.error, args.audit, args.checkpoint,
             max_files_per_trigger=args.max_files,
-        ).run_once()
+        )
+        if args.continuous is None:
+            job.run_once()
+        else:
+            job.start_continuous(f"{args.continuous} seconds")
+            spark.streams.awaitAnyTermination()
     return status
 
 

@@ -1038,6 +1038,156 @@ def q_ingest_recovery(spark, sf_dir):
         "policy_id", "lapse_date", "premium_amount", "status", "tags")
 
 
+def _ingest(spark, name, **how):
+    from lapsewise.session import scratch_path
+    from lapsewise.streaming.ingest import ParquetToCsvIngest
+
+    base = scratch_path(spark, name)
+    return ParquetToCsvIngest(
+        spark, f"{base}/landing", f"{base}/processed", f"{base}/error", f"{base}/audit", f"{base}/_checkpoint", **how)
+
+
+@register(
+    "ingest_any_schema",
+    with_(SQL_LAPSES)
+    + """SELECT policy_id, lapse_date, CAST(premium_amount AS DOUBLE) AS premium_amount, status,
+       CASE policy_id % 4 WHEN 0 THEN 'a ' || status WHEN 1 THEN 'k ' || status WHEN 2 THEN 'm ' || status END AS note
+FROM lapses""",
+)
+def q_ingest_any_schema(spark, sf_dir):
+    """Uploads of four schemas in one batch, with names that differ by case only or are Spark's
+    own; one upload is sent again with an older time: every row comes out in its last version."""
+    from lapsewise.operators.loading import hadoop_fs
+
+    job = _ingest(spark, "ingest_any_schema")
+    landing = job.source_dir
+    rows = warehouse.lapse_rows(S.raw_lapses(spark, sf_dir))
+    plain = rows.select("policy_id", "lapse_date", "premium_amount", "status")
+    group = F.pmod("policy_id", F.lit(4))
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        list(_deliver(spark, plain.where(group == 0).withColumn("Status", F.concat(F.lit("a "), "status")), f"{landing}/case", "a-{}.parquet"))
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    list(_deliver(spark, plain.where(group == 1).withColumn("source_key", F.concat(F.lit("k "), "status")), f"{landing}/key", "k-{}.parquet"))
+    list(_deliver(spark, plain.where(group == 2).withColumn("_metadata", F.concat(F.lit("m "), "status")), f"{landing}/meta", "m-{}.parquet"))
+    first = rows.where((group == 3) & (F.col("_k2") == 1)).select(*plain.columns)
+    list(_deliver(spark, first, f"{landing}/again", "s-{}.parquet"))
+    list(_deliver(spark, plain.where("false"), landing, "void.parquet", files=1))
+    job.run_once()
+    fs, _ = hadoop_fs(spark, landing)
+    for path in _deliver(spark, plain.where(group == 3), f"{landing}/again", "s-{}.parquet"):
+        fs.setTimes(path, 86_400_000, 86_400_000)
+    job.run_once()
+
+    def back(folder, note):
+        schema = "policy_id long, lapse_date date, premium_amount decimal(10,2), status string"
+        schema += ", note string" if note else ""
+        path = f"{job.output_dir}/source_key=processed%2F{folder}%2F*"
+        df = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(path)
+        return df if note else df.withColumn("note", F.lit(None).cast("string"))
+
+    out = back("again", False)
+    for folder in ("case", "key", "meta"):
+        out = out.unionByName(back(folder, True))
+    return out
+
+
+@register(
+    "ingest_contract",
+    with_(SQL_LAPSES)
+    + """SELECT CASE policy_id % 4 WHEN 0 THEN 'equal' WHEN 1 THEN 'narrower' WHEN 2 THEN 'no_status' ELSE 'wider' END AS upload,
+       CASE WHEN policy_id % 4 = 3 THEN 'conversion_failed' ELSE 'conversion_success' END AS event,
+       CASE WHEN policy_id % 4 <> 3 THEN count(*) END AS rows_out,
+       CASE WHEN policy_id % 4 <> 3 THEN CAST(sum(premium_amount) AS DOUBLE) END AS premiums,
+       CASE WHEN policy_id % 4 <> 3 THEN count(CASE WHEN policy_id % 4 <> 2 THEN status END) END AS with_status
+FROM lapses GROUP BY policy_id % 4""",
+)
+def q_ingest_contract(spark, sf_dir):
+    """Uploads that equal a contract, are compatible with it (narrower numbers, a nullable column
+    missing) or are refused (a wider number), and what comes out of each."""
+    from pyspark.sql import types as T
+
+    from lapsewise.streaming.ingest import read_audit
+
+    contract = T.StructType([
+        T.StructField("policy_id", T.LongType(), False), T.StructField("lapse_date", T.DateType()),
+        T.StructField("premium_amount", T.DecimalType(12, 2)), T.StructField("status", T.StringType())])
+    job = _ingest(spark, "ingest_contract", expected_schema=contract, compatible=True)
+    rows = warehouse.lapse_rows(S.raw_lapses(spark, sf_dir)).select("policy_id", "lapse_date", "premium_amount", "status")
+    group = F.pmod("policy_id", F.lit(4))
+    uploads = {
+        "equal": rows.where(group == 0).withColumn("premium_amount", F.col("premium_amount").cast("decimal(12,2)")),
+        "narrower": rows.where(group == 1).withColumn("policy_id", F.col("policy_id").cast("int")),
+        "no_status": rows.where(group == 2).drop("status"),
+        "wider": rows.where(group == 3).withColumn("premium_amount", F.col("premium_amount").cast("decimal(14,4)")),
+    }
+    for name, df in uploads.items():
+        list(_deliver(spark, df, f"{job.source_dir}/{name}", "u-{}.parquet", files=4))
+    job.run_once()
+    upload = lambda c: F.regexp_extract(c, "([a-z_]+)/u-", 1).alias("upload")
+    events = read_audit(spark, job.audit_dir).where("event LIKE 'conversion%'").select(upload("source_key"), "event").distinct()
+    schema = "policy_id long, lapse_date date, premium_amount decimal(12,2), status string, source_key string"
+    totals = spark.read.schema(schema).option("header", True).csv(job.output_dir).groupBy(upload("source_key")).agg(
+        F.count(F.lit(1)).alias("rows_out"), F.sum("premium_amount").cast("double").alias("premiums"), F.count("status").alias("with_status"))
+    return events.join(totals, "upload", "left").select("upload", "event", "rows_out", "premiums", "with_status")
+
+
+@register(
+    "audit_json",
+    """
+SELECT 'conversion_success' AS event, (SELECT count(*) FROM lineitem) AS rows_converted, true AS in_order
+UNION ALL SELECT 'file_received', CAST(NULL AS BIGINT), true
+UNION ALL SELECT 'conversion_failed', CAST(NULL AS BIGINT), true
+UNION ALL SELECT 'file_moved_to_error', CAST(NULL AS BIGINT), true
+UNION ALL SELECT 'error_handling_failed', CAST(NULL AS BIGINT), true
+UNION ALL SELECT 'skipped_non_parquet', CAST(NULL AS BIGINT), true""",
+)
+def q_audit_json(spark, sf_dir):
+    """The audit as JSON documents, all six events among them, each with a time of its own: a file's
+    events are in the order of their times."""
+    from lapsewise.operators.loading import hadoop_fs
+    from lapsewise.streaming.ingest import audit_as_json, read_audit
+
+    job = _run_ingest(spark, sf_dir)
+    # an unreadable upload that cannot be moved: its quarantine folder is a file
+    fs, p = hadoop_fs(spark, f"{job.source_dir}/stuck/late.parquet")
+    for where in (p, hadoop_fs(spark, f"{job.error_dir}/stuck")[1]):
+        out = fs.create(where, True)
+        out.write(bytearray(b"PAR1 truncated upload"))
+        out.close()
+    job.run_once()
+    docs = audit_as_json(read_audit(spark, job.audit_dir))
+    got = docs.select(F.from_json("json", "event string, source_key string, rows_converted long, timestamp timestamp").alias("e")).select("e.*")
+    received = got.where("event = 'file_received'").groupBy("source_key").agg(F.max("timestamp").alias("received"))
+    timed = got.join(received, "source_key", "left")
+    return timed.groupBy("event").agg(
+        F.sum("rows_converted").alias("rows_converted"),
+        F.bool_and(F.col("timestamp").isNotNull() & (F.col("received").isNull() | (F.col("timestamp") >= F.col("received")))).alias("in_order"))
+
+
+@register(
+    "required_inputs",
+    """
+SELECT 'customer' AS input, true AS present, (SELECT count(*) FROM customer) AS n_rows
+UNION ALL SELECT 'lineitem', true, (SELECT count(*) FROM lineitem)
+UNION ALL SELECT 'no_such_input', false, CAST(NULL AS BIGINT)""",
+)
+def q_required_inputs(spark, sf_dir):
+    """The check of required inputs before a load, and the rows of those that are there."""
+    from lapsewise.sources import files
+
+    found = []
+    for name in ("customer", "lineitem", "no_such_input"):
+        try:
+            files.require_inputs(spark, [f"{sf_dir}/{name}.parquet"])
+            rows = S.table(spark, sf_dir, name).agg(F.count(F.lit(1)).alias("n_rows"))
+        except FileNotFoundError:
+            rows = spark.range(1).select(F.lit(None).cast("long").alias("n_rows"))
+        found.append(rows.select(F.lit(name).alias("input"), F.col("n_rows").isNotNull().alias("present"), "n_rows"))
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @register(
     "clients_from_csv",
     """
