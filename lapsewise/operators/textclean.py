@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from lapsewise.functions.text import field_count, is_preamble_line, py_strip, split_literal
 from lapsewise.session import materialize, run_concurrently
+from lapsewise.sources.csvsink import csv_line, write_lines
 from lapsewise.sources.files import require_inputs, with_file_order
 
 # Candidate delimiters in priority order, and the fallback.
@@ -196,8 +197,27 @@ def to_table(clean: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-#: Layouts that are written at a time; each write is one job over its own rows.
-CONCURRENT_LAYOUTS = 4
+def csv_text(fields):
+    """An array of fields as a CSV line: quoted where needed, quotes doubled."""
+    quote = F.lit('"')
+    return F.array_join(F.transform(fields, lambda x: F.when(
+        x.rlike('[",\r\n]'), F.concat(quote, F.replace(x, quote, F.lit('""')), quote)).otherwise(x)), ",")
+
+
+def csv_lines(clean: DataFrame, layouts: list[list[str]]) -> DataFrame:
+    """All clean rows as (layout, key, part, line) for the CSV sink, in the order of their file.
+
+    A scan task has the lines of a file's split in order, and the part file is named by where the
+    split starts, so the text needs no shuffle; the sort inside a task restores the order if the
+    profiles were too many to be broadcast.
+    """
+    number = F.lit(-1)
+    for i, columns in enumerate(layouts):
+        number = F.when(F.size("columns") == len(columns), F.lit(i)).otherwise(number)
+    ordered = clean.sortWithinPartitions("_file", "_split", "_pos")
+    return ordered.select(
+        number.alias("layout"), F.col("_file").alias("key"), F.lpad(F.col("_split").cast("string"), 20, "0").alias("part"),
+        csv_text(F.col("fields")).alias("line"))
 
 
 def silent_files(spark: SparkSession, src: str, profiles: DataFrame) -> DataFrame:
@@ -217,11 +237,17 @@ def _path_key(c: str):
     return F.regexp_replace(F.col(c), "^([A-Za-z0-9+.-]+):/+", "$1:/")
 
 
+def _rejects_of(spark: SparkSession, src: str, rows: DataFrame, ragged: DataFrame) -> DataFrame:
+    if ragged.isEmpty():
+        return rejected_rows(rows).where("false")
+    return rejected_rows(split_rows(read_lines(spark, src), ragged))
+
+
 def clean_files(spark: SparkSession, src: str, out: str) -> dict[str, DataFrame]:
     """Clean every file under ``src``; write CSV with header per source file.
 
     Output: ``out/layout_<n>/_source=<file>/part-*.csv`` (one folder per input
-    file, rows in input order, CSV quoting of Python's csv module: doubled
+    file, rows in input order over its parts by name, CSV quoting of Python's csv module: doubled
     quotes, CRLF line ends), ``out/rejects`` (rows of the wrong width) and
     ``out/empty_files``.  A run replaces all of the earlier output, so a file
     whose layout changed or that is gone leaves nothing behind.  Returns profiles and
@@ -239,38 +265,24 @@ def clean_files(spark: SparkSession, src: str, out: str) -> dict[str, DataFrame]
     layouts = sorted((r.columns for r in profiles.select("columns").distinct().collect()), key=len)
     base = out.rstrip("/")
 
-    def write_layout(columns):
-        table = to_table(clean, columns).withColumnRenamed("_file", "_source")
-        (
-            table.orderBy("_source", "_split", "_pos")
-            .drop("_split", "_pos")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .option("header", True)
-            .option("escape", '"')
-            .option("emptyValue", "")
-            .option("lineSep", "\r\n")
-            .partitionBy("_source")
-            .csv(f"{base}/layout_{len(columns)}")
-        )
-
     def write_report(name, df):
         df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{base}/{name}")
 
-    # layouts of earlier runs that no file has now
+    # the earlier output
     fs, folder = hadoop_fs(spark, base)
-    current = {f"layout_{len(c)}" for c in layouts}
     if fs.exists(folder):
         for status in fs.listStatus(folder):
-            name = status.getPath().getName()
-            if name.startswith("layout_") and name not in current:
+            if status.getPath().getName().startswith("layout_"):
                 fs.delete(status.getPath(), True)
-    jobs = [lambda c=c: write_layout(c) for c in layouts] + [
-        lambda: write_report("rejects", rejected_rows(rows)),
+    prefixes = [(f"layout_{len(c)}/_source=", csv_line(c)) for c in layouts]
+    # only files that have rows of another width are read for the report on them
+    ragged = materialize(profiles.where("rejected_rows > 0"), "ragged_files")
+    run_concurrently(
+        lambda: write_lines(csv_lines(clean, layouts), str(fs.makeQualified(folder).toString()), prefixes, line_end="\r\n")
+        if layouts else None,
+        lambda: write_report("rejects", _rejects_of(spark, src, rows, ragged)),
         lambda: write_report("empty_files", silent_files(spark, src, profiles)),
-    ]
-    for i in range(0, len(jobs), CONCURRENT_LAYOUTS):
-        run_concurrently(*jobs[i: i + CONCURRENT_LAYOUTS])
+    )
     return {
         "profiles": profiles,
         "rejects": spark.read.parquet(f"{base}/rejects"),

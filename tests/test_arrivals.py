@@ -11,8 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lapsewise.sources.csvsink import csv_line
 from lapsewise.streaming import ingest as I
-from lapsewise.streaming.ingest import ParquetToCsvIngest, csv_line, fits, footer_status, misfits, read_audit
+from lapsewise.streaming.ingest import ParquetToCsvIngest, fits, footer_status, misfits, read_audit
 
 
 def job_of(spark, root, **how):
