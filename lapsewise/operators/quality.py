@@ -6,11 +6,15 @@ conventions: ``unique`` and ``accepted_values`` count offending *values*
 (NULL never offends), ``not_null``, ``relationships`` and ``max_length``
 count offending *rows*.
 
-Row-local checks of one model (not_null, accepted_values given as a list,
-max_length, numeric range) are evaluated together in a single aggregate
-pass; key checks need one grouped shuffle per key, relationship checks one
-anti-join each (AQE broadcasts the smaller side when its measured size is
-under the threshold).
+All checks of all models are counted together: every model is scanned once, and a row
+yields one tagged entry per check that looks at a key (its value) or that it
+fails (no value).  One grouped pass over (tag, value) counts the entries by role, so uniqueness,
+accepted values and orphans of a key come from the same groups; a second, global
+aggregate turns them into one count per check.  Entries are summed before they are
+shuffled: a value that a third of all rows share leaves a task as one row.
+
+A model whose rows were counted while it was written (``session.materialize_counted``,
+tables in versions) is not scanned to compare row counts.
 """
 
 from __future__ import annotations
@@ -187,38 +191,142 @@ def _summary_sql(check: Check, failures_sql: str) -> str:
     )
 
 
+def _canonical(c: F.Column, dtype: T.DataType) -> tuple[F.Column, F.Column]:
+    """A value of ``dtype`` as (long, string): equal values agree in both."""
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return c.cast("long"), F.lit(None).cast("string")
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        c = c.cast("double") + F.lit(0.0)  # -0.0 equals 0.0
+    return F.lit(None).cast("long"), c.cast("string")
+
+
+class _Entries:
+    """The entries that each model's rows yield, and how each check reads the groups."""
+
+    def __init__(self, models: Mapping[str, DataFrame]):
+        self.models, self.tags, self.entries, self.roles = models, {}, {}, 0
+        self.known: dict[tuple[int, int], int] = {}
+        self.asked: dict[int, list] = {}
+
+    def tag(self, *what) -> int:
+        return self.tags.setdefault(what, len(self.tags))
+
+    def add(self, model: str, tag: int, role: int, when: F.Column, value: F.Column | None = None, dtype=None) -> None:
+        long, text = (F.lit(None).cast("long"), F.lit(None).cast("string")) if value is None else _canonical(value, dtype)
+        entry = F.when(when, F.struct(F.lit(tag).alias("tag"), F.lit(role).alias("role"), long.alias("l"), text.alias("s")))
+        held = self.entries.setdefault(model, {})
+        held[(tag, role)] = entry
+        self.roles = max(self.roles, role + 1)
+
+    def key(self, model: str, column: str, tag: int, role: int, dtype: T.DataType | None = None) -> None:
+        """Every value of a column but NULL."""
+        c = F.col(_ident(column))
+        own = self.models[model].schema[column].dataType
+        if dtype is not None and own != dtype:
+            c, own = c.cast(dtype), dtype
+        self.add(model, tag, role, c.isNotNull(), c, own)
+
+    def counted(self, model: str, tag: int, role: int) -> None:
+        """All rows of a model: a count known from its write, or one entry a row."""
+        n = getattr(self.models[model], "counted_rows", None)
+        if n is None:
+            self.add(model, tag, role, F.lit(True))
+        else:
+            self.known[(tag, role)] = n
+
+    def asks(self, tag: int, model: str, column: str) -> int:
+        """The role, from 1 on, of a column that is compared with a tag's values."""
+        held = self.asked.setdefault(tag, [])
+        if (model, column) not in held:
+            held.append((model, column))
+        return 1 + held.index((model, column))
+
+    def frame(self) -> DataFrame | None:
+        parts = [
+            self.models[model].select(F.explode(F.array_compact(F.array(*held.values()))).alias("e")).select("e.*")
+            for model, held in self.entries.items()
+        ]
+        return union_all(parts) if parts else None
+
+
+def _wider(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that two key columns are compared in."""
+    whole = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
+    if a == b or (type(a) in whole and type(b) in whole):
+        return a
+    if isinstance(a, T.DecimalType) and isinstance(b, T.DecimalType):
+        scale = max(a.scale, b.scale)
+        return T.DecimalType(min(38, scale + max(a.precision - a.scale, b.precision - b.scale)), scale)
+    if isinstance(a, T.DecimalType) and type(b) in whole or isinstance(b, T.DecimalType) and type(a) in whole:
+        d = a if isinstance(a, T.DecimalType) else b
+        return T.DecimalType(min(38, d.scale + max(19, d.precision - d.scale)), d.scale)
+    numbers = (T.DecimalType, T.FloatType, T.DoubleType, *whole)
+    return T.DoubleType() if isinstance(a, numbers) and isinstance(b, numbers) else T.StringType()
+
+
 def run_checks(checks: Sequence[Check], models: Mapping[str, DataFrame]) -> DataFrame:
     """One summary row per check: (test_name, kind, model, column_name, failures)."""
-    parts: list[DataFrame] = []
-    row_local: dict[str, list[tuple[Check, str]]] = {}
-    others: list[Check] = []
+    if not checks:
+        raise ValueError("no checks given")
+    entries = _Entries(models)
+    # how each check reads the groups: SQL over tag, n0, n1, ... summed over all of them
+    counts: list[str] = []
     for chk in checks:
-        pred = _row_predicate_sql(chk)
+        pred, c = _row_predicate_sql(chk), chk.column
         if pred is not None:
-            row_local.setdefault(chk.model, []).append((chk, pred))
+            tag = entries.tag("row", chk.model, pred)
+            entries.add(chk.model, tag, 0, F.coalesce(F.expr(pred), F.lit(False)))
+            counts.append(f"sum(CASE WHEN tag = {tag} THEN n0 END)")
+        elif chk.kind == "unique":
+            tag = entries.tag("key", chk.model, c)
+            entries.key(chk.model, c, tag, 0)
+            counts.append(f"count_if(tag = {tag} AND n0 > 1)")
+        elif chk.kind == "accepted_values" and not isinstance(chk.params["values"], str):
+            tag = entries.tag("key", chk.model, c)
+            entries.key(chk.model, c, tag, 0)
+            dtype = models[chk.model].schema[c].dataType
+            long, text = _canonical(F.col("v"), dtype)
+            allowed = models[chk.model].sparkSession.createDataFrame([(v,) for v in chk.params["values"] if v is not None], T.StructType(
+                [T.StructField("v", dtype)])).select(long.alias("l"), text.alias("s")).collect()
+            is_long = [str(r["l"]) for r in allowed if r["l"] is not None]
+            is_text = [_literal(r["s"]) for r in allowed if r["s"] is not None]
+            fits = " OR ".join([f"l IN ({', '.join(is_long)})"] * bool(is_long) + [f"s IN ({', '.join(is_text)})"] * bool(is_text)) or "false"
+            counts.append(f"count_if(tag = {tag} AND n0 > 0 AND NOT coalesce({fits}, false))")
+        elif chk.kind in ("accepted_values", "relationships"):
+            # both compare a column with another one's values: role 0 holds them, role 1 asks
+            if chk.kind == "relationships":
+                other, field_ = chk.params["to"], chk.params["field"]
+            else:
+                other = chk.params["values"]
+                field_ = models[other].columns[0]
+            dtype = _wider(models[other].schema[field_].dataType, models[chk.model].schema[c].dataType)
+            same = dtype == models[other].schema[field_].dataType
+            tag = entries.tag("key", other, field_) if same else entries.tag("key", other, field_, dtype.simpleString())
+            entries.key(other, field_, tag, 0, dtype)
+            role = entries.asks(tag, chk.model, c)
+            entries.key(chk.model, c, tag, role, dtype)
+            what = f"n{role}" if chk.kind == "relationships" else f"CAST(n{role} > 0 AS BIGINT)"
+            counts.append(f"sum(CASE WHEN tag = {tag} AND n0 = 0 THEN {what} END)")
+        elif chk.kind == "row_count_equal":
+            tag = entries.tag("rows", chk.model, chk.params["other"])
+            for role, model in enumerate((chk.model, chk.params["other"])):
+                entries.counted(model, tag, role)
+            given = [f"{entries.known[(tag, role)]}" if (tag, role) in entries.known else
+                     f"coalesce(sum(CASE WHEN tag = {tag} THEN n{role} END), 0)" for role in (0, 1)]
+            counts.append(f"CAST({given[0]} <> {given[1]} AS BIGINT)")
+        elif chk.kind == "forbidden_columns":
+            counts.append(str(sum(x in models[chk.model].columns for x in chk.params["columns"])))
         else:
-            others.append(chk)
-    for model, group in row_local.items():
-        counts = models[model].selectExpr(
-            *[f"count_if({pred}) AS _f{i}" for i, (_, pred) in enumerate(group)]
-        )
-        rows = ", ".join(_summary_sql(c, f"_f{i}") for i, (c, _) in enumerate(group))
-        parts.append(counts.selectExpr(f"inline(array({rows}))"))
-    for chk in others:
-        if chk.kind == "forbidden_columns":
-            n = len([x for x in chk.params["columns"] if x in models[chk.model].columns])
-            spark = models[chk.model].sparkSession
-            parts.append(spark.range(1).selectExpr(f"inline(array({_summary_sql(chk, str(n))}))"))
-            continue
-        bad = failing_rows(chk, models)
-        parts.append(
-            bad.selectExpr("count(1) AS _n").selectExpr(
-                f"inline(array({_summary_sql(chk, '_n')}))"
-            )
-        )
-    if not parts:
-        raise ValueError("no checks given")
-    return union_all(parts)
+            raise ValueError(f"unknown check kind {chk.kind}")
+    frame = entries.frame()
+    if frame is None:
+        spark = models[checks[0].model].sparkSession
+        frame = spark.createDataFrame([], "tag int, role int, l long, s string")
+    grouped = frame.groupBy("tag", "l", "s").agg(
+        *[F.count_if(F.col("role") == r).alias(f"n{r}") for r in range(max(2, entries.roles))])
+    totals = grouped.agg(*[F.expr(f"coalesce({sql}, 0)").alias(f"_f{i}") for i, sql in enumerate(counts)])
+    rows = ", ".join(_summary_sql(chk, f"_f{i}") for i, chk in enumerate(checks))
+    return totals.selectExpr(f"inline(array({rows}))")
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:

@@ -197,9 +197,10 @@ class VersionedTable:
         if snap.schema is None:
             raise FileNotFoundError(f"{self.path} has no version")
         folders = self._folders(snap, values)
-        if not folders:
-            return self.spark.createDataFrame([], snap.schema)
-        return self.spark.read.schema(snap.schema).parquet(*folders)
+        df = self.spark.read.schema(snap.schema).parquet(*folders) if folders else self.spark.createDataFrame([], snap.schema)
+        if values is None:
+            df.counted_rows = snap.rows()  # counted when they were written
+        return df
 
     def _write_part(self, df: DataFrame, by: str | None) -> dict:
         """Rows into a folder of their own; one sub-folder a value of ``by``."""

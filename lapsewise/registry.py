@@ -557,19 +557,19 @@ v_unified_dataset AS (
     ),
 )
 def q_dq_transform_checks(spark, sf_dir):
-    """Post-transformation checks: dedup, imputation, unified row count."""
+    """Post-transformation checks: dedup, imputation, unified row count.  The fact and the unified
+    table are counted while they are written; no join runs to be counted only."""
     from lapsewise.operators import quality as Q
-
-    from lapsewise.session import materialize
+    from lapsewise.session import materialize, materialize_counted
 
     dedup = _dedup_clients(spark, sf_dir)
     imputed = materialize(models.imputed_clients(dedup), "imputed_clients")
     raw_lapses = S.raw_lapses(spark, sf_dir)
-    fact = warehouse.fact_with_keys(warehouse.lapse_rows(raw_lapses), S.LAPSE_ORDER)
-    unified = models.unified_dataset(
+    fact = materialize_counted(warehouse.fact_with_keys(warehouse.lapse_rows(raw_lapses), S.LAPSE_ORDER), "fct_health_lapses")
+    unified = materialize_counted(models.unified_dataset(
         fact, S.policy(spark, sf_dir), imputed, S.products(spark, sf_dir),
         dim_date_covering(raw_lapses, "lapse_date"),
-    )
+    ), "unified_dataset")
     frames = {
         "v_deduplicated_clients": dedup,
         "v_imputed_clients": imputed,

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on: AQE (runtime coalescing, broadcast conversion
 # and skew-join splitting), UTC session time and ANSI semantics.
@@ -98,6 +99,14 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def materialize_counted(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """``materialize``, with the rows counted while they are written (``counted_rows``)."""
+    seen = Observation()
+    table = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    table.counted_rows = int(seen.get["n"])
+    return table
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python file APIs can use the path."""
     if path.startswith("file://"):

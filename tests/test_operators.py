@@ -100,6 +100,26 @@ def test_group_median_skewed_and_duplicated(spark):
         assert got[g] == v
 
 
+def test_group_median_in_rounds(spark, monkeypatch):
+    """One group of many distinct values: divided until few are ranked in a task."""
+    from lapsewise.operators import median
+
+    rows = [("hot", (i * 7919) % 60_013) for i in range(60_000)] + [("b", i % 3) for i in range(5000)] + [("c", 5), (None, 1), (None, 2)]
+    rows += [("even", v) for v in (1, 2, 10**6, 10**6 + 1)]
+    df = spark.createDataFrame(rows, "g string, v long").repartition(8)
+    rounds, ranked = [], []
+    widest = median._widest
+    monkeypatch.setattr(median, "_widest", lambda left, keys: ranked.append(widest(left, keys)) or ranked[-1])
+    middle = median._middle
+    monkeypatch.setattr(median, "_middle", lambda *a: rounds.append(1) or middle(*a))
+    for most in (10, 100_000):
+        rounds.clear()
+        got = {r.g: r.median for r in group_median(df, ["g"], "v", buckets=8, accuracy=50, most=most).collect()}
+        for g in {g for g, _ in rows}:
+            assert got[g] == float(statistics.median([v for k, v in rows if k == g])), (g, most)
+        assert (len(rounds) > 2 and ranked[-1] <= 10) if most == 10 else len(rounds) == 1
+
+
 def test_group_median_equals_percentile_on_decimals(spark):
     rnd = random.Random(5)
     rows = [(rnd.randint(0, 6), Decimal(rnd.randint(0, 10**7)).scaleb(-2)) for _ in range(3000)]
