@@ -49,6 +49,19 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         yield batch.slice(a, b - a)
 
 
+def free_memory() -> None:
+    """Give what a finished task held back to the system: Arrow's pool and the C library keep
+    freed memory, and a Python worker lives through all stages of a job."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_text(df: DataFrame, kernel: Callable, schema: str, column: str = "text") -> DataFrame:
     """Apply ``kernel(record_batch) -> record_batch | None`` to slices of ``df``."""
     ship_package(df.sparkSession)
@@ -59,6 +72,7 @@ def map_text(df: DataFrame, kernel: Callable, schema: str, column: str = "text")
                 out = kernel(part)
                 if out is not None and out.num_rows:
                     yield out
+        free_memory()
 
     return df.mapInArrow(run, schema)
 

@@ -320,7 +320,10 @@ def held_out(id_col: str = "doc_id"):
 
 def keep_identified(docs: DataFrame, model: Model | None, lead: float = LEAD, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (all their columns) in a learned language whose probability
-    leads by ``lead``; rows without letters or in no learned language go."""
+    leads by ``lead``; rows without letters or in no learned language go.  Without a model
+    (a corpus without labels teaches nothing) nothing can be rejected: all rows stay."""
+    if model is None:
+        return docs
     held = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     ship_package(docs.sparkSession)
@@ -328,7 +331,6 @@ def keep_identified(docs: DataFrame, model: Model | None, lead: float = LEAD, te
     def run(batches):
         for batch in batches:
             for part in slices(batch, text_col):
-                if held.value is not None:
-                    yield part.filter(pa.array(held.value.identified(part.column(text_col).to_pylist(), lead)))
+                yield part.filter(pa.array(held.value.identified(part.column(text_col).to_pylist(), lead)))
 
     return docs.select(*names).mapInArrow(run, docs.schema)
