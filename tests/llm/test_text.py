@@ -38,6 +38,64 @@ def test_pages_without_an_article_tag():
     assert Page("text only").text(Page("text only").best()) == "text only"
 
 
+WORDS = "Words of the story, many of them, one after the other. " * 6
+
+
+@pytest.mark.parametrize("body", [
+    "<div class='page-with-sidebar'>{}<div class=sidebar>short note</div></div>", "<div id='menu-wrapper-all'><nav>x</nav>{}</div>",
+    "<div class='has-banner'><div class='banner'>Sale today</div>{}</div>", "<form action=/page><input name=state>{}<label>Search</label></form>",
+    "<div class='content has-comments'>{}<div id=comments><p>Nice story, thanks for it</p></div></div>",
+    "<div class='comments-open'>{}</div>", "{}<div class='comment-list'>" + "<p>Readers write much more than the author does. </p>" * 60 + "</div>",
+    "<div class='post-wrapper ad-free'>{}</div><form class=search><p>Find what you look for</p></form>",
+])
+def test_wrappers_named_like_a_part_beside_stay(body):
+    story = f"<div class=story><p>{WORDS}</p><p>The end.</p></div>"
+    p = Page(page(body.replace("{}", story)))
+    assert p.text(p.best()) == f"{WORDS.strip()}\nThe end."
+
+
+@pytest.mark.parametrize("part", [
+    "<div class='post-ad'>Buy now</div>", "<div class='entry-share'>Tell your friends</div>", "<section class='related-content'><p>More stories</p></section>",
+    "<p>kept <span class='share-count'>12 shares</span></p>", "<div class='article-comments'><article class=comment>I agree</article></div>"])
+def test_parts_beside_inside_the_article_go(part):
+    p = Page(page(f"<article class='post entry'><p>{WORDS}</p>{part}<p>The end.</p></article>"))
+    kept = "\nkept" if "kept" in part else ""
+    assert p.text(p.best()) == f"{WORDS.strip()}{kept}\nThe end."
+
+
+@pytest.mark.parametrize("deep", ["<div>", "<div class=c><span>", "<b>", "<ul><li>", "<table><tr><td>", "<p><i></b>"])
+def test_deep_pages_cost_in_proportion(deep):
+    import time
+
+    start = time.time()
+    p = Page(f"<body>{deep * 100_000}text of the page")
+    best = p.best()
+    assert p.text(best) == "text of the page" and p.spelled(best).startswith(">body")
+    assert time.time() - start < 20
+
+
+def test_votes_by_brute_force(spark):
+    """The counts of votes against pages taken one by one, over random templates."""
+    from collections import Counter
+
+    rng = random.Random(4)
+    rows = []
+    for i in range(150):
+        parts = [f"<div class='{rng.choice(['a1', 'a2', 'b', 'side-x'])}'><p>{'word ' * rng.randint(1, 40)}</p></div>" for _ in range(rng.randint(1, 4))]
+        rows.append((i, f"http://h{rng.randint(0, 3)}.example/{i}", page("".join(parts))))
+    table = spark.createDataFrame(rows, "page_id long, url string, text string").withColumn("host", html_extract.host_of("url"))
+    votes, has, spelled = Counter(), Counter(), {}
+    for _, url, source in rows:
+        p, host = Page(source), url.split("/")[2]
+        scores = p.scores()
+        votes[host, max(scores, key=lambda k: (scores[k], p.depth[p._first[k]], k))] += 1
+        has.update((host, k) for k in scores)
+        spelled.update((k, p.spelled(k)) for k in scores)
+    want = {k: (votes[k], n) for k, n in has.items() if n > 1 and 2 * votes[k] > n - 1}
+    got = {(r.host, bytes(r.path)): (r.votes, r.has) for r in html_extract.census(table).collect()}
+    assert got == want and len({spelled[k] for _, k in got}) == len({k for _, k in got})
+
+
 def test_hosts_vote(spark):
     side = "<div class='box1'><p>{}</p></div><div class='story7'><p>{}</p></div>"
     rows = [(i, f"https://www.Host.example/{i}", page(side.format("note", "the main text of this page is long"))) for i in range(9)]
