@@ -16,8 +16,10 @@ names is one placeholder, so that "Tom" may become "Mary Ann".
 
 A window that is dense in placeholders grows until it holds enough literals.  Items
 that are not covered by windows from each of their tokens on (short ones, ones with
-few literals or a tail of numbers) are also sought verbatim: their folded
-words are cut into pieces that must all stand in the document at their places.
+few literals or a tail of numbers) are also sought in two other ways: up to
+``WHOLE_TOKENS`` tokens as one window, the whole template, with the same check of
+slots; and verbatim: their folded words are cut into pieces that must all stand in
+the document at their places.
 """
 
 from __future__ import annotations
@@ -37,9 +39,12 @@ WINDOW_TOKENS = 5
 LITERAL_TOKENS = 3
 #: Words of a piece of an item that is sought verbatim; a shorter item is one piece.
 PIECE_WORDS = 8
-#: Fewest words of an item that is sought verbatim inside a longer text
-#: (test_decontamination asserts that one of two words is not found there).
-EXACT_WORDS = 3
+#: Fewest words of an item that is sought verbatim inside a longer text: a single word
+#: is ordinary language, and so are few numbers, units or names without another word.
+EXACT_WORDS, SLOT_WORDS = 2, 4
+#: Most template tokens of an item that is sought as a whole, and fewest literals among them;
+#: with WINDOW_TOKENS tokens or more one is enough.
+WHOLE_TOKENS, WHOLE_LITERALS = 16, 2
 COVERAGE = 0.8
 #: Least width of a band of shifts, in template tokens.
 BAND_TOKENS = 16
@@ -165,6 +170,17 @@ class Templates:
         start, length, row = start[usable], (stop - start)[usable], row[usable]
         return row, start, length, RangeHash(self.tokens, 0)(start, start + length, length.astype(U64))
 
+    def wholes(self, sizes):
+        """(row, first token, length, hash) of all windows of ``sizes`` tokens."""
+        counts = np.diff(self.first)
+        row = np.repeat(np.arange(len(counts)), counts)
+        start = np.arange(len(row))
+        hasher = RangeHash(self.tokens, 0)
+        for size in sizes:
+            at = start[start + size <= self.first[row + 1]]
+            length = np.full(len(at), size)
+            yield row[at], at, length, hasher(at, at + size, length.astype(U64))
+
     def pieces(self, sizes):
         """(row, first word, length, hash) of all pieces of ``sizes`` words."""
         counts = self.words.counts()
@@ -246,38 +262,53 @@ def _found_pieces(batch, t: Templates, row, start, size, w) -> pa.RecordBatch:
 
 
 def _item_windows(items: DataFrame, width: int, literals: int, common) -> DataFrame:
-    """Windows of the items, and the pieces of those that are sought verbatim too."""
+    """Windows of the items; the whole template and the pieces of those that need them."""
+
+    def marked(found, whole):
+        return found.append_column("whole", pa.array(np.full(found.num_rows, whole)))
 
     def kernel(batch):
         t = Templates(batch.column("text"), common.value)
         row, start, length, w = t.windows(width, literals)
-        out = [_found(batch, t, row, start, length, w)]
+        out = [marked(_found(batch, t, row, start, length, w), False)]
         tokens = np.diff(t.first)
         plain = np.r_[0, np.cumsum(~t.slot)]
         words = t.words.counts()
         # windows from each token on that leave room for one
         whole = (tokens >= width) & (np.bincount(row, minlength=len(tokens)) == tokens - width + 1)
-        sought = ~whole & (words >= EXACT_WORDS) & (plain[t.first[1:]] > plain[t.first[:-1]])
+        literal = plain[t.first[1:]] - plain[t.first[:-1]]
+        alone = np.flatnonzero(~whole & (tokens > 1) & (tokens <= WHOLE_TOKENS) & (
+            literal >= np.where(tokens < width, WHOLE_LITERALS, 1)))
+        if len(alone):
+            start, length = t.first[alone], tokens[alone]
+            w = RangeHash(t.tokens, 0)(start, start + length, length.astype(U64))
+            out.append(marked(_found(batch, t, alone, start, length, w), True))
+        sought = ~whole & (words >= np.where(literal > 0, EXACT_WORDS, SLOT_WORDS))
         hasher = RangeHash(t.values, 1)
         for r in np.flatnonzero(sought).tolist():
             n, first = int(words[r]), int(t.words.first[r])
             size = min(n, PIECE_WORDS)
             at = first + np.unique(np.r_[np.arange(0, n - size + 1, size), n - size])
-            out.append(_found_pieces(batch, t, np.full(len(at), r), at, size, hasher(at, at + size, np.full(len(at), size, dtype=U64))))
+            w = hasher(at, at + size, np.full(len(at), size, dtype=U64))
+            out.append(marked(_found_pieces(batch, t, np.full(len(at), r), at, size, w), False))
         return pa.Table.from_batches(out).combine_chunks().to_batches()[0] if sum(b.num_rows for b in out) else None
 
-    return map_text(items, kernel, _FOUND)
+    return map_text(items, kernel, _FOUND + ", whole boolean")
 
 
-def _windows(rows: DataFrame, width: int, literals: int, common, longest: int, sizes: list[int], known=None) -> DataFrame:
-    """Windows up to ``longest`` tokens and pieces of ``sizes`` words (the ``known`` ones)
-    by template token and word, with the words of their slots."""
+def _windows(rows: DataFrame, width: int, literals: int, common, longest: int, sizes: list[int], wholes: list[int],
+             known=None) -> DataFrame:
+    """Windows up to ``longest`` tokens, those of ``wholes`` tokens and pieces of ``sizes`` words (the
+    ``known`` ones) by template token and word, with the words of their slots."""
 
     def kernel(batch):
         t = Templates(batch.column("text"), common.value)
         row, start, length, w = t.windows(width, literals, longest)
         keep = np.ones(len(row), dtype=bool) if known is None else member(w, known.value)
         out = [_found(batch, t, row[keep], start[keep], length[keep], w[keep])]
+        for row, start, length, w in t.wholes(wholes):
+            keep = np.ones(len(row), dtype=bool) if known is None else member(w, known.value)
+            out.append(_found(batch, t, row[keep], start[keep], length[keep], w[keep]))
         for row, start, size, w in t.pieces(sizes):
             keep = np.ones(len(row), dtype=bool) if known is None else member(w, known.value)
             out.append(_found_pieces(batch, t, row[keep], start[keep], size, w[keep]))
@@ -304,36 +335,39 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
     slots of its windows equal, or all words found), start (word of the document at which the item's first one stands in the
     best alignment).  A pair is returned if at least ``coverage`` of
     the item's windows occur in one alignment and its slots are consistent, or if
-    all words of an item without a full set of windows do.  Null or
-    empty texts have no windows.  Items of slots alone or without text are never
-    found, items of one or two words only as a whole text (EXACT_WORDS); null ids are
-    kept; rows that repeat id and text give one pair; either table may be empty.
+    the whole template (with consistent slots) or all words of an item without a full set
+    of windows do.  Null or empty texts have no windows.  Items of one word are found only as
+    a whole text, items of slots alone only verbatim and from SLOT_WORDS words on, items without
+    a word never; null ids are kept; rows that repeat id and text give one pair; either
+    table may be empty; extra columns are not read, whatever they are called.
     """
     item_rows = keyed(items, item_col, item_text_col)
     rows = keyed(docs, id_col, text_col)
     common = docs.sparkSession.sparkContext.broadcast(common_words(rows, item_rows))
     wanted = materialize(_item_windows(item_rows, width, literals, common).select(
         F.col("doc_id").alias("item_id"), F.col("h").alias("item_h"), F.col("pos").alias("item_pos"),
-        F.col("at").alias("item_at"), "size", "exact", "w", F.col("slots").alias("item_slots")).distinct(), "item_windows")
-    sizes = materialize(wanted.groupBy("item_id", "item_h", "exact").agg(F.countDistinct("w").alias("n_windows"),
+        F.col("at").alias("item_at"), "size", "exact", "whole", "w", F.col("slots").alias("item_slots")).distinct(), "item_windows")
+    sizes = materialize(wanted.groupBy("item_id", "item_h", "exact", "whole").agg(F.countDistinct("w").alias("n_windows"),
                                                                          F.count(F.lit(1)).alias("n_places")), "item_sizes")
-    longest = wanted.where("NOT exact").agg(F.max("size")).first()[0] or 0
+    longest = wanted.where("NOT exact AND NOT whole").agg(F.max("size")).first()[0] or 0
+    wholes = sorted(r[0] for r in wanted.where("whole").select("size").distinct().collect())  # WHOLE_TOKENS at most
     lengths = sorted(r[0] for r in wanted.where("exact").select("size").distinct().collect())  # PIECE_WORDS at most
     hashes = materialize(wanted.select("w").distinct(), "item_hashes")
     if small(hashes, LONGS_BYTES if limit is None else limit, row_bytes=8):
         known = docs.sparkSession.sparkContext.broadcast(longs(hashes, "w"))
-        found = _windows(rows, width, literals, common, longest, lengths, known)
+        found = _windows(rows, width, literals, common, longest, lengths, wholes, known)
     else:
-        found = _windows(rows, width, literals, common, longest, lengths).join(hashes, "w", "left_semi")
+        found = _windows(rows, width, literals, common, longest, lengths, wholes).join(hashes, "w", "left_semi")
     found = materialize(found.drop("size"), "found_windows")
     wanted_side = wanted.drop("size")
     side = F.broadcast(wanted_side) if small(wanted, limit) else wanted_side
     both = found.join(side, ["w", "exact"])
     sized = lambda pairs, exact: pairs.alias("p").join(
         (F.broadcast(sizes) if small(sizes, limit) else sizes).where(F.col("exact") == F.lit(exact)).alias("s"),
-        F.expr("p.item_id <=> s.item_id AND p.item_h = s.item_h")).select("p.*", "s.n_windows", "s.n_places")
+        F.expr("p.item_id <=> s.item_id AND p.item_h = s.item_h AND p.whole = s.whole")).select("p.*", "s.n_windows", "s.n_places")
     pairs = both.where("NOT exact").drop("exact")
-    item = ["doc_id", "h", "item_id", "item_h"]
+    # an item's windows and its whole template are judged apart
+    item = ["doc_id", "h", "item_id", "item_h", "whole"]
     held = pairs.groupBy(*item).agg(F.countDistinct("w").alias("n_matched"))
     held = sized(held, False).drop("n_places").where(F.col("n_matched") >= F.lit(coverage) * F.col("n_windows"))
     held = materialize(held, "covered")
@@ -343,11 +377,11 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
         (F.broadcast(held) if small(held, limit) else held).alias("c"), F.expr(cond)).select(
         "p.*", "c.n_windows", (F.col("p.pos") - F.col("p.item_pos")).alias("shift"))
     near = near.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*item, "shift")))
-    extent = wanted.where("NOT exact").groupBy("item_id", "item_h").agg(
+    extent = wanted.where("NOT exact").groupBy("item_id", "item_h", "whole").agg(
         F.greatest(F.lit(BAND_TOKENS), F.max(F.col("item_pos") + F.col("size"))).alias("band"))
     extent = materialize(extent, "item_extents")
     near = near.alias("p").join((F.broadcast(extent) if small(extent, limit) else extent).alias("e"), F.expr(
-        "p.item_id <=> e.item_id AND p.item_h = e.item_h")).select("p.*", F.explode(F.expr(
+        "p.item_id <=> e.item_id AND p.item_h = e.item_h AND p.whole = e.whole")).select("p.*", F.explode(F.expr(
             "array(named_struct('kind', 0, 'n', shift), named_struct('kind', 1, 'n', CAST(floor(shift / band) AS INT)),"
             " named_struct('kind', 2, 'n', CAST(floor((shift + band div 2) / band) AS INT)))")).alias("along"))
     by = item + ["along"]
@@ -374,7 +408,8 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW_TOKENS,
     whole = sized(whole, True).where("n = n_places").groupBy(*item).agg(F.min("start").alias("start"), F.max("n_windows").alias("n_windows"))
     whole = whole.select(*item, F.col("n_windows").alias("n_matched"), "n_windows", F.lit(True).alias("verbatim"), "start")
     # the best alignment: verbatim, then with most windows, then the first one
-    return out.withColumn("by_windows", F.lit(True)).unionByName(whole.withColumn("by_windows", F.lit(False))).groupBy(*item).agg(
+    return out.withColumn("by_windows", F.lit(True)).unionByName(whole.withColumn("by_windows", F.lit(False))).groupBy(
+        *(c for c in item if c != "whole")).agg(
         F.max(F.struct("verbatim", "by_windows", "n_matched", "n_windows", (-F.col("start")).alias("back"))).alias("x")).select(
         "doc_id", "h", "item_id", "x.n_matched", "x.n_windows", "x.verbatim", (-F.col("x.back")).alias("start"))
 
