@@ -3,8 +3,10 @@
 A document is the set of its word shingles.  Documents with equal sets form
 one node, so copies cost nothing further.  Two sets of Jaccard similarity t or
 more share a shingle among the first n - ceil(t n) + 1 of either set, in any
-common order of shingles (prefix filter), and their sizes are close.  The order used puts shingles that
-are frequent in a bounded sample last; it decides how fast the join is, never
+common order of shingles (prefix filter), and their sizes are close.  Their first common shingle stands
+among the first n - ceil(2 t / (1 + t) n) + 1 of the smaller set (its leading shingles), so a
+shingle that leads no set, or two sets of unfit sizes only, joins nothing.  The order used puts
+shingles that are frequent in a bounded sample last; it decides how fast the join is, never
 what it finds.  Nodes that share a prefix shingle and a band of sizes form a block; blocks of
 equal membership are one block, and large blocks are dealt out as pairs of chunks.
 
@@ -321,12 +323,23 @@ def tree_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
     return links
 
 
-def _blocks(members: DataFrame, limit: int | None, alike: bool = True) -> DataFrame:
-    """(key, fp1, fp2, members): blocks of two or more members; if ``alike``, one of
-    each set of blocks with equal members."""
+def _may_link(num: int, den: int) -> str:
+    """Whether sets that share a shingle can be similar through it: of ``c`` sets with sizes
+    ``lo`` to ``hi`` the least that it leads has the size ``ix``."""
+    return f"c > 1 AND ix IS NOT NULL AND (c > 2 OR ({num} * hi <= {den} * lo AND ix = lo))"
+
+
+def _sharing() -> list:
+    return [F.count(F.lit(1)).alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.min(F.when(F.col("leads"), F.col("n"))).alias("ix")]
+
+
+def _blocks(members: DataFrame, limit: int | None, alike: str | None = None) -> DataFrame:
+    """(key, fp1, fp2, members): blocks of two or more members; with ``alike`` those of them
+    that fulfil it, one of each set of blocks with equal members."""
     kept = members.groupBy("key").agg(
         F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("fp1", "fp2")).alias("x1"),
-        F.bit_xor(F.xxhash64("fp2", "fp1")).alias("x2")).where("members > 1")
+        F.bit_xor(F.xxhash64("fp2", "fp1")).alias("x2"), *(_sharing() if alike else [])).where(alike or "members > 1")
+    members = members.select("key", "fp1", "fp2")
     if alike:
         kept = kept.groupBy("members", "x1", "x2").agg(F.min("key").alias("key"))
     kept = materialize(kept.select("key", "members"), "kept_blocks")
@@ -418,11 +431,13 @@ def similar_components(rows: DataFrame, nodes: DataFrame, k: int, num: int, den:
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(max(math.log(den / num), 1e-3) * 1.000001)).cast("int")
     keys = F.explode(F.array(F.xxhash64("token", band), F.xxhash64("token", band + 1))).alias("key")
     few = TOKEN_BROADCAST if limit is None else limit
-    spread = nodes.select("fp1", "fp2", "n", F.explode("tokens").alias("token"))
-    shared = materialize(spread.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token"), "shared_shingles")
+    own = F.call_function("div", 2 * num * F.col("n") + F.lit(num + den - 1), F.lit(num + den))  # overlap of two such sets
+    spread = nodes.select("fp1", "fp2", "n", F.posexplode("tokens").alias("at", "token")).select(
+        "fp1", "fp2", "n", "token", (F.col("at") <= F.col("n") - own).alias("leads"))
+    shared = materialize(spread.groupBy("token").agg(*_sharing()).where(_may_link(num, den)).select("token"), "shared_shingles")
     shared = F.broadcast(shared) if small(shared, few) else shared
-    banded = materialize(spread.join(shared, "token", "left_semi").select("fp1", "fp2", keys), "banded")
-    blocks = _blocks(banded, few)
+    banded = materialize(spread.join(shared, "token", "left_semi").select("fp1", "fp2", "n", "leads", keys), "banded")
+    blocks = _blocks(banded, few, _may_link(num, den))
     links, roots = None, None
     for cap in CAPS:
 
@@ -459,7 +474,7 @@ def similar_components(rows: DataFrame, nodes: DataFrame, k: int, num: int, den:
         pairs = pairs.select(F.xxhash64("a1", "a2").alias("key"), "a1", "a2", "b1", "b2")
         members = pairs.select("key", F.col("a1").alias("fp1"), F.col("a2").alias("fp2")).unionByName(
             pairs.select("key", F.col("b1").alias("fp1"), F.col("b2").alias("fp2"))).distinct()
-        found = _verified(rows, nodes, _blocks(materialize(members, "open"), limit, alike=False), k, num, den, limit)
+        found = _verified(rows, nodes, _blocks(materialize(members, "open"), limit), k, num, den, limit)
         links = found if links is None else links.unionByName(found)
         roots = materialize(_roots(links), "roots")
         rest = materialize(met.where("a1 IS NULL").select("key").distinct(), "open_keys")
