@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from lapsewise.session import materialize as write_table
 from lapsewise.session import ship_package
 
 #: Bytes of text handled at once inside a task; bounds a task's temporaries.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 #: Largest table (bytes of its rows) that is sent to every executor.
 #: The size is counted before each such broadcast; beyond it the operators
 #: take the shuffle join that follows each use.
@@ -49,6 +50,23 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         yield batch.slice(a, b - a)
 
 
+#: Rows that travel between the JVM and a Python worker at once, while a job of many stages runs.
+BATCH_ROWS = 1000
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
+    """Arrow batches of at most ``rows`` rows: both sides hold a batch in memory, and its
+    bytes follow its rows.  The session's own settings are back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def free_memory() -> None:
     """Give what a finished task held back to the system: Arrow's pool and the C library keep
     freed memory, and a Python worker lives through all stages of a job."""

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapsewise.session import ship_package
 from lapsewise.llm.common import attach, map_text, materialize, small
 from lapsewise.llm.language_id import _softmax, _weights, ftrl_pass
 from lapsewise.llm.words import U64, RangeHash, WordBatch, mix
@@ -127,6 +128,7 @@ def _fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
                          "w": pa.array(w[at] * seen), "seen": pa.array(np.full(len(at), seen, dtype=np.int64)),
                          "shard": pa.array(np.full(len(at), key[1].as_py(), dtype=np.int32))})
 
+    ship_package(shards.sparkSession)
     got = shards.groupBy("target", "shard").applyInArrow(train, "target int, at long, w double, seen long, shard int").toArrow()
     out = np.zeros((BUCKETS + STYLE + 1, len(TARGETS)))
     target, at, w, seen, shard = (got.column(c).to_numpy() for c in ("target", "at", "w", "seen", "shard"))
