@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor
 kept.  ``run`` writes what a stage returns as Parquet in the shared folder and
 reads it again as the next one's documents.
+
+Null and empty texts have no letters, so the language stage drops them (a corpus without any
+label teaches no language, and all rows stay).  Of rows that repeat doc_id and text one stays
+(n-gram join); a null doc_id is a value like any other.  Extra columns are carried through
+to the last stage, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lapsewise.llm import decontamination, language_id, ngram_jaccard, packing, suffix_dedup
-from lapsewise.llm.common import materialize, table
+from lapsewise.llm.common import materialize, small_batches, table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,6 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), name)
     return docs
