@@ -1,26 +1,27 @@
-"""Deduplication by a sparse array of hashed entries, in place of a suffix array.
-
-This is no suffix array: no suffix is sorted by its words, and no common prefix of
-neighbours is measured or extended.  Entries of a fixed length are sorted by hashes of
-their content, so the order only brings equal ones together.  That is all the result
-needs, as a repeat of ``passage`` words or more is the union of its equal
-``passage``-word windows, and keys of a fixed size are compared without any text being
-shuffled.
-
-Places (the starts of suffixes) are retained at minimiser positions only: of every ``passage``
-consecutive words the ``seed``-word sequence with the smallest hash is selected by
-content, so equal passages select the same place.  A minimiser that occurs
-once cannot lie in a repeated passage and is dropped.  The retained places are
-extended left and right within their text: where all occurrences of a minimiser agree in the whole
-stretch it governs, that stretch is one entry of the array; elsewhere every
-``passage``-word extension over the minimiser is an entry of its own.
-
-The array is sorted by the entries' content (128-bit hashes), then by document
-and position, over range partitions; an entry is compared with its neighbours,
-and equal neighbours are occurrences of one passage.  As documents are part of
-the order, a passage that a third of all documents share spreads over as many
-partitions as it needs; runs that cross a border are settled by one summary row a
-partition.  Entries that touch merge into the maximal repeats of a document.
+"""Deduplication by a sparse suffix array.
+
+Suffixes are retained at minimiser positions only: of every ``passage`` consecutive
+words the ``seed``-word sequence with the smallest hash is selected by content, so
+equal passages select the same place.  A minimiser that occurs once cannot lie in a
+repeated passage and is dropped.
+
+A retained suffix is written as the hashes of its words, one after the other, as far as
+the passages that selected it reach; the words before it that they reach go along.  Where all
+occurrences of a minimiser agree in that whole stretch (one hash tells), two hashes stand for it.
+The array is sorted by these words over range partitions, then by document and
+position, so a passage that a third of all documents share spreads over as many
+partitions as it needs.
+
+In the sorted array the common prefix of neighbours is measured in words.  A passage that
+begins ``i`` words before a suffix repeats if another suffix shares the
+``passage - i`` words after it and the ``i`` words before it: the first are
+neighbours with a common prefix of that length, and to the left they are extended word by word
+(a hash of one word more each time), all suffixes of a stretch at once.  No group is paired.
+Passages that repeat leave a task as spans, mostly one a suffix; only stretches of neighbours that
+reach over the end of a partition, or are longer than a chunk of ``CHUNK`` suffixes, are settled
+by a grouped comparison of their passages.
+
+Spans that touch merge into the maximal repeats of a document.
 The first occurrence of a passage stays, later ones go.
 """
 
@@ -32,95 +33,230 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapsewise.llm.common import LONGS_BYTES, attach, keyed, longs, map_text, materialize, member, slices, small
+from lapsewise.llm.common import (
+    LONGS_BYTES, attach, free_memory, keyed, longs, materialize, member, slices, small,
+)
 from lapsewise.llm.substring_dedup import Runs, _i64, anchors
-from lapsewise.llm.words import U64, RangeHash, WordBatch
+from lapsewise.llm.words import U64, WordBatch, mix
 from lapsewise.session import ship_package
 
 PASSAGE_WORDS = 50
 SEED_WORDS = 10
+#: Suffixes that are compared at once in a task.
+CHUNK = 8192
+_STEP = U64(0xD6E8FEB86659FD93)
 
 
-def _entries(rows: DataFrame, passage: int, seed: int, whole, mixed) -> DataFrame:
-    """(k1, k2, doc_id, h, lo, hi): entries of the array; lo..hi are the starts of
-    the passages an entry stands for, in words of the text."""
+def _word_lists(hashes: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    """hashes[begin:end] of every pair as bytes, most significant first: bytes sort as the words do."""
+    size = end - begin
+    stop = np.cumsum(size)
+    at = np.repeat(begin - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)
+    offsets = np.r_[0, stop * 8].astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [
+        None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(hashes[at].astype(">u8").tobytes())])
 
-    def kernel(batch):
+
+def _suffixes(rows: DataFrame, passage: int, seed: int, whole, mixed) -> DataFrame:
+    """(after, before, whole, doc_id, h, at, lo, hi): the retained suffixes.  ``after`` and ``before``
+    are the words from ``at`` on and before it; lo..hi are the starts of the passages that selected it."""
+
+    def suffixes(batch):
         words = WordBatch(batch.column("text"))
         runs = Runs(words, passage, seed)
         if not len(runs.lo):
-            return None
-        known = []
+            return
+        contexts = runs.contexts(passage)
         for name, held in (("whole", whole), ("mixed", mixed)):
             if held is None:
                 lists = batch.column(name)
                 held = np.unique(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(U64))
             else:
                 held = held.value
-            known.append(member(runs.seeds, held))
-        is_whole, is_mixed = known
-        size = (runs.hi - runs.lo + 1)[is_mixed]
-        run = np.repeat(np.flatnonzero(is_mixed), size)
-        start = runs.lo[run] + np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
-        row = np.r_[runs.row[is_whole], runs.row[run]]
-        if not len(row):
-            return None
-        base = words.first[row]
-        at = pa.array(row)
-        return pa.RecordBatch.from_pydict({
-            "k1": _i64(np.r_[runs.seeds[is_whole], RangeHash(words.hashes, 0)(start, start + passage)]),
-            "k2": _i64(np.r_[runs.contexts(passage)[is_whole], RangeHash(words.hashes, 1)(start, start + passage)]),
-            "doc_id": batch.column("doc_id").take(at), "h": batch.column("h").take(at),
-            "lo": pa.array((np.r_[runs.lo[is_whole], start] - base).astype(np.int32)),
-            "hi": pa.array((np.r_[runs.hi[is_whole], start] - base).astype(np.int32))})
-
-    return map_text(rows, kernel, "k1 long, k2 long, doc_id long, h long, lo int, hi int")
-
-
-def _compare_neighbours(entries: DataFrame) -> DataFrame:
-    """(doc_id, h, lo, hi, later): entries with an equal neighbour; ``later`` unless
-    it is the first of its equals."""
-    order = ["k1", "k2", F.asc_nulls_last("doc_id"), "h", "lo"]
-    array = entries.repartitionByRange(*order).sortWithinPartitions(*order)
-    ship_package(entries.sparkSession)
+            known = np.flatnonzero(member(runs.seeds, held))
+            for some in np.array_split(known, 1 + len(known) // CHUNK) if len(known) else ():
+                if name == "whole":
+                    two = 2 * np.arange(len(some))
+                    after = _word_lists(np.c_[runs.seeds[some], contexts[some]].ravel(), two, two + 2)
+                    before = _word_lists(words.hashes, two, two)
+                else:
+                    after = _word_lists(words.hashes, runs.anchor[some], runs.hi[some] + passage)
+                    before = _word_lists(words.hashes, runs.lo[some], runs.anchor[some])
+                row = runs.row[some]
+                base, of = words.first[row], pa.array(row)
+                yield pa.RecordBatch.from_pydict({
+                    "after": after, "before": before, "whole": pa.array(np.full(len(some), name == "whole")),
+                    "doc_id": batch.column("doc_id").take(of), "h": batch.column("h").take(of),
+                    **{c: pa.array((place[some] - base).astype(np.int32))
+                       for c, place in (("at", runs.anchor), ("lo", runs.lo), ("hi", runs.hi))}})
+
+    ship_package(rows.sparkSession)
 
     def run(batches):
-        from pyspark import TaskContext
+        for batch in batches:
+            for part in slices(batch):
+                yield from suffixes(part)
+        free_memory()
+
+    return rows.mapInArrow(run, "after binary, before binary, whole boolean, doc_id long, h long, at int, lo int, hi int")
+
+
+def _matrix(lists: pa.Array, width: int, backwards: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Word lists as rows of ``width`` words (zeros behind the last one) and their lengths."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    offsets = np.frombuffer(lists.buffers()[1], dtype=np.int32)[lists.offset: lists.offset + len(lists) + 1] // 8
+    size = np.diff(offsets)
+    raw = lists.buffers()[2]
+    flat = (np.frombuffer(raw, dtype=np.uint8)[offsets[0] * 8: offsets[-1] * 8].view(U64)
+            if raw is not None and offsets[-1] > offsets[0] else np.empty(0, dtype=U64))
+    out = np.zeros((len(size), width), dtype=U64)
+    row = np.repeat(np.arange(len(size)), size)
+    column = np.arange(len(flat)) - np.repeat(offsets[:-1] - offsets[0], size)
+    out[row, size[row] - 1 - column if backwards else column] = flat
+    return out, size
+
+
+class _Chunk:
+    """Neighbouring suffixes of the sorted array."""
 
-        part = TaskContext.get().partitionId()
-        table = pa.Table.from_batches(list(batches), schema=schema)
+    def __init__(self, table: pa.Table, passage: int, seed: int):
+        self.table, self.passage, self.seed = table, passage, seed
+        self.whole = table.column("whole").to_numpy()
+        self.words, size = _matrix(table.column("after"), max(passage, 2))
+        differ = self.words[1:] != self.words[:-1]
+        shorter = np.minimum(size[1:], size[:-1])
+        common = np.where(differ.any(axis=1), differ.argmax(axis=1), self.words.shape[1])
+        #: words that a suffix has in common with the next one
+        self.common = np.where(self.whole[1:] == self.whole[:-1], np.minimum(common, shorter), 0)
+        #: whether the two may share a passage
+        self.linked = self.common >= np.where(self.whole[1:], 2, seed)
+
+    def head(self, n: int) -> _Chunk:
+        self.table, self.whole, self.words = self.table.slice(0, n), self.whole[:n], self.words[:n]
+        self.common, self.linked = self.common[:n - 1], self.linked[:n - 1]
+        return self
+
+    def settle(self, open_start: bool, open_end: bool):
+        """Spans of repeated passages, and the passages that other suffixes decide."""
+        table, passage = self.table, self.passage
         n = table.num_rows
-        if not n:
-            return
-        k1, k2, h, lo = (table.column(c).to_numpy() for c in ("k1", "k2", "h", "lo"))
-        ids = table.column("doc_id").fill_null(-1).to_numpy()
-        new = np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]
-        # rows that repeat id and text are one document: not a second occurrence
-        apart = np.r_[True, (ids[1:] != ids[:-1]) | (h[1:] != h[:-1]) | (lo[1:] != lo[:-1])] | new
-        group = np.cumsum(new) - 1
-        count = np.bincount(group, weights=apart).astype(np.int64)
-        begin = np.flatnonzero(new)
-        nth = np.cumsum(apart)
-        nth = nth - nth[begin][group]
-        border = (group == 0) | (group == group[-1])
-        keep = border | (count[group] > 1)
-        at = np.flatnonzero(keep)
-        yield from pa.table({
-            **{c: table.column(c).take(pa.array(at)) for c in ("k1", "k2", "doc_id", "h", "lo", "hi")},
-            "part": pa.array(np.full(len(at), part, dtype=np.int32)), "nth": pa.array(nth[at]),
-            "border": pa.array(border[at])}).to_batches(max_chunksize=100_000)
-
-    schema = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()),
-                        ("lo", pa.int32()), ("hi", pa.int32())])
+        at, lo, hi, h = (table.column(c).to_numpy() for c in ("at", "lo", "hi", "h"))
+        null = table.column("doc_id").is_null().to_numpy()
+        ids = table.column("doc_id").fill_null(0).to_numpy()
+        # rows that repeat id and text are one document: their suffixes have one rank
+        order = np.lexsort((at, h, ids, null))
+        new = np.r_[False, np.any([c[order][1:] != c[order][:-1] for c in (at, h, ids, null)], axis=0)]
+        rank = np.empty(n, dtype=np.int64)
+        rank[order] = np.cumsum(new)
+
+        def reach(linked):
+            """Stretches of linked suffixes, and whether they reach beyond the chunk."""
+            stretch = np.cumsum(np.r_[0, ~linked])
+            return stretch, (open_start & (stretch == 0)) | (open_end & (stretch == stretch[-1]))
+
+        def judged(of, key):
+            """Whether a key is met in several places, and whether each is not the first."""
+            by = np.argsort(key, kind="stable")
+            begin = np.flatnonzero(np.r_[True, key[by][1:] != key[by][:-1]])
+            group = np.repeat(np.arange(len(begin)), np.diff(np.r_[begin, len(by)]))
+            first = np.minimum.reduceat(rank[of][by], begin)
+            several = np.maximum.reduceat(rank[of][by], begin) != first
+            out = np.zeros(len(by), dtype=np.int8)
+            out[by] = several[group] * (1 + (rank[of][by] > first[group]))
+            return out
+
+        spans, border = [], []
+        stretch, outside = reach(self.linked)
+        mine = np.flatnonzero(self.whole & ~outside)
+        if len(mine):
+            code = judged(mine, stretch[mine])
+            spans.append((mine[code > 0], lo[mine[code > 0]], hi[mine[code > 0]], code[code > 0] == 2))
+        over = np.flatnonzero(self.whole & outside)
+        border.append((over, lo[over], hi[over], self.words[over, 0], self.words[over, 1], np.full(len(over), -1)))
+        if not self.whole.all():
+            before, _ = _matrix(table.column("before"), max(passage, 1), backwards=True)
+            near = np.maximum(np.r_[0, self.common], np.r_[self.common, 0])
+            after = None
+            if ((~self.whole) & outside).any():
+                after = np.zeros((passage + 1, n), dtype=U64)
+                for j in range(passage):
+                    after[j + 1] = mix(after[j] * _STEP + self.words[:, j])
+            left = np.zeros(n, dtype=U64)
+            code = np.zeros((n, passage - self.seed + 3), dtype=np.int8)
+            for i in range(passage - self.seed + 1):
+                if i:
+                    left = mix(left * _STEP + before[:, i - 1])
+                chosen = ~self.whole & (at - hi <= i) & (i <= at - lo)
+                if not chosen.any():
+                    continue
+                stretch, outside = reach(self.common >= passage - i)
+                mine = np.flatnonzero(chosen & ~outside & (near >= passage - i))
+                if len(mine):
+                    code[mine, i + 1] = judged(mine, mix(stretch[mine].astype(U64)) ^ left[mine])
+                over = np.flatnonzero(chosen & outside)
+                if len(over):
+                    border.append((over, at[over] - i, at[over] - i, after[passage - i][over], left[over], np.full(len(over), i)))
+            for value in (1, 2):
+                step = np.diff((code == value).astype(np.int8), axis=1)
+                row, begin = np.nonzero(step == 1)
+                end = np.nonzero(step == -1)[1]
+                # i counts to the left: the largest one is the first start
+                spans.append((row, at[row] - end + 1, at[row] - begin, np.full(len(row), value == 2)))
+
+        def columns(of, lo, hi):
+            of = pa.array(of)
+            return {"doc_id": table.column("doc_id").take(of).combine_chunks(), "h": table.column("h").take(of).combine_chunks(),
+                    "lo": pa.array(lo.astype(np.int32)), "hi": pa.array(hi.astype(np.int32))}
+
+        for of, a, b, later in spans:
+            if len(of):
+                none = pa.nulls(len(of), pa.int64())
+                yield pa.RecordBatch.from_pydict({
+                    **columns(of, a, b), "later": pa.array(later), "k1": none, "k2": none, "i": pa.nulls(len(of), pa.int32())})
+        for of, a, b, k1, k2, i in border:
+            if len(of):
+                yield pa.RecordBatch.from_pydict({
+                    **columns(of, a, b), "later": pa.nulls(len(of), pa.bool_()), "k1": _i64(k1), "k2": _i64(k2),
+                    "i": pa.array(i.astype(np.int32))})
+
+
+def _compare_neighbours(suffixes: DataFrame, passage: int, seed: int, chunk_rows: int) -> DataFrame:
+    """(doc_id, h, lo, hi, later): starts of passages that repeat; ``later`` unless they
+    are the first of their equals."""
+    order = ["after", F.asc_nulls_last("doc_id"), "h", "at"]
+    array = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
+    ship_package(suffixes.sparkSession)
+
+    def run(batches):
+        held, rows, open_start = [], 0, True
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < chunk_rows:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            chunk = _Chunk(table, passage, seed)
+            apart = np.flatnonzero(~chunk.linked)
+            # suffixes after the last gap wait for the next ones; without a gap all are one stretch
+            cut = int(apart[-1]) + 1 if len(apart) else rows
+            yield from chunk.head(cut).settle(open_start, not len(apart))
+            open_start = not len(apart)
+            rest = table.slice(cut)
+            held, rows = rest.to_batches(), rest.num_rows
+        if rows:
+            yield from _Chunk(pa.Table.from_batches(held).combine_chunks(), passage, seed).settle(open_start, True)
+        free_memory()
+
     found = materialize(array.mapInArrow(
-        run, "k1 long, k2 long, doc_id long, h long, lo int, hi int, part int, nth long, border boolean"), "equal_neighbours")
-    # at most two runs a partition touch a border; all others are settled already
-    summary = materialize(
-        found.where("border").groupBy("k1", "k2", "part").agg((F.max("nth") + 1).alias("n"))
-        .groupBy("k1", "k2").agg(F.sum("n").alias("n"), F.min("part").alias("first_part")).where("n > 1"), "border_runs")
-    told = found.join(F.broadcast(summary) if small(summary) else summary, ["k1", "k2"], "left")
-    return told.where("NOT border OR n IS NOT NULL").select(
-        "doc_id", "h", "lo", "hi", ((F.col("nth") > 0) | F.coalesce(F.col("part") > F.col("first_part"), F.lit(False))).alias("later"))
+        run, "doc_id long, h long, lo int, hi int, later boolean, k1 long, k2 long, i int"), "neighbours")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "h", "lo")
+    over = found.where("k1 IS NOT NULL").withColumn("place", place)
+    keys = ["k1", "k2", "i"]
+    told = materialize(over.groupBy(*keys).agg(F.min("place").alias("first"), F.max("place").alias("last"))
+                       .where("first <> last").select(*keys, "first"), "stretches")
+    over = over.join(F.broadcast(told) if small(told) else told, keys)
+    return found.where("k1 IS NULL").select("doc_id", "h", "lo", "hi", "later").unionByName(
+        over.select("doc_id", "h", "lo", "hi", (F.col("place") != F.col("first")).alias("later")))
 
 
 def _merged(batches, passage: int):
@@ -141,7 +277,7 @@ def _merged(batches, passage: int):
 
 
 def repeats(docs: DataFrame, passage: int = PASSAGE_WORDS, seed: int = SEED_WORDS, id_col: str = "doc_id",
-            text_col: str = "text", limit: int | None = None) -> DataFrame:
+            text_col: str = "text", limit: int | None = None, chunk_rows: int = CHUNK) -> DataFrame:
     """Documents that hold a passage of ``passage`` words which also starts elsewhere.
 
     Returns per (doc_id, h), h being a digest of the text: repeated and removed,
@@ -149,7 +285,8 @@ def repeats(docs: DataFrame, passage: int = PASSAGE_WORDS, seed: int = SEED_WORD
     those that repeat an earlier occurrence (smaller doc_id, then position).  Rows that
     repeat both id and text are one document here; null ids come last in the order;
     null and empty texts and those shorter than a passage hold none; other columns are
-    not read; an empty table gives no rows.
+    not read; an empty table gives no rows.  ``chunk_rows`` suffixes are compared at once; no
+    result depends on it.
     """
     if not 0 < seed <= passage:
         raise ValueError("the seed must not be longer than the passage")
@@ -161,14 +298,14 @@ def repeats(docs: DataFrame, passage: int = PASSAGE_WORDS, seed: int = SEED_WORD
     if small(shared, LONGS_BYTES if limit is None else limit, row_bytes=8):
         sc = docs.sparkSession.sparkContext
         held = [sc.broadcast(longs(shared.where(F.col("whole") == w), "seed")) for w in (True, False)]
-        entries = _entries(rows, passage, seed, *held)
+        suffixes = _suffixes(rows, passage, seed, *held)
     else:
         own = (anchors(rows, passage, seed, ids=True).join(shared, "seed").groupBy("doc_id", "h")
                .agg(F.collect_set(F.when(F.col("whole"), F.col("seed"))).alias("whole"),
                     F.collect_set(F.when(~F.col("whole"), F.col("seed"))).alias("mixed")))
-        entries = _entries(rows.alias("r").join(own.alias("o"), F.expr("r.doc_id <=> o.doc_id AND r.h = o.h")).select(
+        suffixes = _suffixes(rows.alias("r").join(own.alias("o"), F.expr("r.doc_id <=> o.doc_id AND r.h = o.h")).select(
             "r.doc_id", "r.h", "r.text", "o.whole", "o.mixed"), passage, seed, None, None)
-    equal = _compare_neighbours(materialize(entries, "suffix_entries"))
+    equal = _compare_neighbours(materialize(suffixes, "suffixes"), passage, seed, chunk_rows)
     span = F.struct("lo", "hi")
     grouped = equal.groupBy("doc_id", "h").agg(
         F.sort_array(F.collect_set(span)).alias("repeated"),

@@ -133,15 +133,42 @@ def covered(flat):
     return {w for a, b in zip(flat[::2], flat[1::2]) for w in range(a, b)}
 
 
-@pytest.mark.parametrize("passage, seed, limit", [(50, 10, None), (12, 5, 0)])
-def test_suffix_repeats(spark, make_docs, corpus, passage, seed, limit):
+def suffix_repeats(make_docs, rows, **how):
     from pyspark.sql import functions as F
 
-    digest = {(r.doc_id, r.h): r.text for r in make_docs(corpus, False).select("doc_id", F.xxhash64("text").alias("h"), "text").collect()}
-    got = {}
-    for r in suffix_dedup.repeats(make_docs(corpus), passage=passage, seed=seed, limit=limit).collect():
-        got[(r.doc_id, digest[(r.doc_id, r.h)])] = (covered(r.repeated), covered(r.removed))
-    assert got == brute_suffixes(corpus, passage)
+    digest = {(r.doc_id, r.h): r.text for r in make_docs(rows, False).select("doc_id", F.xxhash64("text").alias("h"), "text").collect()}
+    return {(r.doc_id, digest[(r.doc_id, r.h)]): (covered(r.repeated), covered(r.removed))
+            for r in suffix_dedup.repeats(make_docs(rows), **how).collect()}
+
+
+@pytest.mark.parametrize("passage, seed, limit", [(50, 10, None), (12, 5, 0), (3, 3, None)])
+def test_suffix_repeats(make_docs, corpus, passage, seed, limit):
+    assert suffix_repeats(make_docs, corpus, passage=passage, seed=seed, limit=limit) == brute_suffixes(corpus, passage)
+
+
+def test_suffix_repeats_extend_to_both_sides(make_docs):
+    """Neighbours that share most to the right are not those that share most to the left."""
+    import random
+
+    rng = random.Random(11)
+    core = [f"c{i}" for i in range(5)]
+    left = [[f"l{s}x{i}" for i in range(30)] for s in range(3)]
+    right = [[f"r{s}x{i}" for i in range(30)] for s in range(3)]
+    rows = []
+    for i in range(240):
+        a, b = rng.randint(0, 25), rng.randint(0, 25)
+        own = [f"u{i}"]
+        rows.append((i, " ".join(own + rng.choice(left)[30 - a:] + core + rng.choice(right)[:b] + own)))
+    for chunk_rows in (1, 7, 8192):
+        assert suffix_repeats(make_docs, rows, passage=14, seed=4, chunk_rows=chunk_rows) == brute_suffixes(rows, 14)
+
+
+def test_suffix_repeats_of_one_passage_everywhere(make_docs, corpus):
+    """A passage in most documents fills chunks and partitions; its copies are told apart all the same."""
+    passage = " ".join(f"p{i % 61}" for i in range(80))
+    rows = corpus + [(1000 + i, f"a{i} {passage} b{i % 7} " + f"c{i} d{i}" * (i % 5)) for i in range(400)]
+    rows += [(None, passage), (3000, passage + " x " + passage)]
+    assert suffix_repeats(make_docs, rows, passage=20, seed=6, chunk_rows=16) == brute_suffixes(rows, 20)
 
 
 def test_cut_keeps_the_rest_as_it_is(make_docs, corpus):
