@@ -18,8 +18,8 @@ begins ``i`` words before a suffix repeats if another suffix shares the
 neighbours with a common prefix of that length, and to the left they are extended word by word
 (a hash of one word more each time), all suffixes of a stretch at once.  No group is paired.
 Passages that repeat leave a task as spans, mostly one a suffix; only stretches of neighbours that
-reach over the end of a partition, or are longer than a chunk of ``CHUNK`` suffixes, are settled
-by a grouped comparison of their passages.
+reach over the end of a partition, or are longer than a chunk of ``CHUNK`` suffixes, leave the first
+place of each of their passages undecided, and a grouped comparison of these first places settles them.
 
 Spans that touch merge into the maximal repeats of a document.
 The first occurrence of a passage stays, later ones go.
@@ -154,31 +154,43 @@ class _Chunk:
             stretch = np.cumsum(np.r_[0, ~linked])
             return stretch, (open_start & (stretch == 0)) | (open_end & (stretch == stretch[-1]))
 
-        def judged(of, key):
-            """Whether a key is met in several places, and whether each is not the first."""
+        def judged(of, key, outside):
+            """0 for a key met in one place, 1 for the first of several, 2 for later ones; and
+            the first of each key that other chunks may have too."""
             by = np.argsort(key, kind="stable")
             begin = np.flatnonzero(np.r_[True, key[by][1:] != key[by][:-1]])
             group = np.repeat(np.arange(len(begin)), np.diff(np.r_[begin, len(by)]))
-            first = np.minimum.reduceat(rank[of][by], begin)
-            several = np.maximum.reduceat(rank[of][by], begin) != first
+            own = rank[of][by]
+            first = np.minimum.reduceat(own, begin)
+            several = np.maximum.reduceat(own, begin) != first
             out = np.zeros(len(by), dtype=np.int8)
-            out[by] = several[group] * (1 + (rank[of][by] > first[group]))
-            return out
+            out[by] = several[group] * (1 + (own > first[group]))
+            undecided = np.flatnonzero(outside[of] & (out < 2))
+            return out, undecided[np.unique(key[undecided], return_index=True)[1]]
 
         spans, border = [], []
+
+        def decide(of, key, outside, lo, hi, k1, k2, i):
+            """Codes of the passages ``of`` (0 where undecided); those that stay undecided go to ``border``."""
+            code, first = judged(of, key, outside)
+            if len(first):
+                at = of[first]
+                border.append((at, lo[at], hi[at], k1[at], k2[at], np.full(len(at), i), code[first] == 1))
+            code[outside[of] & (code < 2)] = 0
+            return code
+
         stretch, outside = reach(self.linked)
-        mine = np.flatnonzero(self.whole & ~outside)
+        mine = np.flatnonzero(self.whole)
         if len(mine):
-            code = judged(mine, stretch[mine])
-            spans.append((mine[code > 0], lo[mine[code > 0]], hi[mine[code > 0]], code[code > 0] == 2))
-        over = np.flatnonzero(self.whole & outside)
-        border.append((over, lo[over], hi[over], self.words[over, 0], self.words[over, 1], np.full(len(over), -1)))
+            code = decide(mine, stretch[mine], outside, lo, hi, self.words[:, 0], self.words[:, 1], -1)
+            for value in (1, 2):
+                of = mine[code == value]
+                spans.append((of, lo[of], hi[of], np.full(len(of), value == 2)))
         if not self.whole.all():
             before, _ = _matrix(table.column("before"), max(passage, 1), backwards=True)
             near = np.maximum(np.r_[0, self.common], np.r_[self.common, 0])
-            after = None
-            if ((~self.whole) & outside).any():
-                after = np.zeros((passage + 1, n), dtype=U64)
+            after = np.zeros((passage + 1, n), dtype=U64)
+            if (~self.whole & outside).any():
                 for j in range(passage):
                     after[j + 1] = mix(after[j] * _STEP + self.words[:, j])
             left = np.zeros(n, dtype=U64)
@@ -186,16 +198,11 @@ class _Chunk:
             for i in range(passage - self.seed + 1):
                 if i:
                     left = mix(left * _STEP + before[:, i - 1])
-                chosen = ~self.whole & (at - hi <= i) & (i <= at - lo)
-                if not chosen.any():
-                    continue
                 stretch, outside = reach(self.common >= passage - i)
-                mine = np.flatnonzero(chosen & ~outside & (near >= passage - i))
+                mine = np.flatnonzero(~self.whole & (at - hi <= i) & (i <= at - lo) & (outside | (near >= passage - i)))
                 if len(mine):
-                    code[mine, i + 1] = judged(mine, mix(stretch[mine].astype(U64)) ^ left[mine])
-                over = np.flatnonzero(chosen & outside)
-                if len(over):
-                    border.append((over, at[over] - i, at[over] - i, after[passage - i][over], left[over], np.full(len(over), i)))
+                    key = mix(stretch[mine].astype(U64)) ^ left[mine]
+                    code[mine, i + 1] = decide(mine, key, outside, at - i, at - i, after[passage - i], left, i)
             for value in (1, 2):
                 step = np.diff((code == value).astype(np.int8), axis=1)
                 row, begin = np.nonzero(step == 1)
@@ -212,12 +219,12 @@ class _Chunk:
             if len(of):
                 none = pa.nulls(len(of), pa.int64())
                 yield pa.RecordBatch.from_pydict({
-                    **columns(of, a, b), "later": pa.array(later), "k1": none, "k2": none, "i": pa.nulls(len(of), pa.int32())})
-        for of, a, b, k1, k2, i in border:
-            if len(of):
-                yield pa.RecordBatch.from_pydict({
-                    **columns(of, a, b), "later": pa.nulls(len(of), pa.bool_()), "k1": _i64(k1), "k2": _i64(k2),
-                    "i": pa.array(i.astype(np.int32))})
+                    **columns(of, a, b), "later": pa.array(later), "k1": none, "k2": none,
+                    "i": pa.nulls(len(of), pa.int32()), "several": pa.nulls(len(of), pa.bool_())})
+        for of, a, b, k1, k2, i, several in border:
+            yield pa.RecordBatch.from_pydict({
+                **columns(of, a, b), "later": pa.nulls(len(of), pa.bool_()), "k1": _i64(k1), "k2": _i64(k2),
+                "i": pa.array(i.astype(np.int32)), "several": pa.array(several)})
 
 
 def _compare_neighbours(suffixes: DataFrame, passage: int, seed: int, chunk_rows: int) -> DataFrame:
@@ -248,12 +255,13 @@ def _compare_neighbours(suffixes: DataFrame, passage: int, seed: int, chunk_rows
         free_memory()
 
     found = materialize(array.mapInArrow(
-        run, "doc_id long, h long, lo int, hi int, later boolean, k1 long, k2 long, i int"), "neighbours")
+        run, "doc_id long, h long, lo int, hi int, later boolean, k1 long, k2 long, i int, several boolean"), "neighbours")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "h", "lo")
     over = found.where("k1 IS NOT NULL").withColumn("place", place)
     keys = ["k1", "k2", "i"]
-    told = materialize(over.groupBy(*keys).agg(F.min("place").alias("first"), F.max("place").alias("last"))
-                       .where("first <> last").select(*keys, "first"), "stretches")
+    told = materialize(
+        over.groupBy(*keys).agg(F.min("place").alias("first"), F.max("place").alias("last"), F.max("several").alias("several"))
+        .where("first <> last OR several").select(*keys, "first"), "stretches")
     over = over.join(F.broadcast(told) if small(told) else told, keys)
     return found.where("k1 IS NULL").select("doc_id", "h", "lo", "hi", "later").unionByName(
         over.select("doc_id", "h", "lo", "hi", (F.col("place") != F.col("first")).alias("later")))
