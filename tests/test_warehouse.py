@@ -90,6 +90,30 @@ def test_missing_input_fails_before_writing(spark, tmp_path):
         warehouse.load_warehouse(spark, f"{tmp_path}/wh", f"{tmp_path}/none.csv", f"{tmp_path}/x", f"{tmp_path}/y")
 
 
+def _many_products(spark, root, ids, lapsed=2):
+    """A load of 100,000 products, of which the file holds those that the policies name."""
+    clients = fixtures.write(f"{root}/c.csv", "client_id,name,income,province\n0,A,10.0,X\n1,B,20.0,X\n")
+    rows = "".join(f"{i},Plan,Tier 1,Active\n" for i in ids)
+    products = fixtures.write(f"{root}/p/p.csv", f"product_id,product_name,tier,status\n{rows}")
+    lapses = fixtures.write_lapses(f"{root}/l.parquet", fixtures.lapse_table(lapsed, first_policy=99_998))
+    return warehouse.load_warehouse(spark, f"{root}/wh", clients, products, lapses, policies=(99_998, 99_999),
+                                    num_clients=2, num_products=100_000, first_client=0, versioned=True)
+
+
+def test_ids_of_100000_products_are_loaded_and_their_length_reported(spark, workdir):
+    from lapsewise.registry import WAREHOUSE_CHECKS
+
+    t = warehouse.read_warehouse(spark, _many_products(spark, workdir, ["prod_99999", "prod_100000"]))
+    assert _rows(t["dim_policy"], "policy_id", "product_id") == [(99_998, "prod_99999"), (99_999, "prod_100000")]
+    failed = {r.test_name: r.failures for r in Q.run_checks(WAREHOUSE_CHECKS, t).where("failures > 0").collect()}
+    assert failed == {"max_length__dim_products__product_id": 1, "max_length__dim_policy__product_id": 1}
+
+
+def test_product_id_longer_than_the_rule_aborts_the_load(spark, workdir):
+    with pytest.raises(AssertionError, match="max_length__dim_products__product_id=1"):
+        _many_products(spark, workdir, ["prod_99999", "prod_100000", "prod_1000000"])
+
+
 def test_staging_and_marts(loaded, tmp_path):
     spark, _, _, paths = loaded
     t = warehouse.read_warehouse(spark, paths)
