@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lapsewise.operators import quality as Q
 from lapsewise.operators import textclean as TC
+from lapsewise.operators.loading import read_table
 from lapsewise.plans import models, warehouse
 from tests import fixtures
 
@@ -109,6 +110,13 @@ def test_ids_of_100000_products_are_loaded_and_their_length_reported(spark, work
     assert failed == {"max_length__dim_products__product_id": 1, "max_length__dim_policy__product_id": 1}
 
 
+def test_marts_of_100000_products(spark, workdir):
+    t = warehouse.read_warehouse(spark, _many_products(spark, workdir, ["prod_99999", "prod_100000"]))
+    marts = warehouse.build_marts(spark, t, f"{workdir}/marts", versioned=True)
+    summary = read_table(spark, marts["fct_patient_claims_summary"])
+    assert _rows(summary, "client_id", "income", "total_claims", "distinct_products") == [(0, 10.0, 1, 1), (1, 20.0, 1, 1)]
+
+
 def test_product_id_longer_than_the_rule_aborts_the_load(spark, workdir):
     with pytest.raises(AssertionError, match="max_length__dim_products__product_id=1"):
         _many_products(spark, workdir, ["prod_99999", "prod_100000", "prod_1000000"])
