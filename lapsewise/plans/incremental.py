@@ -11,7 +11,7 @@ from lapsewise.operators.dedup import last_wins
 from lapsewise.operators.loading import in_versions, path_exists, replace_table
 from lapsewise.operators.versioned import VersionedTable
 from lapsewise.plans import models
-from lapsewise.session import materialize
+from lapsewise.session import bounded_partitions, materialize
 
 
 BUCKET = "_bucket"
@@ -145,17 +145,20 @@ def refresh_summary(
     history is re-read: a semi-join on the touched policies' clients; untouched
     clients keep their old rows.
     """
-    touched = materialize(
-        new_rows.select("policy_id").distinct()
-        .join(policy.select("policy_id", "client_id"), "policy_id")
-        .select("client_id").distinct(),
-        "touched_clients",
-    )
-    their_policies = policy.join(touched, "client_id", "left_semi")
-    their_facts = fact.join(their_policies.select("policy_id"), "policy_id", "left_semi")
-    fresh = models.patient_claims_summary(their_facts, their_policies, patients)
-    kept = old_summary.join(touched, "client_id", "left_anti")
-    return kept.unionByName(fresh)
+    spark = fact.sparkSession
+    rows = fact.count()
+    with bounded_partitions(spark, rows):
+        touched = materialize(
+            new_rows.select("policy_id").distinct()
+            .join(policy.select("policy_id", "client_id"), "policy_id")
+            .select("client_id").distinct(),
+            "touched_clients",
+        )
+        their_policies = policy.join(touched, "client_id", "left_semi")
+        their_facts = fact.join(their_policies.select("policy_id"), "policy_id", "left_semi")
+        fresh = models.written_claims_summary(their_facts, their_policies, patients, rows)
+        kept = old_summary.join(touched, "client_id", "left_anti")
+        return materialize(kept.unionByName(fresh), "refreshed_summary")
 
 
 def merge_claims(spark: SparkSession, path: str, new_rows: DataFrame, batch: str, buckets: int | None = None) -> DataFrame:
@@ -173,7 +176,9 @@ def merge_claims(spark: SparkSession, path: str, new_rows: DataFrame, batch: str
 
 def summary_from_state(state: DataFrame, policy: DataFrame, patients: DataFrame) -> DataFrame:
     """The claims summary of a merged state: no lapse is read."""
-    return models.summary_of_totals(state, policy, patients)
+    rows = getattr(state, "counted_rows", None)
+    with bounded_partitions(state.sparkSession, state.count() if rows is None else rows):
+        return materialize(models.summary_of_totals(state, policy, patients), "claims_summary")
 
 
 def write_partitioned_fact(fact: DataFrame, path: str) -> None:

@@ -53,6 +53,35 @@ def test_refresh_summary_equals_full_rebuild(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.select(*got.columns).collect()))
 
 
+def test_refresh_summary_bounds_what_a_task_gets(spark, monkeypatch):
+    from lapsewise import session
+
+    fact = spark.createDataFrame(
+        [(i // 3, dt.date(2024, 1 + i % 3, 1), Decimal(f"{i}.50"), "Active") for i in range(300)],
+        "policy_id long, lapse_date date, premium_amount decimal(10,2), status string",
+    )
+    policy = spark.createDataFrame([(i, i // 4, f"p{i % 3}") for i in range(100)], "policy_id long, client_id long, product_id string")
+    patients = spark.createDataFrame([(i, 1.0, False, "X") for i in range(25)],
+                                     "client_id long, income double, income_was_imputed boolean, province string")
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    own, seen = [spark.conf.get(n) for n in names], []
+
+    def noted(df, name="materialized"):
+        seen.append([int(spark.conf.get(n)) for n in names])
+        return session.materialize(df, name)
+
+    monkeypatch.setattr(session, "PARTITION_ROWS", 10)
+    monkeypatch.setattr(models, "materialize", noted)
+    monkeypatch.setattr(INC, "materialize", noted)
+    late = fact.where(F.col("lapse_date") >= dt.date(2024, 3, 1))
+    old = models.written_claims_summary(fact.where(F.col("lapse_date") < dt.date(2024, 3, 1)), policy, patients)
+    got = INC.refresh_summary(old, fact, policy, patients, late)
+    assert seen == [[20, 8 << 20]] + 3 * [[30, 8 << 20]]
+    assert [spark.conf.get(n) for n in names] == own
+    full = models.patient_claims_summary(fact, policy, patients)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.select(*got.columns).collect()))
+
+
 def test_date_partitioned_layout_prunes(spark, workdir):
     df = spark.createDataFrame(
         [(i, dt.date(2024, 1, 1) + dt.timedelta(days=i)) for i in range(60)], "id long, d date"
