@@ -80,6 +80,33 @@ def free_memory() -> None:
         trim(0)
 
 
+def drop_encoders() -> None:
+    """Let go of the tokenizers and remembered pieces of this worker."""
+    import sys
+
+    tokens = sys.modules.get("lapsewise.llm.tokens")
+    if tokens is not None:
+        tokens.clear_encoders()
+
+
+def released(run: Callable, encodes: bool = False) -> Callable:
+    """``run`` (batches -> batches) that gives its memory back when its task ends.
+
+    A Python worker lives through all stages of a job: a task that does not encode also
+    drops what an encoding one has left for the next of its kind.
+    """
+
+    def task(batches):
+        if not encodes:
+            drop_encoders()
+        try:
+            yield from run(batches)
+        finally:
+            free_memory()
+
+    return task
+
+
 def map_text(df: DataFrame, kernel: Callable, schema: str, column: str = "text") -> DataFrame:
     """Apply ``kernel(record_batch) -> record_batch | None`` to slices of ``df``."""
     ship_package(df.sparkSession)
@@ -90,9 +117,8 @@ def map_text(df: DataFrame, kernel: Callable, schema: str, column: str = "text")
                 out = kernel(part)
                 if out is not None and out.num_rows:
                     yield out
-        free_memory()
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def _row_bytes(df: DataFrame):
@@ -158,5 +184,5 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left"
 
 __all__ = [
     "BROADCAST_BYTES", "attach", "keyed", "longs", "map_text", "materialize",
-    "member", "slices", "small", "table",
+    "member", "released", "slices", "small", "table",
 ]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lapsewise.llm.common import LONGS_BYTES, attach, keyed, longs, map_text, materialize, member, slices, small
+from lapsewise.llm.common import LONGS_BYTES, attach, keyed, longs, map_text, materialize, member, released, slices, small
 from lapsewise.llm.words import U64, RangeHash, WordBatch
 from lapsewise.session import ship_package
 
@@ -231,7 +231,7 @@ def common_words(rows: DataFrame, item_rows: DataFrame) -> np.ndarray:
                                           "upper": pa.array(upper[some])})
 
     ship_package(rows.sparkSession)
-    counts = rows.select("text").unionAll(item_rows.select("text")).mapInArrow(count, "w long, lower long, upper long")
+    counts = rows.select("text").unionAll(item_rows.select("text")).mapInArrow(released(count), "w long, lower long, upper long")
     return longs(counts.groupBy("w").agg(F.sum("lower").alias("lower"), F.sum("upper").alias("upper")).where(
         F.col("upper") < NAME_SHARE * F.col("lower")), "w")
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import map_text, materialize, slices
+from lapsewise.llm.common import map_text, materialize, released, slices
 from lapsewise.session import ship_package
 
 #: Sampled documents a language that the weights and the temperature are fitted on.
@@ -104,7 +104,7 @@ def _document_frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
             "bucket": pa.array(np.r_[-1, np.flatnonzero(df)]), "n": pa.array(np.r_[total, df[df > 0]])})
 
     ship_package(rows.sparkSession)
-    got = rows.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    got = rows.select("text").mapInArrow(released(run), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     bucket, n = got.column(0).to_numpy(), got.column(1).to_numpy()
     df = np.zeros(BUCKETS, dtype=np.int64)
     df[bucket[bucket >= 0]] = n[bucket >= 0]
@@ -239,7 +239,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
                     "at": pa.array(at), "z": pa.array(list(z[at]), pa.list_(pa.float64())),
                     "n": pa.array(list(n[at]), pa.list_(pa.float64())), "seen": pa.array(np.full(len(at), seen))})
 
-        got = shards.mapInArrow(train, "at long, z array<double>, n array<double>, seen long").toArrow()
+        got = shards.mapInArrow(released(train), "at long, z array<double>, n array<double>, seen long").toArrow()
         if not got.num_rows:
             break
         at, seen = got.column("at").to_numpy(), got.column("seen").to_numpy().astype(float)
@@ -334,4 +334,4 @@ def keep_identified(docs: DataFrame, model: Model | None, lead: float = LEAD, te
             for part in slices(batch, text_col):
                 yield part.filter(pa.array(held.value.identified(part.column(text_col).to_pylist(), lead)))
 
-    return docs.select(*names).mapInArrow(run, docs.schema)
+    return docs.select(*names).mapInArrow(released(run), docs.schema)

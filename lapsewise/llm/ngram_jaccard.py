@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapsewise.llm.common import attach, keyed, map_text, materialize, small
+from lapsewise.llm.common import attach, keyed, map_text, materialize, released, small
 from lapsewise.llm.components import connected_components
 from lapsewise.llm.words import U64, RangeHash, WordBatch, mix
 from lapsewise.session import ship_package
@@ -385,7 +385,7 @@ def _each_cell(dealt: DataFrame, compare, schema: str) -> DataFrame:
         if len(ids) > 1:
             yield from compare(cell[0], ids, sizes, roots, items, held)
 
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(released(run), schema)
 
 
 def _verified(rows: DataFrame, nodes: DataFrame, blocks: DataFrame, k: int, num: int, den: int, limit: int | None) -> DataFrame:

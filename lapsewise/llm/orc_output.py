@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lapsewise.llm.common import materialize, slices, small
+from lapsewise.llm.common import materialize, released, slices, small
 from lapsewise.llm.tokens import append_id, default_path, encoder
 from lapsewise.session import ship_package
 
@@ -58,7 +58,7 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, tokenizer_path:
                 row += n
                 before += int(borders[-1])
 
-    (rows.mapInArrow(run, "part int, row long, doc_id long, part_start long, n_tokens long, ids array<int>")
+    (rows.mapInArrow(released(run, encodes=True), "part int, row long, doc_id long, part_start long, n_tokens long, ids array<int>")
      .write.option("compression", "zstd").option("orc.stripe.size", STRIPE_BYTES)
      .option("orc.row.index.stride", INDEX_ROWS).option("orc.create.index", "true")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01")
@@ -97,4 +97,4 @@ def digests(read: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), batch.column("start"), pa.array(np.diff(edges).astype(np.int64)), pa.array(crc, pa.int64())],
                 names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return read.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return read.mapInArrow(released(run, encodes=True), "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lapsewise.llm.common import materialize, slices, small
+from lapsewise.llm.common import materialize, released, slices, small
 from lapsewise.llm.tokens import append_id, default_path, encoder
 from lapsewise.session import ship_package
 
@@ -82,7 +82,7 @@ def encode_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_I
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long"
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, schema + (", ids array<int>" if with_ids else ""))
+        released(run, encodes=True), schema + (", ids array<int>" if with_ids else ""))
 
 
 def _fullest(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> np.ndarray:
@@ -256,4 +256,4 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokeni
                 [batch.column(c) for c in names] + [pa.array(sequence), pa.array(offset)], names=names + ["sequence_id", "offset"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranked.schema if f.name != "rank")
-    return ranked.mapInArrow(place, schema + ", sequence_id long, offset long")
+    return ranked.mapInArrow(released(place, encodes=True), schema + ", sequence_id long, offset long")

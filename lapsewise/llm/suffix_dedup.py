@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapsewise.llm.common import (
-    LONGS_BYTES, attach, free_memory, keyed, longs, materialize, member, slices, small,
+    LONGS_BYTES, attach, keyed, longs, materialize, member, released, slices, small,
 )
 from lapsewise.llm.substring_dedup import Runs, _i64, anchors
 from lapsewise.llm.words import U64, WordBatch, mix
@@ -96,9 +96,8 @@ def _suffixes(rows: DataFrame, passage: int, seed: int, whole, mixed) -> DataFra
         for batch in batches:
             for part in slices(batch):
                 yield from suffixes(part)
-        free_memory()
 
-    return rows.mapInArrow(run, "after binary, before binary, whole boolean, doc_id long, h long, at int, lo int, hi int")
+    return rows.mapInArrow(released(run), "after binary, before binary, whole boolean, doc_id long, h long, at int, lo int, hi int")
 
 
 def _matrix(lists: pa.Array, width: int, backwards: bool = False) -> tuple[np.ndarray, np.ndarray]:
@@ -252,10 +251,9 @@ def _compare_neighbours(suffixes: DataFrame, passage: int, seed: int, chunk_rows
             held, rows = rest.to_batches(), rest.num_rows
         if rows:
             yield from _Chunk(pa.Table.from_batches(held).combine_chunks(), passage, seed).settle(open_start, True)
-        free_memory()
 
     found = materialize(array.mapInArrow(
-        run, "doc_id long, h long, lo int, hi int, later boolean, k1 long, k2 long, i int, several boolean"), "neighbours")
+        released(run), "doc_id long, h long, lo int, hi int, later boolean, k1 long, k2 long, i int, several boolean"), "neighbours")
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "h", "lo")
     over = found.where("k1 IS NOT NULL").withColumn("place", place)
     keys = ["k1", "k2", "i"]
@@ -318,7 +316,7 @@ def repeats(docs: DataFrame, passage: int = PASSAGE_WORDS, seed: int = SEED_WORD
     grouped = equal.groupBy("doc_id", "h").agg(
         F.sort_array(F.collect_set(span)).alias("repeated"),
         F.sort_array(F.collect_set(F.when(F.col("later"), span))).alias("removed"))
-    return grouped.mapInArrow(lambda batches: _merged(batches, passage),
+    return grouped.mapInArrow(released(lambda batches: _merged(batches, passage)),
                               "doc_id long, h long, repeated array<int>, removed array<int>")
 
 
@@ -367,4 +365,4 @@ def cut(docs: DataFrame, passage: int = PASSAGE_WORDS, seed: int = SEED_WORDS, i
                     out = out.filter(pa.array(~gone))
                 yield out
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(released(run), schema)

@@ -158,6 +158,11 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def clear_encoders() -> None:
+    """The next text that this process encodes starts with a new encoder."""
+    _ENCODERS.clear()
+
+
 def append_id(ids: np.ndarray, borders: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Each text's ids followed by ``end_id``."""
     n = len(borders) - 1

@@ -52,3 +52,27 @@ def test_stages_against_brute_force(spark, make_docs, tmp_path):
     assert {r.doc_id for r in packed} == set(got) - {4000}
     assert max(r.offset + r.length for r in packed) <= 1024
     assert language_id.UNKNOWN == "und"
+
+
+def test_workers_give_encoders_back_to_other_stages(spark):
+    """A task that does not encode drops the encoder that packing left in its Python worker."""
+    import pyarrow as pa
+
+    from lapsewise.llm import packing
+    from lapsewise.llm.common import released
+    from lapsewise.session import ship_package
+
+    ship_package(spark)
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string").repartition(8)
+
+    def held(batches):
+        from lapsewise.llm import tokens
+
+        rows = sum(b.num_rows for b in batches)
+        yield pa.RecordBatch.from_pydict({"n": pa.array([len(tokens._ENCODERS)]), "rows": pa.array([rows])})
+
+    assert packing.pack(docs, capacity=16, end_id=2).count() == 40
+    kept = docs.mapInArrow(held, "n long, rows long").collect()
+    assert any(r.n for r in kept)
+    freed = docs.mapInArrow(released(held), "n long, rows long").collect()
+    assert sum(r.rows for r in freed) == 40 and not any(r.n for r in freed)
