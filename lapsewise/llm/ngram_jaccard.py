@@ -16,15 +16,17 @@ The traversal of pairs of tree nodes drops a pair when the largest possible
 overlap of any two members is too small for the threshold, or when the
 members are of one component already.  Pairs that are left are verified on
 the exact sets.  To send few sets, this goes in rounds: a round names, by signatures,
-pairs that could join components (at first one for two components of a block, with
+pairs that could join components (one for two components of a block, with
 the same leading member in blocks of much the same members), verifies them, and
-comes back to the blocks where more pairs are left.  The last round leaves none.
+comes back to the blocks where more pairs are left.  The last round names the members
+that could join another component and compares their exact sets inside the block,
+where a link settles all pairs of its components.  So a block gives no more rows than it
+has members, however many pairs it has.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +46,8 @@ LEAF = 32
 #: Shared shingles and blocks are broadcast up to this only; they soon outgrow it.
 TOKEN_BROADCAST = 1 << 20
 #: Pairs that two components are tried on in a block, round by round; the last
-#: round takes all that are left.
-CAPS = (1, 16, None)
+#: round compares all members that are left.
+CAPS = (1, None)
 
 
 def shingle_sets(words: WordBatch, k: int) -> list[np.ndarray]:
@@ -144,12 +146,12 @@ def _folded(bits: np.ndarray, words: int) -> np.ndarray:
 
 
 class SignatureTree:
-    """Binary tree over members sorted by size; the last node is the root."""
+    """Binary tree over members sorted by size (by ``group`` first); the last node is the root."""
 
-    def __init__(self, sizes: list[int], bitmaps: list[np.ndarray]):
+    def __init__(self, sizes: list[int], bitmaps: list[np.ndarray], group: list[int] | None = None):
         words = min(map(len, bitmaps))
         bitmaps = [_folded(b, words) for b in bitmaps]
-        self.order = sorted(range(len(sizes)), key=lambda i: (sizes[i], bitmaps[i].tobytes()))
+        self.order = sorted(range(len(sizes)), key=lambda i: (group[i] if group else 0, sizes[i], bitmaps[i].tobytes()))
         self.size = np.array([sizes[i] for i in self.order], dtype=np.int64)
         self.bitmaps = np.array([bitmaps[i] for i in self.order])
         self.nodes: list[tuple] = []
@@ -162,7 +164,7 @@ class SignatureTree:
             children = (self._build(a, mid), self._build(mid, b))
         self.nodes.append((
             a, b, children, np.bitwise_or.reduce(self.bitmaps[a:b]), np.bitwise_and.reduce(self.bitmaps[a:b]),
-            int(self.size[a]), int(self.size[b - 1])))
+            int(self.size[a:b].min()), int(self.size[a:b].max())))
         return len(self.nodes) - 1
 
 
@@ -206,13 +208,17 @@ def possible_pairs(tree: SignatureTree, num: int, den: int, settled):
                 yield a + int(i), c + int(j)
 
 
-def partners(tree: SignatureTree, i: int, num: int, den: int) -> np.ndarray:
-    """Members (in tree order) that may be similar to member i by their signatures."""
+def partners(tree: SignatureTree, i: int, num: int, den: int, unwanted=None) -> np.ndarray:
+    """Members (in tree order) that may be similar to member i by their signatures; those below
+    a tree node for which ``unwanted(node)`` holds may be left out."""
     size, bits = int(tree.size[i]), tree.bitmaps[i]
     out = []
     todo = [tree.root]
     while todo:
-        a, b, below, or_y, and_y, low, high = tree.nodes[todo.pop()]
+        node = todo.pop()
+        a, b, below, or_y, and_y, low, high = tree.nodes[node]
+        if unwanted is not None and unwanted(node):
+            continue
         if num * low > den * size or num * size > den * high:
             continue
         most = min(size - int(_popcount(bits & ~or_y)), high - int(_popcount(and_y & ~bits)))
@@ -243,14 +249,7 @@ def open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots: li
     apart = len(number) - 1
     if not apart:
         return [], False
-    parent = list(range(len(number)))
-
-    def find(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
+    find, join = _union(range(len(number)))
     taken: list[tuple[int, int]] = []
     tried: dict[tuple[int, int], int] = {}
     left = False
@@ -270,38 +269,65 @@ def open_pairs(ids: list, sizes: list[int], bitmaps: list[np.ndarray], roots: li
             key = (min(p, q), max(p, q))
             tried[key] = tried.get(key, 0) + 1
             if tried[key] >= cap:
-                parent[p] = q
+                join(p, q)
                 apart -= 1
     return taken, left
 
 
-def all_open_pairs(sizes: list[int], bitmaps: list[np.ndarray], roots: list, num: int, den: int, owned):
-    """Every owned pair of members of different components that may be similar."""
-    tree = SignatureTree(sizes, bitmaps)
-    of = [roots[i] for i in tree.order]
+def open_members(sizes: list[int], bitmaps: list[np.ndarray], roots: list, num: int, den: int, owned) -> list[int]:
+    """The members that an owned pair with a member of another component may link, by
+    their signatures."""
+    if len(set(roots)) == 1:
+        return []
+    number: dict = {}
+    group = [number.setdefault(r, len(number)) for r in roots]
+    times = np.bincount(group)
+    # members of a component next to each other, so that tree nodes hold one component
+    tree = SignatureTree(sizes, bitmaps, [g if times[g] > 1 else -1 for g in group])
+    order = tree.order
+    component = np.array(group)[order]
+    only = [component[a] if (component[a:b] == component[a]).all() else -1 for a, b, *_ in tree.nodes]
+    found = [False] * len(order)
+    for i in range(len(order)):
+        if found[i]:
+            continue  # by its partner
+        own = partners(tree, i, num, den, lambda node: only[node] == component[i])
+        for j in own[component[own] != component[i]].tolist():
+            if owned(order[i], order[j]):
+                found[i] = found[j] = True
+                break
+    return [order[i] for i in range(len(order)) if found[i]]
+
+
+def _union(components) -> tuple:
+    """(find, join) over members 0, 1, ... that start in the given components."""
+    first: dict = {}
+    parent = [first.setdefault(c, i) for i, c in enumerate(components)]
 
-    def one_component(a, b, c, d):
-        return len(set(of[a:b]) | set(of[c:d])) == 1
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
 
-    for i, j in possible_pairs(tree, num, den, one_component):
-        if of[i] != of[j] and owned(tree.order[i], tree.order[j]):
-            yield tree.order[i], tree.order[j]
+    def join(i, j):
+        parent[find(i)] = find(j)
+
+    return find, join
 
 
-def tree_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+def tree_links(sets: list[np.ndarray], num: int, den: int, roots: list | None = None,
+               owned=None) -> list[tuple[int, int]]:
     """Links that connect every two members of similarity num/den or more,
-    directly or through other such links (at most one less than members)."""
+    directly or through other such links (at most one less than members).
+
+    Members of one root are connected already; with ``owned`` only such pairs are compared.
+    """
     if len(sets) < 2:
         return []
     tree = SignatureTree([len(s) for s in sets], [bitmap(s) for s in sets])
     sets = [sets[i] for i in tree.order]
-    parent = list(range(len(sets)))
-
-    def find(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
+    find, join = _union(range(len(sets)) if roots is None else [roots[i] for i in tree.order])
 
     def one_component(a, b, c, d):
         first = find(a)
@@ -309,7 +335,7 @@ def tree_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
 
     links = []
     for i, j in possible_pairs(tree, num, den, one_component):
-        if find(i) == find(j):
+        if find(i) == find(j) or owned is not None and not owned(tree.order[i], tree.order[j]):
             continue
         p, q = sets[i], sets[j]
         if len(p) > len(q):
@@ -318,7 +344,7 @@ def tree_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, in
         at[at == len(q)] = 0
         inter = int((q[at] == p).sum())
         if den * inter >= num * (len(p) + len(q) - inter):
-            parent[find(i)] = find(j)
+            join(i, j)
             links.append((tree.order[i], tree.order[j]))
     return links
 
@@ -388,8 +414,13 @@ def _each_cell(dealt: DataFrame, compare, schema: str) -> DataFrame:
     return dealt.mapInArrow(released(run), schema)
 
 
-def _verified(rows: DataFrame, nodes: DataFrame, blocks: DataFrame, k: int, num: int, den: int, limit: int | None) -> DataFrame:
-    """(a1, a2, b1, b2): links inside ``blocks``, on the exact sets of their members."""
+def _verified(rows: DataFrame, nodes: DataFrame, blocks: DataFrame, k: int, num: int, den: int, limit: int | None,
+              known: DataFrame | None = None) -> DataFrame:
+    """(a1, a2, b1, b2): links inside ``blocks``, on the exact sets of their members.
+
+    ``known`` has each member's component (r1, r2) and open blocks (keys): only pairs of two
+    components are compared, in the block that owns them.
+    """
     reps = materialize(
         nodes.select("fp1", "fp2", "rep").join(blocks.select("fp1", "fp2"), ["fp1", "fp2"], "left_semi")
         .select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.h").alias("h")), "candidates")
@@ -405,9 +436,12 @@ def _verified(rows: DataFrame, nodes: DataFrame, blocks: DataFrame, k: int, num:
 
     sets = map_text(attach(rows, reps, ["doc_id", "h"], "inner", limit), kernel,
                     "fp1 long, fp2 long, n long, r1 long, r2 long, items binary")
+    last = known is not None
+    if last:
+        sets = sets.drop("r1", "r2").join(F.broadcast(known) if small(known, limit) else known, ["fp1", "fp2"])
 
     def verify(key, ids, sizes, roots, sets, keys):
-        links = tree_links(sets, num, den)
+        links = tree_links(sets, num, den, *((roots, _owner(key, keys)) if last else ()))
         if not links:
             return
         a, b = zip(*links)
@@ -425,6 +459,17 @@ def _roots(links: DataFrame) -> DataFrame:
     return found.select("node.fp1", "node.fp2", F.col("root.fp1").alias("r1"), F.col("root.fp2").alias("r2"))
 
 
+def _owner(key: int, keys: list):
+    """Whether the pair of members i and j belongs to the block ``key``: the least of the open
+    blocks that hold both (``keys``; none known: every block that holds both)."""
+    lower = [{k for k in own if k < key} if own is not None else set() for own in keys]
+
+    def owned(i, j):
+        return lower[i].isdisjoint(lower[j])
+
+    return owned
+
+
 def similar_components(rows: DataFrame, nodes: DataFrame, k: int, num: int, den: int, limit: int | None = None) -> DataFrame:
     """(fp1, fp2, r1, r2): nodes with links and the root of their component."""
     # similar sets are of the same band of sizes or of neighbouring ones
@@ -442,34 +487,40 @@ def similar_components(rows: DataFrame, nodes: DataFrame, k: int, num: int, den:
     for cap in CAPS:
 
         def meet(key, ids, sizes, roots, bitmaps, keys, cap=cap):
-            sets = [set(k) if k is not None else None for k in keys]
-
-            def owned(i, j):
-                """A pair belongs to the least of the open blocks that hold both."""
-                return sets[i] is None or sets[j] is None or min(sets[i] & sets[j]) == key
-
+            owned = _owner(key, keys)
             if cap is None:
-                pairs, left = all_open_pairs(sizes, bitmaps, roots, num, den, owned), False
+                own = [(i, None) for i in open_members(sizes, bitmaps, roots, num, den, owned)]
             else:
-                pairs, left = open_pairs(ids, sizes, bitmaps, roots, num, den, cap, owned)
-                pairs = iter(pairs + [(None, None)] * left)
-            while own := list(islice(pairs, 20_000)):
-                own = [p if p[0] is None or ids[p[0]] < ids[p[1]] else p[::-1] for p in own]
+                own, left = open_pairs(ids, sizes, bitmaps, roots, num, den, cap, owned)
+                own = [p if ids[p[0]] < ids[p[1]] else p[::-1] for p in own] + [(None, None)] * left
+            for at in range(0, len(own), 20_000):
+                some = own[at: at + 20_000]
                 yield pa.RecordBatch.from_pydict({
-                    "key": pa.array([key] * len(own), pa.int64()),
-                    **{f"{name}{f + 1}": pa.array([None if p[side] is None else ids[p[side]][f] for p in own], pa.int64())
+                    "key": pa.array([key] * len(some), pa.int64()),
+                    **{f"{name}{f + 1}": pa.array([None if p[side] is None else ids[p[side]][f] for p in some], pa.int64())
                        for side, name in ((0, "a"), (1, "b")) for f in (0, 1)}})
 
         signatures = nodes.select("fp1", "fp2", "n", F.col("bits").alias("items"))
         if roots is None:
+            known = nodes.select("fp1", "fp2", F.col("fp1").alias("r1"), F.col("fp2").alias("r2"),
+                                 F.lit(None).cast("array<bigint>").alias("keys"))
             signatures = signatures.select("*", F.col("fp1").alias("r1"), F.col("fp2").alias("r2"))
         else:
-            known = F.broadcast(roots) if small(roots, limit) else roots
-            signatures = signatures.join(known, ["fp1", "fp2"], "left").select(
-                "fp1", "fp2", "n", F.coalesce("r1", "fp1").alias("r1"), F.coalesce("r2", "fp2").alias("r2"), "items")
-            # a member's open blocks (bounded by its prefix): a pair is named in one of them only
-            signatures = signatures.join(blocks.groupBy("fp1", "fp2").agg(F.collect_set("key").alias("keys")), ["fp1", "fp2"])
+            # a member's open blocks (bounded by its prefix): a pair is compared in one of them only
+            held = blocks.groupBy("fp1", "fp2").agg(F.collect_set("key").alias("keys"))
+            known = materialize(
+                held.join(F.broadcast(roots) if small(roots, limit) else roots, ["fp1", "fp2"], "left").select(
+                    "fp1", "fp2", F.coalesce("r1", "fp1").alias("r1"), F.coalesce("r2", "fp2").alias("r2"), "keys"), "open_state")
+            signatures = signatures.join(F.broadcast(known) if small(known, limit) else known, ["fp1", "fp2"])
         met = materialize(_each_cell(_cells(blocks, signatures), meet, "key long, a1 long, a2 long, b1 long, b2 long"), "open_pairs")
+        if cap is None:
+            members = met.select("key", F.col("a1").alias("fp1"), F.col("a2").alias("fp2")).distinct()
+            if met.counted_rows or links is None:
+                members = materialize(members, "open")
+                known = materialize(known.join(members.select("fp1", "fp2"), ["fp1", "fp2"], "left_semi"), "open_known")
+                found = _verified(rows, nodes, _blocks(members, limit), k, num, den, limit, known)
+                roots = materialize(_roots(found if links is None else links.unionByName(found)), "roots")
+            return roots
         pairs = met.where("a1 IS NOT NULL").select("a1", "a2", "b1", "b2").distinct()
         pairs = pairs.select(F.xxhash64("a1", "a2").alias("key"), "a1", "a2", "b1", "b2")
         members = pairs.select("key", F.col("a1").alias("fp1"), F.col("a2").alias("fp2")).unionByName(

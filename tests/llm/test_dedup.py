@@ -93,6 +93,35 @@ def test_ngram_jaccard_rounds(make_docs, corpus, monkeypatch, caps):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows, 2, 60, 100)
 
 
+def test_ngram_jaccard_group_just_below(make_docs, monkeypatch):
+    """A group of near copies names no more rows than its blocks have members, though most of its
+    pairs may be similar by their signatures; two components meet in one link."""
+    import random
+
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.sample(range(300), 16):
+            words[at] = f"x{rng.randrange(30)}"
+        rows.append((i, " ".join(words)))
+    seen = {}
+
+    def counted(df, name="materialized", write=ngram_jaccard.materialize):
+        table = write(df, name)
+        seen.setdefault(name, []).append(table.counted_rows)
+        return table
+
+    monkeypatch.setattr(ngram_jaccard, "materialize", counted)
+    got = ngram_jaccard.similarity_components(make_docs(rows), k=3, num=75, den=100).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute_components(rows, 3, 75, 100)
+    members = seen["blocks"][0] + sum(seen.get("open_blocks", []))
+    assert len(seen["open_pairs"]) > 1  # the first round leaves some
+    assert sum(seen["open_pairs"]) <= members + len(seen["open_pairs"]) * members / 2
+    assert max(seen["open_pairs"][1:]) <= seen["open_blocks"][0]
+
+
 def test_keep_one_of_each_group(make_docs, corpus):
     docs = make_docs(corpus)
     kept = ngram_jaccard.keep_one(docs, k=5, num=80, den=100)
