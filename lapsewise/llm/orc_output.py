@@ -25,6 +25,10 @@ from lapsewise.session import ship_package
 END_ID = 0
 STRIPE_BYTES = 32 << 20
 INDEX_ROWS = 1000
+#: Bytes of text that are encoded at once, and pieces of text that a worker remembers:
+#: with more of them fewer pieces are looked up and encoded again.
+ENCODE_BYTES = 8 << 20
+ENCODE_PIECES = 1_000_000
 
 
 def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, tokenizer_path: str | None = None,
@@ -45,10 +49,10 @@ def write_ids(docs: DataFrame, path: str, end_id: int = END_ID, tokenizer_path:
 
         part_no = TaskContext.get().partitionId()
         before = row = 0
-        encode = encoder(vocabulary).encode
+        encode = encoder(vocabulary, ENCODE_PIECES).encode
         for batch in batches:
-            for part in slices(batch):
-                ids, borders = append_id(*encode(part.column("text").to_pylist()), end_id)
+            for part in slices(batch, limit=ENCODE_BYTES):
+                ids, borders = append_id(*encode(part.column("text")), end_id)
                 n = part.num_rows
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array(np.full(n, part_no, dtype=np.int32)), "row": pa.array(np.arange(row, row + n)),

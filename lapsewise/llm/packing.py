@@ -53,7 +53,7 @@ def encode_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_I
         encode = encoder(path).encode
         for batch in batches:
             for part in slices(batch):
-                ids, borders = append_id(*encode(part.column("text").to_pylist()), end_id)
+                ids, borders = append_id(*encode(part.column("text")), end_id)
                 total = np.diff(borders)
                 count = -(-total // capacity)
                 row = np.repeat(np.arange(len(total)), count)

@@ -50,6 +50,36 @@ def test_cache_starts_over(encoder, monkeypatch):
             assert fresh.encode([t])[0].tolist() == ids_of(encoder, t)
 
 
+PARTS = [" ", "  ", "\n", "\n\n", "\t", "\r\n", "a", "word", "'s", "'ll", "don't", ",", "!!", "12", "3a", "é", "école", "ñ,", "Ж.", "日本", "\u3000",
+         "\xa0", "\x85", "—", "“x”", "\x1c", "×", "a÷", "а\u0482", "सि", "😀", "\u180e", "\u0301", "'", "\x7f", "<|endoftext"]
+
+
+def test_every_cut_is_one_of_the_library(encoder):
+    """Pieces of any characters, next to each other in any order, as slices of an Arrow column."""
+    import random
+
+    import pyarrow as pa
+
+    some = random.Random(7)
+    texts = ["".join(some.choices(PARTS, k=some.randrange(12))) for _ in range(4000)] + [None, "x<|endoftext|> y."]
+    column = pa.array(texts, pa.string())
+    for at in range(0, len(texts), 500):
+        part = column.slice(at, 500)
+        ids, borders = encoder.encode(part)
+        assert [ids[a:b].tolist() for a, b in zip(borders[:-1], borders[1:])] == [ids_of(encoder, t) for t in part.to_pylist()]
+
+
+def test_library_gets_a_word_once(monkeypatch):
+    """A word is no new piece because of the mark after it or the line break before it."""
+    fresh = Encoder(default_path())
+    given = []
+    batch = fresh._batch
+    fresh._batch = lambda texts, **k: (given.extend(p for t in texts for p in t.split("\n")), batch(texts, **k))[1]
+    fresh.encode(["one zürich, one zürich. one zürich; one\nzürich: one zürich"])
+    assert sorted(given) == sorted(["one", " one", " zürich", "zürich", ",", ".", ";", ":"])
+    assert set(fresh.index) == {*given, "\n"}
+
+
 def check_packing(rows, got, encoder, capacity):
     by_sequence = defaultdict(list)
     for r in got:
