@@ -45,6 +45,8 @@ BLOCK_MEMBERS = 2000
 LEAF = 32
 #: Shared shingles and blocks are broadcast up to this only; they soon outgrow it.
 TOKEN_BROADCAST = 1 << 20
+#: Rows of 64 bits of the bitmap that shingles are tried on where they outgrow that.
+BITMAP_ROWS = 1 << 18
 #: Pairs that two components are tried on in a block, round by round; the last
 #: round compares all members that are left.
 CAPS = (1, None)
@@ -470,6 +472,17 @@ def _owner(key: int, keys: list):
     return owned
 
 
+def _likely(spread: DataFrame, shared: DataFrame) -> DataFrame:
+    """The rows of ``spread`` whose token may be one of ``shared``, by a bitmap of bounded size:
+    the others need not be shuffled to be left out.  A full bitmap keeps all rows."""
+    h = F.xxhash64("token")
+    slot = F.pmod(h, F.lit(BITMAP_ROWS)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, 58).cast("int"))
+    marks = shared.select(slot.alias("slot"), bit.alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("marks"))
+    # a semi join, as Spark would do the one with ``shared`` before an inner one
+    return spread.join(F.broadcast(marks), (slot == F.col("slot")) & (F.col("marks").bitwiseAND(bit) != 0), "left_semi")
+
+
 def similar_components(rows: DataFrame, nodes: DataFrame, k: int, num: int, den: int, limit: int | None = None) -> DataFrame:
     """(fp1, fp2, r1, r2): nodes with links and the root of their component."""
     # similar sets are of the same band of sizes or of neighbouring ones
@@ -480,7 +493,7 @@ def similar_components(rows: DataFrame, nodes: DataFrame, k: int, num: int, den:
     spread = nodes.select("fp1", "fp2", "n", F.posexplode("tokens").alias("at", "token")).select(
         "fp1", "fp2", "n", "token", (F.col("at") <= F.col("n") - own).alias("leads"))
     shared = materialize(spread.groupBy("token").agg(*_sharing()).where(_may_link(num, den)).select("token"), "shared_shingles")
-    shared = F.broadcast(shared) if small(shared, few) else shared
+    spread, shared = (spread, F.broadcast(shared)) if small(shared, few) else (_likely(spread, shared), shared)
     banded = materialize(spread.join(shared, "token", "left_semi").select("fp1", "fp2", "n", "leads", keys), "banded")
     blocks = _blocks(banded, few, _may_link(num, den))
     links, roots = None, None

@@ -216,3 +216,16 @@ def test_cut_keeps_the_rest_as_it_is(make_docs, corpus):
         assert r.n_chars == (None if r.text is None else len(r.text)) and r["spans"] == "s"
     assert suffix_dedup.cut(make_docs([])).collect() == []
     assert suffix_dedup.repeats(make_docs([(1, None), (None, "a")])).collect() == []
+
+
+def test_shingles_of_one_set_are_left_out_before_the_shuffle(spark):
+    """Of the rows whose shingle is shared none is lost, of the others few reach the semi join."""
+    from pyspark.sql import functions as F
+
+    spread = spark.range(200_000).select(F.xxhash64("id").alias("token"), F.lit(1).alias("n"))
+    shared = spark.range(0, 200_000, 100).select(F.xxhash64("id").alias("token"))
+    likely = ngram_jaccard._likely(spread, shared)
+    assert likely.join(shared, "token", "left_semi").count() == 2000
+    assert likely.count() < 2000 + 200
+    plan = likely.join(shared.hint("merge"), "token", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")  # the bitmap first, below the other join
