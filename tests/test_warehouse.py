@@ -122,6 +122,28 @@ def test_product_id_longer_than_the_rule_aborts_the_load(spark, workdir):
         _many_products(spark, workdir, ["prod_99999", "prod_100000", "prod_1000000"])
 
 
+def test_keys_with_gaps(spark, workdir):
+    """Clients 0 and 5, of which the rule names 0 and 1: refused, or loaded and reported."""
+    from lapsewise.registry import WAREHOUSE_CHECKS
+
+    clients = fixtures.write(f"{workdir}/c.csv", "client_id,name,income,province\n0,A,10.0,X\n5,B,20.0,X\n")
+    products = fixtures.write(f"{workdir}/p/p.csv", "product_id,product_name,tier,status\nprod_001,Plan,Tier 1,Active\nprod_003,Plan,Tier 1,Active\n")
+    lapses = fixtures.write_lapses(f"{workdir}/l.parquet", fixtures.lapse_table(4, first_policy=10))
+
+    def load(root, **how):
+        return warehouse.load_warehouse(spark, f"{workdir}/{root}", clients, products, lapses, policies=(10, 13),
+                                        num_clients=2, num_products=2, first_client=0, versioned=True, **how)
+
+    with pytest.raises(AssertionError, match="relationships__dim_policy__client_id"):
+        load("refused")
+    t = warehouse.read_warehouse(spark, load("loaded", bridge_gaps=True))
+    assert _rows(t["dim_policy"], "policy_id", "client_id") == [(10, 0), (11, 1), (12, 0), (13, 1)]
+    failed = {r.test_name: r.failures for r in Q.run_checks(WAREHOUSE_CHECKS, t).where("failures > 0").collect()}
+    assert set(failed) == {"relationships__dim_policy__client_id", "relationships__dim_policy__product_id"}
+    marts = warehouse.build_marts(spark, t, f"{workdir}/marts", versioned=True)
+    assert _rows(read_table(spark, marts["fct_patient_claims_summary"]), "client_id", "total_claims") == [(0, 2)]
+
+
 def test_staging_and_marts(loaded, tmp_path):
     spark, _, _, paths = loaded
     t = warehouse.read_warehouse(spark, paths)
