@@ -70,10 +70,16 @@ def small_batches(spark: SparkSession, rows: int = BATCH_ROWS):
 def free_memory() -> None:
     """Give what a finished task held back to the system: Arrow's pool and the C library keep
     freed memory, and a Python worker lives through all stages of a job."""
-    import ctypes
     import gc
 
     gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Return memory that is free already to the system."""
+    import ctypes
+
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

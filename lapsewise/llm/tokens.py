@@ -4,7 +4,8 @@ The pre-tokenizer never joins text across some places that the bytes alone show:
 Latin or Cyrillic letter before an ASCII character that is none, before a space or newline after a
 character that is no white space, and after a newline that stands alone.  A text is cut there and its
 pieces are encoded apart.  Arrow finds the distinct pieces of a slice; each worker keeps the ids
-of the pieces seen, and the library encodes each new piece once.  Texts that hold the content of an
+of the pieces seen, and the library encodes each new piece once.  When there is no more room, the
+pieces met again stay and those met in one slice only go.  Texts that hold the content of an
 added token (as ``<|endoftext|>``) go to the library whole.
 """
 
@@ -17,11 +18,15 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces that a worker remembers before it starts over; bounds its memory.
-CACHE_PIECES = 500_000
+from lapsewise.llm.common import give_back
+
+#: Pieces that a worker remembers before it forgets those not met again; bounds its memory.
+CACHE_PIECES = 150_000
 CACHE_IDS = 1 << 23
 #: Pieces that the library gets as one text.
 LINES = 64
+#: New pieces after which memory that the library has freed goes back to the system.
+GIVE_BACK_PIECES = 1 << 14
 
 # Bytes of UTF-8 by what they tell of the place before or after them.
 _LETTER, _NO_LETTER, _GAP, _VISIBLE, _FIRST_OF_2, _FIRST_OF_3, _LETTER_OF_2 = (1 << i for i in range(7))
@@ -63,6 +68,7 @@ class Encoder:
         self._batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         (self.line_break,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.most = CACHE_PIECES if most is None else most
+        self.learned = 0
         self.clear()
 
     def clear(self) -> None:
@@ -70,8 +76,22 @@ class Encoder:
         self.flat = np.empty(1 << 16, dtype=np.uint32)
         self.begin = np.zeros(1 << 14, dtype=np.int64)
         self.size = np.zeros(1 << 14, dtype=np.int64)
+        self.again = np.zeros(1 << 14, dtype=bool)
         self.used = 0
 
+    def _forget(self) -> None:
+        """Keep the pieces that were met again, if half the room holds them."""
+        keep = np.flatnonzero(self.again[:len(self.index)])
+        size = self.size[keep]
+        ends = np.cumsum(size)
+        if not len(keep) or len(keep) > self.most // 2 or ends[-1] > CACHE_IDS // 2:
+            self.clear()
+            return
+        known = list(self.index)  # in the order of their places
+        ids = self.flat[np.repeat(self.begin[keep] - ends + size, size) + np.arange(int(ends[-1]))]
+        self.clear()
+        self._store([known[i] for i in keep.tolist()], size, ids)
+
     def _learn(self, pieces: list[str]) -> None:
         # pieces without white space but one leading space go many in one text, a line each:
         # a line break is a token of its own wherever it stands between two of them
@@ -93,6 +113,7 @@ class Encoder:
         n, total = len(self.index), int(sizes.sum())
         while n + len(sizes) > len(self.begin):
             self.begin, self.size = np.r_[self.begin, self.begin * 0], np.r_[self.size, self.size * 0]
+            self.again = np.r_[self.again, self.again & False]
         while self.used + total > len(self.flat):
             self.flat = np.r_[self.flat, self.flat * 0]
         self.size[n: n + len(sizes)] = sizes
@@ -126,12 +147,18 @@ class Encoder:
         at = self._places(pieces)
         missing = np.flatnonzero(at < 0)
         if len(self.index) + len(missing) > self.most or len(self.flat) > CACHE_IDS:
-            self.clear()  # what is remembered stays bounded
-            missing = np.arange(len(pieces))
+            self._forget()  # what is remembered stays bounded
+            at = self._places(pieces)
+            missing = np.flatnonzero(at < 0)
+        self.again[at[at >= 0]] = True
         if len(missing):
             fresh = [pieces[i] for i in missing.tolist()]
             self._learn(fresh)
             at[missing] = self._places(fresh)
+            self.learned += len(fresh)
+            if self.learned >= GIVE_BACK_PIECES:
+                give_back()
+                self.learned = 0
         at = at[seen.indices.to_numpy()]
         size = self.size[at]
         ends = np.cumsum(size)

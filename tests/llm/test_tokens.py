@@ -54,6 +54,24 @@ PARTS = [" ", "  ", "\n", "\n\n", "\t", "\r\n", "a", "word", "'s", "'ll", "don't
          "\xa0", "\x85", "—", "“x”", "\x1c", "×", "a÷", "а\u0482", "सि", "😀", "\u180e", "\u0301", "'", "\x7f", "<|endoftext"]
 
 
+def test_pieces_met_again_stay_when_there_is_no_more_room(encoder, monkeypatch):
+    from lapsewise.llm import tokens
+
+    fresh = Encoder(default_path(), most=300)
+    given = []
+    monkeypatch.setattr(tokens, "GIVE_BACK_PIECES", 100, raising=False)
+    monkeypatch.setattr(tokens, "give_back", lambda: given.append(len(fresh.index)), raising=False)
+    learn, got = fresh._learn, []
+    monkeypatch.setattr(fresh, "_learn", lambda pieces: (got.extend(pieces), learn(pieces)))
+    texts = [" ".join(["again and again", *(f"word{chr(97 + i)}{'abcdefghij'[j // 10]}{'abcdefghij'[j % 10]}" for j in range(60))])
+             for i in range(20)]
+    for text in texts:
+        assert fresh.encode([text])[0].tolist() == ids_of(encoder, text)
+        assert len(fresh.index) <= 300
+    assert len(got) > 900 and {p: got.count(p) for p in ("again", " and", " again")} == {"again": 1, " and": 1, " again": 1}
+    assert len(given) >= 9 and len(set(got)) == len(got)
+
+
 def test_every_cut_is_one_of_the_library(encoder):
     """Pieces of any characters, next to each other in any order, as slices of an Arrow column."""
     import random
