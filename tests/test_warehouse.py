@@ -144,6 +144,49 @@ def test_keys_with_gaps(spark, workdir):
     assert _rows(read_table(spark, marts["fct_patient_claims_summary"]), "client_id", "total_claims") == [(0, 2)]
 
 
+def test_policies_without_parents_are_reported(spark, workdir):
+    """With ``bridge_gaps`` the policy's foreign keys are checked too: its orphans are told, once."""
+    clients = fixtures.write(f"{workdir}/c.csv", "client_id,name,income,province\n0,A,10.0,X\n5,B,20.0,X\n")
+    products = fixtures.write(f"{workdir}/p/p.csv", "product_id,product_name,tier,status\nprod_001,Plan,Tier 1,Active\nprod_003,Plan,Tier 1,Active\n")
+    lapses = fixtures.write_lapses(f"{workdir}/l.parquet", fixtures.lapse_table(4, first_policy=10))
+    for root, versioned in (("plain", False), ("versions", True)):
+        for _ in range(2):
+            warehouse.load_warehouse(spark, f"{workdir}/{root}", clients, products, lapses, policies=(10, 13), num_clients=2,
+                                     num_products=2, first_client=0, versioned=versioned, bridge_gaps=True)
+        told = read_table(spark, warehouse.orphans_path(f"{workdir}/{root}"))
+        assert _rows(told, "test_name", "policy_id", "client_id", "product_id") == [
+            (f"relationships__dim_policy__{c}", p, 1, "prod_002") for c in ("client_id", "product_id") for p in (11, 13)]
+
+
+def _small_tables(spark, root, clients, parts):
+    for name, key, n in (("customer", "c_custkey", clients), ("part", "p_partkey", parts)):
+        df = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+        df.where(F.col(key).isin(n)).write.parquet(f"{root}/{name}.parquet")
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey")):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").where(F.col(key) < 20).write.parquet(f"{root}/{name}.parquet")
+    for name in ("nation", "supplier"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{root}/{name}.parquet")
+    return root
+
+
+def test_a_client_lost_on_the_way_stops_the_queries_load(spark, workdir, monkeypatch):
+    """The queries' load holds the policy's foreign keys against the feeds where the tables' keys have no gaps."""
+    from lapsewise import registry
+    from lapsewise.sources import standins
+
+    whole = _small_tables(spark, f"{workdir}/whole", [0, 1, 2, 3], [0, 1, 2])
+    root, paths = registry._loaded_warehouse(spark, whole)
+    assert read_table(spark, paths["dim_policy"]).count() == 20
+    gaps = _small_tables(spark, f"{workdir}/gaps", [0, 1, 3], [0, 1, 2])
+    root, paths = registry._loaded_warehouse(spark, gaps)
+    told = read_table(spark, warehouse.orphans_path(f"{root}/warehouse"))
+    assert _rows(told, "policy_id", "client_id") == [(p, 2) for p in range(20) if p % 3 == 2]
+    feed = standins.client_records
+    monkeypatch.setattr(standins, "client_records", lambda s, d: feed(s, d).where("client_id <> 2"))
+    with pytest.raises(AssertionError, match="relationships__dim_policy__client_id=5"):
+        registry._loaded_warehouse(spark, whole)
+
+
 def test_staging_and_marts(loaded, tmp_path):
     spark, _, _, paths = loaded
     t = warehouse.read_warehouse(spark, paths)
